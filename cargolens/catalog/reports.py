@@ -1,0 +1,230 @@
+"""Composed reports."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cargolens.catalog.registry import query
+from cargolens.operators import predicates as p
+from cargolens.plans import reports
+from cargolens.standins import AS_OF
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Dates as text and decimals as doubles, for comparing engines."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(f.dataType, T.IntegerType):
+            c = c.cast("long")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+DAYS = 400
+
+
+def _status_sql(stamp: str) -> str:
+    cols = []
+    for field, source in reports.STATUS_FIELDS.items():
+        value = f"l.{source}"
+        if field in reports.SHORT_DATES:
+            value = f"upper(strftime({value}, '%d-%b-%y'))"
+        elif source.startswith("order_") and source != "order_no":
+            value = f"strftime({value}, '{stamp}')"
+        elif source == "shipment_date":
+            value = f"strftime({value}, '%Y-%m-%d')"
+        cols.append(f'{value} as "{field}"')
+    return f"""
+        select u.registration_no as login, cast(1 as bigint) as part,
+               row_number() over (partition by u.registration_no order by l.shipment_uid) as id,
+               {', '.join(cols)}, '' as "hsCode",
+               (select string_agg(n || '*' || code, ',' order by code) from (
+                  select k.code, count(*) as n from shipment_containers c
+                  join master_containers m on m.id = c.master_container_id
+                  join container_types k on k.id = m.container_id
+                  where c.shipment_id = l.id group by k.code)) as "noOfContainers",
+               (select string_agg(m.container_number, ',' order by m.container_number) from shipment_containers c
+                  join master_containers m on m.id = c.master_container_id where c.shipment_id = l.id) as "containerNumber"
+        from shipment_list l join user_customers u on u.customer_id = l.customer_id join users w on w.id = u.registration_no
+        where l.shipment_date >= date '{AS_OF}' - {DAYS}"""
+
+
+query("rpt_daily_status", _status_sql("%Y-%m-%d %H:%M:%S"))(lambda t: plain(reports.daily_status(t, DAYS, AS_OF)))
+
+PREFERENCES = {
+    "user_preferences": """
+        select cast(n_nationkey as bigint) as web_user_master_id, '["id","status"]' as column_preferences
+        from {nation} where n_nationkey % 2 = 0""",
+    "user_triggers": """
+        select cast(n_nationkey as bigint) as web_user_master_id, split('a' || n_nationkey || '@x.org,b@x.org', ',') as mail_id,
+               n_nationkey % 4 = 0 as day_status, split('MON,FRI', ',') as days, split('Open', ',') as status_list,
+               cast(null as timestamp) as last_trigger_date
+        from {nation} where n_nationkey % 3 = 0""",
+}
+_PACK = ", ".join(f'"{c}" := "{c}"' for c in reports.STATUS_COLUMNS)
+
+
+query(
+    "rpt_daily_status_envelope",
+    f"""with s as ({_status_sql('%Y-%m-%dT%H:%M:%S')}),
+        d as (select login, to_json(list(struct_pack({_PACK}) order by id)) as data from s where login <> 7 group by login)
+        select u.id as login, cast(1 as bigint) as part, coalesce('{{"userColumns":' || coalesce(p.column_preferences, 'null') || ',"data":' || d.data
+          || ',"userTrigger":' || case when g.web_user_master_id is null then 'null' else
+             to_json([struct_pack("mailId" := g.mail_id, "dayStatus" := g.day_status, "days" := g.days,
+             "statusList" := g.status_list, "lastTriggeredDate" := g.last_trigger_date)]) end || '}}',
+          '{{"Status":"Error","Message":"Shipment List not available"}}') as reply
+        from users u left join d on d.login = u.id left join user_preferences p on p.web_user_master_id = u.id
+        left join user_triggers g on g.web_user_master_id = u.id""",
+    {
+        **PREFERENCES,
+        # one login has no customers, hence no shipments
+        "user_customers": """
+            select cast(c_nationkey as bigint) as registration_no, c_custkey as customer_id,
+                   'CO' || (c_custkey % 4) as company_code
+            from {customer} where c_nationkey <> 7""",
+    },
+)(lambda t: reports.daily_status_envelope(t, DAYS, AS_OF))
+
+NOW = datetime(2024, 1, 25, 6, 30, 15, 250000)
+SEARCH = "e"
+
+_LOG = """
+    select f.source, row_number() over (partition by f.source order by f.received_at, f.file_name, m.master_uid, m.obl_number) as "serialNo",
+           strftime(f.received_at, '%Y-%m-%d') as "date", strftime(f.received_at, '%H:%M:%S') as "time", f.file_name as "fileName",
+           m.master_uid as "jobId", m.obl_number as "mblNo", cast(count(s.id) as bigint) as "houseCount"
+    from inbound_files f join inbound_masters m on m.source_reference_id = f.id
+    left join inbound_shipments s on s.inbound_master_id = m.id
+    where cast(f.received_at as date) between date '2024-01-25' - 30 and date '2024-01-25' and contains(f.file_name, upper('e'))
+    group by f.source, f.received_at, f.file_name, m.master_uid, m.obl_number"""
+_KPI = """
+    select cast(count(*) as bigint) as "totalFilesRequired", cast(count(*) filter (status = 'Completed') as bigint) as "successfullyProcessed",
+           cast(count(*) filter (status = 'Error') as bigint) as "failedErrors" from inbound_files
+    where cast(received_at as date) between date '2024-01-25' - 30 and date '2024-01-25' and contains(file_name, upper('e'))"""
+
+query("rpt_inbound_log", _LOG)(lambda t: reports.inbound_log(t, SEARCH, NOW.date()))
+query("rpt_inbound_kpi", _KPI)(lambda t: reports.inbound_kpi(t, SEARCH, NOW.date()))
+
+_LOG_FIELDS = ", ".join(
+    f'"{c}" := "{c}"' for c in ("serialNo", "date", "time", "fileName", "jobId", "mblNo", "houseCount")
+)
+query(
+    "rpt_envelope",
+    f"""with g as ({_LOG}), k as ({_KPI}), d as (select source, list(struct_pack({_LOG_FIELDS}) order by "serialNo") as files from g group by 1)
+        select s.source, cast(1 as bigint) as part, cast(to_json(struct_pack("httpStatus" := 200, "success" := true,
+          "timestamp" := '2024-01-25T06:30:15.250+05:30', "result" := struct_pack("totalFilesRequired" := k."totalFilesRequired",
+          "successfullyProcessed" := k."successfullyProcessed", "failedErrors" := k."failedErrors",
+          "lastSyncTime" := '2024-01-25T06:30:15.250+05:30', "fileProcessingLog" := coalesce(d.files, [])), "error" := null)) as string) as reply
+        from (select distinct source from inbound_files) s left join d on d.source = s.source, k""",
+)(lambda t: reports.inbound_monitor(t, SEARCH, NOW))
+
+query(
+    "rpt_port_list",
+    """select name as "portName", country_code as "portCountry", code as "portCode", 'PORT' as type, transport_mode as "transportMode",
+       name || '-(' || code || ')' as "listValue" from supplier_ports where contains(name, upper('#00000001'))""",
+)(lambda t: reports.port_list({"ports": t["supplier_ports"]}, "port", "#00000001"))
+
+_SCHEDULE_DAYS = "cast(trunc((epoch_us(s.eta) - epoch_us(s.{})) / 86400000000.0) as bigint) || ' Days'"
+query(
+    "rpt_sailing_schedule",
+    f"""select o.code as "originCode", o.name as "originName", d.code as "destinationCode",
+        case when s.co_loader_id is not null then 'Y' else 'N' end as "isCoload", o.code as pol, s.origin_name as "polName",
+        d.code as pod, s.destination_name as "podName", o.country_code as "originCountryCode", d.country_code as "destinationCountryCode",
+        s.schedule_id as "scheduleId", s.vessel_name as vessel, s.route_no as voyage,
+        strftime(s.etd, '%Y-%m-%d %H:%M:%S') as "departureDate", strftime(s.eta, '%Y-%m-%d %H:%M:%S') as "arrivalDate",
+        strftime(s.load_port_cutoff_date, '%Y-%m-%d %H:%M:%S') as "cutoffDate",
+        {_SCHEDULE_DAYS.format('load_port_cutoff_date')} as "cutOffToArrival", {_SCHEDULE_DAYS.format('etd')} as "departureToArrival"
+        from schedules s join ports o on o.id = s.origin_id join ports d on d.id = s.destination_id where contains(s.service, 'FCL')""",
+)(lambda t: plain(reports.sailing_schedule(t, "", None, "FCL")))
+
+query(
+    "rpt_sales_enquiry",
+    """select u.registration_no, e.enquiry_no as "enquiryNo", strftime(e.enquiry_date, '%Y-%m-%d') as "enquiryDate", o.code as origin,
+       s.origin_name as "originName", o.country_code as "originCountry", d.code as destination, s.destination_name as "destinationName",
+       d.country_code as "destinationCountry", strftime(e.quote_by_date, '%Y-%m-%d') as "validUpto", k.name as tos,
+       cast(sum(w.gross_weight_kgs) as double) as "grossWeightKgs", cast(sum(w.volume_in_weight) as double) as "volumeInWeight"
+       from user_customers u left join enquiries e on e.customer_id = u.customer_id
+       left join enquiry_services s on s.enquiry_detail_id = e.id left join terms k on k.id = s.tos_id
+       left join ports o on o.id = s.origin_id left join ports d on d.id = s.destination_id
+       left join enquiry_dimensions w on w.enquiry_detail_id = e.id
+       where e.enquiry_date >= date '2001-08-01' - 900 group by all""",
+)(lambda t: plain(reports.sales_enquiry(t, 900, AS_OF)))
+
+
+def _wip_sql(cost_guard: str, condition: str = "true") -> str:
+    rev = "(select wip_revenue_account_id from wip_accounts where wip_revenue_account_id is not null)"
+    cost = f"(select wip_cost_account_id from wip_accounts where {cost_guard} is not null)"
+    is_rev, is_cost = "l.rcn_type in ('C_REVENUE', 'S_REVENUE')", "l.rcn_type = 'C_COST'"
+
+    def signed(plus, minus, test):
+        return (
+            f"sum(case when v.dr_cr = '{plus}' and {test} then v.local_amount "
+            f"when v.dr_cr = '{minus}' and {test} then -v.local_amount else 0 end)"
+        )
+
+    z = "coalesce(r.{}, 0)".format
+    rev0 = f"sum({z('sell_amount')} * {z('currency_rate_of_exchange')})"
+    cost0 = f"sum({z('cost_amount')} * {z('cost_roe')})"
+    return f"""
+        with b as (select v.shipment_rate_id, {signed('CR', 'DR', f'{is_rev} and l.account_id not in {rev}')} as ar,
+                {signed('DR', 'CR', f'{is_cost} and l.account_id not in {cost}')} as ac,
+                {signed('CR', 'DR', f'{is_rev} and l.account_id in {rev}')} as wr,
+                {signed('DR', 'CR', f'{is_cost} and l.account_id in {cost}')} as wc
+              from vouchers v join ledger_types l on l.record_id = v.id group by 1),
+        f as (select s.id as "shipmentId", d.service_type as service, s.shipment_uid as "shipmentUid",
+                strftime(s.shipment_date, '%Y-%m-%d %H:%M:%S') as "jobDate",
+                cast(sum(r.sell_amount * r.currency_rate_of_exchange) as double) as "provisionRevenue",
+                cast(sum(r.cost_amount * r.cost_roe) as double) as "provisionCost",
+                case when {rev0} = 0 then 0.0 else (cast({rev0} as double) - cast({cost0} as double)) / cast({rev0} as double) * 100 end as "netGpPercentage",
+                cast(sum(coalesce(b.ar, 0)) as double) as "pnlIncome", cast(sum(coalesce(b.ac, 0)) as double) as "pnlCost",
+                cast(sum(coalesce(b.wr, 0)) as double) as "wipRevenue", cast(sum(coalesce(b.wc, 0)) as double) as "wipCost"
+              from shipments s left join shipment_services d on d.shipment_header_id = s.id
+              left join shipment_rates r on r.shipment_header_id = s.id left join b on b.shipment_rate_id = r.id
+              where {condition} group by s.id, d.service_type, s.shipment_uid, s.shipment_date)
+        select * from f"""
+
+
+query("rpt_wip", _wip_sql("wip_cost_account_id"))(lambda t: plain(reports.wip_finance(t, AS_OF)))
+query(
+    "rpt_wip_as_written",
+    _wip_sql(
+        "wip_revenue_account_id",
+        """s.group_company_id = 1 and s.company_id = 1 and s.branch_id = 2 and d.service_id = 1
+           and cast(s.shipment_date as date) between date '1996-01-01' and date '2000-12-31'""",
+    )
+    + """ where "provisionCost" <> "wipCost" + "pnlCost" """,
+)(
+    lambda t: plain(
+        reports.wip_finance(
+            t,
+            date(2000, 12, 31),
+            date(1996, 1, 1),
+            group_company_id=1,
+            company_id=1,
+            branch_id=2,
+            service_id=1,
+            mode=p.PARTIAL_COST,
+            null_guard="reference",
+        )
+    )
+)
+
+query(
+    "rpt_user_bundle",
+    """select w.user_id as "userName", w.email, to_base64(w.company_logo) as "companyLogo", cast(1 as bigint) as part,
+       cast(coalesce((select to_json(list(struct_pack("customerCode" := c.customer_uid, "customerName" := c.name, "companyCode" := u.company_code)
+         order by u.customer_id)) from user_customers u join customers c on c.id = u.customer_id where u.registration_no = w.id), '[]') as string) as customers,
+       cast(coalesce((select to_json(list(struct_pack("label" := m.label, "path" := m.path) order by m.id))
+         from user_modules x join modules m on m.id = x.module_id where x.master_id = w.id), '[]') as string) as modules
+       from users w where w.lov_status = 'Active'""",
+)(lambda t: reports.user_bundle(t))
