@@ -1,0 +1,312 @@
+"""Inbound table, XML shredding, outbound queue and the streamed shred."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cargolens.catalog.registry import query
+from cargolens.catalog.reports import plain
+from cargolens.operators import xml_shred as xs
+from cargolens.operators.lists import nest
+from cargolens.session import scratch_path
+from cargolens.sources import inbox
+from cargolens.standins import AS_OF, StandIns
+from cargolens.streaming.shred import shred_stream
+
+NOW = datetime(2001, 8, 1, 6, 0, 0)
+
+# ---- inbound -------------------------------------------------------------
+
+
+@query(
+    "src_inbox",
+    """select id, source, strftime(received_at, '%Y-%m-%d %H:%M:%S') as received_at, status, file_name, json_data, xml_data, other_data,
+       cast(null as string) as processed_at from inbound_files""",
+)
+def _(t):
+    path = scratch_path(t.spark, "inbox")
+    t["inbound_files"].write.parquet(path)
+    return plain(inbox.read_inbox(t.spark, path))
+
+
+query(
+    "src_payload_kind",
+    """select source, case when json_data is not null then 'json' when xml_data is not null then 'xml' when other_data is not null then 'other' end as kind,
+       cast(count(*) as bigint) as n from inbound_files group by 1, 2""",
+)(lambda t: t["inbound_files"].groupBy("source", inbox.payload_kind().alias("kind")).agg(F.count(F.lit(1)).alias("n")))
+
+query(
+    "src_processing_log",
+    "select '2001-08-01' as process_date, cast(count(*) as bigint) as records_processed, 'ETI_MANIFEST' as process_type from inbound_files where xml_data is not null",
+)(
+    lambda t: plain(
+        inbox.processing_log(t["inbound_files"].filter("xml_data is not null"), AS_OF, "ETI_MANIFEST")
+    )
+)
+
+query(
+    "outbox_queue",
+    """select u.m + row_number() over (order by o_orderkey) as file_uid, 'EDI_' || o_orderkey || '.txt' as file_name, 'NEW' as status,
+       cast(0 as bigint) as attempt, to_base64(encode('ORDER ' || o_orderkey)) as file_content, '2001-08-01 06:00:00' as create_date
+       from orders, (select max(p_partkey) as m from part) u""",
+)(
+    lambda t: plain(
+        inbox.to_outbox(
+            t["orders"].select(
+                F.col("o_orderkey").alias("doc_key"),
+                F.lit(1).alias("part"),
+                F.concat(F.lit("ORDER "), F.col("o_orderkey").cast("string")).alias("content"),
+            ),
+            t["part"].select(F.col("p_partkey").alias("file_uid")),
+            NOW,
+            "EDI_",
+        )
+        .withColumn("file_content", F.base64("file_content"))
+        .select("file_uid", "file_name", "status", "attempt", "file_content", "create_date")
+    )
+)
+
+# ---- manifest messages ---------------------------------------------------
+# Messages are written from orders and their lines, one message per order.
+# Each value is an expression both engines read; the shredded tables must give
+# the same rows as selecting the expressions.
+
+
+def _values(spec, key: str, **special: str) -> dict[str, str]:
+    out = {}
+    for c, (_, ty) in spec.items():
+        if c in special:
+            out[c] = special[c]
+        elif ty == xs.TEXT:
+            out[c] = f"'{c}-' || {key}"
+        elif ty == xs.INT:
+            out[c] = f"{key} % 90"
+        elif ty == xs.DEC:
+            out[c] = "cast(amount as decimal(18,3))"
+        elif ty == xs.TIME:
+            out[c] = "o_orderdate"
+        else:
+            out[c] = f"({key} % 2 = 0)"
+    return out
+
+
+_WORD = "case when {} then '{}' else '{}' end"
+VALUES = {
+    "manifest_headers": _values(
+        xs.HEADER,
+        "o_orderkey",
+        message_id="'M' || o_orderkey",
+        receiver_code="'R&D <' || o_custkey || '>'",
+        version="case when o_orderkey % 5 <> 0 then '1.0' end",
+    ),
+    "master_shipments": _values(xs.MASTER, "o_orderkey"),
+    "routing_info": _values(xs.ROUTING, "o_custkey", atd="case when o_orderstatus = 'F' then o_orderdate end"),
+    "containers": _values(
+        xs.CONTAINER, "l_partkey", manifest_no="case when l_linenumber % 3 <> 0 then 'MF' || l_linenumber end"
+    ),
+    "house_bills": _values(
+        xs.HOUSE, "l_suppkey", hbl_number="'H' || l_orderkey || '-' || l_linenumber || '-' || l_partkey"
+    ),
+    "house_containers": _values(
+        xs.HOUSE_CONTAINER, "l_partkey", master_container_number="'CN' || l_partkey || '-' || k", package="l_linenumber + k"
+    ),
+    "shipping_parties": _values(xs.PARTY, "l_suppkey", fax="case when l_suppkey % 2 = 0 then 'fax' end"),
+}
+
+LINES = """
+    select *, l_extendedprice as amount, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as pos
+    from lineitem join orders on o_orderkey = l_orderkey"""
+IS_HOUSE, IS_PARTY = "l_returnflag <> 'A'", "l_linenumber = 1"
+
+
+def _element(spec, values) -> str:
+    """SQL text giving the XML of one element's children; NULL leaves a tag out."""
+    parts, open_group = [], ""
+    for c, (path, ty) in spec.items():
+        group, _, tag = path.rpartition("/")
+        if group != open_group:
+            parts.append(f"'{f'</{open_group}>' if open_group else ''}{f'<{group}>' if group else ''}'")
+            open_group = group
+        text = f"cast({values[c]} as string)"
+        if ty == xs.BOOL:
+            text = f"case when {values[c]} then 'on' else 'N' end"
+        elif ty == xs.TIME:
+            text = f"date_format({values[c]}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+        elif ty == xs.TEXT:
+            text = f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+        parts.append(f"coalesce('<{tag}>' || {text} || '</{tag}>', '')")
+    if open_group:
+        parts.append(f"'</{open_group}>'")
+    return f"concat({', '.join(parts)})"
+
+
+def _wrap(tag: str, body: str) -> str:
+    return f"concat('<{tag}>', {body}, '</{tag}>')"
+
+
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def manifest_messages(t: StandIns) -> DataFrame:
+    """``(id, xml_data)``: one message per order, written once per session."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _WRITTEN:
+        path = scratch_path(t.spark, "manifest-messages")
+        _build_messages(t).write.parquet(path)
+        _WRITTEN[key] = path
+    return t.spark.read.schema("id long, xml_data string").parquet(_WRITTEN[key])
+
+
+def _build_messages(t: StandIns) -> DataFrame:
+    orders = t["orders"].withColumn("amount", F.col("o_totalprice"))
+    lines = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.withColumn("amount", F.col("l_extendedprice"))
+    boxes = []
+    for k in (1, 2):
+        values = {c: v.replace("|| k", f"|| {k}").replace("+ k", f"+ {k}") for c, v in VALUES["house_containers"].items()}
+        box = _wrap("HouseContainer", _element(xs.HOUSE_CONTAINER, values))
+        boxes.append(f"case when l_linenumber % 3 >= {k} then {box} else '' end")
+    house = f"concat({_element(xs.HOUSE, VALUES['house_bills'])}, {_wrap('HouseContainers', ', '.join(boxes))})"
+    party = _wrap("ShippingParty", _element(xs.PARTY, VALUES["shipping_parties"]))
+    fields = {
+        "c": F.expr(_wrap("Container", _element(xs.CONTAINER, VALUES["containers"]))),
+        "h": F.expr(f"case when {IS_HOUSE} then {_wrap('House', house)} else '' end"),
+        "p": F.expr(f"case when {IS_PARTY} then {party} else '' end"),
+    }
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    listed = nest(lines, ["l_orderkey"], order, fields, "items")
+
+    def joined(f: str) -> str:
+        return f"coalesce(array_join(items.{f}, ''), '')"
+
+    rows = orders.join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    master = ", ".join(
+        [
+            _element(xs.MASTER, VALUES["master_shipments"]),
+            _wrap("Routing", _element(xs.ROUTING, VALUES["routing_info"])),
+            _wrap("Containers", joined("c")),
+            _wrap("Houses", joined("h")),
+        ]
+    )
+    header = _wrap("Header", _element(xs.HEADER, VALUES["manifest_headers"]))
+    text = _wrap("Manifest", f"{header}, {_wrap('Master', master)}, {_wrap('ShippingParties', joined('p'))}")
+    return rows.select(F.col("o_orderkey").alias("id"), F.expr(text).alias("xml_data"))
+
+
+def _oracle_columns(name: str, spec) -> str:
+    cols = []
+    for c, (_, ty) in spec.items():
+        v = VALUES[name][c]
+        if ty == xs.TIME:
+            v = f"strftime({v}, '%Y-%m-%d %H:%M:%S')"
+        elif ty == xs.DEC:
+            v = f"cast({v} as double)"
+        elif ty == xs.INT:
+            v = f"cast({v} as bigint)"
+        cols.append(f"{v} as {c}")
+    return ", ".join([*cols, "'2001-08-01 06:00:00' as processed_at"])
+
+
+_ORDERS = "(select *, o_totalprice as amount from orders)"
+_MID = "'M' || o_orderkey as message_id"
+TABLE_SQL = {
+    "manifest_headers": f"select {_oracle_columns('manifest_headers', xs.HEADER)} from {_ORDERS}",
+    "master_shipments": f"select {_MID}, {_oracle_columns('master_shipments', xs.MASTER)} from {_ORDERS}",
+    "routing_info": f"select {_MID}, {_oracle_columns('routing_info', xs.ROUTING)} from {_ORDERS}",
+    "containers": f"select {_MID}, {_oracle_columns('containers', xs.CONTAINER)} from ({LINES})",
+    "house_bills": f"select {_MID}, {_oracle_columns('house_bills', xs.HOUSE)} from ({LINES}) where {IS_HOUSE}",
+    "house_containers": f"""select {_MID}, {VALUES['house_bills']['hbl_number']} as hbl_number,
+        {_oracle_columns('house_containers', xs.HOUSE_CONTAINER)}
+        from ({LINES}), (select unnest([1, 2]) as k) where {IS_HOUSE} and k <= l_linenumber % 3""",
+    "shipping_parties": f"select {_MID}, {_oracle_columns('shipping_parties', xs.PARTY)} from ({LINES}) where {IS_PARTY}",
+}
+KEYS = {
+    "manifest_headers": "xml_header",
+    "master_shipments": "xml_master",
+    "routing_info": "xml_routing",
+    "containers": "xml_containers",
+    "house_bills": "xml_house_bills",
+    "house_containers": "xml_house_containers",
+    "shipping_parties": "xml_parties",
+}
+
+
+def _shredded(t: StandIns, name: str) -> DataFrame:
+    good, _ = xs.split_malformed(xs.parse_messages(manifest_messages(t)))
+    return plain(xs.shred_table(good, name, NOW))
+
+
+for _name, _key in KEYS.items():
+    query(_key, TABLE_SQL[_name])(lambda t, name=_name: _shredded(t, name))
+
+
+@query("xml_quarantine", "select o_orderkey as id, o_orderkey % 10 = 0 as malformed from orders")
+def _(t):
+    messages = manifest_messages(t)
+    cut = F.when(F.col("id") % 10 == 0, F.left("xml_data", F.length("xml_data") - 5)).otherwise(F.col("xml_data"))
+    good, bad = xs.split_malformed(xs.parse_messages(messages.withColumn("xml_data", cut)))
+    return good.select("id", F.lit(False).alias("malformed")).unionByName(bad.select("id", F.lit(True).alias("malformed")))
+
+
+@query(
+    "xml_nested_aligned",
+    f"""select 'M' || o_orderkey as message_id, cast(count(*) as bigint) as houses, cast(sum(l_linenumber % 3) as bigint) as boxes
+        from ({LINES}) where {IS_HOUSE} group by 1""",
+)
+def _(t):
+    good, _ = xs.split_malformed(xs.parse_messages(manifest_messages(t)))
+    houses = xs.shred_table(good, "house_bills", NOW).groupBy("message_id").agg(F.count(F.lit(1)).alias("houses"))
+    boxes = xs.shred_table(good, "house_containers", NOW).groupBy("message_id").agg(F.count(F.lit(1)).alias("boxes"))
+    return houses.join(boxes, "message_id", "left").withColumn("boxes", F.coalesce("boxes", F.lit(0)))
+
+
+@query(
+    "xml_scalar_paths",
+    "select 'M' || o_orderkey as message_id, 'R&D <' || o_custkey || '>' as receiver_code, case when o_orderkey % 5 <> 0 then '1.0' end as version from orders",
+)
+def _(t):
+    spec = {c: ("//Header/" + xs.HEADER[c][0], xs.HEADER[c][1]) for c in ("message_id", "receiver_code", "version")}
+    return xs.shred_scalar(manifest_messages(t), "xml_data", spec)
+
+
+# Missing manifest numbers move later ones up: the n-th present one goes to the n-th container.
+@query(
+    "xml_containers_lockstep",
+    f"""with l as ({LINES}), m as (select o_orderkey, manifest_no, row_number() over (partition by o_orderkey order by pos) as pos
+          from (select *, {VALUES['containers']['manifest_no']} as manifest_no from l) where manifest_no is not null)
+        select 'M' || l.o_orderkey as message_id, 'container_type-' || l.l_partkey as container_type, m.manifest_no
+        from l left join m on m.o_orderkey = l.o_orderkey and m.pos = l.pos""",
+)
+def _(t):
+    out = xs.shred_lockstep(manifest_messages(t), "xml_data", "containers", NOW)
+    return out.select("message_id", "container_type", "manifest_no")
+
+
+# The n-th house of a message meets the n-th house container of the whole message.
+@query(
+    "xml_house_containers_lockstep",
+    f"""with l as ({LINES}), h as (select *, row_number() over (partition by o_orderkey order by pos) as n from l where {IS_HOUSE}),
+          b as (select o_orderkey, 'CN' || l_partkey || '-' || k as box, row_number() over (partition by o_orderkey order by pos, k) as n
+                from l, (select unnest([1, 2]) as k) where {IS_HOUSE} and k <= l_linenumber % 3)
+        select 'M' || coalesce(h.o_orderkey, b.o_orderkey) as message_id,
+               'H' || l_orderkey || '-' || l_linenumber || '-' || l_partkey as hbl_number, b.box as master_container_number
+        from h full join b on h.o_orderkey = b.o_orderkey and h.n = b.n""",
+)
+def _(t):
+    out = xs.shred_lockstep(manifest_messages(t), "xml_data", "house_containers", NOW)
+    return out.select("message_id", "hbl_number", "master_container_number")
+
+
+@query(
+    "stream_xml_shred",
+    f"select message_id, container_number, piece_count, weight_kg from ({TABLE_SQL['containers']})",
+)
+def _(t):
+    base = scratch_path(t.spark, "shred-stream")
+    manifest_messages(t).withColumn("processed", F.lit(False)).write.parquet(f"{base}/in")
+    shred_stream(t.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", NOW).awaitTermination()
+    rows = t.spark.read.parquet(f"{base}/out/containers")
+    return plain(rows.select("message_id", "container_number", "piece_count", "weight_kg"))

@@ -176,13 +176,13 @@ class StandIns(Mapping):
     """Stand-in tables by name, made when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, tables: Mapping[str, str] | None = None):
-        self.spark, self._dir = spark, sf_dir
+        self.spark, self.sf_dir = spark, sf_dir
         self._sql = dict(TABLES, **(tables or {}))
         self._made: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+            self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._made[name]
 
     def __getitem__(self, name: str) -> DataFrame:
