@@ -23,6 +23,23 @@ def role_join(
     return df
 
 
+def role_lookup(
+    df: DataFrame, key: str, roles: Mapping[str, str], dim: DataFrame, columns: Sequence[str], dim_key: str = "id"
+) -> DataFrame:
+    """Values of one dimension for several roles of each key, in one join.
+
+    The role ids become rows, meet the dimension once, and are turned back
+    into ``role_column``. Unlike one join per role this moves only ids, which
+    pays when the dimension is too large to broadcast. ``key`` must be unique.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(fk).alias("id")) for r, fk in roles.items()]))
+    rows = df.select(key, pairs.alias("_p")).filter("_p.id is not null").select(key, "_p.role", F.col("_p.id").alias("_id"))
+    side = dim.select(F.col(dim_key).alias("_id"), *columns)
+    found = rows.join(side, "_id")
+    picked = [F.min(F.when(F.col("role") == r, F.col(c))).alias(f"{r}_{c}") for r in roles for c in columns]
+    return df.join(found.groupBy(key).agg(*picked), key, "left")
+
+
 def bridge_join(left: DataFrame, link: DataFrame, right: DataFrame, left_on, right_on, right_key: str = "id") -> DataFrame:
     """Left and right rows connected by a link table, each pair once."""
     lk, link_left = left_on

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.operators.ordered import biggest_group, serial
+from cargolens.session import staged
 
 #: Most items in one list value.
 MAX_ITEMS = 100_000
@@ -98,10 +99,14 @@ def gather_lines(
     """``(key, part, content)`` from one row per document line.
 
     With ``null_blanks_all`` a document having any NULL line gets one row with
-    NULL content, as text concatenation with NULL gives NULL. ``measure`` may
-    name cheaper rows with the same number of rows per key as ``lines``.
+    NULL content, as text concatenation with NULL gives NULL. The lines are
+    written to the scratch folder first, so measuring the documents does not
+    compute them twice; ``measure`` instead names cheaper rows with as many
+    rows per key as there are lines.
     """
     order = list(order_by)
+    if measure is None:
+        lines = staged(lines, "lines")
     if not null_blanks_all:
         lines = lines.withColumn(line, F.coalesce(line, F.lit("")))
     item = F.struct(F.struct(*order).alias("o"), F.col(line).alias("v"))

@@ -150,7 +150,7 @@ TABLES: dict[str, str] = {
         from {{orders}} where o_orderstatus = 'P'""",
     "shipment_rates": """
         select l_orderkey || '-' || l_linenumber as id, l_orderkey as shipment_header_id,
-               case when min(l_returnflag) <> 'A' then sum(cast(l_extendedprice as decimal(18,2))) end as sell_amount,
+               case when max(case when l_returnflag = 'A' then 1 else 0 end) = 0 then sum(cast(l_extendedprice as decimal(18,2))) end as sell_amount,
                cast(1 - min(l_discount) as decimal(9,4)) as currency_rate_of_exchange,
                sum(cast(l_quantity * 100 as decimal(18,2))) as cost_amount,
                cast(1 + min(l_tax) as decimal(9,4)) as cost_roe
@@ -161,7 +161,7 @@ TABLES: dict[str, str] = {
                cast(l_extendedprice as decimal(18,2)) as local_amount
         from {{lineitem}}""",
     "ledger_types": f"""
-        select distinct {_LINE_ID} as record_id,
+        select {_LINE_ID} as record_id,
                case when l_partkey % 3 = 0 then 'C_REVENUE' when l_partkey % 3 = 1 then 'S_REVENUE' else 'C_COST' end as rcn_type,
                l_suppkey as account_id
         from {{lineitem}}""",
