@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from cargolens.catalog.registry import query
+from cargolens.operators.lists import PART_LINES
 from cargolens.plans import documents as docs
 from cargolens.plans import manifest as man
 
@@ -86,7 +87,7 @@ MESSAGE_530 = {
         select 'CO' || n_nationkey as company_code, 'B' || (n_nationkey % 2) as branch_code, cast('40051' as string) as location_code,
                'SND' || (n_nationkey % 3) as sender_code, 'RCV' || (n_nationkey % 2) as receiver_code, 'SPEC' as route_code_origin,
                case when n_nationkey % 4 = 0 then null else 'AUTH' end as route_code_destination, 'IN' as sftp_type
-        from {nation}""",
+        from {nation} where n_nationkey <> 5""",
     "jobs": """
         select o_orderkey as job_uid, 'MST' || o_orderkey as master_no, 'P' || (o_custkey % 25) as pol, 'P' || (o_orderkey % 25) as pod,
                o_orderkey % 90 as no_of_pack
@@ -123,13 +124,13 @@ query(
 
 query(
     "doc_530_batched",
-    f"""with x as (select *, row_number() over (partition by sender_code, receiver_code order by did) as no from (
-            select d.did, p.sender_code, p.receiver_code, {_TX.format("'#'")} as tx {_FROM_530})),
-          y as (select sender_code, receiver_code, count(*) as n, string_agg(replace(tx, '#', case when no < 10000 then lpad(cast(no as string), 4, '0') else cast(no as string) end),
-                  chr(10) order by no) as body from x group by 1, 2),
-          z as (select *, row_number() over (order by sender_code || '/' || receiver_code) as seq from y)
-        select sender_code || '/' || receiver_code as doc_key, cast(1 as bigint) as part, '{docs.ICS_SEGMENT}' || chr(10) || {_GS.format('z', 'seq')}
-          || chr(10) || body || chr(10) || 'GE*' || n || '*' || seq || chr(10) || '{docs.ICE_SEGMENT}' as content from z""",
+    f"""with x as (select *, sender_code || '/' || receiver_code as doc_key, row_number() over (partition by sender_code, receiver_code order by did) as no
+            from (select d.did, p.sender_code, p.receiver_code, {_TX.format("'#'")} as tx {_FROM_530})),
+          z as (select doc_key, sender_code, receiver_code, count(*) as n, row_number() over (order by doc_key) as seq from x group by 1, 2, 3),
+          l as (select doc_key, no, replace(tx, '#', case when no < 10000 then lpad(cast(no as string), 4, '0') else cast(no as string) end) as line from x
+            union all select doc_key, 0, '{docs.ICS_SEGMENT}' || chr(10) || {_GS.format('z', 'seq')} from z
+            union all select doc_key, n + 1, 'GE*' || n || '*' || seq || chr(10) || '{docs.ICE_SEGMENT}' from z)
+        select doc_key, cast(no // {PART_LINES} + 1 as bigint) as part, string_agg(line, chr(10) order by no) as content from l group by 1, 2""",
     MESSAGE_530,
 )(lambda t: docs.message_530_batched(t, NOW)[0])
 

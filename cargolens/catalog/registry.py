@@ -4,6 +4,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cargolens.session import tune
 from cargolens.standins import StandIns, oracle_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +17,7 @@ def query(name: str, sql: str | None = None, tables: Mapping[str, str] | None =
     def add(fn: Callable[[StandIns], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(StandIns(spark, sf_dir, tables))
+        QUERIES[name] = lambda spark, sf_dir: fn(StandIns(tune(spark, sf_dir), sf_dir, tables))
         if sql is not None:
             ORACLES[name] = oracle_text(sql, tables)
         return fn

@@ -120,8 +120,8 @@ _LOG_FIELDS = ", ".join(
 )
 query(
     "rpt_envelope",
-    f"""with g as ({_LOG}), k as ({_KPI}), d as (select source, list(struct_pack({_LOG_FIELDS}) order by "serialNo") as files from g group by 1)
-        select s.source, cast(1 as bigint) as part, cast(to_json(struct_pack("httpStatus" := 200, "success" := true,
+    f"""with g as ({_LOG}), k as ({_KPI}), d as (select source, ("serialNo" - 1) // {reports.REPLY_ROWS} + 1 as part, list(struct_pack({_LOG_FIELDS}) order by "serialNo") as files from g group by 1, 2)
+        select s.source, cast(coalesce(d.part, 1) as bigint) as part, cast(to_json(struct_pack("httpStatus" := 200, "success" := true,
           "timestamp" := '2024-01-25T06:30:15.250+05:30', "result" := struct_pack("totalFilesRequired" := k."totalFilesRequired",
           "successfullyProcessed" := k."successfullyProcessed", "failedErrors" := k."failedErrors",
           "lastSyncTime" := '2024-01-25T06:30:15.250+05:30', "fileProcessingLog" := coalesce(d.files, [])), "error" := null)) as string) as reply

@@ -19,6 +19,9 @@ from cargolens.session import staged
 #: Most items in one list value.
 MAX_ITEMS = 100_000
 
+#: Most lines in one part of a document.
+PART_LINES = 20_000
+
 
 def with_part(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_items: int = MAX_ITEMS
@@ -93,7 +96,7 @@ def gather_lines(
     order_by: Sequence[str],
     line: str = "line",
     null_blanks_all: bool = True,
-    max_items: int = MAX_ITEMS,
+    max_lines: int = PART_LINES,
     measure: DataFrame | None = None,
 ) -> DataFrame:
     """``(key, part, content)`` from one row per document line.
@@ -116,14 +119,14 @@ def gather_lines(
     ]
     text = F.array_join(F.transform("_items", lambda x: x["v"]), "\n")
     content = F.when(~F.col("_blank"), text).alias("content")
-    if biggest_group(lines if measure is None else measure, [key]) <= max_items:
+    if biggest_group(lines if measure is None else measure, [key]) <= max_lines:
         one = F.lit(1).cast("long").alias("part")
         return lines.groupBy(key).agg(*gathered).select(key, one, content)
 
     blank = lines.filter(F.col(line).isNull()).select(key).distinct()
     whole = lines.join(blank, key, "left_anti")
     numbered = serial(whole, [key], order, "_line_no")
-    parted = numbered.withColumn("part", F.expr(f"(_line_no - 1) div {int(max_items)} + 1"))
+    parted = numbered.withColumn("part", F.expr(f"(_line_no - 1) div {int(max_lines)} + 1"))
     parts = parted.groupBy(key, "part").agg(*gathered).select(key, "part", content)
     none = F.lit(None).cast("string").alias("content")
     return parts.unionByName(blank.select(key, F.lit(1).cast("long").alias("part"), none))

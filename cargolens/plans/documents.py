@@ -25,7 +25,7 @@ from cargolens.functions.text import (
     xml_escape,
 )
 from cargolens.operators.joins import lookup, partner_lookup, role_join, role_lookup, translate_code
-from cargolens.operators.lists import MAX_ITEMS, gather_lines
+from cargolens.operators.lists import PART_LINES, gather_lines
 from cargolens.operators.numbering import assign_sequence
 from cargolens.operators.ordered import first_per_key, serial
 
@@ -158,7 +158,7 @@ def message_530(t: Tables, as_of: datetime, first_number: int = 1) -> tuple[Data
 
 
 def message_530_batched(
-    t: Tables, as_of: datetime, first_number: int = 1, max_items: int = MAX_ITEMS
+    t: Tables, as_of: datetime, first_number: int = 1, max_lines: int = PART_LINES
 ) -> tuple[DataFrame, DataFrame]:
     """One message per sender and receiver holding all their documents.
 
@@ -176,7 +176,7 @@ def message_530_batched(
     trailer = oracle_concat("GE*", F.col("_count"), "*", F.col("_gs06"), "\n", ICE_SEGMENT)
     tail = batches.select("doc_key", F.lit(2).alias("sec"), zero, trailer.alias("line"))
     lines = head.unionByName(body).unionByName(tail)
-    docs = gather_lines(lines, "doc_key", ["sec", "_no"], null_blanks_all=False, max_items=max_items, measure=keyed)
+    docs = gather_lines(lines, "doc_key", ["sec", "_no"], null_blanks_all=False, max_lines=max_lines, measure=keyed)
     return docs, rejects
 
 
@@ -245,7 +245,7 @@ def goods_items(t: Tables) -> DataFrame:
     return serial(packed, ["subjob_uid"], order, "item_no")
 
 
-def customs_xml(t: Tables, as_of: datetime, max_items: int = MAX_ITEMS) -> tuple[DataFrame, DataFrame]:
+def customs_xml(t: Tables, as_of: datetime, max_lines: int = PART_LINES) -> tuple[DataFrame, DataFrame]:
     """``(doc_key, part, content)`` per house, and the houses without a partner."""
     c = F.col
     houses = t["subjobs"].join(t["subjob_tree"], "subjob_uid").join(
@@ -346,10 +346,10 @@ def customs_xml(t: Tables, as_of: datetime, max_items: int = MAX_ITEMS) -> tuple
 
     def block(df: DataFrame, section: int, number: Column, text: Column) -> DataFrame:
         # Blocks end in a line break, which gathering puts between them again.
-        trimmed = F.regexp_replace(text, r"\n$", "")
+        trimmed = F.rtrim(text, F.lit("\n"))
         return df.select(c("subjob_uid").alias("doc_key"), F.lit(section).alias("sec"), number.alias("no"), trimmed.alias("line"))
 
     zero = F.lit(0).cast("long")
     lines = block(rows, 0, zero, head).unionByName(block(items, 1, c("item_no"), item)).unionByName(block(rows, 2, zero, tail))
-    docs = gather_lines(lines, "doc_key", ["sec", "no"], null_blanks_all=False, max_items=max_items)
+    docs = gather_lines(lines, "doc_key", ["sec", "no"], null_blanks_all=False, max_lines=max_lines)
     return docs, rejects

@@ -26,10 +26,11 @@ from cargolens.functions.text import (
     without_last,
 )
 from cargolens.operators.joins import config_value, left_join_agg, role_join, role_lookup
-from cargolens.operators.lists import MAX_ITEMS, gather_lines
+from cargolens.operators.lists import PART_LINES, gather_lines
 from cargolens.operators.numbering import assign_sequence, instalments
 from cargolens.operators.ordered import carry_forward, first_per_key, serial
 from cargolens.operators.predicates import code_map, default_consignee, trade_code
+from cargolens.session import staged
 
 Tables = Mapping[str, DataFrame]
 
@@ -357,7 +358,8 @@ class ManifestLines:
 
 
 def manifest_lines(t: Tables, shipment_id: int | None = None, carry: str = "clean", first_number: int = 1) -> ManifestLines:
-    details = shipment_details(t, shipment_id, carry)
+    """All lines; the shipment details are written once and read by each kind."""
+    details = staged(shipment_details(t, shipment_id, carry), "manifest-details")
     return ManifestLines(
         voy_lines(t, first_number), bol_lines(t, details), container_lines(t, details), end_lines(t, details)
     )
@@ -369,7 +371,7 @@ def manifest(
     carry: str = "clean",
     null_mode: str = "reference",
     first_number: int = 1,
-    max_items: int = MAX_ITEMS,
+    max_lines: int = PART_LINES,
 ) -> DataFrame:
     """``(doc_key, part, content)`` per master.
 
@@ -378,7 +380,7 @@ def manifest(
     """
     lines = manifest_lines(t, shipment_id, carry, first_number).all()
     return gather_lines(
-        lines, "doc_key", ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference", max_items=max_items
+        lines, "doc_key", ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference", max_lines=max_lines
     )
 
 

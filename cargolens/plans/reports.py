@@ -301,9 +301,9 @@ def sailing_schedule(t: Tables, origin: str | None, destination: str | None, ser
 def sales_enquiry(t: Tables, days: int | None, as_of: date, login: int | None = None) -> DataFrame:
     """Enquiries per login with summed dimensions.
 
-    Dimensions are summed per enquiry before the service rows join, so a
-    service row repeats a sum instead of repeating every dimension row; the
-    totals are those of the full join.
+    Dimensions are summed per enquiry and equal service rows counted before
+    they meet, so no dimension row is repeated; a sum times a count gives the
+    total of the full join.
     """
     logins = optional_eq(t["user_customers"], "registration_no", login).select("registration_no", "customer_id")
     recent = lookback(t["enquiries"], "enquiry_date", days, as_of)
@@ -313,7 +313,10 @@ def sales_enquiry(t: Tables, days: int | None, as_of: date, login: int | None =
     )
     sums = {"_gross": F.sum("gross_weight_kgs"), "_volume": F.sum("volume_in_weight")}
     rows = left_join_agg(enquiries, weights, {"id": "enquiry_detail_id"}, sums)
-    rows = rows.join(t["enquiry_services"], F.col("id") == F.col("enquiry_detail_id"), "left")
+    services = t["enquiry_services"].groupBy(
+        "enquiry_detail_id", "origin_id", "destination_id", "tos_id", "origin_name", "destination_name"
+    ).agg(F.count(F.lit(1)).alias("_times"))
+    rows = rows.join(services, F.col("id") == F.col("enquiry_detail_id"), "left")
     rows = rows.withColumnsRenamed({"origin_name": "originName", "destination_name": "destinationName"})
     rows = role_join(rows, t["terms"], {"tos": "tos_id"}, ["name"], how="left")
     ports = {"origin": "origin_id", "destination": "destination_id"}
@@ -330,7 +333,10 @@ def sales_enquiry(t: Tables, days: int | None, as_of: date, login: int | None =
         F.col("destination_country_code").alias("destinationCountry"),
         F.col("quote_by_date").alias("validUpto"),
         F.col("tos_name").alias("tos"),
-    ).agg(F.sum("_gross").alias("grossWeightKgs"), F.sum("_volume").alias("volumeInWeight"))
+    ).agg(
+        F.sum(F.col("_gross") * F.coalesce("_times", F.lit(1))).alias("grossWeightKgs"),
+        F.sum(F.col("_volume") * F.coalesce("_times", F.lit(1))).alias("volumeInWeight"),
+    )
 
 
 # ---- finance -------------------------------------------------------------

@@ -8,28 +8,36 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 #: Target bytes per shuffle partition when sizing a job.
 PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Set the SQL options the jobs rely on; runtime options only.
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total file size under a path, from the file system's listing."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(where).getLength()
 
-    ``input_bytes`` sizes the initial shuffle so that one partition stays near
-    256 MB; AQE merges the small ones afterwards and splits skewed join
-    partitions.
+
+def tune(spark: SparkSession, path: str | None = None) -> SparkSession:
+    """Set the run-time SQL options the jobs rely on.
+
+    Skewed join partitions are split even if that costs a further shuffle.
+    With ``path`` the number of shuffle partitions is raised, never lowered,
+    so that one holds about 256 MB of the input; small ones are merged again
+    at run time.
     """
     conf = spark.conf
-    conf.set("spark.sql.session.timeZone", "UTC")
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-    if input_bytes:
-        partitions = max(8, -(-input_bytes // PARTITION_BYTES))
-        conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-        conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if path:
+        wanted = -(-input_bytes(spark, path) // PARTITION_BYTES)
+        if wanted > int(conf.get("spark.sql.shuffle.partitions")):
+            conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 
@@ -64,4 +72,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables staged by this application, once its results are written."""
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
