@@ -67,24 +67,18 @@ INSERTED, UPDATED, DELETED = "SUCCESS - INSERTED", "SUCCESS - UPDATED", "SUCCESS
 INVALID = "ERROR - INVALID METHOD"
 
 
-def _typed(doc: Column, name: str, type_: str) -> Column:
+def _typed(text: Column, doc: Column, name: str, type_: str) -> Column:
     """Typed value of a payload field; NULL when missing or unfit."""
-    path = f"$.{name}"
-    text = F.try_variant_get(doc, path, "string")
     if type_ == "json":
-        return F.to_json(F.try_variant_get(doc, path, "variant"))
-    if type_ == "text":
-        return text
+        return F.to_json(F.try_variant_get(doc, f"$.{name}", "variant"))
     if type_ == "array":
-        items = F.try_variant_get(doc, path, "array<string>")
+        items = F.try_variant_get(doc, f"$.{name}", "array<string>")
         return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(items)
     if type_ == "boolean":
         return to_boolean(text)
-    if type_ == "timestamp":
-        return F.nullif(text, F.lit("")).try_cast("timestamp_ntz")
-    if type_ == "blank bigint":
-        return F.nullif(text, F.lit("")).try_cast("bigint")
-    return text.try_cast(type_)
+    if type_ in ("timestamp", "blank bigint"):
+        return F.nullif(text, F.lit("")).try_cast("timestamp_ntz" if type_ == "timestamp" else "bigint")
+    return text if type_ == "text" else text.try_cast(type_)
 
 
 def parse_commands(commands: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
@@ -95,15 +89,15 @@ def parse_commands(commands: DataFrame, feed: Feed) -> tuple[DataFrame, DataFram
     """
     doc = F.explode(F.array(F.try_parse_json("payload"))).alias("_doc")
     docs = commands.select("seq", "method", "payload", doc)
+    texts = {f"_t_{c}": F.try_variant_get("_doc", f"$.{name}", "string") for c, (name, ty) in feed.fields.items() if ty != "json"}
+    docs = docs.withColumns(texts)
     values, reasons = [], []
     for column, (name, type_) in feed.fields.items():
-        values.append(_typed(F.col("_doc"), name, type_).alias(column))
+        text = F.col(f"_t_{column}") if type_ != "json" else None
+        values.append(_typed(text, F.col("_doc"), name, type_).alias(column))
         if type_ not in ("json", "text"):
-            text = F.try_variant_get("_doc", f"$.{name}", "string")
-            if type_ in ("timestamp", "blank bigint"):
-                text = F.nullif(text, F.lit(""))
-            bad = text.isNotNull() & F.col(column).isNull()
-            reasons.append(F.when(bad, F.lit(f"FAILED - bad value for {column}")))
+            given = text != "" if type_ in ("timestamp", "blank bigint") else text.isNotNull()
+            reasons.append(F.when(given & F.col(column).isNull(), F.lit(f"FAILED - bad value for {column}")))
     malformed = F.col("payload").isNotNull() & F.col("_doc").isNull()
     reason = F.coalesce(F.when(malformed, F.lit("FAILED - malformed payload")), *reasons)
     typed = docs.select("*", *values).withColumn("_reason", reason)
