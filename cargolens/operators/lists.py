@@ -97,19 +97,16 @@ def gather_lines(
     line: str = "line",
     null_blanks_all: bool = True,
     max_lines: int = PART_LINES,
-    measure: DataFrame | None = None,
 ) -> DataFrame:
     """``(key, part, content)`` from one row per document line.
 
     With ``null_blanks_all`` a document having any NULL line gets one row with
     NULL content, as text concatenation with NULL gives NULL. The lines are
     written to the scratch folder first, so measuring the documents does not
-    compute them twice; ``measure`` instead names cheaper rows with as many
-    rows per key as there are lines.
+    compute them twice.
     """
     order = list(order_by)
-    if measure is None:
-        lines = staged(lines, "lines")
+    lines = staged(lines, "lines")
     if not null_blanks_all:
         lines = lines.withColumn(line, F.coalesce(line, F.lit("")))
     item = F.struct(F.struct(*order).alias("o"), F.col(line).alias("v"))
@@ -119,7 +116,7 @@ def gather_lines(
     ]
     text = F.array_join(F.transform("_items", lambda x: x["v"]), "\n")
     content = F.when(~F.col("_blank"), text).alias("content")
-    if biggest_group(lines if measure is None else measure, [key]) <= max_lines:
+    if biggest_group(lines, [key]) <= max_lines:
         one = F.lit(1).cast("long").alias("part")
         return lines.groupBy(key).agg(*gathered).select(key, one, content)
 

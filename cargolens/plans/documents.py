@@ -176,7 +176,7 @@ def message_530_batched(
     trailer = oracle_concat("GE*", F.col("_count"), "*", F.col("_gs06"), "\n", ICE_SEGMENT)
     tail = batches.select("doc_key", F.lit(2).alias("sec"), zero, trailer.alias("line"))
     lines = head.unionByName(body).unionByName(tail)
-    docs = gather_lines(lines, "doc_key", ["sec", "_no"], null_blanks_all=False, max_lines=max_lines, measure=keyed)
+    docs = gather_lines(lines, "doc_key", ["sec", "_no"], null_blanks_all=False, max_lines=max_lines)
     return docs, rejects
 
 
