@@ -32,7 +32,7 @@ _ADDRESSES = """
 _CARGO = """
     select o_orderkey as id, o_orderkey as shipment_header_id, 'GOODS ' || chr(10) || '  ' || (o_orderkey % 40) as commodity_description,
            'MARK  ' || o_custkey as marks_and_numbers, o_orderkey % 90 as no_of_pieces, o_custkey % 6 as pack_id,
-           cast(o_totalprice / 1000 as decimal(18,2)) as chargeable_unit, cast(o_totalprice as decimal(18,2)) as gross_weight_kgs,
+           cast(o_orderkey % 700 as decimal(18,2)) + cast(0.25 as decimal(18,2)) as chargeable_unit, cast(o_totalprice as decimal(18,2)) as gross_weight_kgs,
            case when o_orderkey % 7 = 0 then 'Yes' else 'No' end as hazardous, 'Class' || (o_orderkey % 9) as imo_class,
            'UN' || o_orderkey as un_number, cast(o_orderkey % 100 as decimal(9,2)) as flash_point,
            case when o_orderkey % 2 = 0 then 'Celsius' end as temperature_code,
@@ -403,7 +403,7 @@ def _detail_sql(carried: bool) -> str:
       boxes as (select c.*, m.master_id, m.actual_seal_number, k.teu, coalesce(cast(nullif(trim(k.empty_tare_weight), '') as decimal(18,3)), 0) as tare
                 from shipment_containers c join master_containers m on m.id = c.master_container_id join container_types k on k.id = m.container_id),
       sums as (select master_id, shipment_id, cast(sum(cast(teu as decimal(18,3))) as decimal(18,0)) as teu,
-                 cast(cast(sum(tare) as decimal(18,3)) / 1000 as decimal(18,1)) as tare from boxes group by 1, 2),
+                 cast((cast(sum(tare) * 1000 as bigint) + 50000) // 100000 / 10.0 as decimal(18,1)) as tare from boxes group by 1, 2),
       counts as (select shipment_id, count(*) as boxes, arg_min(container_sl_no, id) as box from shipment_containers group by 1),
       raw as (select q.master_id, q.shipment_id, h.service_type as container_service,
           case when case when v.x.o = 'ReExport' then 'Import' else v.x.o end = 'Transit' then 'Transit' else v.x.s end as trade,
@@ -426,7 +426,7 @@ def _detail_sql(carried: bool) -> str:
         left join counts ct on ct.shipment_id = q.shipment_id left join sums su on su.master_id = q.master_id and su.shipment_id = q.shipment_id
         left join services sv on sv.code = h.service_type),
       det as (select *, {carry(transit, 'mode')} as c_mode, {carry(lcl, 'box')} as c_box, {carry(lcl, 'right(box, 1)')} as c_digit,
-          {carry(lcl, 'cast(gross / 1000 as decimal(9,3))')} as c_tonnes, {carry(f'not {lcl}', 'box_count')} as c_boxes, {carry(f'not {lcl}', 'teu')} as c_teu,
+          {carry(lcl, 'cast((cast(gross * 1000 as bigint) + 500) // 1000 / 1000.0 as decimal(9,3))')} as c_tonnes, {carry(f'not {lcl}', 'box_count')} as c_boxes, {carry(f'not {lcl}', 'teu')} as c_teu,
           {carry(f'not {lcl}', 'tare')} as c_tare, {carry(dg, 'left(imo_class, 3)')} as d_imo, {carry(dg, 'left(un_number, 5)')} as d_un,
           {carry(dg, 'cast(flash_point as decimal(5,1))')} as d_flash, {carry(dg, unit)} as d_unit, {carry(dg, storage)} as d_storage,
           {carry(dg, 'left(refrigeration, 1)')} as d_ref, {carry(dg, 'cast(minimum_temperature as decimal(5,1))')} as d_min,

@@ -579,7 +579,7 @@ def _(t):
 @query(
     "agg_teu_tare",
     """select c.shipment_id, cast(sum(cast(k.teu as decimal(18,3))) as bigint) as teu,
-         cast(cast(sum(coalesce(cast(nullif(trim(k.empty_tare_weight), '') as decimal(18,3)), 0)) / 1000 as decimal(18,1)) as double) as tare_mt
+         (cast(sum(coalesce(cast(nullif(trim(k.empty_tare_weight), '') as decimal(18,3)), 0)) * 1000 as bigint) + 50000) // 100000 / 10.0 as tare_mt
        from shipment_containers c join master_containers m on m.id = c.master_container_id
        join container_types k on k.id = m.container_id group by 1""",
 )

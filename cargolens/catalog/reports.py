@@ -131,8 +131,8 @@ query(
 query(
     "rpt_port_list",
     """select name as "portName", country_code as "portCountry", code as "portCode", 'PORT' as type, transport_mode as "transportMode",
-       name || '-(' || code || ')' as "listValue" from supplier_ports where contains(name, upper('#00000001'))""",
-)(lambda t: reports.port_list({"ports": t["supplier_ports"]}, "port", "#00000001"))
+       name || '-(' || code || ')' as "listValue" from supplier_ports where contains(name, upper('#00000000'))""",
+)(lambda t: reports.port_list({"ports": t["supplier_ports"]}, "port", "#00000000"))
 
 _SCHEDULE_DAYS = "cast(trunc((epoch_us(s.eta) - epoch_us(s.{})) / 86400000000.0) as bigint) || ' Days'"
 query(
