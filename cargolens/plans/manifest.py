@@ -25,7 +25,7 @@ from cargolens.functions.text import (
     tonnes,
     without_last,
 )
-from cargolens.operators.joins import config_value, left_join_agg, role_join, role_lookup
+from cargolens.operators.joins import config_value, role_join, role_lookup
 from cargolens.operators.lists import PART_LINES, gather_lines
 from cargolens.operators.numbering import assign_sequence, instalments
 from cargolens.operators.ordered import carry_forward, first_per_key, serial
@@ -201,9 +201,16 @@ def shipment_details(t: Tables, shipment_id: int | None = None, carry: str = "cl
     text = full_address(c("building_no"), c("street_name"), c("city_name"), c("state_name"), c("_country"), c("po_box"))
     addresses = addresses.select("id", text.alias("address"), "country_code")
     parties = role_lookup(parties, "shipment_id", address_ids, addresses, ["address", "country_code"])
+    notified = {"notify1": "notify_customer_1_id", "notify2": "notify_customer_2_id"}
+    parties = role_lookup(parties, "shipment_id", notified, t["customers"].select("id", "name"), ["name"])
     rows = rows.join(parties, "shipment_id", "left")
-    customers = {"notify1": "notify_customer_1_id", "notify2": "notify_customer_2_id"}
-    rows = role_join(rows, t["customers"], customers, ["name"], how="left")
+    boxes = t["shipment_containers"].groupBy("shipment_id").agg(
+        F.count(F.lit(1)).alias("box_count"), F.min_by("container_sl_no", "id").alias("_box")
+    )
+    rows = rows.join(boxes, "shipment_id", "left").withColumn("box_count", F.coalesce("box_count", F.lit(0)))
+    rows = pairs.join(rows, "shipment_id").join(_totals(t), ["master_id", "shipment_id"], "left")
+
+    # Joins on the shipment came first and share one partitioning; code lookups follow.
     rows = role_join(rows, t["ports"], {"origin": "origin_id", "discharge": "destination_id"}, ["code", "country_code"], how="left")
     rows = role_join(rows, t["packs"], {"pack": "pack_id"}, ["code", "name"], how="left")
     modes = first_per_key(
@@ -212,14 +219,6 @@ def shipment_details(t: Tables, shipment_id: int | None = None, carry: str = "cl
         ["_mode"],
     )
     rows = rows.join(modes, "container_service", "left")
-
-    first_box = _first(t["shipment_containers"], "shipment_id", ["id"], {"_box": "container_sl_no"})
-    rows = rows.join(first_box, "shipment_id", "left")
-    counted = {"box_count": F.count(F.lit(1))}
-    rows = left_join_agg(rows, t["shipment_containers"], {"shipment_id": "shipment_id"}, counted)
-    rows = rows.withColumn("box_count", F.coalesce("box_count", F.lit(0)))
-
-    rows = pairs.join(rows, "shipment_id").join(_totals(t), ["master_id", "shipment_id"], "left")
     consolidated = F.coalesce(c("container_service") == CONSOLIDATED, F.lit(False))
     transit = F.coalesce(F.substring(c("trade"), 1, 1) == "T", F.lit(False))
     blocks = {
