@@ -145,6 +145,7 @@ TABLES = {
 }
 
 _CORRUPT = "_malformed"
+_SECTION = r"<([\w.-]+:)?(Header|Master)[\s/>]"
 
 
 def _struct_ddl(spec: Mapping[str, tuple[str, str]], extra: str = "") -> str:
@@ -185,9 +186,15 @@ def parse_messages(df: DataFrame, xml_col: str = "xml_data") -> DataFrame:
     return df.withColumn("msg", F.explode(F.array(F.from_xml(xml_col, message_schema(), options))))
 
 
-def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages that parsed, and those to quarantine; rows without XML are in neither."""
-    bad = F.col(f"msg.{_CORRUPT}").isNotNull()
+def split_malformed(parsed: DataFrame, xml_col: str = "xml_data") -> tuple[DataFrame, DataFrame]:
+    """Messages that parsed, and those to quarantine; rows without XML are in neither.
+
+    A message whose header and master stand deeper than directly under the
+    root is quarantined too, rather than shredded to empty rows; the list
+    paths of ``shred_lockstep`` find them at any depth.
+    """
+    missed = F.col("msg.Header").isNull() & F.col("msg.Master").isNull() & F.col(xml_col).rlike(_SECTION)
+    bad = F.col(f"msg.{_CORRUPT}").isNotNull() | missed
     good = parsed.filter(F.col("msg").isNotNull() & ~bad)
     return good, parsed.filter(bad).drop("msg")
 

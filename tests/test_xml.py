@@ -48,6 +48,16 @@ def test_quarantine(messages):
     assert [r.id for r in bad.collect()] == [4]
 
 
+def test_sections_at_another_depth_are_not_lost(spark):
+    wrapped = f"<Envelope><Body>{EMPTY}</Body></Envelope>"
+    rows = spark.createDataFrame([(1, wrapped), (2, "<Other><x>1</x></Other>")], "id long, xml_data string")
+    good, bad = xs.split_malformed(xs.parse_messages(rows))
+    assert [r.id for r in bad.collect()] == [1]
+    assert [r.id for r in good.collect()] == [2]
+    ids = xs.shred_scalar(rows, "xml_data", {"message_id": ("//Header/MessageID", "string")})
+    assert [r.message_id for r in ids.collect()] == ["M3", None]
+
+
 def test_headers_and_master(good):
     tables = xs.shred(good, NOW)
     headers = {r.message_id: r for r in tables["manifest_headers"].collect()}
