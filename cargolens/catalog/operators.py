@@ -238,7 +238,7 @@ _FLAG_COUNTS = "cast(count(*) as bigint) as n"
 def _(t):
     ids = t["wip_accounts"].select("wip_revenue_account_id").filter("wip_revenue_account_id is not null")
     per_account = t["ledger_types"].groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
-    return joins.membership_flag(per_account, "account_id", ids, "is_wip")
+    return joins.membership_flags(per_account, "account_id", {"is_wip": ids})
 
 
 @query(
@@ -250,8 +250,8 @@ def _(t):
 def _(t):
     cost = t["wip_accounts"].select("wip_cost_account_id")
     per_account = t["ledger_types"].groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
-    flagged = joins.membership_flag(per_account, "account_id", cost, "raw")
-    flagged = joins.membership_flag(flagged, "account_id", cost.filter("wip_cost_account_id is not null"), "own")
+    lists = {"raw": cost, "own": cost.filter("wip_cost_account_id is not null")}
+    flagged = joins.membership_flags(per_account, "account_id", lists)
     return flagged.select(
         "account_id",
         F.coalesce(~F.col("raw"), F.lit(False)).alias("not_wip_as_written"),

@@ -69,7 +69,7 @@ def fixed_three(c: Column) -> Column:
 
 
 def tonnes(kg: Column) -> Column:
-    return (kg / 1000).cast("decimal(9,3)")
+    return (kg / 1000).cast("decimal(18,3)")
 
 
 def to_boolean(c: Column) -> Column:

@@ -39,10 +39,10 @@ def margin_pct(revenue: Column, cost: Column) -> Column:
 
 def container_rollup(df: DataFrame, keys: Sequence[str], teu: str, tare_kg: str) -> DataFrame:
     """TEU sum, and tare in tonnes with blank weights as 0."""
-    kg = F.coalesce(blank_to_null(F.col(tare_kg)).cast("decimal(18,3)"), F.lit(0))
+    kg = F.coalesce(blank_to_null(F.col(tare_kg)).try_cast("decimal(18,3)"), F.lit(0))
     return df.groupBy(*keys).agg(
-        F.sum(F.col(teu).cast("decimal(18,3)")).cast("decimal(9,0)").alias("teu"),
-        (F.sum(kg) / 1000).cast("decimal(9,1)").alias("tare_mt"),
+        F.sum(F.col(teu).try_cast("decimal(18,3)")).cast("decimal(18,0)").alias("teu"),
+        (F.sum(kg) / 1000).cast("decimal(18,1)").alias("tare_mt"),
     )
 
 

@@ -48,26 +48,28 @@ def bridge_join(left: DataFrame, link: DataFrame, right: DataFrame, left_on, rig
     return left.join(pairs, F.col(lk) == F.col("_l")).join(right, F.col("_r") == F.col(right_key)).drop("_l", "_r")
 
 
-def membership_flag(
-    df: DataFrame, column: str, ids: DataFrame, name: str, null_safe_not: bool = False
-) -> DataFrame:
-    """Boolean ``column IN ids`` with SQL's three values.
+def membership_flags(df: DataFrame, column: str, lists: Mapping[str, DataFrame]) -> DataFrame:
+    """One boolean ``column IN list`` per named list, with SQL's three values.
 
-    ``ids`` is a one-column table. A NULL in it makes misses NULL instead of
-    false (so ``NOT IN`` is never true). A NULL column over a non-empty list
-    is NULL.
+    Each list is a one-column table. A NULL in a list makes misses NULL
+    instead of false (so ``NOT IN`` is never true); a NULL column over a
+    non-empty list is NULL. All lists meet the rows in one join.
     """
-    [c] = ids.columns
-    keys = ids.select(F.col(c).alias("_id")).distinct()
-    hit = keys.filter("_id is not null").withColumn("_hit", F.lit(True))
-    stats = keys.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_or(F.col("_id").isNull()), F.lit(False)).alias("has_null")
-    )
-    size, has_null = stats.select("n").scalar(), stats.select("has_null").scalar()
-    joined = df.join(hit, F.col(column) == F.col("_id"), "left").drop("_id")
-    miss = F.when(size == 0, F.lit(False)).when(F.col(column).isNotNull() & ~has_null, F.lit(False))
-    flag = F.when(F.col("_hit"), F.lit(True)).otherwise(miss)
-    return joined.withColumn(name, flag).drop("_hit")
+    rows = None
+    for i, ids in enumerate(lists.values()):
+        one = ids.select(F.col(ids.columns[0]).alias("_id"), F.lit(i).alias("_list"))
+        rows = one if rows is None else rows.unionByName(one)
+    hits = [F.bool_or(F.col("_list") == i).alias(f"_hit{i}") for i in range(len(lists))]
+    keys = rows.groupBy("_id").agg(*hits)
+    joined = df.join(keys.filter("_id is not null"), F.col(column) == F.col("_id"), "left")
+    for i, name in enumerate(lists):
+        hit = F.col(f"_hit{i}")
+        filled = F.coalesce(keys.agg(F.bool_or(hit)).scalar(), F.lit(False))
+        has_null = F.coalesce(keys.agg(F.bool_or(hit & F.col("_id").isNull())).scalar(), F.lit(False))
+        known_miss = ~filled | (F.col(column).isNotNull() & ~has_null)
+        flag = F.when(F.coalesce(hit, F.lit(False)), True).when(known_miss, False)
+        joined = joined.withColumn(name, flag)
+    return joined.drop("_id", *[f"_hit{i}" for i in range(len(lists))])
 
 
 def left_join_agg(df: DataFrame, child: DataFrame, on: Mapping[str, str], aggs: Mapping[str, Column]) -> DataFrame:

@@ -139,17 +139,17 @@ def _first(df: DataFrame, fk: str, order: list[str], columns: Mapping[str, Colum
 
 
 def _dangerous(c=F.col) -> Column:
-    degrees = "decimal(5,1)"
+    degrees = "decimal(18,1)"
     unit = F.left(c("temperature_code"), F.lit(1))
     return F.struct(
         F.left(c("imo_class"), F.lit(3)).alias("imo_class"),
         F.left(c("un_number"), F.lit(5)).alias("un_number"),
-        c("flash_point").cast(degrees).alias("flash_point"),
+        c("flash_point").try_cast(degrees).alias("flash_point"),
         unit.alias("unit"),
         code_map(c("storage_code"), STORAGE_CODES, default="").alias("storage"),
         F.left(c("refrigeration"), F.lit(1)).alias("refrigeration"),
-        c("minimum_temperature").cast(degrees).alias("minimum"),
-        c("maximum_temperature").cast(degrees).alias("maximum"),
+        c("minimum_temperature").try_cast(degrees).alias("minimum"),
+        c("maximum_temperature").try_cast(degrees).alias("maximum"),
     )
 
 
@@ -169,10 +169,10 @@ def shipment_details(t: Tables, shipment_id: int | None = None, carry: str = "cl
     cargo = {
         "marks": squeeze(c("marks_and_numbers")),
         "commodity": squeeze(c("commodity_description")),
-        "pieces": c("no_of_pieces").cast("int"),
+        "pieces": c("no_of_pieces").cast("long"),
         "pack_id": "pack_id",
-        "volume": c("chargeable_unit").cast("decimal(9,3)"),
-        "gross": c("gross_weight_kgs").cast("decimal(9,3)"),
+        "volume": c("chargeable_unit").cast("decimal(18,3)"),
+        "gross": c("gross_weight_kgs").cast("decimal(18,3)"),
         "hazardous": F.when(c("hazardous") == "Yes", "Y").otherwise("N"),
         "dangerous": _dangerous(),
         "has_cargo": F.lit(True),
@@ -252,15 +252,15 @@ def _boxes(t: Tables) -> DataFrame:
     held = t["master_containers"].select(c("id").alias("_mc"), "master_id", c("container_id").alias("_type"), "actual_seal_number")
     types = t["container_types"].select(
         c("id").alias("_type"),
-        c("teu").cast("decimal(18,3)").alias("teu"),
-        F.coalesce(blank_to_null(c("empty_tare_weight")).cast("decimal(18,3)"), F.lit(0)).alias("tare"),
+        c("teu").try_cast("decimal(18,3)").alias("teu"),
+        F.coalesce(blank_to_null(c("empty_tare_weight")).try_cast("decimal(18,3)"), F.lit(0)).alias("tare"),
     )
     return packed.join(held, "_mc").join(types, "_type")
 
 
 def _totals(t: Tables) -> DataFrame:
     return _boxes(t).groupBy("master_id", "shipment_id").agg(
-        F.sum("teu").cast("decimal(9,0)").alias("teu"), (F.sum("tare") / 1000).cast("decimal(9,1)").alias("tare")
+        F.sum("teu").cast("decimal(18,0)").alias("teu"), (F.sum("tare") / 1000).cast("decimal(18,1)").alias("tare")
     )
 
 

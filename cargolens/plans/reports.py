@@ -23,7 +23,7 @@ from cargolens.functions.text import (
     whole_days,
 )
 from cargolens.operators.aggregates import margin_pct, signed_ledger, status_counts
-from cargolens.operators.joins import left_join_agg, membership_flag, role_join
+from cargolens.operators.joins import left_join_agg, membership_flags, role_join
 from cargolens.operators.lists import count_by_code, nest, string_list
 from cargolens.operators.ordered import serial
 from cargolens.operators.predicates import (
@@ -348,8 +348,7 @@ def _wip_flags(ledger: DataFrame, accounts: DataFrame, null_guard: str) -> DataF
     guard = "wip_cost_account_id" if null_guard == "own_column" else "wip_revenue_account_id"
     revenue = accounts.filter("wip_revenue_account_id is not null").select("wip_revenue_account_id")
     cost = accounts.filter(F.col(guard).isNotNull()).select("wip_cost_account_id")
-    flagged = membership_flag(ledger, "account_id", revenue, "_wip_revenue")
-    return membership_flag(flagged, "account_id", cost, "_wip_cost")
+    return membership_flags(ledger, "account_id", {"_wip_revenue": revenue, "_wip_cost": cost})
 
 
 def wip_finance(

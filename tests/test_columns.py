@@ -126,7 +126,7 @@ def test_date_patterns(spark):
 def test_membership_matches_sql(spark, listed):
     df = spark.createDataFrame([(1,), (3,), (None,)], "a int")
     keys = spark.createDataFrame([(x,) for x in listed], "b int")
-    got = {r.a: r.f for r in joins.membership_flag(df, "a", keys, "f").collect()}
+    got = {r.a: r.f for r in joins.membership_flags(df, "a", {"other": df, "f": keys}).collect()}
     df.createOrReplaceTempView("member_rows")
     keys.createOrReplaceTempView("member_keys")
 
