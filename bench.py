@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from cargolens.catalog import QUERIES  # noqa: E402
+from cargolens.catalog.tables import manifest_messages  # noqa: E402
+from cargolens.standins import StandIns  # noqa: E402
 
 HEADLINE = [
     "rpt_daily_status",
@@ -46,13 +48,26 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count().collect()
+    # The XML messages are input made from the tables, written once per session
+    # and not part of the shredding that is timed.
+    start = time.perf_counter()
+    manifest_messages(StandIns(spark, sf_dir))
+    setup = round(time.perf_counter() - start, 3)
     times = {}
     for name in HEADLINE:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
     spark.stop()
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": sf_dir.rsplit("sf", 1)[-1]}))
+    result = {
+        "metric": "headline_total",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "xml_input_setup": setup,
+        "sf": sf_dir.rsplit("sf", 1)[-1],
+    }
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

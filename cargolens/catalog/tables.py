@@ -93,7 +93,8 @@ def _values(spec, key: str, **special: str) -> dict[str, str]:
     return out
 
 
-_WORD = "case when {} then '{}' else '{}' end"
+# Columns whose values hold characters that XML must escape.
+SPECIAL = {"receiver_code"}
 VALUES = {
     "manifest_headers": _values(
         xs.HEADER,
@@ -135,7 +136,7 @@ def _element(spec, values) -> str:
             text = f"case when {values[c]} then 'on' else 'N' end"
         elif ty == xs.TIME:
             text = f"date_format({values[c]}, \"yyyy-MM-dd'T'HH:mm:ss\")"
-        elif ty == xs.TEXT:
+        elif c in SPECIAL:
             text = f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
         parts.append(f"coalesce('<{tag}>' || {text} || '</{tag}>', '')")
     if open_group:
