@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
 _STAGED: dict[str, list[str]] = {}
 
 #: Target bytes per shuffle partition when sizing a job.
@@ -42,21 +40,13 @@ def tune(spark: SparkSession, path: str | None = None) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for staged tables: the session's checkpoint folder.
+    """Folder for staged tables that driver and executors share.
 
-    A machine-local folder is made only for a local master; on a cluster with
-    no shared folder named we stop rather than write where other executors
-    cannot read.
+    The session's checkpoint folder, or the warehouse where none is named;
+    never a folder that only one machine sees.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="cargolens-")
-    return _LOCAL_ROOTS[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -67,17 +57,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     Cuts the lineage and fixes non-deterministic columns, so a lost executor
-    re-reads files instead of re-drawing partition ids.
+    re-reads files instead of re-drawing partition ids. ``drop_staged`` frees it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables staged by this application, once its results are written."""
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete these staged tables, or all that this application staged."""
+    known = _STAGED.get(spark.sparkContext.applicationId, [])
+    for path in [t.staged_path for t in tables] if tables else list(known):
+        delete_path(spark, path)
+        if path in known:
+            known.remove(path)
