@@ -111,6 +111,14 @@ def loss_mask(edges: np.ndarray, spans: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
+def masked(formatted: str, ids: np.ndarray, loss: np.ndarray, lengths: np.ndarray) -> list[str]:
+    """The pieces of a formatted text under the mask; ``lengths`` are the tokens' bytes by id."""
+    raw = formatted.encode()
+    edges = np.concatenate([[0], np.cumsum(lengths[ids])])
+    change = np.flatnonzero(np.diff(loss.astype(np.int8), prepend=0, append=0))
+    return [raw[edges[a] : edges[b]].decode() for a, b in change.reshape(-1, 2)]
+
+
 def byte_spans(text: str, spans: list[tuple[int, int, bool]]) -> np.ndarray:
     """Spans of trained texts in UTF-8 bytes."""
     chars = np.array([s[:2] for s in spans if s[2]], np.int64).reshape(-1, 2)

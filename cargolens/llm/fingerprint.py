@@ -27,6 +27,9 @@ WINDOW, WINS, RANKS = 32, 8, 1000
 #: Bits of a filter, bits set per feature, features until the next filter is chained on.
 FILTER_BITS, BITS_PER_FEATURE, FEATURES = 2048, 5, 160
 
+#: Bytes worked on at a time, few enough to stay in a processor's cache.
+SLICE = 1 << 18
+
 #: ``count * log2(count)`` in whole steps, so that sums over a text are exact.
 STEP = 1 << 20
 WEIGHTED = np.array([0, *(round(c * np.log2(c) * STEP) for c in range(1, WINDOW + 1))], np.int64)
@@ -36,15 +39,24 @@ def window_sums(data: np.ndarray) -> np.ndarray:
     """Sum of ``count * log2(count)`` over the bytes of each window, by what enters and leaves it."""
     n = len(data)
     order = np.argsort(data, kind="stable")
-    keys = (data[order].astype(np.int64) << 40) + order
+    small = n < 1 << 22
+    keys = (data[order].astype(np.int32 if small else np.int64) << (22 if small else 40)) + order.astype(np.int32 if small else np.int64)
+    # counts of the same byte from each place on and before it; pairs m places apart in the order of bytes
     ahead, behind = np.ones(n, np.int8), np.zeros(n, np.int8)
-    at, m = np.arange(n), 0
-    while len(at):
+    m, at = 1, None
+    while m < min(n, WINDOW) and at is None:
+        close = (keys[m:] - keys[:-m]) < WINDOW
+        ahead[:-m] += close
+        behind[m:] += close
+        if np.count_nonzero(close) < n >> 5:
+            at = np.flatnonzero(close)
         m += 1
+    while at is not None and len(at):
         at = at[at + m < n]
         at = at[keys[at + m] - keys[at] < WINDOW]
         ahead[at] += 1
         behind[at + m] += 1
+        m += 1
     leaves, enters = np.empty(n, np.int64), np.empty(n, np.int64)
     leaves[order] = WEIGHTED[ahead] - WEIGHTED[ahead - 1]
     enters[order] = WEIGHTED[behind + 1] - WEIGHTED[behind]
@@ -88,8 +100,10 @@ def features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
     alone = np.flatnonzero(~have & (lengths > 0))
     row = np.concatenate([row, alone])
     hashes = np.concatenate([hashes, rolling(data, offsets[alone], offsets[alone + 1])])
-    first = np.unique(np.stack([row.astype(np.uint64), hashes]), axis=1, return_index=True)[1] if len(row) else []
-    first = np.sort(np.asarray(first, np.int64))
+    order = np.lexsort((hashes, row))
+    again = np.zeros(len(order), bool)
+    again[1:] = (row[order][1:] == row[order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
+    first = np.sort(order[~again])
     order = first[np.argsort(row[first], kind="stable")]
     return row[order], hashes[order]
 
@@ -147,7 +161,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for text in texts:
             offsets, data = utf8(text)
             out = []
-            for lo, hi in slices(offsets, 1 << 20):
+            for lo, hi in slices(offsets, SLICE):
                 out += map(to_text, filters(offsets[lo : hi + 1] - offsets[lo], data[offsets[lo] : offsets[hi]]))
             yield pa.array(out, pa.string())
 
@@ -249,7 +263,7 @@ def against_edits(docs: DataFrame, with_texts: bool = True) -> DataFrame:
                 texts.append(text)
                 ends.append(borrowed)
                 size += len(text)
-                if size >= 1 << 20 and len(texts) > 1:
+                if size >= SLICE and len(texts) > 1:
                     yield finished(ids, texts, ends)
                     ids, texts, ends, size = ids[-1:], texts[-1:], ends[-1:], len(text)
         if len(texts) > 1:

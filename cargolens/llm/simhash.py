@@ -63,7 +63,7 @@ def majority_bits(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, simhash`` (the 64 bits as a long) for every document."""
+    """``doc_id, text_hash, simhash`` (the 64 bits as a long) for every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,10 +72,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                 part = offsets[lo : hi + 1] - offsets[lo]
                 raw = np.frombuffer(data[offsets[lo] : offsets[hi]].tobytes().lower(), np.uint8)
                 prints = majority_bits(*shingle_hashes(Words(part, raw), shingle))
-                ids = batch.column("doc_id").slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(prints.view(np.int64))], ["doc_id", "simhash"])
+                own = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(prints.view(np.int64))], ["doc_id", "text_hash", "simhash"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, simhash long")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, simhash long")
 
 
 def block_keys(simhash: Column, max_bits: int, blocks: int) -> Column:
@@ -168,15 +169,16 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, blocks: int = 4
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``.
+    """``doc_id, fingerprint, component_id, component, text_hash`` for every row of ``docs``.
 
     Texts are lower-cased (A-Z only) and cut into words; a text with fewer
     words than ``shingle`` is one shingle, one without words (null included)
     has fingerprint zero and is linked like any other. ``component_id`` is the
     smallest ``doc_id`` reachable over links of at most ``max_bits`` differing
-    bits. Rows without a ``doc_id`` take part with their text; a component in
-    which no row has an id has a null ``component_id``. Rows of one id each
-    keep a row with its own component. Only ``doc_id`` and ``text`` are read.
+    bits; ``component`` is its smallest fingerprint, as a long. Rows without a
+    ``doc_id`` take part with their text; a component in which no row has an id
+    has a null ``component_id``. Rows of one id each keep a row with its own
+    component; ``text_hash`` tells them apart. Only ``doc_id`` and ``text`` are read.
     """
     if not 0 <= max_bits < blocks:
         raise ValueError("max_bits must be below the number of blocks")
@@ -186,9 +188,24 @@ def near_duplicates(
     found = components(links(nodes, max_bits, blocks))
     classes = staged(nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "classes")
     smallest = staged(classes.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
-    named = classes.join(smallest, "component").select(F.col("node").alias("simhash"), "component_id")
+    named = classes.join(smallest, "component").select(F.col("node").alias("simhash"), "component_id", "component")
     return prints.join(staged(named, "named"), "simhash").select(
         "doc_id",
         F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint"),
         "component_id",
+        "component",
+        "text_hash",
     )
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component of ``near_duplicates(docs)``: that of the smallest id, or without id if none has one.
+
+    Of rows that share the smallest id, the one with the smallest text hash
+    stays; of wholly repeated rows, one.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("x")
+    kept = classes.groupBy("component").agg(first).select(F.col("x.doc_id").alias("_id"), F.col("x.text_hash").alias("_hash"))
+    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    hashed = docs.join(kept, met, "left_semi").withColumn("_hash", F.xxhash64("text"))
+    return hashed.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
