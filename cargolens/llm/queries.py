@@ -168,9 +168,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = [r.kind for r in secrets.BASE_RULES]
     base = F.filter("secrets", lambda s: s["number"] < len(kinds))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
         "doc_id",
-        *[F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds],
+        *[count(k).alias(f"n_{k}") for k in kinds],
         F.sha2(secrets.listed(base), 256).alias("base_sha256"),
         secrets.listed(F.col("secrets")).alias("spans"),
     )
