@@ -191,9 +191,8 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 10, pivots: int = PIVOTS
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "mark", "vec_id", "score"])
 
     wanted = staged(query_blocks.mapInArrow(plan, "cell int, query_ids binary, query_body binary"), "wanted")
-    salts = [(r.cell, s) for r in summary for s in range(-(-r.members // DATA_BLOCK))]
-    pieces = spark.createDataFrame(salts, "cell int, salt int")
-    met = wanted.join(pieces, "cell").join(packed, ["cell", "salt"])
+    # files of repeated blocks are small on disk but not in memory, so neither side is broadcast
+    met = wanted.hint("merge").join(packed.select("cell", "salt"), "cell").join(packed.hint("merge"), ["cell", "salt"])
     partial = met.select("query_ids", "query_body", "ids", "body").mapInArrow(
         solve, "query_id long, mark long, vec_id long, score long"
     )
