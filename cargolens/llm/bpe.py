@@ -33,7 +33,7 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 #: Merged pre-tokens that a Python worker remembers between slices.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 def character_classes() -> np.ndarray:
@@ -305,8 +305,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, column: str = "ids") -> D
                 edges = np.frombuffer(ends, np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
                 flat = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
                 flat = flat[: int(edges[-1]) * 4].view("<u4")
-            # about as many tokens at a time as a slice of text has
-            for lo, hi in slices(edges.astype(np.int64), 1 << 20):
+            for lo, hi in slices(edges.astype(np.int64), 1 << 18):
                 lengths, data = shared.value.decode(flat[edges[lo] : edges[hi]].astype(np.int64))
                 sums = np.concatenate([[0], np.cumsum(lengths)])
                 ends = pa.py_buffer(sums[edges[lo : hi + 1] - edges[lo]].astype(np.int32))

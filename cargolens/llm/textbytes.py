@@ -17,7 +17,7 @@ IS_SEPARATOR = np.zeros(256, bool)
 IS_SEPARATOR[list(SEPARATORS)] = True
 
 #: Bytes of text worked on at a time; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = (2 << 20) - (1 << 16)
 
 #: Odd multiplier of the rolling hashes, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C55
@@ -30,7 +30,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     """``base`` to the powers 0 to n, modulo 2**64; grown by doubling."""
     have = _POWERS.get(base)
     if have is None or len(have) <= n:
-        size = max(1 << 16, 1 << (n + 1).bit_length())
+        size = max(1 << 16, 1 << n.bit_length())
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
