@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from cargolens.catalog.registry import query
-from cargolens.operators.lists import PART_LINES
 from cargolens.plans import documents as docs
 from cargolens.plans import manifest as man
 
@@ -130,7 +129,7 @@ query(
           l as (select doc_key, no, replace(tx, '#', case when no < 10000 then lpad(cast(no as string), 4, '0') else cast(no as string) end) as line from x
             union all select doc_key, 0, '{docs.ICS_SEGMENT}' || chr(10) || {_GS.format('z', 'seq')} from z
             union all select doc_key, n + 1, 'GE*' || n || '*' || seq || chr(10) || '{docs.ICE_SEGMENT}' from z)
-        select doc_key, cast(no // {PART_LINES} + 1 as bigint) as part, string_agg(line, chr(10) order by no) as content from l group by 1, 2""",
+        select doc_key, cast(no as bigint) as pos, line from l""",
     MESSAGE_530,
 )(lambda t: docs.message_530_batched(t, NOW)[0])
 
@@ -138,7 +137,8 @@ query(
 
 CUSTOMS = {
     "subjobs": """
-        select o_orderkey as subjob_uid, 'CO' || (o_custkey % 30) as company_code, 'P' || (o_custkey % 25) as pol, 'P' || (o_orderkey % 25) as pod,
+        select o_orderkey as subjob_uid, 'CO' || (o_custkey % 30) as company_code, 'BR' || (o_custkey % 3) as branch_code,
+               'LO' || (o_custkey % 2) as location_code, 'P' || (o_custkey % 25) as pol, 'P' || (o_orderkey % 25) as pod,
                'HB' || o_orderkey as house_no, o_custkey as consignee_code, 'CON & <' || o_custkey || '>' as consignee_manifest_name,
                o_custkey + 1 as shipper_code, 'SHIP ' || o_custkey as shipper_manifest_name,
                case when o_orderkey % 3 = 0 then null else 'MARK' || o_orderkey end as mark_no, 'CT' as external_pack_code,
@@ -296,7 +296,7 @@ query(
               and c.segment_code = s.segment_code and c.job_no = s.job_no),
         w as (select i.subjob_uid, sum(coalesce(i.gross_weight, 0)) as mass, string_agg({_ITEM}, '' order by i.no) as items
               from i join subjobs h on h.subjob_uid = i.subjob_uid left join codes k on k.code = i.container_code group by 1)
-        select h.subjob_uid as doc_key, cast(1 as bigint) as part, {_XML} as content
+        select h.subjob_uid as doc_key, h.company_code, h.branch_code, h.location_code, {_XML} as content
         from subjobs h join subjob_tree st on st.subjob_uid = h.subjob_uid join jobs j on j.job_uid = st.job_uid
         join partners_customs p on p.company_code = h.company_code left join w on w.subjob_uid = h.subjob_uid
         left join customer_addresses ca on ca.customer_code = h.consignee_code and ca.address_type = 'PRIMARY'
@@ -468,7 +468,7 @@ def _manifest_sql(select: str, carried: bool = False) -> str:
 _WHOLE = """, lines as (
     select master_id, 0 as sec, 0 as ship, 0 as no, line from voy union all select master_id, 1, shipment_id, 0, line from bol
     union all select master_id, 1, shipment_id, sr_no, line from con union all select master_id, 2, 0, 0, line from fin)
-  select m.master_uid as doc_key, cast(1 as bigint) as part,
+  select m.master_uid as doc_key,
     case when not bool_or(l.line is null) then string_agg(l.line, chr(10) order by l.sec, l.ship, l.no) end as content
   from lines l join masters m on m.id = l.master_id group by 1"""
 

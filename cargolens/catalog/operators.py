@@ -26,11 +26,25 @@ query("flt_equality", "select id, shipment_uid, company_id, branch_id from shipm
     .select("id", "shipment_uid", "company_id", "branch_id")
 )
 
-query("flt_contains", "select id, file_name from inbound_files where contains(file_name, upper('rr'))")(
+query("flt_contains", "select id, file_name from inbound_files where file_name like '%' || upper('rr') || '%'")(
     lambda t: p.search_contains(t["inbound_files"], "file_name", "rr").select("id", "file_name")
 )
 
-query("flt_contains_exact", "select schedule_id, service from schedules where contains(service, 'LCL')")(
+# wildcards of the searches: any one character, any text, and the same ones escaped
+LIKE_NAMES = {
+    "named": """
+        select o_orderkey as id, 'ETI' || case o_orderkey % 5 when 0 then '_' when 1 then 'X' when 2 then '%' when 3 then chr(92) else '__' end
+          || (o_orderkey % 7) || '.XML' as file_name
+        from {orders}""",
+}
+for _no, _search in enumerate(("eti_1", "i%3.x", r"i\_2", r"i\%", r"i\\", "")):
+    query(
+        f"flt_like_{_no}",
+        f"select id, file_name from named where file_name like '%{_search.upper()}%' escape '\\'",
+        LIKE_NAMES,
+    )(lambda t, s=_search: p.search_contains(t["named"], "file_name", s))
+
+query("flt_contains_exact", "select schedule_id, service from schedules where service like '%LCL%'")(
     lambda t: p.search_contains(t["schedules"], "service", "LCL", upper=False).select("schedule_id", "service")
 )
 
@@ -515,7 +529,7 @@ def _(t):
 
 @query(
     "agg_string",
-    """select c.shipment_id, cast(1 as bigint) as part, string_agg(m.container_number, ',' order by m.container_number) as containers
+    """select c.shipment_id, string_agg(m.container_number, ',' order by m.container_number) as containers
        from shipment_containers c join master_containers m on m.id = c.master_container_id group by 1""",
 )
 def _(t):
@@ -543,37 +557,51 @@ def _as_json(df, name):
     return df.withColumn(name, fx.json_text(F.col(name)))
 
 
-@query(
-    "agg_array_struct",
-    """select country_code, cast(1 as bigint) as part, cast(to_json(list({'portCode': code, 'portName': name} order by id)) as string) as ports
-       from supplier_ports group by 1""",
-)
-def _(t):
-    fields = {"portCode": "code", "portName": "name"}
-    return _as_json(lists.nest(t["supplier_ports"], ["country_code"], ["id"], fields, "ports"), "ports")
+def _array_sql(key: str, rows: str, where: str = "true") -> str:
+    """The JSON array of each key as rows: bracket, items with their commas, bracket."""
+    return f"""
+        with r as ({rows}), i as (select {key}, row_number() over (partition by {key} order by ord) as pos, item from r where {where})
+        select {key}, cast(0 as bigint) as pos, '[' as text from (select distinct {key} from r)
+        union all select {key}, pos, case when pos > 1 then ',' else '' end || cast(to_json(item) as string) from i
+        union all select {key}, count(*) filter ({where}) + 1, ']' from r group by {key}"""
 
 
-@query(
+query(
+    "agg_array_struct",
+    _array_sql("country_code", "select country_code, id as ord, {'portCode': code, 'portName': name} as item from supplier_ports"),
+)(lambda t: lists.array_rows(t["supplier_ports"], ["country_code"], ["id"], {"portCode": "code", "portName": "name"}))
+
+query(
     "agg_array_ordered",
-    """select customer_id, cast(1 as bigint) as part, cast(to_json(list({'no': enquiry_no, 'id': id} order by enquiry_date, id)) as string) as enquiries
-       from enquiries group by 1""",
-)
-def _(t):
-    fields = {"no": "enquiry_no", "id": "id"}
-    return _as_json(lists.nest(t["enquiries"], ["customer_id"], ["enquiry_date", "id"], fields, "enquiries"), "enquiries")
+    _array_sql("customer_id", "select customer_id, (enquiry_date, id) as ord, {'no': enquiry_no, 'id': id} as item from enquiries"),
+)(lambda t: lists.array_rows(t["enquiries"], ["customer_id"], ["enquiry_date", "id"], {"no": "enquiry_no", "id": "id"}))
 
 
 @query(
     "agg_array_filtered",
-    """select u.registration_no, cast(1 as bigint) as part, cast(coalesce(to_json(list({'customerCode': c.customer_uid} order by u.customer_id)
-         filter (c.id is not null)), '[]') as string) as customers
-       from user_customers u left join customers c on c.id = u.customer_id group by 1""",
+    _array_sql(
+        "registration_no",
+        """select u.registration_no, u.customer_id as ord, c.id as cid, {'customerCode': c.customer_uid} as item
+           from user_customers u left join customers c on c.id = u.customer_id""",
+        "cid is not null",
+    ),
 )
 def _(t):
     rows = t["user_customers"].join(t["customers"], F.col("customer_id") == F.col("id"), "left")
     fields = {"customerCode": "customer_uid"}
-    where = F.col("id").isNotNull()
-    return _as_json(lists.nest(rows, ["registration_no"], ["customer_id"], fields, "customers", where), "customers")
+    return lists.array_rows(rows, ["registration_no"], ["customer_id"], fields, F.col("id").isNotNull())
+
+
+query(
+    "agg_array_nested",
+    """select shipment_id, cast(to_json(list({'container': master_container_id} order by master_container_id)) as string) as containers
+       from shipment_containers group by 1""",
+)(
+    lambda t: _as_json(
+        lists.nest(t["shipment_containers"], ["shipment_id"], ["master_container_id"], {"container": "master_container_id"}, "containers"),
+        "containers",
+    )
+)
 
 
 @query(

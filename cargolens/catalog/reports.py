@@ -46,7 +46,7 @@ def _status_sql(stamp: str) -> str:
             value = f"strftime({value}, '%Y-%m-%d')"
         cols.append(f'{value} as "{field}"')
     return f"""
-        select u.registration_no as login, cast(1 as bigint) as part,
+        select u.registration_no as login,
                row_number() over (partition by u.registration_no order by l.shipment_uid) as id,
                {', '.join(cols)}, '' as "hsCode",
                (select string_agg(n || '*' || code, ',' order by code) from (
@@ -77,15 +77,16 @@ _PACK = ", ".join(f'"{c}" := "{c}"' for c in reports.STATUS_COLUMNS)
 
 query(
     "rpt_daily_status_envelope",
-    f"""with s as ({_status_sql('%Y-%m-%dT%H:%M:%S')}),
-        d as (select login, to_json(list(struct_pack({_PACK}) order by id)) as data from s where login <> 7 group by login)
-        select u.id as login, cast(1 as bigint) as part, coalesce('{{"userColumns":' || coalesce(p.column_preferences, 'null') || ',"data":' || d.data
-          || ',"userTrigger":' || case when g.web_user_master_id is null then 'null' else
-             to_json([struct_pack("mailId" := g.mail_id, "dayStatus" := g.day_status, "days" := g.days,
-             "statusList" := g.status_list, "lastTriggeredDate" := g.last_trigger_date)]) end || '}}',
-          '{{"Status":"Error","Message":"Shipment List not available"}}') as reply
-        from users u left join d on d.login = u.id left join user_preferences p on p.web_user_master_id = u.id
-        left join user_triggers g on g.web_user_master_id = u.id""",
+    f"""with s as (select * from ({_status_sql('%Y-%m-%dT%H:%M:%S')}) where login <> 7),
+        n as (select login, count(*) as n from s group by 1)
+        select u.id as login, cast(0 as bigint) as pos, case when n.n is null then '{{"Status":"Error","Message":"Shipment List not available"}}'
+          else '{{"userColumns":' || coalesce(p.column_preferences, 'null') || ',"data":[' end as text
+        from users u left join n on n.login = u.id left join user_preferences p on p.web_user_master_id = u.id
+        union all select login, id, case when id > 1 then ',' else '' end || cast(to_json(struct_pack({_PACK})) as string) from s
+        union all select n.login, n.n + 1, '],"userTrigger":' || case when g.web_user_master_id is null then 'null' else
+             cast(to_json([struct_pack("mailId" := g.mail_id, "dayStatus" := g.day_status, "days" := g.days,
+             "statusList" := g.status_list, "lastTriggeredDate" := g.last_trigger_date)]) as string) end || '}}'
+        from n left join user_triggers g on g.web_user_master_id = n.login""",
     {
         **PREFERENCES,
         # one login has no customers, hence no shipments
@@ -105,12 +106,12 @@ _LOG = """
            m.master_uid as "jobId", m.obl_number as "mblNo", cast(count(s.id) as bigint) as "houseCount"
     from inbound_files f join inbound_masters m on m.source_reference_id = f.id
     left join inbound_shipments s on s.inbound_master_id = m.id
-    where cast(f.received_at as date) between date '2024-01-25' - 30 and date '2024-01-25' and contains(f.file_name, upper('e'))
+    where cast(f.received_at as date) between date '2024-01-25' - 30 and date '2024-01-25' and f.file_name like '%' || upper('e') || '%'
     group by f.source, f.received_at, f.file_name, m.master_uid, m.obl_number"""
 _KPI = """
     select cast(count(*) as bigint) as "totalFilesRequired", cast(count(*) filter (status = 'Completed') as bigint) as "successfullyProcessed",
            cast(count(*) filter (status = 'Error') as bigint) as "failedErrors" from inbound_files
-    where cast(received_at as date) between date '2024-01-25' - 30 and date '2024-01-25' and contains(file_name, upper('e'))"""
+    where cast(received_at as date) between date '2024-01-25' - 30 and date '2024-01-25' and file_name like '%' || upper('e') || '%'"""
 
 query("rpt_inbound_log", _LOG)(lambda t: reports.inbound_log(t, SEARCH, NOW.date()))
 query("rpt_inbound_kpi", _KPI)(lambda t: reports.inbound_kpi(t, SEARCH, NOW.date()))
@@ -120,18 +121,21 @@ _LOG_FIELDS = ", ".join(
 )
 query(
     "rpt_envelope",
-    f"""with g as ({_LOG}), k as ({_KPI}), d as (select source, ("serialNo" - 1) // {reports.REPLY_ROWS} + 1 as part, list(struct_pack({_LOG_FIELDS}) order by "serialNo") as files from g group by 1, 2)
-        select s.source, cast(coalesce(d.part, 1) as bigint) as part, cast(to_json(struct_pack("httpStatus" := 200, "success" := true,
+    f"""with g as ({_LOG}), k as ({_KPI}),
+        h as (select cast(to_json(struct_pack("httpStatus" := 200, "success" := true,
           "timestamp" := '2024-01-25T06:30:15.250+05:30', "result" := struct_pack("totalFilesRequired" := k."totalFilesRequired",
           "successfullyProcessed" := k."successfullyProcessed", "failedErrors" := k."failedErrors",
-          "lastSyncTime" := '2024-01-25T06:30:15.250+05:30', "fileProcessingLog" := coalesce(d.files, [])), "error" := null)) as string) as reply
-        from (select distinct source from inbound_files) s left join d on d.source = s.source, k""",
+          "lastSyncTime" := '2024-01-25T06:30:15.250+05:30', "fileProcessingLog" := cast([] as varchar[])), "error" := null)) as string) as r from k),
+        n as (select s.source, count(g.source) as n from (select distinct source from inbound_files) s left join g on g.source = s.source group by 1)
+        select source, cast(0 as bigint) as pos, split_part(r, '[]', 1) || '[' as text from n, h
+        union all select source, "serialNo", case when "serialNo" > 1 then ',' else '' end || cast(to_json(struct_pack({_LOG_FIELDS})) as string) from g
+        union all select source, n + 1, ']' || split_part(r, '[]', 2) from n, h""",
 )(lambda t: reports.inbound_monitor(t, SEARCH, NOW))
 
 query(
     "rpt_port_list",
     """select name as "portName", country_code as "portCountry", code as "portCode", 'PORT' as type, transport_mode as "transportMode",
-       name || '-(' || code || ')' as "listValue" from supplier_ports where contains(name, upper('#00000000'))""",
+       name || '-(' || code || ')' as "listValue" from supplier_ports where name like '%#00000000%'""",
 )(lambda t: reports.port_list({"ports": t["supplier_ports"]}, "port", "#00000000"))
 
 _SCHEDULE_DAYS = "cast(trunc((epoch_us(s.eta) - epoch_us(s.{})) / 86400000000.0) as bigint) || ' Days'"
@@ -144,7 +148,7 @@ query(
         strftime(s.etd, '%Y-%m-%d %H:%M:%S') as "departureDate", strftime(s.eta, '%Y-%m-%d %H:%M:%S') as "arrivalDate",
         strftime(s.load_port_cutoff_date, '%Y-%m-%d %H:%M:%S') as "cutoffDate",
         {_SCHEDULE_DAYS.format('load_port_cutoff_date')} as "cutOffToArrival", {_SCHEDULE_DAYS.format('etd')} as "departureToArrival"
-        from schedules s join ports o on o.id = s.origin_id join ports d on d.id = s.destination_id where contains(s.service, 'FCL')""",
+        from schedules s join ports o on o.id = s.origin_id join ports d on d.id = s.destination_id where s.service like '%FCL%'""",
 )(lambda t: plain(reports.sailing_schedule(t, "", None, "FCL")))
 
 query(
@@ -221,7 +225,7 @@ query(
 
 query(
     "rpt_user_bundle",
-    """select w.user_id as "userName", w.email, to_base64(w.company_logo) as "companyLogo", cast(1 as bigint) as part,
+    """select w.user_id as "userName", w.email, to_base64(w.company_logo) as "companyLogo",
        cast(coalesce((select to_json(list(struct_pack("customerCode" := c.customer_uid, "customerName" := c.name, "companyCode" := u.company_code)
          order by u.customer_id)) from user_customers u join customers c on c.id = u.customer_id where u.registration_no = w.id), '[]') as string) as customers,
        cast(coalesce((select to_json(list(struct_pack("label" := m.label, "path" := m.path) order by m.id))

@@ -202,13 +202,11 @@ query(
 @query("stream_command_upsert", _TRIGGER_STATE, FEEDS)
 def _(t):
     base = scratch_path(t.spark, "command-stream")
-    # Two files in time order, so the stream runs two batches.
+    # Two runs in time order, the second from the first one's checkpoint.
     commands = t["trigger_commands"]
-    middle = commands.agg((F.max("seq") / 2).cast("long").alias("m")).first()["m"]
-    for part in (commands.filter(F.col("seq") <= middle), commands.filter(F.col("seq") > middle)):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    middle = commands.agg((F.max("seq") / 2).cast("long").alias("m"))
     state = _base(t["triggers"], cmd.TRIGGERS).select(*cmd.TRIGGERS.fields)
-    upsert_stream(
-        t.spark, f"{base}/in", state, f"{base}/out", f"{base}/checkpoint", cmd.TRIGGERS, files_per_batch=1
-    ).awaitTermination()
+    for half in (F.col("seq") <= F.col("m"), F.col("seq") > F.col("m")):
+        commands.join(F.broadcast(middle), half).drop("m").write.mode("append").parquet(f"{base}/in")
+        upsert_stream(t.spark, f"{base}/in", state, f"{base}/out", f"{base}/checkpoint", cmd.TRIGGERS).awaitTermination()
     return _trigger_rows(latest_state(t.spark, f"{base}/out"))

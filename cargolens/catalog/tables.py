@@ -57,7 +57,6 @@ query(
         inbox.to_outbox(
             t["orders"].select(
                 F.col("o_orderkey").alias("doc_key"),
-                F.lit(1).alias("part"),
                 F.concat(F.lit("ORDER "), F.col("o_orderkey").cast("string")).alias("content"),
             ),
             t["part"].select(F.col("p_partkey").alias("file_uid")),

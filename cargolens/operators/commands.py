@@ -85,8 +85,10 @@ def parse_commands(commands: DataFrame, feed: Feed) -> tuple[DataFrame, DataFram
     """Typed commands, and the rejected ones with the reason; the batch goes on.
 
     Payloads are parsed once and the typed rows written to the scratch folder,
-    as applying them reads them several times.
+    as applying them reads them several times. Of a field given twice the last
+    value counts; arrays are kept as written, without blanks between items.
     """
+    commands.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     doc = F.explode(F.array(F.try_parse_json("payload"))).alias("_doc")
     docs = commands.select("seq", "method", "payload", doc)
     texts = {f"_t_{c}": F.try_variant_get("_doc", f"$.{name}", "string") for c, (name, ty) in feed.fields.items() if ty != "json"}
@@ -108,14 +110,14 @@ def parse_commands(commands: DataFrame, feed: Feed) -> tuple[DataFrame, DataFram
     return ok, rejects.select("seq", "method", "payload", F.col("_reason").alias("status"))
 
 
-def command_statuses(base: DataFrame, commands: DataFrame, feed: Feed, group_rows: int | None = None) -> DataFrame:
+def command_statuses(base: DataFrame, commands: DataFrame, feed: Feed) -> DataFrame:
     """Parsed commands with the reply each one gets."""
     key, method = feed.key, F.col("method")
     changes = method.isin("U", "D") if feed.can_delete else method == "U"
     read = F.col(feed.reads) if feed.reads else F.lit(None).cast("string")
     effect = F.when(changes, F.struct(method.alias("op"), read.alias("read")))
     keyed = carry_forward(
-        commands.filter(F.col(key).isNotNull()), [key], ["seq"], effect, "_before", include_current=False, group_rows=group_rows
+        commands.filter(F.col(key).isNotNull()), [key], ["seq"], effect, "_before", include_current=False
     )
     known = base.filter(F.col(key).isNotNull()).select(key, (read if feed.reads else F.lit(None).cast("string")).alias("_base_read"))
     known = known.withColumn("_in_base", F.lit(True))
@@ -136,16 +138,14 @@ def command_statuses(base: DataFrame, commands: DataFrame, feed: Feed, group_row
     return done.unionByName(loose.withColumn("status", reply(F.lit(False), F.lit(None).cast("string"))))
 
 
-def apply_commands(
-    base: DataFrame, commands: DataFrame, feed: Feed, group_rows: int | None = None
-) -> tuple[DataFrame, DataFrame]:
+def apply_commands(base: DataFrame, commands: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
     """State after the batch, and the commands with their replies.
 
     Created fields come from the latest insert; all others from the latest
     upsert. A last delete removes the key. Commands without a key insert a row
     each, as no stored row equals NULL.
     """
-    statuses = command_statuses(base, commands, feed, group_rows)
+    statuses = command_statuses(base, commands, feed)
     columns = list(feed.fields)
     rest = [c for c in columns if c != feed.key]
     method = F.col("method")

@@ -1,9 +1,9 @@
-"""Ordered lists per key, split into parts of bounded size.
+"""Ordered lists and texts per key.
 
-A list column of one key can only be as long as one task can hold. Every list
-here carries a ``part`` number: keys with up to ``max_items`` rows give one
-part, larger keys give several consecutive ones. Nothing is dropped, and the
-parts in order are the whole list.
+A list or document that nature bounds (of a shipment, a house, a user) is one
+value per key. What grows with the data (of a login, a source, a partner) is
+ordered rows ``(key, pos, text)``: a head, the items and a tail, whose
+concatenation is the document, so no key has to fit in one value.
 """
 
 from __future__ import annotations
@@ -13,24 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.operators.ordered import biggest_group, serial
-from cargolens.session import staged
-
-#: Most items in one list value.
-MAX_ITEMS = 100_000
-
-#: Most lines in one part of a document.
-PART_LINES = 20_000
-
-
-def with_part(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], max_items: int = MAX_ITEMS
-) -> DataFrame:
-    """Add ``part``: 1 for the first ``max_items`` rows of a key, then 2, …"""
-    if biggest_group(df, keys) <= max_items:
-        return df.withColumn("part", F.lit(1).cast("long"))
-    numbered = serial(df, keys, order_by, "_item_no")
-    return numbered.withColumn("part", F.expr(f"(_item_no - 1) div {int(max_items)} + 1")).drop("_item_no")
+from cargolens.functions.text import json_text
+from cargolens.operators.ordered import serial
 
 
 def nest(
@@ -40,19 +24,17 @@ def nest(
     fields: Mapping[str, Column | str],
     name: str,
     where: Column | None = None,
-    max_items: int = MAX_ITEMS,
 ) -> DataFrame:
-    """Array of structs per key and part, ordered; ``where`` leaves rows out.
+    """Array of structs per key, ordered; ``where`` leaves rows out.
 
-    Keys whose rows are all left out keep one part with an empty array.
+    Keys whose rows are all left out keep an empty array.
     """
-    parted = with_part(df, keys, order_by, max_items)
     cols = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in fields.items()]
     item = F.struct(F.struct(*order_by).alias("o"), F.struct(*cols).alias("v"))
     if where is not None:
         item = F.when(where, item)
-    listed = parted.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    return listed.select(*keys, "part", F.transform("_items", lambda x: x["v"]).alias(name))
+    listed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    return listed.select(*keys, F.transform("_items", lambda x: x["v"]).alias(name))
 
 
 def string_list(
@@ -62,16 +44,49 @@ def string_list(
     name: str,
     sep: str = ",",
     order_by: Sequence[str] | None = None,
-    max_items: int = MAX_ITEMS,
 ) -> DataFrame:
-    """Joined text per key and part; NULL values are skipped, all NULL gives NULL."""
+    """Joined text per key; NULL values are skipped, all NULL gives NULL."""
     order = list(order_by) if order_by else [value]
-    present = df.filter(F.col(value).isNotNull())
-    parted = with_part(present, keys, order, max_items)
     item = F.struct(F.struct(*order).alias("o"), F.col(value).cast("string").alias("v"))
-    listed = parted.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    text = F.array_join(F.transform("_items", lambda x: x["v"]), sep)
-    return listed.select(*keys, "part", text.alias(name))
+    listed = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    return listed.select(*keys, F.array_join(F.transform("_items", lambda x: x["v"]), sep).alias(name))
+
+
+def text_rows(heads: DataFrame, items: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, pos, text)``: head at 0, items at 1, 2, …, tail behind them.
+
+    ``heads`` has ``head`` and ``tail`` per key, ``items`` has ``pos`` and
+    ``text``. A NULL tail gives no row.
+    """
+    keys = list(keys)
+    counts = items.groupBy(*keys).agg(F.max("pos").alias("_n"))
+    met = heads.join(counts, keys, "left")
+    zero = F.lit(0).cast("long").alias("pos")
+    after = (F.coalesce("_n", F.lit(0)) + 1).cast("long").alias("pos")
+    rows = heads.select(*keys, zero, F.col("head").alias("text"))
+    rows = rows.unionByName(items.select(*keys, F.col("pos").cast("long"), "text"))
+    return rows.unionByName(met.filter("tail is not null").select(*keys, after, F.col("tail").alias("text")))
+
+
+def json_item(pos: str, fields: Mapping[str, Column | str]) -> Column:
+    """One item of a JSON array, with the comma before it."""
+    cols = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in fields.items()]
+    return F.concat(F.when(F.col(pos) > 1, F.lit(",")).otherwise(F.lit("")), json_text(F.struct(*cols)))
+
+
+def array_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    fields: Mapping[str, Column | str],
+    where: Column | None = None,
+) -> DataFrame:
+    """The JSON array of each key as ordered rows; keys whose rows are all left out have an empty one."""
+    kept = df if where is None else df.filter(where)
+    numbered = serial(kept, keys, order_by, "pos")
+    items = numbered.select(*keys, "pos", json_item("pos", fields).alias("text"))
+    heads = df.select(*keys).distinct().withColumns({"head": F.lit("["), "tail": F.lit("]")})
+    return text_rows(heads, items, keys)
 
 
 def count_by_code(
@@ -91,39 +106,17 @@ def count_by_code(
 
 
 def gather_lines(
-    lines: DataFrame,
-    key: str,
-    order_by: Sequence[str],
-    line: str = "line",
-    null_blanks_all: bool = True,
-    max_lines: int = PART_LINES,
+    lines: DataFrame, key: str, order_by: Sequence[str], line: str = "line", null_blanks_all: bool = True
 ) -> DataFrame:
-    """``(key, part, content)`` from one row per document line.
+    """``(key, content)`` from one row per document line.
 
-    With ``null_blanks_all`` a document having any NULL line gets one row with
-    NULL content, as text concatenation with NULL gives NULL. The lines are
-    written to the scratch folder first, so measuring the documents does not
-    compute them twice.
+    With ``null_blanks_all`` a document having any NULL line gets NULL content,
+    as text concatenation with NULL gives NULL; else the line is empty.
     """
-    order = list(order_by)
-    lines = staged(lines, "lines")
-    if not null_blanks_all:
-        lines = lines.withColumn(line, F.coalesce(line, F.lit("")))
-    item = F.struct(F.struct(*order).alias("o"), F.col(line).alias("v"))
-    gathered = [
-        F.sort_array(F.collect_list(item)).alias("_items"),
-        F.bool_or(F.col(line).isNull()).alias("_blank"),
-    ]
+    value = F.col(line) if null_blanks_all else F.coalesce(line, F.lit(""))
+    item = F.struct(F.struct(*order_by).alias("o"), value.alias("v"))
+    gathered = lines.groupBy(key).agg(
+        F.sort_array(F.collect_list(item)).alias("_items"), F.bool_or(value.isNull()).alias("_blank")
+    )
     text = F.array_join(F.transform("_items", lambda x: x["v"]), "\n")
-    content = F.when(~F.col("_blank"), text).alias("content")
-    if biggest_group(lines, [key]) <= max_lines:
-        one = F.lit(1).cast("long").alias("part")
-        return lines.groupBy(key).agg(*gathered).select(key, one, content)
-
-    blank = lines.filter(F.col(line).isNull()).select(key).distinct()
-    whole = lines.join(blank, key, "left_anti")
-    numbered = serial(whole, [key], order, "_line_no")
-    parted = numbered.withColumn("part", F.expr(f"(_line_no - 1) div {int(max_lines)} + 1"))
-    parts = parted.groupBy(key, "part").agg(*gathered).select(key, "part", content)
-    none = F.lit(None).cast("string").alias("content")
-    return parts.unionByName(blank.select(key, F.lit(1).cast("long").alias("part"), none))
+    return gathered.select(key, F.when(~F.col("_blank"), text).alias("content"))

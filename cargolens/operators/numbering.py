@@ -17,7 +17,7 @@ def assign_sequence(df: DataFrame, order_by: Sequence, name: str = "sequence_no"
 
 
 def instalments(
-    sends: DataFrame, prior: DataFrame, keys: Sequence[str], order_by: str, group_rows: int | None = None
+    sends: DataFrame, prior: DataFrame, keys: Sequence[str], order_by: str
 ) -> tuple[DataFrame, DataFrame]:
     """Number of each send, and the counters afterwards.
 
@@ -29,7 +29,7 @@ def instalments(
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
-    numbered = serial(sends.filter(complete), keys, [order_by], "_n", group_rows=group_rows)
+    numbered = serial(sends.filter(complete), keys, [order_by], "_n")
     stored = prior.filter(complete).select(*keys, F.col("instalment_no").alias("_stored"), F.lit(True).alias("_known"))
     joined = numbered.join(stored, keys, "left")
     printed = F.when(F.col("_known"), F.coalesce(F.col("_stored") + F.col("_n") - 1, F.lit(1))).otherwise(

@@ -1,11 +1,9 @@
 """Ordered operators: serial numbers, carry-forward, first row per key.
 
-A plain window sends one whole group to one task. Groups are therefore
-measured first. Up to ``GROUP_ROWS`` rows per group the plain window is used;
-beyond that (and always for a single global order) the rows are
-range-partitioned by key and order, so a large group spreads over many tasks,
-each task works on its own stretch, and a small table with at most one row per
-partition links the stretches.
+Rows are range-partitioned by key and order, so a large group spreads over many
+tasks. Each task works on its own stretch, and a small table with at most one
+row per partition and key that crosses its border links the stretches. The plan
+is the same at every size.
 """
 
 from __future__ import annotations
@@ -17,19 +15,10 @@ from pyspark.sql import functions as F
 
 from cargolens.session import staged
 
-#: Largest group a single task may hold in a window.
-GROUP_ROWS = 1_000_000
-
 _POS, _PID = "_range_pos", "_range_pid"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits
 
 
-def biggest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group; reads only the key columns."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
-
-
 def _range_staged(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
     order = [F.col(k) for k in keys] + [_as_col(o) for o in order_by]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -59,40 +48,29 @@ def _link_keys(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def serial(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence,
-    name: str,
-    group_rows: int | None = None,
-) -> DataFrame:
+def serial(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, name: str) -> DataFrame:
     """Number rows 1, 2, 3 … within ``partition_by`` in ``order_by`` order.
 
     End ``order_by`` with a unique column: it makes the numbers repeatable and
     lets the range split any group.
     """
     keys = list(partition_by)
-    limit = GROUP_ROWS if group_rows is None else group_rows
-    if keys and biggest_group(df, keys) <= limit:
-        w = Window.partitionBy(*keys).orderBy(*[_as_col(o) for o in order_by])
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
-
     rows = _range_staged(df, keys, order_by)
     counts = rows.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_n"))
     if not keys:
         # One row per range partition, so this single-task window is small.
         before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-        base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        base = counts.withColumn("_range_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         in_part = F.col(_POS).bitwiseAND((1 << _ROW_BITS) - 1)
-        out = _link(rows, _link_keys(base, [], "_base"), [])
-        return out.withColumn(name, in_part + F.col("_base") + 1).drop(_POS, _PID, "_base")
+        out = _link(rows, _link_keys(base, [], "_range_base"), [])
+        return out.withColumn(name, in_part + F.col("_range_base") + 1).drop(_POS, _PID, "_range_base")
 
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("_base", F.sum("_n").over(before)).filter("_base is not null")
+    base = counts.withColumn("_range_base", F.sum("_n").over(before)).filter("_range_base is not null")
     own = Window.partitionBy(_PID, *keys).orderBy(_POS)
-    out = _link(rows.withColumn("_own", F.row_number().over(own)), _link_keys(base, keys, "_base"), keys)
-    number = F.col("_own").cast("long") + F.coalesce("_base", F.lit(0))
-    return out.withColumn(name, number).drop(_POS, _PID, "_own", "_base")
+    out = _link(rows.withColumn("_range_own", F.row_number().over(own)), _link_keys(base, keys, "_range_base"), keys)
+    number = F.col("_range_own").cast("long") + F.coalesce("_range_base", F.lit(0))
+    return out.withColumn(name, number).drop(_POS, _PID, "_range_own", "_range_base")
 
 
 def carry_forward(
@@ -102,34 +80,24 @@ def carry_forward(
     value: Column,
     name: str,
     include_current: bool = True,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Last non-null ``value`` up to (or strictly before) each row.
 
     A struct whose fields are all NULL counts as a value.
     """
     keys = list(partition_by)
-    limit = GROUP_ROWS if group_rows is None else group_rows
     last_row = 0 if include_current else -1
     with_value = df.withColumn("_val", value)
-    if keys and biggest_group(df, keys) <= limit:
-        w = (
-            Window.partitionBy(*keys)
-            .orderBy(*[_as_col(o) for o in order_by])
-            .rowsBetween(Window.unboundedPreceding, last_row)
-        )
-        return with_value.withColumn(name, F.last("_val", ignorenulls=True).over(w)).drop("_val")
-
     rows = _range_staged(with_value, keys, order_by)
     set_at = F.when(F.col("_val").isNotNull(), F.col(_POS))
     ends = rows.groupBy(_PID, *keys).agg(F.max_by("_val", set_at).alias("_end"))
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before))
-    carried = carried.filter("_carried is not null")
+    carried = ends.withColumn("_range_carried", F.last("_end", ignorenulls=True).over(before))
+    carried = carried.filter("_range_carried is not null")
     own = Window.partitionBy(_PID, *keys).orderBy(_POS).rowsBetween(Window.unboundedPreceding, last_row)
-    out = rows.withColumn("_own", F.last("_val", ignorenulls=True).over(own))
-    out = _link(out, _link_keys(carried, keys, "_carried"), keys)
-    return out.withColumn(name, F.coalesce("_own", "_carried")).drop(_POS, _PID, "_own", "_carried", "_val")
+    out = rows.withColumn("_range_own", F.last("_val", ignorenulls=True).over(own))
+    out = _link(out, _link_keys(carried, keys, "_range_carried"), keys)
+    return out.withColumn(name, F.coalesce("_range_own", "_range_carried")).drop(_POS, _PID, "_range_own", "_range_carried", "_val")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

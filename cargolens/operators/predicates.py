@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import date, timedelta
 
@@ -10,13 +11,17 @@ from pyspark.sql import functions as F
 
 
 def search_contains(df: DataFrame, column: str, query: str | None, upper: bool = True) -> DataFrame:
-    """Rows whose column contains the query; the column keeps its case.
+    """Rows whose column is LIKE the query with ``%`` around it; the column keeps its case.
 
-    A NULL query finds nothing, an empty one every non-null value.
+    ``_`` and ``%`` in the query are wildcards, a backslash takes the next
+    character as it is. A NULL query finds nothing, an empty one every
+    non-null value. A query without wildcards is a pushed-down ``contains``.
     """
     if query is None:
         return df.filter(F.lit(False))
-    return df.filter(F.col(column).contains(query.upper() if upper else query))
+    pattern = f"%{query.upper() if upper else query}%"
+    plain = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], pattern, flags=re.DOTALL)
+    return df.filter(F.col(column).like(plain))
 
 
 def date_window(

@@ -2,7 +2,7 @@
 
 Documents of a fixed number of lines are one text expression per row. Others
 are built as line rows on their own grain, tagged with sort columns, and
-gathered last, in parts of bounded size.
+gathered last.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from cargolens.functions.text import (
     xml_escape,
 )
 from cargolens.operators.joins import lookup, partner_lookup, role_join, role_lookup, translate_code
-from cargolens.operators.lists import PART_LINES, gather_lines
+from cargolens.operators.lists import gather_lines
 from cargolens.operators.numbering import assign_sequence
 from cargolens.operators.ordered import first_per_key, serial
 
@@ -153,30 +153,28 @@ def message_530(t: Tables, as_of: datetime, first_number: int = 1) -> tuple[Data
         ICS_SEGMENT, "\n", _gs(as_of, F.col("_gs06")), "\n", _transaction(F.lit("000000001")), "\nGE*1*", F.col("_gs06"),
         "\n", ICE_SEGMENT,
     )
-    docs = numbered.select(F.col("did").alias("doc_key"), *PARTNER_KEYS, F.lit(1).cast("long").alias("part"), text.alias("content"))
+    docs = numbered.select(F.col("did").alias("doc_key"), *PARTNER_KEYS, text.alias("content"))
     return docs, rejects
 
 
-def message_530_batched(
-    t: Tables, as_of: datetime, first_number: int = 1, max_lines: int = PART_LINES
-) -> tuple[DataFrame, DataFrame]:
-    """One message per sender and receiver holding all their documents.
+def message_530_batched(t: Tables, as_of: datetime, first_number: int = 1) -> tuple[DataFrame, DataFrame]:
+    """One message per sender and receiver holding all their documents, as rows ``(doc_key, pos, line)``.
 
-    Documents are numbered 0001, 0002, … and counted in the trailer.
+    A message grows with the documents, so it stays in lines: head, documents
+    and trailer; in order and joined by line breaks they are the file. Documents are numbered 0001, 0002, … and counted in the trailer.
     """
     rows, rejects = _documents_530(t)
     keyed = rows.withColumn("doc_key", oracle_concat(F.col("sender_code"), "/", F.col("receiver_code")))
     numbered = serial(keyed, ["doc_key"], ["did"], "_no")
     number = F.when(F.col("_no") < 10000, F.lpad(F.col("_no").cast("string"), 4, "0")).otherwise(F.col("_no").cast("string"))
-    body = numbered.select("doc_key", F.lit(1).alias("sec"), "_no", _transaction(number).alias("line"))
+    body = numbered.select("doc_key", F.col("_no").alias("pos"), _transaction(number).alias("line"))
     batches = keyed.groupBy("doc_key", "sender_code", "receiver_code").agg(F.count(F.lit(1)).alias("_count"))
     batches = assign_sequence(batches, ["doc_key"], "_gs06", base=first_number - 1)
-    zero = F.lit(0).cast("long").alias("_no")
-    head = batches.select("doc_key", F.lit(0).alias("sec"), zero, oracle_concat(ICS_SEGMENT, "\n", _gs(as_of, F.col("_gs06"))).alias("line"))
+    opening = oracle_concat(ICS_SEGMENT, "\n", _gs(as_of, F.col("_gs06")))
     trailer = oracle_concat("GE*", F.col("_count"), "*", F.col("_gs06"), "\n", ICE_SEGMENT)
-    tail = batches.select("doc_key", F.lit(2).alias("sec"), zero, trailer.alias("line"))
-    lines = head.unionByName(body).unionByName(tail)
-    docs = gather_lines(lines, "doc_key", ["sec", "_no"], null_blanks_all=False, max_lines=max_lines)
+    head = batches.select("doc_key", F.lit(0).cast("long").alias("pos"), opening.alias("line"))
+    tail = batches.select("doc_key", (F.col("_count") + 1).alias("pos"), trailer.alias("line"))
+    docs = head.unionByName(body).unionByName(tail)
     return docs, rejects
 
 
@@ -245,8 +243,8 @@ def goods_items(t: Tables) -> DataFrame:
     return serial(packed, ["subjob_uid"], order, "item_no")
 
 
-def customs_xml(t: Tables, as_of: datetime, max_lines: int = PART_LINES) -> tuple[DataFrame, DataFrame]:
-    """``(doc_key, part, content)`` per house, and the houses without a partner."""
+def customs_xml(t: Tables, as_of: datetime) -> tuple[DataFrame, DataFrame]:
+    """``(doc_key, content)`` and the queue's three codes per house, and the houses without a partner."""
     c = F.col
     houses = t["subjobs"].join(t["subjob_tree"], "subjob_uid").join(
         t["jobs"].select("job_uid", "master_no", "carrier_booking_no"), "job_uid"
@@ -351,5 +349,6 @@ def customs_xml(t: Tables, as_of: datetime, max_lines: int = PART_LINES) -> tupl
 
     zero = F.lit(0).cast("long")
     lines = block(rows, 0, zero, head).unionByName(block(items, 1, c("item_no"), item)).unionByName(block(rows, 2, zero, tail))
-    docs = gather_lines(lines, "doc_key", ["sec", "no"], null_blanks_all=False, max_lines=max_lines)
-    return docs, rejects
+    docs = gather_lines(lines, "doc_key", ["sec", "no"], null_blanks_all=False)
+    codes = found.select(c("subjob_uid").alias("doc_key"), *PARTNER_KEYS)
+    return docs.join(codes, "doc_key"), rejects

@@ -26,7 +26,7 @@ from cargolens.functions.text import (
     without_last,
 )
 from cargolens.operators.joins import config_value, role_join, role_lookup
-from cargolens.operators.lists import PART_LINES, gather_lines
+from cargolens.operators.lists import gather_lines
 from cargolens.operators.numbering import assign_sequence, instalments
 from cargolens.operators.ordered import carry_forward, first_per_key, serial
 from cargolens.operators.predicates import code_map, default_consignee, trade_code
@@ -370,17 +370,14 @@ def manifest(
     carry: str = "clean",
     null_mode: str = "reference",
     first_number: int = 1,
-    max_lines: int = PART_LINES,
 ) -> DataFrame:
-    """``(doc_key, part, content)`` per master.
+    """``(doc_key, content)`` per master.
 
     ``null_mode="reference"`` makes a document NULL when one of its mandatory
     fields is missing; ``"blank"`` leaves that line empty.
     """
     lines = manifest_lines(t, shipment_id, carry, first_number).all()
-    return gather_lines(
-        lines, "doc_key", ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference", max_lines=max_lines
-    )
+    return gather_lines(lines, "doc_key", ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference")
 
 
 def manifest_counters(t: Tables, as_of_order: str = "id") -> DataFrame:

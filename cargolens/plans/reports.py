@@ -2,7 +2,7 @@
 
 Every function takes a mapping of table name to DataFrame. Keys that the
 single-call form takes as a parameter stay as columns; filter on them for one
-key. Report rows are the result; JSON replies are built from them in parts of
+key. Report rows are the result; JSON replies are built from them as
 bounded size.
 """
 
@@ -24,7 +24,7 @@ from cargolens.functions.text import (
 )
 from cargolens.operators.aggregates import margin_pct, signed_ledger, status_counts
 from cargolens.operators.joins import left_join_agg, membership_flags, role_join
-from cargolens.operators.lists import count_by_code, nest, string_list
+from cargolens.operators.lists import count_by_code, json_item, nest, string_list, text_rows
 from cargolens.operators.ordered import serial
 from cargolens.operators.predicates import (
     booking_state,
@@ -40,8 +40,6 @@ from cargolens.operators.predicates import (
 
 Tables = Mapping[str, DataFrame]
 
-#: Most report rows in one JSON reply.
-REPLY_ROWS = 50_000
 
 
 # ---- daily status --------------------------------------------------------
@@ -88,11 +86,7 @@ STATUS_COLUMNS = ["id", *STATUS_FIELDS, "hsCode", "noOfContainers", "containerNu
 
 
 def daily_status(t: Tables, days: int, as_of: date, login: int | None = None) -> DataFrame:
-    """One row per login and recent shipment.
-
-    ``part`` is 1; a shipment with more containers than one list may hold
-    repeats with the further parts of its container numbers.
-    """
+    """One row per login and recent shipment."""
     logins = optional_eq(t["user_customers"], "registration_no", login).select("registration_no", "customer_id")
     users = t["users"].select(F.col("id").alias("registration_no"))
     recent = lookback(t["shipment_list"], "shipment_date", days, as_of)
@@ -123,7 +117,6 @@ def daily_status(t: Tables, days: int, as_of: date, login: int | None = None) ->
         cols.append((short_upper_date(value) if field in SHORT_DATES else value).alias(field))
     return shown.select(
         "login",
-        F.coalesce("part", F.lit(1)).cast("long").alias("part"),
         F.col("_serial").alias("id"),
         *cols,
         F.lit("").alias("hsCode"),
@@ -132,19 +125,17 @@ def daily_status(t: Tables, days: int, as_of: date, login: int | None = None) ->
     )
 
 
-def daily_status_envelope(
-    t: Tables, days: int, as_of: date, preferences: bool = True, max_rows: int = REPLY_ROWS
-) -> DataFrame:
-    """JSON reply per login and part: rows, column preferences, mail triggers.
+def daily_status_envelope(t: Tables, days: int, as_of: date, preferences: bool = True) -> DataFrame:
+    """JSON reply per login as rows ``(login, pos, text)``: rows, column preferences, mail triggers.
 
-    Without ``preferences`` the reply is the older plain array.
+    Without ``preferences`` the reply is the older plain array. The texts of a
+    login in order of ``pos`` are its reply.
     """
-    rows = daily_status(t, days, as_of).withColumnRenamed("part", "list_part")
-    fields = {c: c for c in STATUS_COLUMNS}
-    data = nest(rows, ["login"], ["id", "list_part"], fields, "data", max_items=max_rows)
-    data = data.withColumn("data", json_text(F.col("data")))
-    out = t["users"].select(F.col("id").alias("login")).join(data, "login", "left")
-    reply = F.col("data")
+    rows = daily_status(t, days, as_of)
+    items = rows.select("login", F.col("id").alias("pos"), json_item("id", {c: c for c in STATUS_COLUMNS}).alias("text"))
+    shown = rows.select("login").distinct().withColumn("_shown", F.lit(True))
+    out = t["users"].select(F.col("id").alias("login")).join(shown, "login", "left")
+    head, tail = F.lit("["), F.lit("]")
     if preferences:
         columns = t["user_preferences"].groupBy(F.col("web_user_master_id").alias("login")).agg(
             F.min("column_preferences").alias("_columns")
@@ -163,19 +154,15 @@ def daily_status_envelope(
         )
         out = out.join(columns, "login", "left").join(triggers, "login", "left")
         none = F.lit("null")
-        reply = F.concat(
-            F.lit('{"userColumns":'),
-            F.coalesce("_columns", none),
-            F.lit(',"data":'),
-            F.col("data"),
-            F.lit(',"userTrigger":'),
-            F.coalesce("_triggers", none),
-            F.lit("}"),
-        )
+        head = F.concat(F.lit('{"userColumns":'), F.coalesce("_columns", none), F.lit(',"data":['))
+        tail = F.concat(F.lit('],"userTrigger":'), F.coalesce("_triggers", none), F.lit("}"))
     missing = F.lit('{"Status":"Error","Message":"Shipment List not available"}')
-    return out.select(
-        "login", F.coalesce("part", F.lit(1)).cast("long").alias("part"), F.coalesce(reply, missing).alias("reply")
+    heads = out.select(
+        "login",
+        F.when(F.col("_shown"), head).otherwise(missing).alias("head"),
+        F.when(F.col("_shown"), tail).alias("tail"),
     )
+    return text_rows(heads, items, ["login"])
 
 
 # ---- inbound files -------------------------------------------------------
@@ -184,9 +171,14 @@ def daily_status_envelope(
 def inbound_log(t: Tables, search: str | None, as_of: date, frm: date | None = None, to: date | None = None) -> DataFrame:
     """Received files with their jobs and house counts, numbered per source."""
     files = search_contains(date_window(t["inbound_files"], "received_at", as_of, frm, to), "file_name", search)
+    # only what belongs to the files found is aggregated
+    wanted = files.select(F.col("id").alias("source_reference_id"))
+    masters = t["inbound_masters"].select("id", "source_reference_id", "master_uid", "obl_number")
+    masters = masters.join(wanted, "source_reference_id", "left_semi")
+    houses = t["inbound_shipments"].select("id", "inbound_master_id")
     masters = left_join_agg(
-        t["inbound_masters"].select("id", "source_reference_id", "master_uid", "obl_number"),
-        t["inbound_shipments"],
+        masters,
+        houses.join(masters.select(F.col("id").alias("inbound_master_id")), "inbound_master_id", "left_semi"),
         {"id": "inbound_master_id"},
         {"_houses": F.count("id")},
     ).drop("id")
@@ -216,24 +208,28 @@ def inbound_kpi(t: Tables, search: str | None, as_of: date, frm: date | None = N
 
 
 def inbound_monitor(
-    t: Tables, search: str | None, now: datetime, frm: date | None = None, to: date | None = None, max_rows: int = REPLY_ROWS
+    t: Tables, search: str | None, now: datetime, frm: date | None = None, to: date | None = None
 ) -> DataFrame:
-    """JSON reply per source and part: counts and file log."""
+    """JSON reply per source as rows ``(source, pos, text)``: counts and file log."""
     log = inbound_log(t, search, now.date(), frm, to)
     fields = {c: c for c in log.columns if c != "source"}
-    listed = nest(log, ["source"], ["serialNo"], fields, "files", max_items=max_rows)
+    items = log.select("source", F.col("serialNo").alias("pos"), json_item("serialNo", fields).alias("text"))
     kpi = inbound_kpi(t, search, now.date(), frm, to)
-    sources = t["inbound_files"].select("source").distinct()
-    rows = sources.join(listed, "source", "left")
     stamp = F.date_format(F.lit(now).cast("timestamp_ntz"), REPLY_STAMP)
-    empty = F.expr("cast(array() as " + listed.schema["files"].dataType.simpleString() + ")")
     result = F.struct(
-        *[kpi.select(c).scalar().alias(c) for c in kpi.columns],
+        *[F.col(c) for c in kpi.columns],
         stamp.alias("lastSyncTime"),
-        F.coalesce("files", empty).alias("fileProcessingLog"),
+        F.array().cast("array<string>").alias("fileProcessingLog"),
+    )
+    reply = kpi.select(success_reply(result, stamp).alias("r")).scalar()
+    heads = t["inbound_files"].select("source").distinct().withColumn("_reply", reply)
+    # the files go between the brackets of the empty log
+    heads = heads.select(
+        "source",
+        F.concat(F.substring_index("_reply", "[]", 1), F.lit("[")).alias("head"),
+        F.concat(F.lit("]"), F.substring_index("_reply", "[]", -1)).alias("tail"),
     )
-    reply = success_reply(result, stamp)
-    return rows.select("source", F.coalesce("part", F.lit(1)).cast("long").alias("part"), reply.alias("reply"))
+    return text_rows(heads, items, ["source"])
 
 
 def success_reply(result: Column, stamp: Column) -> Column:
@@ -433,8 +429,8 @@ def wip_finance(
 # ---- users ---------------------------------------------------------------
 
 
-def user_bundle(t: Tables, max_items: int = 100_000) -> DataFrame:
-    """Active users with their customers and modules, as JSON arrays in parts."""
+def user_bundle(t: Tables) -> DataFrame:
+    """Active users with their customers and modules, as JSON arrays."""
     mapped = t["user_customers"].join(t["customers"], F.col("customer_id") == F.col("id"), "left")
     customers = nest(
         mapped,
@@ -443,20 +439,16 @@ def user_bundle(t: Tables, max_items: int = 100_000) -> DataFrame:
         {"customerCode": "customer_uid", "customerName": "name", "companyCode": "company_code"},
         "customers",
         where=F.col("id").isNotNull(),
-        max_items=max_items,
     ).withColumnRenamed("registration_no", "id")
     allowed = t["user_modules"].join(t["modules"], F.col("module_id") == F.col("id")).drop("id")
-    modules = nest(
-        allowed, ["master_id"], ["module_id"], {"label": "label", "path": "path"}, "modules", max_items=max_items
-    ).withColumnRenamed("master_id", "id")
-    lists = customers.join(modules, ["id", "part"], "full")
+    modules = nest(allowed, ["master_id"], ["module_id"], {"label": "label", "path": "path"}, "modules")
+    lists = customers.join(modules.withColumnRenamed("master_id", "id"), "id", "full")
     users = t["users"].filter("lov_status = 'Active'")
     rows = users.join(lists, "id", "left")
     return rows.select(
         F.col("user_id").alias("userName"),
         "email",
         F.base64("company_logo").alias("companyLogo"),
-        F.coalesce("part", F.lit(1)).cast("long").alias("part"),
         F.coalesce(json_text(F.col("customers")), F.lit("[]")).alias("customers"),
         F.coalesce(json_text(F.col("modules")), F.lit("[]")).alias("modules"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +74,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Frees what is staged inside, once its results are written."""
+    known = _STAGED.setdefault(spark.sparkContext.applicationId, [])
+    before = set(known)
+    try:
+        yield
+    finally:
+        for path in [p for p in known if p not in before]:
+            delete_path(spark, path)
+            known.remove(path)
+
+
 def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete these staged tables, or all that this application staged."""
     known = _STAGED.get(spark.sparkContext.applicationId, [])

@@ -56,19 +56,20 @@ def to_outbox(
     """Queue rows for rendered documents, numbered after the largest prior id.
 
     One writer per batch: two batches numbered from the same prior table would
-    clash. A document in several parts gives one file per part.
+    clash. Only the keys are numbered. The columns are the same for every kind
+    of document; codes that one does not have are NULL.
     """
-    numbered = serial(docs, [], [key, "part"], "_n")
+    numbered = docs.join(serial(docs.select(key), [], [key], "_n"), key)
     first = next_id(prior, "file_uid")
-    suffix = F.when(F.col("part") > 1, F.concat(F.lit("_"), F.col("part").cast("string"))).otherwise("")
+    codes = ("company_code", "branch_code", "location_code")
     return numbered.select(
         F.lit(user).alias("create_user"),
         F.lit(as_of).cast("timestamp_ntz").alias("create_date"),
         F.lit(user).alias("run_user"),
         F.lit(as_of).cast("timestamp_ntz").alias("run_date"),
-        *[c for c in ("company_code", "branch_code", "location_code") if c in docs.columns],
+        *[(F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(c) for c in codes],
         (first + F.col("_n") - 1).alias("file_uid"),
-        F.concat(F.lit(prefix), F.col(key).cast("string"), suffix, F.lit(".txt")).alias("file_name"),
+        F.concat(F.lit(prefix), F.col(key).cast("string"), F.lit(".txt")).alias("file_name"),
         F.encode("content", "utf-8").alias("file_content"),
         F.lit("NEW").alias("status"),
         F.lit(0).alias("attempt"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cargolens.operators.commands import Feed, apply_commands, parse_commands
+from cargolens.session import scratch
 
 COMMAND_SCHEMA = "seq long, method string, payload string"
 
@@ -20,11 +21,12 @@ def apply_batch(batch: DataFrame, batch_id: int, base: DataFrame, out_dir: str,
     if batch_id > 0:
         path = state_path(out_dir, batch_id)
         base = spark.read.schema(base.schema).parquet(path)
-    ok, rejects = parse_commands(batch, feed)
-    state, statuses = apply_commands(base, ok, feed)
-    replies = statuses.select("seq", "method", "status").unionByName(rejects.select("seq", "method", "status"))
-    replies.write.mode("overwrite").parquet(f"{out_dir}/replies/batch_id={batch_id}")
-    state.write.mode("overwrite").parquet(state_path(out_dir, batch_id + 1))
+    with scratch(spark):
+        ok, rejects = parse_commands(batch, feed)
+        state, statuses = apply_commands(base, ok, feed)
+        replies = statuses.select("seq", "method", "status").unionByName(rejects.select("seq", "method", "status"))
+        replies.write.mode("overwrite").parquet(f"{out_dir}/replies/batch_id={batch_id}")
+        state.write.mode("overwrite").parquet(state_path(out_dir, batch_id + 1))
 
 
 def upsert_stream(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cargolens.operators.xml_shred import cast_rejects, parse_messages, shred, split_malformed
-from cargolens.session import staged
+from cargolens.session import scratch, staged
 from cargolens.sources.inbox import processing_log
 
 # Fixed value: process type written to the log.
@@ -26,6 +26,11 @@ def write_tables(tables: dict[str, DataFrame], base: str, batch_id: int) -> None
 
 
 def shred_batch(batch: DataFrame, batch_id: int, out_dir: str, as_of: datetime) -> None:
+    with scratch(batch.sparkSession):
+        _shred_batch(batch, batch_id, out_dir, as_of)
+
+
+def _shred_batch(batch: DataFrame, batch_id: int, out_dir: str, as_of: datetime) -> None:
     parsed = staged(parse_messages(batch.select("id", "xml_data")), "messages")
     good, bad = split_malformed(parsed)
     stamp = F.lit(as_of).cast("timestamp_ntz").alias("processed_at")

@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
@@ -17,6 +17,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         # keep all partitions, so that ordered operators meet several of them
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

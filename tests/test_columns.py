@@ -25,11 +25,14 @@ def files(spark):
     return spark.createDataFrame(rows, "id int, name string, ts timestamp_ntz")
 
 
-def test_search(files):
+def test_search(spark, files):
     assert ids(p.search_contains(files, "name", "abc")) == [1]
     assert ids(p.search_contains(files, "name", "abc", upper=False)) == [2]
     assert ids(p.search_contains(files, "name", "")) == [1, 2]
     assert ids(p.search_contains(files, "name", None)) == []
+    odd = spark.createDataFrame([(1, "A_B"), (2, "AXB"), (3, "A%B"), (4, "A\\B"), (5, "A\\_B")], "id long, name string")
+    found = {q: ids(p.search_contains(odd, "name", q)) for q in ("a_b", "a%b", r"a\_b", r"a\%b", r"a\\b", r"a\b", "\\")}
+    assert found == {"a_b": [1, 2, 3, 4], "a%b": [1, 2, 3, 4, 5], r"a\_b": [1], r"a\%b": [3], r"a\\b": [4], r"a\b": [], "\\": []}
 
 
 def test_date_filters(files):

@@ -106,14 +106,12 @@ def test_message_530(tables_530):
     assert [r.did for r in rejects.collect()] == [3]
 
 
-@pytest.mark.parametrize("max_lines", [100, 2])
-def test_message_530_batched(tables_530, max_lines):
-    out, _ = docs.message_530_batched(tables_530, NOW, max_lines=max_lines)
-    rows = out.orderBy("part").collect()
-    assert {r.doc_key for r in rows} == {"SND/RCV"}
-    text = "\n".join(r.content for r in rows).split("\n")
+def test_message_530_batched(tables_530):
+    out, _ = docs.message_530_batched(tables_530, NOW)
+    rows = out.orderBy("pos").collect()
+    assert {r.doc_key for r in rows} == {"SND/RCV"} and [r.pos for r in rows] == [0, 1, 2, 3]
+    text = "\n".join(r.line for r in rows).split("\n")
     assert [s for s in text if s.startswith(("ST", "SE", "GE"))] == ["ST*530*0001", "SE*4*0001", "ST*530*0002", "SE*4*0002", "GE*2*1"]
-    assert len(rows) == (1 if max_lines == 100 else 2)
 
 
 def test_customs_xml(spark, shared):
@@ -180,8 +178,6 @@ def test_customs_xml(spark, shared):
     assert root.findtext(".//Declarant/Communication/identifier") == "d@example.com"
     bare = ET.fromstring(got[3].encode())
     assert bare.findall(".//GoodsItem") == [] and bare.findtext(".//totalGrossMass") == ""
-    parts = docs.customs_xml(t, NOW, max_lines=2)[0].filter("doc_key = 1").orderBy("part").collect()
-    assert [r.part for r in parts] == [1, 2] and "\n".join(r.content for r in parts) == got[1]
 
 
 # ---- sea manifest --------------------------------------------------------
@@ -327,13 +323,6 @@ def test_manifest_null_and_single_shipment(spark, shared, lines):
     assert "" in blank["MA"].split("\n")
 
 
-def test_manifest_in_parts(lines):
-    t, out = lines
-    rows = man.manifest(t, max_lines=3).orderBy("doc_key", "part").collect()
-    assert "\n".join(r.content for r in rows if r.doc_key == "MA") == out["clean"]["MA"]
-    assert [r.content for r in rows if r.doc_key == "MC"] == [None]
-
-
 def test_second_cargo_row_repeats_containers(spark, shared):
     t = manifest_tables(spark, shared)
     cargo = t["shipment_cargo"]
@@ -352,7 +341,7 @@ def test_counters_after_sending(lines):
 
 
 def test_outbox_and_preview(spark, tmp_path):
-    rendered = table(spark, "doc_key long, part long, content string", (7, 1, "seven"), (8, 1, "eight"), (8, 2, "more"))
+    rendered = table(spark, "doc_key long, content string, branch_code string", (7, "seven", "B"), (8, "eight", None))
     prior = table(spark, "file_uid long", (41,), (12,))
     assert render(rendered, None, prior, NOW, "EDI_") is rendered
     assert render(rendered, "Y", prior, NOW, "EDI_") is rendered
@@ -360,7 +349,8 @@ def test_outbox_and_preview(spark, tmp_path):
     render(rendered, "N", prior, NOW, "EDI_", out)
     rows = spark.read.parquet(out).orderBy("file_uid").collect()
     assert [(r.file_uid, r.file_name, bytes(r.file_content), r.status, r.attempt) for r in rows] == [
-        (42, "EDI_7.txt", b"seven", "NEW", 0), (43, "EDI_8.txt", b"eight", "NEW", 0), (44, "EDI_8_2.txt", b"more", "NEW", 0),
+        (42, "EDI_7.txt", b"seven", "NEW", 0), (43, "EDI_8.txt", b"eight", "NEW", 0),
     ]
+    assert [(r.company_code, r.branch_code, r.location_code) for r in rows] == [(None, "B", None), (None, None, None)]
     empty = to_outbox(rendered, prior.filter("false"), NOW, "X")
-    assert sorted(r.file_uid for r in empty.collect()) == [1, 2, 3]
+    assert sorted(r.file_uid for r in empty.collect()) == [1, 2]

@@ -1,5 +1,6 @@
 """Ordered operators on the range path, checked by brute force."""
 
+import json
 import random
 
 import pytest
@@ -27,11 +28,10 @@ def by_key(rows):
     return {k: sorted(g) for k, g in groups.items()}
 
 
-@pytest.mark.parametrize("group_rows", [None, 10])
-def test_serial_per_key(spark, group_rows):
+def test_serial_per_key(spark):
     rows, df = skewed(spark)
     want = {(k, seq): i + 1 for k, g in by_key(rows).items() for i, (seq, _) in enumerate(g)}
-    out = ordered.serial(df, ["k"], ["seq"], "n", group_rows=group_rows)
+    out = ordered.serial(df, ["k"], ["seq"], "n")
     assert out.columns == ["k", "seq", "v", "n"]
     assert {(r.k, r.seq): r.n for r in out.collect()} == want
 
@@ -50,9 +50,8 @@ def test_serial_whole_table(spark):
     assert {r.seq: r.sequence_no for r in out.collect()} == want
 
 
-@pytest.mark.parametrize("group_rows", [None, 10])
 @pytest.mark.parametrize("include_current", [True, False])
-def test_carry_forward(spark, group_rows, include_current):
+def test_carry_forward(spark, include_current):
     rows, df = skewed(spark, seed=7)
     want = {}
     for k, g in by_key(rows).items():
@@ -62,7 +61,7 @@ def test_carry_forward(spark, group_rows, include_current):
             last = v if v is not None else last
             want[(k, seq)] = last if include_current else before
     value = F.when(F.col("v").isNotNull(), F.struct("v"))
-    out = ordered.carry_forward(df, ["k"], ["seq"], value, "c", include_current, group_rows)
+    out = ordered.carry_forward(df, ["k"], ["seq"], value, "c", include_current)
     assert {(r.k, r.seq): r.c.v if r.c else None for r in out.collect()} == want
 
 
@@ -80,18 +79,22 @@ def test_first_per_key(spark):
     assert sorted((r.k, r.o, r.v) for r in out.collect()) == [(1, 2, None), (2, 1, "z")]
 
 
-def test_lists_are_split_and_whole(spark):
+def test_lists_are_whole(spark):
     rows, df = skewed(spark)
     named = df.withColumn("text", F.format_string("%05d", "seq")).filter("k is not null")
-    out = lists.string_list(named, ["k"], "text", "l", max_items=25)
-    want = {k: [f"{s:05d}" for s, _ in g] for k, g in by_key(rows).items() if k}
-    got = {}
-    for r in out.orderBy("k", "part").collect():
-        items = r.l.split(",")
-        assert len(items) <= 25
-        got.setdefault(r.k, []).extend(items)
-    assert got == want
-    assert out.filter("k = 'hot'").count() == -(-len(want["hot"]) // 25)
+    got = {r.k: r.l for r in lists.string_list(named, ["k"], "text", "l").collect()}
+    assert got == {k: ",".join(f"{s:05d}" for s, _ in g) for k, g in by_key(rows).items() if k}
+
+
+def test_array_rows_are_one_array(spark):
+    rows, df = skewed(spark)
+    out = lists.array_rows(df, ["k"], ["seq"], {"s": "seq", "v": "v"}, F.col("seq") % 2 == 0)
+    texts = {}
+    for r in sorted(out.collect(), key=lambda r: r.pos):
+        texts.setdefault(r.k, []).append(r.text)
+    assert {k: len(t) for k, t in texts.items()} == {k: 2 + sum(s % 2 == 0 for s, _ in g) for k, g in by_key(rows).items()}
+    for k, g in by_key(rows).items():
+        assert json.loads("".join(texts[k])) == [{"s": s, "v": v} for s, v in g if s % 2 == 0]
 
 
 def test_nest_keeps_keys_without_items(spark):
@@ -106,23 +109,21 @@ def test_count_by_code(spark):
     assert {r.k: r.l for r in out.collect()} == {1: "2*20GP,1*40HC", 2: None}
 
 
-@pytest.mark.parametrize("max_lines", [100, 2])
-def test_gather_lines_null_blanks_the_document(spark, max_lines):
+def test_gather_lines_null_blanks_the_document(spark):
     rows = [("a", 1, "x"), ("a", 2, None), ("a", 3, "z"), ("b", 2, "two"), ("b", 1, "one"), ("b", 3, "three")]
     df = spark.createDataFrame(rows, "k string, o int, line string")
-    out = lists.gather_lines(df, "k", ["o"], max_lines=max_lines).orderBy("k", "part").collect()
+    out = lists.gather_lines(df, "k", ["o"]).collect()
     assert [r.content for r in out if r.k == "a"] == [None]
     assert "\n".join(r.content for r in out if r.k == "b") == "one\ntwo\nthree"
     kept = lists.gather_lines(df, "k", ["o"], null_blanks_all=False).filter("k = 'a'").first()
     assert kept.content == "x\n\nz"
 
 
-@pytest.mark.parametrize("group_rows", [None, 3])
-def test_instalments(spark, group_rows):
+def test_instalments(spark):
     sends = [("m", "r", i) for i in range(1, 9)] + [("p", "r", 1), ("p", "r", 2), ("m", None, 20), ("m", None, 21)]
     prior = spark.createDataFrame([("p", "r", 4), ("q", "r", 9), ("m", None, 3)], "m string, r string, instalment_no long")
     df = spark.createDataFrame(sends, "m string, r string, seq long")
-    out, state = instalments(df, prior, ["m", "r"], "seq", group_rows=group_rows)
+    out, state = instalments(df, prior, ["m", "r"], "seq")
     got = {}
     for row in out.orderBy("seq").collect():
         got.setdefault((row.m, row.r), []).append(row.instalment_no)

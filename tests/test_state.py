@@ -43,8 +43,7 @@ def replay(base, rows):
     return state, replies
 
 
-@pytest.mark.parametrize("group_rows", [None, 20])
-def test_batch_equals_one_by_one(spark, group_rows):
+def test_batch_equals_one_by_one(spark):
     rnd = random.Random(3)
     rows = []
     for seq in range(300):
@@ -54,7 +53,7 @@ def test_batch_equals_one_by_one(spark, group_rows):
     base = spark.createDataFrame([base_row(k) for k in (1, 2, 50)], TRIGGER_DDL)
     feed = spark.createDataFrame([(s, m, trigger(k, u)) for s, m, k, u in rows], "seq long, method string, payload string")
     ok, rejects = cmd.parse_commands(feed.repartition(5), cmd.TRIGGERS)
-    state, statuses = cmd.apply_commands(base, ok, cmd.TRIGGERS, group_rows)
+    state, statuses = cmd.apply_commands(base, ok, cmd.TRIGGERS)
     assert rejects.count() == 0
     assert {r.web_user_master_id: (r.created_user, r.mail_id[0]) for r in state.collect()} == want_state
     assert {r.seq: r.status for r in statuses.collect()} == want_replies
