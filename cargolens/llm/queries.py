@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import bpe, chat_format, fingerprint, langid, mixing, secrets, simhash, substring_dedup, topk, warc
+from cargolens.llm import bpe, chat_format, fingerprint, langid, mixing, reachable, secrets, simhash, substring_dedup, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +21,11 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reachable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return fn

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import bpe, langid, mixing, secrets, simhash
+from cargolens.llm import bpe, langid, mixing, reachable, secrets, simhash
 from cargolens.session import scratch_path
 
 #: Rank file of the tokenizer.
@@ -60,6 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
+    reachable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
