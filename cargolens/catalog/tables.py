@@ -196,14 +196,14 @@ def _build_messages(t: StandIns) -> DataFrame:
     return rows.select(F.col("o_orderkey").alias("id"), F.expr(text).alias("xml_data"))
 
 
-def _oracle_columns(name: str, spec) -> str:
+def _oracle_columns(name: str, spec, decimals: str = "cast({} as double)") -> str:
     cols = []
     for c, (_, ty) in spec.items():
         v = VALUES[name][c]
         if ty == xs.TIME:
             v = f"strftime({v}, '%Y-%m-%d %H:%M:%S')"
         elif ty == xs.DEC:
-            v = f"cast({v} as double)"
+            v = decimals.format(v)
         elif ty == xs.INT:
             v = f"cast({v} as bigint)"
         cols.append(f"{v} as {c}")
@@ -212,17 +212,26 @@ def _oracle_columns(name: str, spec) -> str:
 
 _ORDERS = "(select *, o_totalprice as amount from orders)"
 _MID = "'M' || o_orderkey as message_id"
-TABLE_SQL = {
-    "manifest_headers": f"select {_oracle_columns('manifest_headers', xs.HEADER)} from {_ORDERS}",
-    "master_shipments": f"select {_MID}, {_oracle_columns('master_shipments', xs.MASTER)} from {_ORDERS}",
-    "routing_info": f"select {_MID}, {_oracle_columns('routing_info', xs.ROUTING)} from {_ORDERS}",
-    "containers": f"select {_MID}, {_oracle_columns('containers', xs.CONTAINER)} from ({LINES})",
-    "house_bills": f"select {_MID}, {_oracle_columns('house_bills', xs.HOUSE)} from ({LINES}) where {IS_HOUSE}",
-    "house_containers": f"""select {_MID}, {VALUES['house_bills']['hbl_number']} as hbl_number,
-        {_oracle_columns('house_containers', xs.HOUSE_CONTAINER)}
-        from ({LINES}), (select unnest([1, 2]) as k) where {IS_HOUSE} and k <= l_linenumber % 3""",
-    "shipping_parties": f"select {_MID}, {_oracle_columns('shipping_parties', xs.PARTY)} from ({LINES}) where {IS_PARTY}",
-}
+
+
+def _table_sql(decimals: str) -> dict[str, str]:
+    def columns(name: str) -> str:
+        return _oracle_columns(name, xs.HOUSE_CONTAINER if name == "house_containers" else xs.TABLES[name], decimals)
+
+    return {
+        "manifest_headers": f"select {columns('manifest_headers')} from {_ORDERS}",
+        "master_shipments": f"select {_MID}, {columns('master_shipments')} from {_ORDERS}",
+        "routing_info": f"select {_MID}, {columns('routing_info')} from {_ORDERS}",
+        "containers": f"select {_MID}, {columns('containers')} from ({LINES})",
+        "house_bills": f"select {_MID}, {columns('house_bills')} from ({LINES}) where {IS_HOUSE}",
+        "house_containers": f"""select {_MID}, {VALUES['house_bills']['hbl_number']} as hbl_number,
+            {columns('house_containers')}
+            from ({LINES}), (select unnest([1, 2]) as k) where {IS_HOUSE} and k <= l_linenumber % 3""",
+        "shipping_parties": f"select {_MID}, {columns('shipping_parties')} from ({LINES}) where {IS_PARTY}",
+    }
+
+
+TABLE_SQL = _table_sql("cast({} as double)")
 KEYS = {
     "manifest_headers": "xml_header",
     "master_shipments": "xml_master",
@@ -234,9 +243,12 @@ KEYS = {
 }
 
 
+def _parsed(t: StandIns, *tables: str) -> DataFrame:
+    return xs.split_malformed(xs.parse_messages(manifest_messages(t), tables=tables))[0]
+
+
 def _shredded(t: StandIns, name: str) -> DataFrame:
-    good, _ = xs.split_malformed(xs.parse_messages(manifest_messages(t)))
-    return plain(xs.shred_table(good, name, NOW))
+    return plain(xs.shred_table(_parsed(t, name), name, NOW))
 
 
 for _name, _key in KEYS.items():
@@ -257,56 +269,77 @@ def _(t):
         from ({LINES}) where {IS_HOUSE} group by 1""",
 )
 def _(t):
-    good, _ = xs.split_malformed(xs.parse_messages(manifest_messages(t)))
+    good = _parsed(t, "house_bills", "house_containers")
     houses = xs.shred_table(good, "house_bills", NOW).groupBy("message_id").agg(F.count(F.lit(1)).alias("houses"))
     boxes = xs.shred_table(good, "house_containers", NOW).groupBy("message_id").agg(F.count(F.lit(1)).alias("boxes"))
     return houses.join(boxes, "message_id", "left").withColumn("boxes", F.coalesce("boxes", F.lit(0)))
 
 
-@query(
-    "xml_scalar_paths",
-    "select 'M' || o_orderkey as message_id, 'R&D <' || o_custkey || '>' as receiver_code, case when o_orderkey % 5 <> 0 then '1.0' end as version from orders",
+# All nine paths of the header at once.
+query("xml_scalar_paths", TABLE_SQL["manifest_headers"].replace(", '2001-08-01 06:00:00' as processed_at", ""))(
+    lambda t: plain(
+        xs.shred_scalar(
+            _parsed(t, "manifest_headers"), {c: (f"Header/{path}", ty) for c, (path, ty) in xs.HEADER.items()}
+        )
+    )
 )
-def _(t):
-    spec = {c: ("//Header/" + xs.HEADER[c][0], xs.HEADER[c][1]) for c in ("message_id", "receiver_code", "version")}
-    return xs.shred_scalar(manifest_messages(t), "xml_data", spec)
 
 
-# Missing manifest numbers move later ones up: the n-th present one goes to the n-th container.
-@query(
-    "xml_containers_lockstep",
-    f"""with l as ({LINES}), m as (select o_orderkey, manifest_no, row_number() over (partition by o_orderkey order by pos) as pos
-          from (select *, {VALUES['containers']['manifest_no']} as manifest_no from l) where manifest_no is not null)
-        select 'M' || l.o_orderkey as message_id, 'container_type-' || l.l_partkey as container_type, m.manifest_no
-        from l left join m on m.o_orderkey = l.o_orderkey and m.pos = l.pos""",
-)
-def _(t):
-    out = xs.shred_lockstep(manifest_messages(t), "xml_data", "containers", NOW)
-    return out.select("message_id", "container_type", "manifest_no")
+def _lockstep_sql(name: str) -> str:
+    """The n-th present value of each column of a message stands in its n-th row."""
+    spec, counted = xs.TABLES[name], []
+    where = {"house_bills": IS_HOUSE, "house_containers": f"{IS_HOUSE} and k <= l_linenumber % 3", "shipping_parties": IS_PARTY}
+    for c, (_, ty) in spec.items():
+        boxes = name == "house_containers" and c != "hbl_number"
+        rows = "b" if boxes else "l"
+        value = VALUES["house_bills" if name == "house_containers" and not boxes else name][c]
+        kept = where.get(name if boxes or name != "house_containers" else "house_bills", "true")
+        order = "pos, k" if boxes else "pos"
+        if ty == xs.DEC:
+            value = f"cast({value} as double)"
+        elif ty == xs.INT:
+            value = f"cast({value} as bigint)"
+        counted.append(
+            f"c_{c} as (select o_orderkey, row_number() over (partition by o_orderkey order by {order}) as n, v from "
+            f"(select *, {value} as v from {rows} where {kept}) where v is not null)"
+        )
+    every = " union ".join(f"select o_orderkey, n from c_{c}" for c in spec)
+    shown = ", ".join(f"c_{c}.v as {c}" for c in spec)
+    joins = " ".join(f"left join c_{c} on c_{c}.o_orderkey = a.o_orderkey and c_{c}.n = a.n" for c in spec)
+    return f"""with l as ({LINES}), b as (select * from l, (select unnest([1, 2]) as k)), {', '.join(counted)}, a as ({every})
+        select 'M' || a.o_orderkey as message_id, {shown}, '2001-08-01 06:00:00' as processed_at from a {joins}"""
 
 
-# The n-th house of a message meets the n-th house container of the whole message.
-@query(
-    "xml_house_containers_lockstep",
-    f"""with l as ({LINES}), h as (select *, row_number() over (partition by o_orderkey order by pos) as n from l where {IS_HOUSE}),
-          b as (select o_orderkey, 'CN' || l_partkey || '-' || k as box, row_number() over (partition by o_orderkey order by pos, k) as n
-                from l, (select unnest([1, 2]) as k) where {IS_HOUSE} and k <= l_linenumber % 3)
-        select 'M' || coalesce(h.o_orderkey, b.o_orderkey) as message_id,
-               'H' || l_orderkey || '-' || l_linenumber || '-' || l_partkey as hbl_number, b.box as master_container_number
-        from h full join b on h.o_orderkey = b.o_orderkey and h.n = b.n""",
-)
-def _(t):
-    out = xs.shred_lockstep(manifest_messages(t), "xml_data", "house_containers", NOW)
-    return out.select("message_id", "hbl_number", "master_container_number")
+for _name, _key in {
+    "containers": "xml_containers_lockstep",
+    "house_bills": "xml_house_bills_lockstep",
+    "house_containers": "xml_house_containers_lockstep",
+    "shipping_parties": "xml_parties_lockstep",
+}.items():
+    query(_key, _lockstep_sql(_name))(lambda t, name=_name: plain(xs.shred_lockstep(_parsed(t, name), name, NOW)))
 
 
+# Rows of all seven tables, with what was quarantined, rejected and logged.
 @query(
     "stream_xml_shred",
-    f"select message_id, container_number, piece_count, weight_kg from ({TABLE_SQL['containers']})",
+    " union all ".join(
+        f"select '{_name}' as table_name, message_id, cast(to_json({_name}) as varchar) as content from ({_sql}) as {_name}"
+        for _name, _sql in _table_sql("cast({} as varchar)").items()
+    )
+    + """ union all select 'processing_log', null, cast(to_json(l) as varchar) from (select '2001-08-01' as process_date,
+          cast(count(*) as bigint) as records_processed, 'ETI_MANIFEST' as process_type from orders) as l""",
 )
 def _(t):
     base = scratch_path(t.spark, "shred-stream")
     manifest_messages(t).withColumn("processed", F.lit(False)).write.parquet(f"{base}/in")
     shred_stream(t.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", NOW).awaitTermination()
-    rows = t.spark.read.parquet(f"{base}/out/containers")
-    return plain(rows.select("message_id", "container_number", "piece_count", "weight_kg"))
+    out = None
+    for name in [*xs.TABLES, "quarantine", "cast_rejects", "processing_log"]:
+        rows = t.spark.read.parquet(f"{base}/out/{name}").drop("batch_id")
+        decimals = {f.name: F.col(f.name).cast("string") for f in rows.schema.fields if f.dataType.typeName() == "decimal"}
+        rows = plain(rows.withColumns(decimals))
+        key = F.col("message_id") if "message_id" in rows.columns else F.lit(None).cast("string")
+        content = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("content")
+        rows = rows.select(F.lit(name).alias("table_name"), key.alias("message_id"), content)
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -1,14 +1,18 @@
 """Manifest XML to seven relational tables.
 
-The default parses each message once into a nested struct and explodes its
-arrays, so values stay with their element. ``lockstep`` expands parallel
-value lists side by side instead: a tag missing in one element then moves the
-values of later elements up.
+Each message is parsed once into a nested struct in which every tag may be
+repeated. By default the elements are exploded, so values stay with their
+element. ``shred_lockstep`` expands parallel value lists side by side instead:
+a tag missing in one element then moves the values of later elements up.
+
+Header, master and routing give one row per message, each column the first
+value found. A message whose sections are not all where the schema looks for
+them is quarantined as a whole rather than shredded in part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -145,37 +149,87 @@ TABLES = {
 }
 
 _CORRUPT = "_malformed"
-_SECTION = r"<([\w.-]+:)?(Header|Master)[\s/>]"
+
+# Where the elements of each table stand in a message.
+ELEMENTS = {
+    "manifest_headers": ("Header",),
+    "master_shipments": ("Master",),
+    "routing_info": ("Master/Routing",),
+    "containers": ("Master/Containers/Container",),
+    "house_bills": ("Master/Houses/House",),
+    "house_containers": ("Master/Houses/House/HouseContainers/HouseContainer",),
+    "shipping_parties": (
+        "Master/Houses/House/ShippingParties/ShippingParty",
+        "Master/ShippingParties/ShippingParty",
+        "ShippingParties/ShippingParty",
+    ),
+}
+#: Tables with one row per message, whose columns take the first value found.
+SINGLE = ("manifest_headers", "master_shipments", "routing_info")
+MESSAGE_ID = "Header/MessageID"
+HOUSE_NUMBER = "Master/Houses/House/HBLNumber"
+
+
+def _leaves(tables: Iterable[str]) -> list[str]:
+    """Paths of all values that the tables need."""
+    paths = [MESSAGE_ID]
+    for name in tables:
+        spec = HOUSE_CONTAINER if name == "house_containers" else TABLES[name]
+        paths += [f"{element}/{path}" for element in ELEMENTS[name] for path, _ in spec.values()]
+        if name == "house_containers":
+            paths.append(HOUSE_NUMBER)
+    return list(dict.fromkeys(paths))
+
+
+def message_schema(tables: Iterable[str] = TABLES) -> str:
+    """DDL of a message cut to what the tables need; all values are lists of text."""
+    tree: dict = {}
+    for path in _leaves(tables):
+        node = tree
+        for tag in path.split("/"):
+            node = node.setdefault(tag, {})
+
+    def ddl(node: dict) -> str:
+        return ", ".join(f"{tag}: array<{f'struct<{ddl(sub)}>' if sub else 'string'}>" for tag, sub in node.items())
+
+    return f"struct<{ddl(tree)}, {_CORRUPT}: string>"
+
+
+def _under(parents: Column, path: str) -> Column:
+    """All elements, or values, that a path leads to from an array of elements."""
+    for tag in path.split("/"):
+        parents = F.flatten(F.filter(parents[tag], lambda x: x.isNotNull()))
+    return parents
+
+
+def _found(path: str) -> Column:
+    """All elements, or values, at a path of the message; an empty array where there are none."""
+    tag, _, rest = path.partition("/")
+    top = F.col("msg")[tag]
+    return F.coalesce(_under(top, rest) if rest else top, F.array())
 
 
-def _struct_ddl(spec: Mapping[str, tuple[str, str]], extra: str = "") -> str:
-    """DDL of one element; all leaves are text, typed later."""
-    plain, nested = [], {}
-    for path, _ in spec.values():
-        head, _, tail = path.partition("/")
-        if tail:
-            nested.setdefault(head, []).append(tail)
-        else:
-            plain.append(f"{head}: string")
-    groups = [f"{h}: struct<{', '.join(f'{x}: string' for x in tails)}>" for h, tails in nested.items()]
-    return "struct<" + ", ".join([*plain, *groups, *([extra] if extra else [])]) + ">"
+def _texts(values: Column) -> Column:
+    return F.filter(values, lambda x: x != "")
 
 
-def message_schema() -> str:
-    parties = f"ShippingParties: struct<ShippingParty: array<{_struct_ddl(PARTY)}>>"
-    boxes = f"HouseContainers: struct<HouseContainer: array<{_struct_ddl(HOUSE_CONTAINER)}>>"
-    houses = f"Houses: struct<House: array<{_struct_ddl(HOUSE, f'{boxes}, {parties}')}>>"
-    containers = f"Containers: struct<Container: array<{_struct_ddl(CONTAINER)}>>"
-    routing = f"Routing: {_struct_ddl(ROUTING)}"
-    master = _struct_ddl(MASTER, f"{routing}, {containers}, {houses}, {parties}")
-    return f"struct<Header: {_struct_ddl(HEADER)}, Master: {master}, {parties}, {_CORRUPT}: string>"
+def _first(path: str) -> Column:
+    return F.get(_texts(_found(path)), F.lit(0))
 
 
-def parse_messages(df: DataFrame, xml_col: str = "xml_data") -> DataFrame:
-    """Add ``msg``: the whole message as one nested struct.
+def _elements(name: str) -> Column:
+    found = [_found(path) for path in ELEMENTS[name]]
+    return F.concat(*found) if len(found) > 1 else found[0]
 
-    The parse sits inside a generator: filters on its result cannot be pushed
-    below it, which would parse every message a second time.
+
+def parse_messages(df: DataFrame, xml_col: str = "xml_data", tables: Iterable[str] = TABLES) -> DataFrame:
+    """Add ``msg``: the message as one nested struct, and ``_lost``: whether it has sections that are not in there.
+
+    Only what ``tables`` need is parsed. ``_lost`` compares the opening tags
+    of their elements in the text with the elements parsed, so it also holds
+    where such tags stand in a comment. The parse sits inside a generator:
+    filters on its result cannot be pushed below it, which would parse every
+    message a second time.
     """
     options = {
         "mode": "PERMISSIVE",
@@ -183,20 +237,18 @@ def parse_messages(df: DataFrame, xml_col: str = "xml_data") -> DataFrame:
         "ignoreNamespace": "true",
         "ignoreSurroundingSpaces": "false",
     }
-    return df.withColumn("msg", F.explode(F.array(F.from_xml(xml_col, message_schema(), options))))
-
+    wanted = [t for t in TABLES if t in set(tables) | {"manifest_headers"}]
+    parsed = df.withColumn("msg", F.explode(F.array(F.from_xml(xml_col, message_schema(tables), options))))
+    tags = "|".join(ELEMENTS[t][0].rpartition("/")[2] for t in wanted)
+    opened = F.regexp_count(xml_col, F.lit(rf"<([\w.-]+:)?({tags})[\s/>]"))
+    kept = sum((F.size(_elements(t)) for t in wanted), F.lit(0))
+    return parsed.withColumn("_lost", opened != kept)
 
-def split_malformed(parsed: DataFrame, xml_col: str = "xml_data") -> tuple[DataFrame, DataFrame]:
-    """Messages that parsed, and those to quarantine; rows without XML are in neither.
 
-    A message whose header and master stand deeper than directly under the
-    root is quarantined too, rather than shredded to empty rows; the list
-    paths of ``shred_lockstep`` find them at any depth.
-    """
-    missed = F.col("msg.Header").isNull() & F.col("msg.Master").isNull() & F.col(xml_col).rlike(_SECTION)
-    bad = F.col(f"msg.{_CORRUPT}").isNotNull() | missed
-    good = parsed.filter(F.col("msg").isNotNull() & ~bad)
-    return good, parsed.filter(bad).drop("msg")
+def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages that parsed in full, and those to quarantine; rows without XML are in neither."""
+    bad = F.col(f"msg.{_CORRUPT}").isNotNull() | F.col("_lost")
+    return parsed.filter(F.col("msg").isNotNull() & ~bad), parsed.filter(bad).drop("msg", "_lost")
 
 
 def _typed(c: Column, type_: str) -> Column:
@@ -208,40 +260,26 @@ def _typed(c: Column, type_: str) -> Column:
 
 
 def _raw_table(good: DataFrame, name: str) -> DataFrame:
-    """One target table with text columns, one row per element."""
-    message_id = F.col("msg.Header.MessageID").alias("_message_id")
-    houses = "msg.Master.Houses.House"
-
-    def columns(element: str, spec) -> list[str]:
-        return [f"{element}.{path.replace('/', '.')} as {c}" for c, (path, _) in spec.items()]
-
-    def exploded(items: Column, spec) -> DataFrame:
-        return good.select(message_id, F.explode(items).alias("e")).selectExpr("_message_id", *columns("e", spec))
-
-    if name == "manifest_headers":
-        return good.selectExpr("msg.Header.MessageID as _message_id", *columns("msg.Header", HEADER))
-    if name == "master_shipments":
-        return good.selectExpr("msg.Header.MessageID as _message_id", *columns("msg.Master", MASTER))
-    if name == "routing_info":
-        return good.selectExpr("msg.Header.MessageID as _message_id", *columns("msg.Master.Routing", ROUTING))
-    if name == "containers":
-        return exploded(F.col("msg.Master.Containers.Container"), CONTAINER)
-    if name == "house_bills":
-        return exploded(F.col(houses), HOUSE)
+    """One target table with text columns, one row per message or per element."""
+    message_id = _first(MESSAGE_ID).alias("_message_id")
+    if name in SINGLE:
+        [element] = ELEMENTS[name]
+        return good.select(message_id, *[_first(f"{element}/{path}").alias(c) for c, (path, _) in TABLES[name].items()])
+
+    def value(path: str) -> Column:
+        tag, _, rest = path.partition("/")
+        values = F.col("e")[tag]
+        return F.get(_under(values, rest) if rest else values, F.lit(0))
+
+    def columns(spec) -> list[Column]:
+        return [value(path).alias(c) for c, (path, _) in spec.items()]
+
     if name == "house_containers":
-        rows = good.select(message_id, F.explode(houses).alias("h"))
-        boxes = F.explode("h.HouseContainers.HouseContainer").alias("e")
-        rows = rows.select("_message_id", F.col("h.HBLNumber").alias("hbl_number"), boxes)
-        return rows.selectExpr("_message_id", "hbl_number", *columns("e", HOUSE_CONTAINER))
-    # Parties may stand under the message, the master or a house.
-    none = F.array().cast("array<" + _struct_ddl(PARTY) + ">")
-    per_house = F.transform(houses, lambda h: F.coalesce(h["ShippingParties"]["ShippingParty"], none))
-    every = F.concat(
-        F.coalesce("msg.ShippingParties.ShippingParty", none),
-        F.coalesce("msg.Master.ShippingParties.ShippingParty", none),
-        F.coalesce(F.flatten(per_house), none),
-    )
-    return exploded(every, PARTY)
+        rows = good.select(message_id, F.explode(_elements("house_bills")).alias("e"))
+        boxes = _under(F.col("e")["HouseContainers"], "HouseContainer")
+        rows = rows.select("_message_id", value("HBLNumber").alias("hbl_number"), F.explode(boxes).alias("e"))
+        return rows.select("_message_id", "hbl_number", *columns(HOUSE_CONTAINER))
+    return good.select(message_id, F.explode(_elements(name)).alias("e")).select("_message_id", *columns(TABLES[name]))
 
 
 def shred_table(good: DataFrame, name: str, as_of: datetime) -> DataFrame:
@@ -280,39 +318,27 @@ def cast_rejects(good: DataFrame) -> DataFrame:
 
 # ---- lists expanded side by side ----------------------------------------
 
-# Absolute paths of the repeating elements.
-LIST_PATHS = {
-    "containers": ("//Master/Containers/Container/", CONTAINER),
-    "house_bills": ("//Master/Houses/House/", HOUSE),
-    "shipping_parties": ("//ShippingParties/ShippingParty/", PARTY),
-}
-HOUSE_NUMBERS = "//Master/Houses/House/HBLNumber"
-HOUSE_BOXES = "//Master/Houses/House/HouseContainers/HouseContainer/"
-MESSAGE_ID = "//Header/MessageID"
-
 
-def shred_scalar(df: DataFrame, xml_col: str, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """First match of each path, NULL when there is none."""
-    picked = [
-        _typed(F.get(F.xpath(xml_col, F.lit(f"{path}/text()")), F.lit(0)), ty).alias(c)
-        for c, (path, ty) in columns.items()
-    ]
-    return df.select(*picked)
+def shred_scalar(good: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """First value at each path of parsed messages, NULL when there is none."""
+    return good.select(*[_typed(_first(path), ty).alias(c) for c, (path, ty) in columns.items()])
 
 
-def shred_lockstep(df: DataFrame, xml_col: str, table: str, as_of: datetime) -> DataFrame:
-    """Parallel value lists of a table, expanded side by side.
+def shred_lockstep(good: DataFrame, table: str, as_of: datetime) -> DataFrame:
+    """Parallel value lists of a table of parsed messages, expanded side by side.
 
-    Shorter lists end in NULL; malformed messages must be taken out before.
+    Shorter lists end in NULL. Parties of houses come first, then those of
+    masters, then those of the message.
     """
-    if table == "house_containers":
-        paths = {"hbl_number": (HOUSE_NUMBERS, TEXT)}
-        paths.update({c: (HOUSE_BOXES + path, ty) for c, (path, ty) in HOUSE_CONTAINER.items()})
-    else:
-        prefix, spec = LIST_PATHS[table]
-        paths = {c: (prefix + path, ty) for c, (path, ty) in spec.items()}
-    lists = [F.xpath(xml_col, F.lit(f"{path}/text()")).alias(c) for c, (path, _) in paths.items()]
-    message_id = F.get(F.xpath(xml_col, F.lit(f"{MESSAGE_ID}/text()")), F.lit(0)).alias("message_id")
-    zipped = df.select(message_id, *lists).select("message_id", F.explode(F.arrays_zip(*paths)).alias("e"))
+    spec = TABLES[table]
+
+    def values(c: str, path: str) -> Column:
+        if table == "house_containers" and c == "hbl_number":
+            return _found(HOUSE_NUMBER)
+        return F.concat(*[_found(f"{element}/{path}") for element in ELEMENTS[table]])
+
+    lists = [_texts(values(c, path)).alias(c) for c, (path, _) in spec.items()]
+    message_id = _first(MESSAGE_ID).alias("message_id")
+    zipped = good.select(message_id, *lists).select("message_id", F.explode(F.arrays_zip(*spec)).alias("e"))
     stamp = F.lit(as_of).cast("timestamp_ntz").alias("processed_at")
-    return zipped.select("message_id", *[_typed(F.col(f"e.{c}"), ty).alias(c) for c, (_, ty) in paths.items()], stamp)
+    return zipped.select("message_id", *[_typed(F.col(f"e.{c}"), ty).alias(c) for c, (_, ty) in spec.items()], stamp)

@@ -54,8 +54,8 @@ def test_sections_at_another_depth_are_not_lost(spark):
     good, bad = xs.split_malformed(xs.parse_messages(rows))
     assert [r.id for r in bad.collect()] == [1]
     assert [r.id for r in good.collect()] == [2]
-    ids = xs.shred_scalar(rows, "xml_data", {"message_id": ("//Header/MessageID", "string")})
-    assert [r.message_id for r in ids.collect()] == ["M3", None]
+    ids = xs.shred_scalar(good, {"message_id": ("Header/MessageID", "string")})
+    assert [r.message_id for r in ids.collect()] == [None]
 
 
 def test_headers_and_master(good):
@@ -97,10 +97,11 @@ def test_rejected_values(good):
 
 
 def test_lockstep_moves_later_values_up(messages):
-    rows = messages.filter("id in (1, 3)")
-    boxes = {r.container_number: r.manifest_no for r in xs.shred_lockstep(rows, "xml_data", "containers", NOW).collect()}
+    # the malformed message among them stops nothing
+    rows, _ = xs.split_malformed(xs.parse_messages(messages))
+    boxes = {r.container_number: r.manifest_no for r in xs.shred_lockstep(rows, "containers", NOW).collect()}
     assert boxes == {"C1": "F1", "C2": "F3", "C3": None}
-    pairs = [(r.hbl_number, r.master_container_number) for r in xs.shred_lockstep(rows, "xml_data", "house_containers", NOW).collect()]
+    pairs = [(r.hbl_number, r.master_container_number) for r in xs.shred_lockstep(rows, "house_containers", NOW).collect()]
     assert sorted(pairs) == [("H1", "C1"), ("H2", "C3")]
 
 
@@ -111,6 +112,43 @@ def test_parties_under_master_and_house(spark):
     assert sorted(r.party_name for r in xs.shred_table(good, "shipping_parties", NOW).collect()) == ["P", "Q"]
 
 
+def numbers(*ids):
+    return "".join(f"<Container><ContianerNumber>{i}</ContianerNumber></Container>" for i in ids)
+
+
+def test_repeated_sections_are_all_taken(spark):
+    text = (
+        "<M><Header><MessageID>A</MessageID><MessageID>B</MessageID></Header>"
+        f"<Master><MBLNumber/><Containers>{numbers(1)}</Containers><Containers>{numbers(2)}</Containers></Master>"
+        f"<Master><MBLNumber>L</MBLNumber><Containers>{numbers(3, 4)}</Containers><Houses><House><HBLNumber>H</HBLNumber>"
+        f"</House></Houses><Houses><House><HBLNumber>I</HBLNumber></House></Houses></Master>{PARTIES}{PARTIES}</M>"
+    )
+    rows = spark.createDataFrame([(1, text)], "id long, xml_data string")
+    good, bad = xs.split_malformed(xs.parse_messages(rows))
+    assert bad.count() == 0
+    t = xs.shred(good, NOW)
+    assert [(r.message_id, r.container_number) for r in t["containers"].collect()] == [("A", str(i)) for i in (1, 2, 3, 4)]
+    assert [r.hbl_number for r in t["house_bills"].collect()] == ["H", "I"]
+    assert [(r.message_id, r.mbl_number) for r in t["master_shipments"].collect()] == [("A", "L")]
+    assert t["shipping_parties"].count() == 2 and t["manifest_headers"].count() == 1
+    assert [r.container_number for r in xs.shred_lockstep(good, "containers", NOW).collect()] == ["1", "2", "3", "4"]
+
+
+def test_messages_that_would_lose_a_section_are_quarantined(spark):
+    texts = {
+        1: f"<M>{HEADER}<Body><Master><Containers>{numbers(1)}</Containers></Master></Body></M>",
+        2: f"<M>{HEADER}<Master><Group><Containers>{numbers(1)}</Containers></Group></Master></M>",
+        3: f"<M>{HEADER}<Other>{PARTIES}</Other></M>",
+        4: f"<M>{HEADER}<Master><Containers>{numbers(1)}</Containers></Master></M>",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "id long, xml_data string")
+    good, bad = xs.split_malformed(xs.parse_messages(rows))
+    assert sorted(r.id for r in bad.collect()) == [1, 2, 3] and [r.id for r in good.collect()] == [4]
+    # only what is asked for counts
+    good, _ = xs.split_malformed(xs.parse_messages(rows, tables=["shipping_parties"]))
+    assert sorted(r.id for r in good.collect()) == [1, 2, 4]
+
+
 def test_stream_takes_each_file_once(spark, messages, tmp_path):
     source, out, check = (str(tmp_path / d) for d in ("in", "out", "check"))
     from pyspark.sql import functions as F
