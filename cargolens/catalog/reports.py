@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cargolens.catalog.registry import TEXTS as ORACLE_TEXTS
 from cargolens.catalog.registry import query
 from cargolens.operators import predicates as p
 from cargolens.plans import reports
@@ -232,3 +233,118 @@ query(
          from user_modules x join modules m on m.id = x.module_id where x.master_id = w.id), '[]') as string) as modules
        from users w where w.lov_status = 'Active'""",
 )(lambda t: reports.user_bundle(t))
+
+
+# ---- replies -------------------------------------------------------------
+
+
+def _array_sql(rows: str, order: str, fields: str) -> str:
+    """Head, items and tail of one JSON array."""
+    return f"""with r as ({rows}), n as (select *, row_number() over (order by {order}) as pos from r)
+        select cast(0 as bigint) as pos, case when count(*) = 0 then '[]' else '[' end as text from r
+        union all select pos, case when pos > 1 then ',' else '' end || cast(to_json(struct_pack({fields})) as varchar) from n
+        union all select cast(count(*) + 1 as bigint), ']' from r having count(*) > 0"""
+
+
+def _packed(*names: str) -> str:
+    return ", ".join(f'"{n}" := "{n}"' for n in names)
+
+
+_PORT_FIELDS = ("portName", "portCountry", "portCode", "type", "transportMode", "listValue")
+for _name, _search in {"rpt_port_reply": "#0000000", "rpt_port_reply_empty": "no such port"}.items():
+    query(
+        _name,
+        _array_sql(
+            f"""select name as "portName", country_code as "portCountry", code as "portCode", 'PORT' as type,
+            transport_mode as "transportMode", name || '-(' || code || ')' as "listValue" from supplier_ports
+            where name like '%{_search.upper()}%'""",
+            '"portName", "portCode", "portCountry", "transportMode"',
+            _packed(*_PORT_FIELDS),
+        ),
+    )(lambda t, search=_search: reports.port_reply({"ports": t["supplier_ports"]}, "port", search))
+
+_SCHEDULE_FIELDS = (
+    "originCode", "originName", "destinationCode", "isCoload", "pol", "polName", "pod", "podName", "originCountryCode",
+    "destinationCountryCode", "scheduleId", "vessel", "voyage", "departureDate", "arrivalDate", "cutoffDate", "cutOffToArrival",
+    "departureToArrival",
+)
+query(
+    "rpt_sailing_reply",
+    _array_sql(
+        ORACLE_TEXTS["rpt_sailing_schedule"].replace("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S"),
+        ", ".join(f'"{c}"' for c in ("scheduleId", *[c for c in _SCHEDULE_FIELDS if c != "scheduleId"])),
+        _packed(*_SCHEDULE_FIELDS),
+    ),
+)(lambda t: reports.schedule_reply(t, "", None, "FCL"))
+
+
+def _read_back(reply: DataFrame, fields: str) -> DataFrame:
+    """Replies with amounts are compared as numbers: each item's fields become columns, other rows keep their text."""
+    item = F.from_json(F.ltrim("text", F.lit(",")), fields)
+    is_item = F.col("text").startswith("{") & ~F.col("text").startswith('{"status"') | F.col("text").startswith(",")
+    rows = reply.withColumn("_i", F.when(is_item, item))
+    rest = [c for c in reply.columns if c != "text"]
+    return rows.select(*rest, F.when(~F.coalesce(is_item, F.lit(False)), F.col("text")).alias("text"), "_i.*")
+
+
+_MONEY = ("provisionRevenue", "provisionCost", "netGpPercentage", "pnlIncome", "pnlCost", "wipRevenue", "wipCost")
+_WIP_FIELDS = ("shipmentId", "service", "shipmentUid", "jobDate", *_MONEY)
+
+
+def _wip_reply_sql(condition: str) -> str:
+    none = ", ".join(f'null as "{c}"' for c in _WIP_FIELDS)
+    shown = ", ".join(f"replace(\"{c}\", ' ', 'T') as \"{c}\"" if c == "jobDate" else f'"{c}"' for c in _WIP_FIELDS)
+    return f"""with r as ({_wip_sql("wip_cost_account_id", condition)})
+        select cast(0 as bigint) as pos, case when count(*) = 0 then '{reports.NO_FINANCE}' else '[' end as text, {none} from r
+        union all select row_number() over (order by "shipmentId", service nulls first), null, {shown} from r
+        union all select cast(count(*) + 1 as bigint), ']', {none} from r having count(*) > 0"""
+
+
+_WIP_DDL = "shipmentId long, service string, shipmentUid string, jobDate string, " + ", ".join(f"{c} double" for c in _MONEY)
+for _name, _to in {"rpt_wip_reply": AS_OF, "rpt_wip_reply_empty": date(1900, 1, 1)}.items():
+    query(_name, _wip_reply_sql(f"cast(s.shipment_date as date) <= date '{_to}'"))(
+        lambda t, to=_to: _read_back(reports.wip_reply(t, to), _WIP_DDL)
+    )
+
+_ENQUIRY_TEXTS = (
+    "enquiryNo", "enquiryDate", "origin", "originName", "originCountry", "destination", "destinationName", "destinationCountry",
+    "validUpto", "tos",
+)
+_ENQUIRY_SUMS = ("grossWeightKgs", "volumeInWeight")
+_ENQUIRY_ORDER = ", ".join(
+    f'"{c}" nulls first' for c in ("enquiryDate", "enquiryNo", *[c for c in (*_ENQUIRY_TEXTS, *_ENQUIRY_SUMS) if c not in ("enquiryDate", "enquiryNo")])
+)
+_ENQUIRY_NONE = ", ".join(f'null as "{c}"' for c in (*_ENQUIRY_TEXTS, *_ENQUIRY_SUMS))
+query(
+    "rpt_enquiry_reply",
+    f"""with r as ({ORACLE_TEXTS["rpt_sales_enquiry"]}),
+        n as (select u.registration_no, count(r.registration_no) as n from (select distinct registration_no from user_customers) u
+              left join r on r.registration_no = u.registration_no group by 1)
+        select registration_no, cast(0 as bigint) as pos, case when n > 0 then '[' end as text, {_ENQUIRY_NONE} from n
+        union all select registration_no, row_number() over (partition by registration_no order by {_ENQUIRY_ORDER}), null,
+          {", ".join(f'"{c}"' for c in (*_ENQUIRY_TEXTS, *_ENQUIRY_SUMS))} from r
+        union all select registration_no, n + 1, ']', {_ENQUIRY_NONE} from n where n > 0""",
+)(
+    lambda t: _read_back(
+        reports.enquiry_reply(t, 900, AS_OF),
+        ", ".join([f"{c} string" for c in _ENQUIRY_TEXTS] + [f"{c} double" for c in _ENQUIRY_SUMS]),
+    )
+)
+
+query(
+    "rpt_user_reply",
+    f"""with a as (select * from users where lov_status = 'Active')
+        select id as login, cast(0 as bigint) as section, cast(0 as bigint) as pos, case when lov_status = 'Active' then
+          '{{"status":"SUCCESS","data":' || rtrim(cast(to_json(struct_pack("userName" := user_id, "email" := email,
+          "companyLogo" := to_base64(company_logo))) as varchar), '}}') || ',"customers":['
+          else '{reports.INACTIVE}' end as text from users
+        union all select id, s, 0, x from a, (values (2, '],"modules":['), (4, ']}}}}')) v(s, x)
+        union all select login, 1, pos, case when pos > 1 then ',' else '' end || cast(to_json(struct_pack("customerCode" := customer_uid,
+          "customerName" := name, "companyCode" := company_code)) as varchar) from (
+            select u.registration_no as login, c.customer_uid, c.name, u.company_code,
+              row_number() over (partition by u.registration_no order by u.customer_id, u.company_code) as pos
+            from user_customers u join customers c on c.id = u.customer_id join a on a.id = u.registration_no)
+        union all select login, 3, pos, case when pos > 1 then ',' else '' end || cast(to_json(struct_pack("label" := label, "path" := path)) as varchar)
+          from (select x.master_id as login, m.label, m.path, row_number() over (partition by x.master_id order by m.id) as pos
+            from user_modules x join modules m on m.id = x.module_id join a on a.id = x.master_id)""",
+)(lambda t: plain(reports.user_reply(t)))

@@ -59,17 +59,22 @@ def membership_flags(df: DataFrame, column: str, lists: Mapping[str, DataFrame])
     for i, ids in enumerate(lists.values()):
         one = ids.select(F.col(ids.columns[0]).alias("_id"), F.lit(i).alias("_list"))
         rows = one if rows is None else rows.unionByName(one)
-    hits = [F.bool_or(F.col("_list") == i).alias(f"_hit{i}") for i in range(len(lists))]
+    names = list(lists)
+    hits = [F.bool_or(F.col("_list") == i).alias(f"_hit{i}") for i in range(len(names))]
     keys = rows.groupBy("_id").agg(*hits)
-    joined = df.join(keys.filter("_id is not null"), F.col(column) == F.col("_id"), "left")
-    for i, name in enumerate(lists):
+    facts = []
+    for i in range(len(names)):
+        facts.append(F.coalesce(F.bool_or(F.col("_list") == i), F.lit(False)).alias(f"filled{i}"))
+        with_null = F.bool_or((F.col("_list") == i) & F.col("_id").isNull())
+        facts.append(F.coalesce(with_null, F.lit(False)).alias(f"null{i}"))
+    # one row on all lists, read once
+    about = rows.agg(F.struct(*facts).alias("s")).scalar()
+    joined = df.join(keys.filter("_id is not null"), F.col(column) == F.col("_id"), "left").withColumn("_about", about)
+    for i, name in enumerate(names):
         hit = F.col(f"_hit{i}")
-        filled = F.coalesce(keys.agg(F.bool_or(hit)).scalar(), F.lit(False))
-        has_null = F.coalesce(keys.agg(F.bool_or(hit & F.col("_id").isNull())).scalar(), F.lit(False))
-        known_miss = ~filled | (F.col(column).isNotNull() & ~has_null)
-        flag = F.when(F.coalesce(hit, F.lit(False)), True).when(known_miss, False)
-        joined = joined.withColumn(name, flag)
-    return joined.drop("_id", *[f"_hit{i}" for i in range(len(lists))])
+        known_miss = ~F.col(f"_about.filled{i}") | (F.col(column).isNotNull() & ~F.col(f"_about.null{i}"))
+        joined = joined.withColumn(name, F.when(F.coalesce(hit, F.lit(False)), True).when(known_miss, False))
+    return joined.drop("_id", "_about", *[f"_hit{i}" for i in range(len(names))])
 
 
 def left_join_agg(df: DataFrame, child: DataFrame, on: Mapping[str, str], aggs: Mapping[str, Column]) -> DataFrame:

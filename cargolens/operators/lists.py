@@ -68,6 +68,19 @@ def text_rows(heads: DataFrame, items: DataFrame, keys: Sequence[str]) -> DataFr
     return rows.unionByName(met.filter("tail is not null").select(*keys, after, F.col("tail").alias("text")))
 
 
+def reply_rows(
+    df: DataFrame, order_by: Sequence[str], fields: Mapping[str, Column | str], empty: str = "[]"
+) -> DataFrame:
+    """One JSON array over all rows as ordered rows ``(pos, text)``; without rows ``empty`` is the whole text."""
+    numbered = serial(df, [], order_by, "pos")
+    items = numbered.select("pos", json_item("pos", fields).alias("text"))
+    n = numbered.agg(F.max("pos").alias("n")).scalar()
+    one = df.sparkSession.range(1)
+    head = one.select(F.lit(0).cast("long").alias("pos"), F.when(n.isNull(), empty).otherwise("[").alias("text"))
+    tail = one.select((n + 1).cast("long").alias("pos"), F.lit("]").alias("text")).filter("pos is not null")
+    return head.unionByName(items).unionByName(tail)
+
+
 def json_item(pos: str, fields: Mapping[str, Column | str]) -> Column:
     """One item of a JSON array, with the comma before it."""
     cols = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in fields.items()]

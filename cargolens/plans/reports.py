@@ -2,12 +2,13 @@
 
 Every function takes a mapping of table name to DataFrame. Keys that the
 single-call form takes as a parameter stay as columns; filter on them for one
-key. Report rows are the result; JSON replies are built from them as
-bounded size.
+key. Report rows are the result; JSON replies are built from them as ordered
+rows of text.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from datetime import date, datetime
 
@@ -24,7 +25,7 @@ from cargolens.functions.text import (
 )
 from cargolens.operators.aggregates import margin_pct, signed_ledger, status_counts
 from cargolens.operators.joins import left_join_agg, membership_flags, role_join
-from cargolens.operators.lists import count_by_code, json_item, nest, string_list, text_rows
+from cargolens.operators.lists import count_by_code, json_item, nest, reply_rows, string_list, text_rows
 from cargolens.operators.ordered import serial
 from cargolens.operators.predicates import (
     booking_state,
@@ -41,6 +42,21 @@ from cargolens.operators.predicates import (
 Tables = Mapping[str, DataFrame]
 
 
+def notice(**fields: str) -> str:
+    """Text of a reply that only says how it went."""
+    return json.dumps(fields, separators=(",", ":"))
+
+
+# Replies without rows, and the answer when a report's job fails.
+NO_SHIPMENTS = notice(Status="Error", Message="Shipment List not available")
+NO_FINANCE = notice(status="error", message="No shipment data found")
+INACTIVE = notice(status="FAIL", message="Account is inactive")
+
+
+def failure_reply(error: Exception, finance: bool = False) -> str:
+    """What a caller answers with when the job of a reply failed."""
+    return notice(status="failure", message=str(error)) if finance else notice(Status="Failure", Message=str(error))
+
 
 # ---- daily status --------------------------------------------------------
 
@@ -98,7 +114,7 @@ def daily_status(t: Tables, days: int, as_of: date, login: int | None = None) ->
         "_serial",
     )
 
-    ids = recent.select(F.col("id").alias("shipment_id"))
+    ids = (recent if login is None else rows).select(F.col("id").alias("shipment_id"))
     boxes = (
         t["shipment_containers"]
         .select("shipment_id", F.col("master_container_id").alias("id"))
@@ -156,7 +172,7 @@ def daily_status_envelope(t: Tables, days: int, as_of: date, preferences: bool =
         none = F.lit("null")
         head = F.concat(F.lit('{"userColumns":'), F.coalesce("_columns", none), F.lit(',"data":['))
         tail = F.concat(F.lit('],"userTrigger":'), F.coalesce("_triggers", none), F.lit("}"))
-    missing = F.lit('{"Status":"Error","Message":"Shipment List not available"}')
+    missing = F.lit(NO_SHIPMENTS)
     heads = out.select(
         "login",
         F.when(F.col("_shown"), head).otherwise(missing).alias("head"),
@@ -245,10 +261,6 @@ def success_reply(result: Column, stamp: Column) -> Column:
     )
 
 
-def failure_reply(status: str, message: Column) -> Column:
-    return json_text(F.struct(F.lit(status).alias("Status"), message.alias("Message")))
-
-
 # ---- ports, schedules, enquiries ----------------------------------------
 
 
@@ -266,6 +278,22 @@ def port_list(t: Tables, master_type: str | None, search: str | None) -> DataFra
     )
 
 
+def _same(df: DataFrame) -> dict[str, str]:
+    return {c: c for c in df.columns}
+
+
+def port_reply(t: Tables, master_type: str | None, search: str | None) -> DataFrame:
+    """JSON array of the ports found, as rows ``(pos, text)``; ``[]`` without any or for other types."""
+    ports = port_list(t, master_type, search)
+    return reply_rows(ports, ["portName", "portCode", "portCountry", "transportMode"], _same(ports))
+
+
+def schedule_reply(t: Tables, origin: str | None, destination: str | None, service: str | None) -> DataFrame:
+    """JSON array of the sailings found, as rows ``(pos, text)``; ``[]`` without any."""
+    rows = sailing_schedule(t, origin, destination, service)
+    return reply_rows(rows, ["scheduleId", *[c for c in rows.columns if c != "scheduleId"]], _same(rows))
+
+
 def sailing_schedule(t: Tables, origin: str | None, destination: str | None, service: str | None) -> DataFrame:
     rows = search_contains(t["schedules"], "service", service, upper=False)
     ports = {"origin": "origin_id", "destination": "destination_id"}
@@ -304,12 +332,12 @@ def sales_enquiry(t: Tables, days: int | None, as_of: date, login: int | None =
     logins = optional_eq(t["user_customers"], "registration_no", login).select("registration_no", "customer_id")
     recent = lookback(t["enquiries"], "enquiry_date", days, as_of)
     enquiries = logins.join(recent, "customer_id")
-    weights = t["enquiry_dimensions"].join(
-        recent.select(F.col("id").alias("enquiry_detail_id")), "enquiry_detail_id", "left_semi"
-    )
+    asked = recent if login is None else enquiries
+    wanted = asked.select(F.col("id").alias("enquiry_detail_id"))
+    weights = t["enquiry_dimensions"].join(wanted, "enquiry_detail_id", "left_semi")
     sums = {"_gross": F.sum("gross_weight_kgs"), "_volume": F.sum("volume_in_weight")}
     rows = left_join_agg(enquiries, weights, {"id": "enquiry_detail_id"}, sums)
-    services = t["enquiry_services"].groupBy(
+    services = t["enquiry_services"].join(wanted, "enquiry_detail_id", "left_semi").groupBy(
         "enquiry_detail_id", "origin_id", "destination_id", "tos_id", "origin_name", "destination_name"
     ).agg(F.count(F.lit(1)).alias("_times"))
     rows = rows.join(services, F.col("id") == F.col("enquiry_detail_id"), "left")
@@ -335,6 +363,21 @@ def sales_enquiry(t: Tables, days: int | None, as_of: date, login: int | None =
     )
 
 
+def enquiry_reply(t: Tables, days: int | None, as_of: date, login: int | None = None) -> DataFrame:
+    """JSON array per login by enquiry date, as rows ``(registration_no, pos, text)``; one NULL text without enquiries."""
+    rows = sales_enquiry(t, days, as_of, login)
+    fields = {c: c for c in rows.columns if c != "registration_no"}
+    order = ["enquiryDate", "enquiryNo", *[c for c in fields if c not in ("enquiryDate", "enquiryNo")]]
+    numbered = serial(rows, ["registration_no"], order, "pos")
+    items = numbered.select("registration_no", "pos", json_item("pos", fields).alias("text"))
+    shown = items.select("registration_no").distinct().withColumn("_shown", F.lit(True))
+    logins = optional_eq(t["user_customers"], "registration_no", login).select("registration_no").distinct()
+    heads = logins.join(shown, "registration_no", "left").select(
+        "registration_no", F.when(F.col("_shown"), "[").alias("head"), F.when(F.col("_shown"), "]").alias("tail")
+    )
+    return text_rows(heads, items, ["registration_no"])
+
+
 # ---- finance -------------------------------------------------------------
 
 
@@ -426,6 +469,12 @@ def wip_finance(
     return booking_state(result, mode)
 
 
+def wip_reply(t: Tables, to_date: date | None, **options) -> DataFrame:
+    """JSON array of ``wip_finance`` with the same options, as rows ``(pos, text)``; a notice without shipments."""
+    rows = wip_finance(t, to_date, **options)
+    return reply_rows(rows, ["shipmentId", "service"], _same(rows), empty=NO_FINANCE)
+
+
 # ---- users ---------------------------------------------------------------
 
 
@@ -452,3 +501,36 @@ def user_bundle(t: Tables) -> DataFrame:
         F.coalesce(json_text(F.col("customers")), F.lit("[]")).alias("customers"),
         F.coalesce(json_text(F.col("modules")), F.lit("[]")).alias("modules"),
     )
+
+
+def user_reply(t: Tables) -> DataFrame:
+    """JSON reply per user as rows ``(login, section, pos, text)``: status and data, or a notice for inactive users.
+
+    The texts in order of section and pos are the reply. Sections 1 and 3 hold
+    the customers and the modules, so no list has to fit in one value.
+    """
+    active = F.coalesce(F.col("lov_status") == "Active", F.lit(False))
+    users = t["users"].select(F.col("id").alias("login"), active.alias("_active"), "user_id", "email", "company_logo")
+    zero = F.lit(0).cast("long").alias("pos")
+    about = json_text(
+        F.struct(F.col("user_id").alias("userName"), F.col("email").alias("email"), F.base64("company_logo").alias("companyLogo"))
+    )
+    opening = F.concat(F.lit('{"status":"SUCCESS","data":'), F.left(about, F.length(about) - 1), F.lit(',"customers":['))
+    rows = users.select("login", F.lit(0).alias("section"), zero, F.when(F.col("_active"), opening).otherwise(INACTIVE).alias("text"))
+    logins = users.filter("_active").select("login")
+    for section, text in ((2, '],"modules":['), (4, "]}}")):
+        rows = rows.unionByName(logins.select("login", F.lit(section).alias("section"), zero, F.lit(text).alias("text")))
+
+    mapped = t["user_customers"].withColumnRenamed("registration_no", "login").join(logins, "login", "left_semi")
+    customers = mapped.join(t["customers"], F.col("customer_id") == F.col("id"))
+    allowed = t["user_modules"].withColumnRenamed("master_id", "login").join(logins, "login", "left_semi")
+    modules = allowed.join(t["modules"], F.col("module_id") == F.col("id"))
+    lists = (
+        (1, customers, ["customer_id", "company_code"], {"customerCode": "customer_uid", "customerName": "name", "companyCode": "company_code"}),
+        (3, modules, ["module_id"], {"label": "label", "path": "path"}),
+    )
+    for section, items, order, fields in lists:
+        numbered = serial(items.select("login", *order, *[c for c in fields.values() if c not in order]), ["login"], order, "pos")
+        item = json_item("pos", fields).alias("text")
+        rows = rows.unionByName(numbered.select("login", F.lit(section).alias("section"), "pos", item))
+    return rows
