@@ -12,6 +12,11 @@ from cargolens.plans import manifest as man
 
 NOW = datetime(2001, 8, 1, 7, 5, 9)
 
+# Invented addresses of the parties' systems.
+ADDRESSES = "QK AAAXX00EXAMPLE\n.AAAXX01EXAMPLE/SIN01 090516"
+AROUND = docs.Interchange("ICS*+ANSI1.1  SENDER           RECEIVER         2503270703000000001", "ICE*000001*000000001")
+NAMESPACE, ACTION = "http://example.org/envelope", "urn:example:customs"
+
 # ---- stand-ins -----------------------------------------------------------
 
 _PARTIES = """
@@ -57,7 +62,7 @@ AIR = {
 
 _BLOCK = """'/' || coalesce({0}.building_no, '') || ' ' || coalesce({0}.street_name, '') || ' ' || coalesce({0}.city_name, '') || ' '
     || coalesce({0}.po_box, '') || chr(10) || '/' || coalesce({0}.state_name, '') || chr(10) || '/' || {1}.code || chr(10)"""
-_HEAD = " || chr(10) || ".join(f"'{x}'" for x in docs.AIR_HEADER.split("\n"))
+_HEAD = " || chr(10) || ".join(f"'{x}'" for x in f"{ADDRESSES}\n{docs.AIR_FORMAT}".split("\n"))
 
 query(
     "doc_air_house_list",
@@ -72,7 +77,7 @@ query(
         left join party_addresses a on a.id = p.shipper_address_id left join countries ac on ac.id = a.country_id
         left join party_addresses b on b.id = p.consignee_address_id left join countries bc on bc.id = b.country_id""".replace('"references"', "refs"),
     {**{k: v for k, v in AIR.items() if k != "references"}, "refs": AIR["references"]},
-)(lambda t: docs.air_house_list(t, t["refs"]))
+)(lambda t: docs.air_house_list(t, ADDRESSES, t["refs"]))
 
 # ---- 530 -----------------------------------------------------------------
 
@@ -108,18 +113,18 @@ _FROM_530 = """from finance_documents d join partners_530 p on p.company_code =
 
 query(
     "doc_530",
-    f"""select did as doc_key, '{docs.ICS_SEGMENT}' || chr(10) || {_GS.format('x', 'seq')} || chr(10) || tx || chr(10) || 'GE*1*' || seq
-          || chr(10) || '{docs.ICE_SEGMENT}' as content
+    f"""select did as doc_key, '{AROUND.opening}' || chr(10) || {_GS.format('x', 'seq')} || chr(10) || tx || chr(10) || 'GE*1*' || seq
+          || chr(10) || '{AROUND.closing}' as content
         from (select d.did, p.sender_code, p.receiver_code, row_number() over (order by d.did) as seq, {_TX.format("'000000001'")} as tx {_FROM_530}) x""",
     MESSAGE_530,
-)(lambda t: docs.message_530(t, NOW)[0].select("doc_key", "content"))
+)(lambda t: docs.message_530(t, NOW, AROUND)[0].select("doc_key", "content"))
 
 query(
     "doc_530_rejects",
     """select did from finance_documents d where not exists (select 1 from partners_530 p where p.company_code = d.company_code
          and p.branch_code = d.branch_code and p.location_code = d.location_code and p.sftp_type = 'IN')""",
     MESSAGE_530,
-)(lambda t: docs.message_530(t, NOW)[1].select("did"))
+)(lambda t: docs.message_530(t, NOW, AROUND)[1].select("did"))
 
 query(
     "doc_530_batched",
@@ -127,11 +132,11 @@ query(
             from (select d.did, p.sender_code, p.receiver_code, {_TX.format("'#'")} as tx {_FROM_530})),
           z as (select doc_key, sender_code, receiver_code, count(*) as n, row_number() over (order by doc_key) as seq from x group by 1, 2, 3),
           l as (select doc_key, no, replace(tx, '#', case when no < 10000 then lpad(cast(no as string), 4, '0') else cast(no as string) end) as line from x
-            union all select doc_key, 0, '{docs.ICS_SEGMENT}' || chr(10) || {_GS.format('z', 'seq')} from z
-            union all select doc_key, n + 1, 'GE*' || n || '*' || seq || chr(10) || '{docs.ICE_SEGMENT}' from z)
+            union all select doc_key, 0, '{AROUND.opening}' || chr(10) || {_GS.format('z', 'seq')} from z
+            union all select doc_key, n + 1, 'GE*' || n || '*' || seq || chr(10) || '{AROUND.closing}' from z)
         select doc_key, cast(no as bigint) as pos, line from l""",
     MESSAGE_530,
-)(lambda t: docs.message_530_batched(t, NOW)[0])
+)(lambda t: docs.message_530_batched(t, NOW, AROUND)[0])
 
 # ---- customs XML ---------------------------------------------------------
 
@@ -232,14 +237,14 @@ _ITEM = _xgroup(
         _xgroup("Seal", _xel("identifier", "i.actual_seal")),
     ),
 )
-_ENVELOPE = " || chr(10) || ".join(f"'{x}'" for x in docs.ENVELOPE.split("\n"))
+_ENVELOPE = " || chr(10) || ".join(f"'{x}'" for x in docs.ENVELOPE.format(NAMESPACE).split("\n"))
 _XML = " || ".join(
     [
         _ENVELOPE,
         _text("<S:Header>"),
         f"'<wsa:From><wsa:Address>urn:scac:' || {_esc('p.sender_code')} || '</wsa:Address></wsa:From>' || {NL}",
         f"'<wsa:To>urn:zz:' || {_esc('p.receiver_code')} || '</wsa:To>' || {NL}",
-        _text("<wsa:Action>urn:myvan:ICS2_EDI</wsa:Action>", "<ebi:TestIndicator>T</ebi:TestIndicator>", "</S:Header>", "<S:Body>", "<SMFENS2>"),
+        _text(f"<wsa:Action>{ACTION}</wsa:Action>", "<ebi:TestIndicator>T</ebi:TestIndicator>", "</S:Header>", "<S:Body>", "<SMFENS2>"),
         _xgroup("SMFAPI", _xel("senderID", "p.sender_code"), _xel("recipientID", "p.receiver_code"), _xel("docType", "p.document_type")),
         _text("<SMFENS2FilingBody>"),
         _xel("LRN", "p.lrn || '-20010801-' || p.document_type || '-001'"),
@@ -303,7 +308,7 @@ query(
         left join customer_addresses sa on sa.customer_code = h.shipper_code and sa.address_type = 'PRIMARY'
         left join ports pl on pl.code = h.pol left join ports pd on pd.code = h.pod""",
     CUSTOMS,
-)(lambda t: docs.customs_xml(t, NOW)[0])
+)(lambda t: docs.customs_xml(t, NOW, NAMESPACE, ACTION)[0])
 
 # ---- sea manifest --------------------------------------------------------
 
@@ -482,10 +487,10 @@ query("doc_manifest_bol", _manifest_sql("select master_id, shipment_id, line fro
     lambda t: man.bol_lines(t, man.shipment_details(t))
 )
 query("doc_manifest_con_ctr", _manifest_sql("select master_id, shipment_id, sr_no, line from con"), MANIFEST)(
-    lambda t: man.container_lines(t, man.shipment_details(t))
+    lambda t: man.container_lines(t, man.container_details(t))
 )
 query("doc_manifest_end", _manifest_sql("select master_id, line from fin"), MANIFEST)(
-    lambda t: man.end_lines(t, man.shipment_details(t))
+    lambda t: man.end_lines(t, man.box_counts(t))
 )
 query("doc_manifest", _whole(False), MANIFEST)(lambda t: man.manifest(t))
 query("doc_manifest_carried", _whole(True), MANIFEST)(lambda t: man.manifest(t, carry="reference"))

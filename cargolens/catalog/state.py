@@ -96,12 +96,13 @@ _STAMP = f"nullif({_DATE}, '')"
     "state_parse_command",
     f"""select event_id as seq, cast(user_id as bigint) as web_user_master_id, '["c' || event_id || '","d"]' as column_preferences,
         'u' || event_id as create_user, {_STAMP} as create_date, 'w' || event_id as update_user, 'R' || user_id as registration_no,
-        cast(event_id % 10 as bigint) as version from events where {_GOOD}""",
+        cast(event_id % 10 as bigint) as version, cast(null as varchar) as update_date, cast(null as bigint) as customer_id,
+        case event_type when 'signup' then 'U' when 'purchase' then 'U' when 'view' then 'S' else 'X' end as method
+        from events where {_GOOD}""",
     FEEDS,
 )
 def _(t):
-    ok = plain(_ok(t, "preference", cmd.PREFERENCES))
-    return ok.drop("method", "update_date", "customer_id")
+    return plain(_ok(t, "preference", cmd.PREFERENCES))
 
 
 _UPSERTS = f"select event_id as seq, user_id as k, 'u' || event_id as cu, {_STAMP} as cd from events where event_type in ('signup', 'purchase') and {_GOOD}"
@@ -115,13 +116,16 @@ query(
           coalesce(p.create_user, 'u' || n.first) as create_user,
           case when p.web_user_master_id is not null then strftime(p.create_date, '%Y-%m-%d %H:%M:%S')
                else (select cd from u where u.seq = n.first) end as create_date,
-          case when n.k is null then p.update_user else 'w' || n.last end as update_user
+          case when n.k is null then p.update_user else 'w' || n.last end as update_user, cast(null as varchar) as update_date,
+          case when n.k is null then p.registration_no else 'R' || n.k end as registration_no,
+          case when n.k is null then cast(p.version as bigint) else cast(n.last % 10 as bigint) end as version,
+          case when n.k is null then p.customer_id end as customer_id
         from preferences p full join n on n.k = p.web_user_master_id""",
     FEEDS,
 )(
     lambda t: plain(
         cmd.apply_commands(_base(t["preferences"], cmd.PREFERENCES), _ok(t, "preference", cmd.PREFERENCES), cmd.PREFERENCES)[0]
-    ).select("web_user_master_id", "column_preferences", "create_user", "create_date", "update_user")
+    )
 )
 
 _CHANGES = f"""
@@ -141,7 +145,9 @@ _TRIGGER_STATE = f"""
       case when n.k is null then 'Open' else '' end as status_list,
       case when n.k is null then p.day_status else n.ds end as day_status,
       case when n.made is not null then 'u' || n.made else p.created_user end as created_user,
-      case when n.made is not null then (select s.cd from s where s.seq = n.made) else strftime(p.created_date, '%Y-%m-%d %H:%M:%S') end as created_date
+      case when n.made is not null then (select s.cd from s where s.seq = n.made) else strftime(p.created_date, '%Y-%m-%d %H:%M:%S') end as created_date,
+      case when n.k is null then p.updated_user else 'w' || n.last end as updated_user, cast(null as varchar) as updated_date,
+      cast(null as varchar) as last_trigger_date
     from triggers p full join n on n.k = p.web_user_master_id where n.k is null or n.op = 'U'"""
 
 
@@ -152,18 +158,16 @@ def _trigger_state(t):
 
 def _trigger_rows(state):
     lists = {c: F.array_join(c, "|") for c in ("mail_id", "days", "status_list")}
-    return plain(state.withColumns(lists)).select(
-        "web_user_master_id", "mail_id", "days", "status_list", "day_status", "created_user", "created_date"
-    )
+    return plain(state.withColumns(lists))
 
 
 query("state_upsert_arrays", _TRIGGER_STATE, FEEDS)(lambda t: _trigger_rows(_trigger_state(t)))
 
 query(
     "state_delete",
-    f"""select web_user_master_id from ({_TRIGGER_STATE})""",
+    f"""select * from ({_TRIGGER_STATE})""",
     FEEDS,
-)(lambda t: _trigger_state(t).select("web_user_master_id"))
+)(lambda t: _trigger_rows(_trigger_state(t)))
 
 query(
     "state_command_status",
@@ -194,9 +198,9 @@ query(
 
 query(
     "state_rejects",
-    "select event_id as seq, 'FAILED - bad value for web_user_master_id' as status from events where event_id % 97 = 0",
+    """select seq, method, payload, 'FAILED - bad value for web_user_master_id' as status from preference_commands where seq % 97 = 0""",
     FEEDS,
-)(lambda t: cmd.parse_commands(t["preference_commands"], cmd.PREFERENCES)[1].select("seq", "status"))
+)(lambda t: cmd.parse_commands(t["preference_commands"], cmd.PREFERENCES)[1])
 
 
 @query("stream_command_upsert", _TRIGGER_STATE, FEEDS)

@@ -47,26 +47,29 @@ query(
     )
 )
 
+def _order_documents(t: StandIns) -> DataFrame:
+    content = F.concat(F.lit("ORDER "), F.col("o_orderkey").cast("string")).alias("content")
+    codes = [F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("company_code"), F.lit("B").alias("branch_code")]
+    return t["orders"].select(F.col("o_orderkey").alias("doc_key"), content, *codes)
+
+
+def _rendered(t: StandIns, preview: str | None) -> DataFrame:
+    return inbox.render(_order_documents(t), preview, t["part"].select(F.col("p_partkey").alias("file_uid")), NOW, "EDI_")
+
+
 query(
     "outbox_queue",
-    """select u.m + row_number() over (order by o_orderkey) as file_uid, 'EDI_' || o_orderkey || '.txt' as file_name, 'NEW' as status,
-       cast(0 as bigint) as attempt, to_base64(encode('ORDER ' || o_orderkey)) as file_content, '2001-08-01 06:00:00' as create_date
+    """select 'system' as create_user, '2001-08-01 06:00:00' as create_date, 'system' as run_user, '2001-08-01 06:00:00' as run_date,
+       'C' || o_custkey as company_code, 'B' as branch_code, cast(null as varchar) as location_code,
+       u.m + row_number() over (order by o_orderkey) as file_uid, 'EDI_' || o_orderkey || '.txt' as file_name,
+       to_base64(encode('ORDER ' || o_orderkey)) as file_content, 'NEW' as status, cast(0 as bigint) as attempt
        from orders, (select max(p_partkey) as m from part) u""",
-)(
-    lambda t: plain(
-        inbox.to_outbox(
-            t["orders"].select(
-                F.col("o_orderkey").alias("doc_key"),
-                F.concat(F.lit("ORDER "), F.col("o_orderkey").cast("string")).alias("content"),
-            ),
-            t["part"].select(F.col("p_partkey").alias("file_uid")),
-            NOW,
-            "EDI_",
-        )
-        .withColumn("file_content", F.base64("file_content"))
-        .select("file_uid", "file_name", "status", "attempt", "file_content", "create_date")
-    )
-)
+)(lambda t: plain(_rendered(t, "N").withColumn("file_content", F.base64("file_content"))))
+
+query(
+    "outbox_preview",
+    "select o_orderkey as doc_key, 'ORDER ' || o_orderkey as content, 'C' || o_custkey as company_code, 'B' as branch_code from orders",
+)(lambda t: _rendered(t, "Y"))
 
 # ---- manifest messages ---------------------------------------------------
 # Messages are written from orders and their lines, one message per order.

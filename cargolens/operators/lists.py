@@ -119,17 +119,18 @@ def count_by_code(
 
 
 def gather_lines(
-    lines: DataFrame, key: str, order_by: Sequence[str], line: str = "line", null_blanks_all: bool = True
+    lines: DataFrame, key: str | Sequence[str], order_by: Sequence[str], line: str = "line", null_blanks_all: bool = True
 ) -> DataFrame:
-    """``(key, content)`` from one row per document line.
+    """``(key, content)`` from one row per document line; the key may be several columns.
 
     With ``null_blanks_all`` a document having any NULL line gets NULL content,
     as text concatenation with NULL gives NULL; else the line is empty.
     """
     value = F.col(line) if null_blanks_all else F.coalesce(line, F.lit(""))
     item = F.struct(F.struct(*order_by).alias("o"), value.alias("v"))
-    gathered = lines.groupBy(key).agg(
+    keys = [key] if isinstance(key, str) else list(key)
+    gathered = lines.groupBy(*keys).agg(
         F.sort_array(F.collect_list(item)).alias("_items"), F.bool_or(value.isNull()).alias("_blank")
     )
     text = F.array_join(F.transform("_items", lambda x: x["v"]), "\n")
-    return gathered.select(key, F.when(~F.col("_blank"), text).alias("content"))
+    return gathered.select(*keys, F.when(~F.col("_blank"), text).alias("content"))

@@ -8,6 +8,7 @@ gathered last.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -38,17 +39,19 @@ def _now(as_of: datetime) -> Column:
 
 # ---- air house list ------------------------------------------------------
 
-# Opening lines of the air house list.
-AIR_HEADER = "QK CSGAGT85GHAAIFHLSIN\n.CSGAGT86SGTWG01/SIN01 090516\nFHL/4\n"
+# Format line of the air house list, notice for an unknown shipment.
+AIR_FORMAT = "FHL/4\n"
 NO_DATA = "NO DATA FOUND FOR SHIPMENT "
 
 
-def air_house_list(t: Tables, references: DataFrame | None = None) -> DataFrame:
+def air_house_list(t: Tables, address_lines: str, references: DataFrame | None = None) -> DataFrame:
     """``(doc_key, content)`` per shipment, or per id in ``references``.
 
+    ``address_lines`` are the teletype addresses of receiver and sender, which open the text.
     A missing party address, or one whose country is unknown, makes the whole
     text NULL; an unknown shipment gives a notice instead.
     """
+    opening = f"{address_lines}\n{AIR_FORMAT}"
     shipments = t["air_shipments"].withColumn("_found", F.lit(True))
     if references is not None:
         shipments = references.select("id").join(shipments, "id", "left")
@@ -78,7 +81,7 @@ def air_house_list(t: Tables, references: DataFrame | None = None) -> DataFrame:
     rows = rows.join(commodity, "id", "left").join(parties, "id", "left")
     pieces, weight = a("no_of_pieces").cast("string"), a("gross_weight_kgs").cast("string")
     text = F.concat(
-        F.lit(AIR_HEADER + "MBI/"),
+        F.lit(opening + "MBI/"),
         split_number(a("master_id")),
         F.lit("/T"),
         pieces,
@@ -104,19 +107,25 @@ def air_house_list(t: Tables, references: DataFrame | None = None) -> DataFrame:
         F.lit("\n"),
         a("consignee_block"),
     )
-    notice = F.concat(F.lit(AIR_HEADER + NO_DATA), a("id").cast("string"))
+    notice = F.concat(F.lit(opening + NO_DATA), a("id").cast("string"))
     return rows.select(a("id").alias("doc_key"), F.when(a("_found"), text).otherwise(notice).alias("content"))
 
 
 # ---- 530 message ---------------------------------------------------------
 
-# Segments that never change.
-ICS_SEGMENT = "ICS*+ANSI1.1  VT48708          VTVISTA          2503270703002826444"
-ICE_SEGMENT = "ICE*000001*002826444"
+# Fixed value: segments of one transaction.
 SEGMENT_COUNT = "4"
 PARTNER_KEYS = ["company_code", "branch_code", "location_code"]
 
 
+@dataclass(frozen=True)
+class Interchange:
+    """The two segments around a 530 file; they name the parties' systems, so they are given, not known here."""
+
+    opening: str
+    closing: str
+
+
 def _documents_530(t: Tables) -> tuple[DataFrame, DataFrame]:
     found, rejects = partner_lookup(t["finance_documents"], t["partners_530"], PARTNER_KEYS)
     rows = lookup(found, t["jobs"].select("job_uid", "master_no", "pol", "pod", "no_of_pack"), ["job_uid"])
@@ -145,19 +154,21 @@ def _transaction(number: Column) -> Column:
     )
 
 
-def message_530(t: Tables, as_of: datetime, first_number: int = 1) -> tuple[DataFrame, DataFrame]:
+def message_530(t: Tables, as_of: datetime, around: Interchange, first_number: int = 1) -> tuple[DataFrame, DataFrame]:
     """One message per finance document, and the documents without a partner."""
     rows, rejects = _documents_530(t)
     numbered = assign_sequence(rows, ["did"], "_gs06", base=first_number - 1)
     text = oracle_concat(
-        ICS_SEGMENT, "\n", _gs(as_of, F.col("_gs06")), "\n", _transaction(F.lit("000000001")), "\nGE*1*", F.col("_gs06"),
-        "\n", ICE_SEGMENT,
+        around.opening, "\n", _gs(as_of, F.col("_gs06")), "\n", _transaction(F.lit("000000001")), "\nGE*1*", F.col("_gs06"),
+        "\n", around.closing,
     )
     docs = numbered.select(F.col("did").alias("doc_key"), *PARTNER_KEYS, text.alias("content"))
     return docs, rejects
 
 
-def message_530_batched(t: Tables, as_of: datetime, first_number: int = 1) -> tuple[DataFrame, DataFrame]:
+def message_530_batched(
+    t: Tables, as_of: datetime, around: Interchange, first_number: int = 1
+) -> tuple[DataFrame, DataFrame]:
     """One message per sender and receiver holding all their documents, as rows ``(doc_key, pos, line)``.
 
     A message grows with the documents, so it stays in lines: head, documents
@@ -170,8 +181,8 @@ def message_530_batched(t: Tables, as_of: datetime, first_number: int = 1) -> tu
     body = numbered.select("doc_key", F.col("_no").alias("pos"), _transaction(number).alias("line"))
     batches = keyed.groupBy("doc_key", "sender_code", "receiver_code").agg(F.count(F.lit(1)).alias("_count"))
     batches = assign_sequence(batches, ["doc_key"], "_gs06", base=first_number - 1)
-    opening = oracle_concat(ICS_SEGMENT, "\n", _gs(as_of, F.col("_gs06")))
-    trailer = oracle_concat("GE*", F.col("_count"), "*", F.col("_gs06"), "\n", ICE_SEGMENT)
+    opening = oracle_concat(around.opening, "\n", _gs(as_of, F.col("_gs06")))
+    trailer = oracle_concat("GE*", F.col("_count"), "*", F.col("_gs06"), "\n", around.closing)
     head = batches.select("doc_key", F.lit(0).cast("long").alias("pos"), opening.alias("line"))
     tail = batches.select("doc_key", (F.col("_count") + 1).alias("pos"), trailer.alias("line"))
     docs = head.unionByName(body).unionByName(tail)
@@ -185,11 +196,10 @@ ENVELOPE = (
     '<?xml version="1.0" encoding="UTF-8"?>\n'
     '<S:Envelope xmlns:S="http://www.w3.org/2003/05/soap-envelope"'
     ' xmlns:wsa="http://schemas.xmlsoap.org/ws/2004/03/addressing"'
-    ' xmlns:ebi="http://www.myvan.descartes.com/ebi/2004/r1"'
+    ' xmlns:ebi="{}"'
     ' xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"'
     ' xmlns:xsd="http://www.w3.org/2001/XMLSchema">\n'
 )
-ACTION = "urn:myvan:ICS2_EDI"
 SEA_MODE = "1"
 IN_CONTAINER = "1"
 PREPAID = "A"
@@ -243,8 +253,11 @@ def goods_items(t: Tables) -> DataFrame:
     return serial(packed, ["subjob_uid"], order, "item_no")
 
 
-def customs_xml(t: Tables, as_of: datetime) -> tuple[DataFrame, DataFrame]:
-    """``(doc_key, content)`` and the queue's three codes per house, and the houses without a partner."""
+def customs_xml(t: Tables, as_of: datetime, namespace: str, action: str) -> tuple[DataFrame, DataFrame]:
+    """``(doc_key, content)`` and the queue's three codes per house, and the houses without a partner.
+
+    ``namespace`` and ``action`` are those of the receiving network's envelope.
+    """
     c = F.col
     houses = t["subjobs"].join(t["subjob_tree"], "subjob_uid").join(
         t["jobs"].select("job_uid", "master_no", "carrier_booking_no"), "job_uid"
@@ -261,11 +274,11 @@ def customs_xml(t: Tables, as_of: datetime) -> tuple[DataFrame, DataFrame]:
     rows = role_join(rows, ports, {"from": "pol", "to": "pod"}, ["country_code"], key="code", how="left")
     now = _now(as_of)
     head = F.concat(
-        F.lit(ENVELOPE + "<S:Header>\n<wsa:From><wsa:Address>urn:scac:"),
+        F.lit(ENVELOPE.format(namespace) + "<S:Header>\n<wsa:From><wsa:Address>urn:scac:"),
         xml_escape(c("sender_code")),
         F.lit("</wsa:Address></wsa:From>\n"),
         _el("wsa:To", "urn:zz:", c("receiver_code")),
-        _el("wsa:Action", ACTION),
+        _el("wsa:Action", action),
         _el("ebi:TestIndicator", "T"),
         F.lit("</S:Header>\n<S:Body>\n<SMFENS2>\n"),
         _group("SMFAPI", _el("senderID", c("sender_code")), _el("recipientID", c("receiver_code")), _el("docType", c("document_type"))),

@@ -9,6 +9,7 @@ container, container totals and the dangerous-goods block.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -119,17 +120,40 @@ def voy_lines(t: Tables, first_number: int = 1) -> DataFrame:
     return rows.select(F.col("id").alias("master_id"), "master_uid", line.alias("line"))
 
 
-def master_shipments(t: Tables, shipment_id: int | None = None) -> DataFrame:
+def master_shipments(t: Tables) -> DataFrame:
     """Distinct shipments of each master."""
     links = t["master_service_links"].select("master_id", F.col("shipment_service_id").alias("id"))
     pairs = links.join(t["shipment_services"].select("id", "shipment_header_id"), "id")
     known = t["shipments"].select(F.col("id").alias("shipment_header_id"))
     pairs = pairs.join(known, "shipment_header_id", "left_semi")
-    if shipment_id is not None:
-        pairs = pairs.filter(F.col("shipment_header_id") == shipment_id)
     return pairs.select("master_id", F.col("shipment_header_id").alias("shipment_id")).distinct()
 
 
+# Child tables of a shipment and their foreign keys.
+CHILDREN = {
+    "shipments": "id",
+    "shipment_services": "shipment_header_id",
+    "shipment_cargo": "shipment_header_id",
+    "air_documents": "source_id",
+    "ocean_documents": "source_id",
+    "shipment_extras": "shipment_header_id",
+    "shipment_parties": "shipment_header_id",
+    "shipment_containers": "shipment_id",
+}
+
+
+def of_shipment(t: Tables, shipment_id: int | None) -> Tables:
+    """The tables cut to one shipment and its masters; all of them without an id."""
+    if shipment_id is None:
+        return t
+    cut = {name: t[name].filter(F.col(fk) == shipment_id) for name, fk in CHILDREN.items()}
+    links = t["master_service_links"].join(
+        cut["shipment_services"].select(F.col("id").alias("shipment_service_id")), "shipment_service_id", "left_semi"
+    )
+    masters = t["masters"].join(links.select(F.col("master_id").alias("id")), "id", "left_semi")
+    return ChainMap({**cut, "master_service_links": links, "masters": masters}, t)
+
+
 def _first(df: DataFrame, fk: str, order: list[str], columns: Mapping[str, Column | str]) -> DataFrame:
     """First child row per shipment, columns renamed."""
     cols = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()]
@@ -153,19 +177,9 @@ def _dangerous(c=F.col) -> Column:
     )
 
 
-def shipment_details(t: Tables, shipment_id: int | None = None, carry: str = "clean") -> DataFrame:
-    """One row per master and shipment with everything its lines show."""
-    if carry not in ("clean", "reference"):
-        raise ValueError(f"unknown carry {carry!r}")
+def _cargo(t: Tables) -> DataFrame:
+    """First cargo row of each shipment."""
     c = F.col
-    pairs = master_shipments(t, shipment_id)
-    ships = t["shipments"].select(c("id").alias("shipment_id"), "origin_id", "destination_id", c("service_type").alias("container_service"))
-    rows = ships.join(pairs.select("shipment_id").distinct(), "shipment_id", "left_semi")
-
-    other = F.when(c("other_trade") == "ReExport", "Import").otherwise(c("other_trade"))
-    rows = rows.join(
-        _first(t["shipment_services"], "shipment_header_id", ["id"], {"trade": trade_code(other, c("service_trade"))}), "shipment_id", "left"
-    )
     cargo = {
         "marks": squeeze(c("marks_and_numbers")),
         "commodity": squeeze(c("commodity_description")),
@@ -175,9 +189,41 @@ def shipment_details(t: Tables, shipment_id: int | None = None, carry: str = "cl
         "gross": c("gross_weight_kgs").cast("decimal(18,3)"),
         "hazardous": F.when(c("hazardous") == "Yes", "Y").otherwise("N"),
         "dangerous": _dangerous(),
-        "has_cargo": F.lit(True),
     }
-    rows = rows.join(_first(t["shipment_cargo"], "shipment_header_id", ["id"], cargo), "shipment_id", "left")
+    return _first(t["shipment_cargo"], "shipment_header_id", ["id"], cargo)
+
+
+def _packed(rows: DataFrame, t: Tables) -> DataFrame:
+    return role_join(rows, t["packs"], {"pack": "pack_id"}, ["code", "name"], how="left")
+
+
+def container_details(t: Tables) -> DataFrame:
+    """What the container lines show of each master and shipment, without the rest of ``shipment_details``."""
+    rows = master_shipments(t).join(_cargo(t).select("shipment_id", "pack_id", "hazardous", "dangerous"), "shipment_id", "left")
+    rows = rows.withColumn("hazardous", F.coalesce("hazardous", F.lit("N")))
+    return _packed(rows.withColumn("_dg", F.when(F.col("hazardous") == "Y", F.col("dangerous"))), t)
+
+
+def box_counts(t: Tables) -> DataFrame:
+    """Containers of each master and shipment."""
+    boxes = t["shipment_containers"].groupBy("shipment_id").agg(F.count(F.lit(1)).alias("box_count"))
+    return master_shipments(t).join(boxes, "shipment_id", "left").withColumn("box_count", F.coalesce("box_count", F.lit(0)))
+
+
+def shipment_details(t: Tables, carry: str = "clean") -> DataFrame:
+    """One row per master and shipment with everything its lines show."""
+    if carry not in ("clean", "reference"):
+        raise ValueError(f"unknown carry {carry!r}")
+    c = F.col
+    pairs = master_shipments(t)
+    ships = t["shipments"].select(c("id").alias("shipment_id"), "origin_id", "destination_id", c("service_type").alias("container_service"))
+    rows = ships.join(pairs.select("shipment_id").distinct(), "shipment_id", "left_semi")
+
+    other = F.when(c("other_trade") == "ReExport", "Import").otherwise(c("other_trade"))
+    rows = rows.join(
+        _first(t["shipment_services"], "shipment_header_id", ["id"], {"trade": trade_code(other, c("service_trade"))}), "shipment_id", "left"
+    )
+    rows = rows.join(_cargo(t), "shipment_id", "left")
     rows = rows.withColumn("hazardous", F.coalesce("hazardous", F.lit("N")))
     for name, table, fk, number in (
         ("_air", "air_documents", "source_id", "document_no"),
@@ -212,7 +258,7 @@ def shipment_details(t: Tables, shipment_id: int | None = None, carry: str = "cl
 
     # Joins on the shipment came first and share one partitioning; code lookups follow.
     rows = role_join(rows, t["ports"], {"origin": "origin_id", "discharge": "destination_id"}, ["code", "country_code"], how="left")
-    rows = role_join(rows, t["packs"], {"pack": "pack_id"}, ["code", "name"], how="left")
+    rows = _packed(rows, t)
     modes = first_per_key(
         t["services"].select(c("code").alias("container_service"), code_map(c("transport_mode"), MODE_CODES).alias("_mode")),
         ["container_service"],
@@ -339,7 +385,7 @@ class ManifestLines:
     end: DataFrame
 
     def all(self) -> DataFrame:
-        """``(doc_key, sec, shipment_id, no, line)`` in document order."""
+        """``(master_id, doc_key, sec, shipment_id, no, line)`` in document order."""
         c = F.col
         key = self.voy.select("master_id", c("master_uid").alias("doc_key"))
         none, zero = F.lit(0).cast("long"), F.lit(0).cast("long")
@@ -353,12 +399,13 @@ class ManifestLines:
             .unionByName(shaped(self.containers, 1, c("shipment_id"), c("sr_no")))
             .unionByName(shaped(self.end, 2, none, zero))
         )
-        return rows.join(key, "master_id").drop("master_id")
+        return rows.join(key, "master_id")
 
 
 def manifest_lines(t: Tables, shipment_id: int | None = None, carry: str = "clean", first_number: int = 1) -> ManifestLines:
     """All lines; the shipment details are written once and read by each kind."""
-    details = staged(shipment_details(t, shipment_id, carry), "manifest-details")
+    t = of_shipment(t, shipment_id)
+    details = staged(shipment_details(t, carry), "manifest-details")
     return ManifestLines(
         voy_lines(t, first_number), bol_lines(t, details), container_lines(t, details), end_lines(t, details)
     )
@@ -371,13 +418,14 @@ def manifest(
     null_mode: str = "reference",
     first_number: int = 1,
 ) -> DataFrame:
-    """``(doc_key, content)`` per master.
+    """``(doc_key, content)`` per master; with ``shipment_id`` only that shipment and its masters.
 
     ``null_mode="reference"`` makes a document NULL when one of its mandatory
     fields is missing; ``"blank"`` leaves that line empty.
     """
     lines = manifest_lines(t, shipment_id, carry, first_number).all()
-    return gather_lines(lines, "doc_key", ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference")
+    docs = gather_lines(lines, ["master_id", "doc_key"], ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference")
+    return docs.drop("master_id")
 
 
 def manifest_counters(t: Tables, as_of_order: str = "id") -> DataFrame:

@@ -74,6 +74,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def names_under(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, from the file system's listing; none where it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
+def refuse_occupied(spark: SparkSession, out_dir: str, checkpoint: str) -> None:
+    """Stop a stream whose new checkpoint would number its batches from 0 again over earlier output."""
+    if names_under(spark, out_dir) and not names_under(spark, checkpoint):
+        raise ValueError(f"{out_dir} holds the output of another checkpoint than {checkpoint}")
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Frees what is staged inside, once its results are written."""

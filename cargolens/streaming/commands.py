@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cargolens.operators.commands import Feed, apply_commands, parse_commands
-from cargolens.session import scratch
+from cargolens.session import delete_path, names_under, refuse_occupied, scratch
 
 COMMAND_SCHEMA = "seq long, method string, payload string"
 
@@ -16,7 +16,10 @@ def state_path(out_dir: str, version: int) -> str:
 
 
 def apply_batch(batch: DataFrame, batch_id: int, base: DataFrame, out_dir: str, feed: Feed) -> None:
-    """Batch n reads snapshot n and writes snapshot n+1; a retry repeats exactly that."""
+    """Batch n reads snapshot n and writes snapshot n+1; a retry repeats exactly that.
+
+    Snapshots before n are needed by no retry and go.
+    """
     spark = batch.sparkSession
     if batch_id > 0:
         path = state_path(out_dir, batch_id)
@@ -27,6 +30,15 @@ def apply_batch(batch: DataFrame, batch_id: int, base: DataFrame, out_dir: str,
         replies = statuses.select("seq", "method", "status").unionByName(rejects.select("seq", "method", "status"))
         replies.write.mode("overwrite").parquet(f"{out_dir}/replies/batch_id={batch_id}")
         state.write.mode("overwrite").parquet(state_path(out_dir, batch_id + 1))
+    for version in versions(spark, out_dir):
+        if version < batch_id:
+            delete_path(spark, state_path(out_dir, version))
+
+
+def versions(spark: SparkSession, out_dir: str) -> list[int]:
+    """Numbers of the snapshots that were written to their end."""
+    found = [name for name in names_under(spark, f"{out_dir}/state") if name.startswith("version=")]
+    return [int(n.partition("=")[2]) for n in found if "_SUCCESS" in names_under(spark, f"{out_dir}/state/{n}")]
 
 
 def upsert_stream(
@@ -35,8 +47,9 @@ def upsert_stream(
     """Apply all command files not seen before, then stop.
 
     Each batch writes the whole state as a new snapshot, so give it many files
-    when the state is large.
+    when the state is large. A new checkpoint needs a new output folder.
     """
+    refuse_occupied(spark, out_dir, checkpoint)
     source = (
         spark.readStream.schema(COMMAND_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(in_dir)
     )
@@ -50,6 +63,4 @@ def upsert_stream(
 
 def latest_state(spark: SparkSession, out_dir: str) -> DataFrame:
     """Newest snapshot written by the stream."""
-    snapshots = spark.read.parquet(f"{out_dir}/state")
-    newest = snapshots.selectExpr("max(version) as v").first()["v"]
-    return spark.read.parquet(state_path(out_dir, newest))
+    return spark.read.parquet(state_path(out_dir, max(versions(spark, out_dir))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cargolens.operators.xml_shred import cast_rejects, parse_messages, shred, split_malformed
-from cargolens.session import scratch, staged
+from cargolens.session import refuse_occupied, scratch, staged
 from cargolens.sources.inbox import processing_log
 
 # Fixed value: process type written to the log.
@@ -48,8 +48,9 @@ def shred_stream(
     """Shred all messages not seen before, then stop.
 
     The checkpoint remembers the files that are done; a run without new files
-    writes nothing.
+    writes nothing. A new checkpoint needs a new output folder.
     """
+    refuse_occupied(spark, out_dir, checkpoint)
     source = (
         spark.readStream.schema("id long, xml_data string, processed boolean")
         .option("maxFilesPerTrigger", files_per_batch)

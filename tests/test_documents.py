@@ -14,6 +14,8 @@ from cargolens.plans import manifest as man
 from cargolens.sources.inbox import render, to_outbox
 
 NOW = datetime(2025, 3, 27, 7, 3, 0)
+ADDRESSES = "QK AAAXX00EXAMPLE\n.AAAXX01EXAMPLE/SIN01 090516"
+AROUND = docs.Interchange("ICS*+ANSI1.1  SENDER           RECEIVER         2503270703000000001", "ICE*000001*000000001")
 
 
 def table(spark, ddl, *rows):
@@ -54,8 +56,8 @@ def test_air_house_list(spark, shared):
         ),
     }
     wanted = table(spark, "id long", (1,), (2,), (3,), (4,))
-    got = {r.doc_key: r.content for r in docs.air_house_list(t, wanted).collect()}
-    head = "QK CSGAGT85GHAAIFHLSIN\n.CSGAGT86SGTWG01/SIN01 090516\nFHL/4\n"
+    got = {r.doc_key: r.content for r in docs.air_house_list(t, ADDRESSES, wanted).collect()}
+    head = ADDRESSES + "\nFHL/4\n"
     assert got[1] == head + (
         "MBI/123-45678901/T4K10.50\nHBS/H1/AAA/4/K10.50//first\nSHP/SENDER\n/1 Main Town \n/North\n/AA\n"
         "CNE/TAKER\n/2  Ville 99\n/\n/BB\n"
@@ -63,7 +65,7 @@ def test_air_house_list(spark, shared):
     assert got[2] is None  # address whose country is unknown
     assert got[3] is None  # no shipper name
     assert got[4] == head + "NO DATA FOUND FOR SHIPMENT 4"
-    assert set(r.doc_key for r in docs.air_house_list(t).collect()) == {1, 2, 3}
+    assert set(r.doc_key for r in docs.air_house_list(t, ADDRESSES).collect()) == {1, 2, 3}
 
 
 @pytest.fixture(scope="module")
@@ -90,24 +92,24 @@ def tables_530(spark):
 
 
 def test_message_530(tables_530):
-    out, rejects = docs.message_530(tables_530, NOW, first_number=41)
+    out, rejects = docs.message_530(tables_530, NOW, AROUND, first_number=41)
     got = {r.doc_key: r.content.split("\n") for r in out.collect()}
     assert got[1] == [
-        "ICS*+ANSI1.1  VT48708          VTVISTA          2503270703002826444",
+        "ICS*+ANSI1.1  SENDER           RECEIVER         2503270703000000001",
         "GS*VI*SND*RCV*250327*0703*41*T*1",
         "ST*530*000000001",
         "BV3*SND*111*BK*DB-100*7*250311*0659**M1***222",
         "VI**SPEC********",
         "SE*4*000000001",
         "GE*1*41",
-        "ICE*000001*002826444",
+        "ICE*000001*000000001",
     ]
     assert got[2][3] == "BV3*SND**BK*DB-101********"  # nothing after the document number is known
     assert [r.did for r in rejects.collect()] == [3]
 
 
 def test_message_530_batched(tables_530):
-    out, _ = docs.message_530_batched(tables_530, NOW)
+    out, _ = docs.message_530_batched(tables_530, NOW, AROUND)
     rows = out.orderBy("pos").collect()
     assert {r.doc_key for r in rows} == {"SND/RCV"} and [r.pos for r in rows] == [0, 1, 2, 3]
     text = "\n".join(r.line for r in rows).split("\n")
@@ -154,7 +156,7 @@ def test_customs_xml(spark, shared):
         ),
         "codes": table(spark, "document string, master string, code string, edi_code string", ("EDI_ICS2", "CONTAINER_MASTER", "20", "22G1")),
     }
-    out, rejects = docs.customs_xml(t, NOW)
+    out, rejects = docs.customs_xml(t, NOW, "http://example.org/envelope", "urn:example:customs")
     got = {r.doc_key: r.content for r in out.collect()}
     assert set(got) == {1, 3}
     assert [r.subjob_uid for r in rejects.collect()] == [2]
@@ -321,6 +323,11 @@ def test_manifest_null_and_single_shipment(spark, shared, lines):
     assert got["MA"] is None and got["MB"] is not None
     blank = {r.doc_key: r.content for r in man.manifest(gone, null_mode="blank").collect()}
     assert "" in blank["MA"].split("\n")
+    assert set(one) == {"MA"}
+    # masters that share their uid stay apart
+    twins = {**t, "masters": t["masters"].withColumn("master_uid", F.lit("M"))}
+    ends = [sum(x.startswith('"END"') or x.startswith("END") for x in r.content.split("\n")) for r in man.manifest(twins, null_mode="blank").collect()]
+    assert ends == [1] * t["masters"].count()
 
 
 def test_second_cargo_row_repeats_containers(spark, shared):

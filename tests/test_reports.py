@@ -14,6 +14,12 @@ def table(spark, ddl, *rows):
     return spark.createDataFrame(list(rows), ddl)
 
 
+def reply(df):
+    """The document that ordered rows of text make."""
+    order = [c for c in ("section", "pos") if c in df.columns]
+    return "".join(r.text for r in df.orderBy(*order).collect())
+
+
 # ---- finance -------------------------------------------------------------
 
 
@@ -61,6 +67,16 @@ def test_wip_multiplies_service_rows(spark):
     assert got[(3, "FCL")] == (None, 10.0, 0.0, 0.0, 0.0, 0.0, 0.0)
 
 
+def test_wip_reply(spark):
+    t = finance(spark, [(900, None), (None, 901)])
+    rows = json.loads(reply(reports.wip_reply(t, date(2025, 1, 31))))
+    assert [(r["shipmentId"], r["service"]) for r in rows] == [(1, "FCL"), (1, "LCL"), (2, None), (3, "FCL")]
+    gone = {"status": "error", "message": "No shipment data found"}
+    assert json.loads(reply(reports.wip_reply(t, date(1999, 1, 1)))) == gone
+    assert json.loads(reports.failure_reply(ValueError('a "b"'))) == {"Status": "Failure", "Message": 'a "b"'}
+    assert json.loads(reports.failure_reply(ValueError("x"), finance=True)) == {"status": "failure", "message": "x"}
+
+
 def test_wip_null_guard(spark):
     t = finance(spark, [(900, None), (None, 901)])
     as_written = money(reports.wip_finance(t, date(2025, 1, 31), null_guard="reference"))
@@ -195,6 +211,8 @@ def test_port_list(spark):
     assert codes("port", "del") == [("D1", "DELTA-(D1)")]
     assert codes("PORT_MASTER", "eta") == [(None, None)]
     assert codes("AGENT", "del") == codes(None, "del") == codes("port", None) == []
+    assert [p["portCode"] for p in json.loads(reply(reports.port_reply(t, "port", "e")))] == ["D1", None]
+    assert reply(reports.port_reply(t, "AGENT", "del")) == "[]"
 
 
 def test_sailing_schedule(spark):

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cargolens.operators import commands as cmd
-from cargolens.streaming.commands import latest_state, upsert_stream
+from cargolens.session import names_under, scratch_root
+from cargolens.streaming.commands import latest_state, upsert_stream, versions
 
 TRIGGER_DDL = (
     "web_user_master_id long, created_user string, created_date timestamp_ntz, updated_user string, updated_date timestamp_ntz, "
@@ -112,6 +113,8 @@ def test_read_method_and_missing_key(spark):
 def test_stream_applies_each_file_once(spark, tmp_path):
     source, out, check = (str(tmp_path / d) for d in ("in", "out", "check"))
     base = spark.createDataFrame([base_row(5)], TRIGGER_DDL)
+    scratch = f"{scratch_root(spark)}/cargolens"
+    before = set(names_under(spark, scratch))
 
     def send(*rows):
         df = spark.createDataFrame(rows, "seq long, method string, payload string")
@@ -125,3 +128,7 @@ def test_stream_applies_each_file_once(spark, tmp_path):
     assert latest_state(spark, out).count() == 1
     replies = spark.read.parquet(f"{out}/replies").orderBy(F.col("seq"))
     assert [r.status for r in replies.collect()] == [cmd.INSERTED, cmd.INSERTED, cmd.UPDATED, cmd.DELETED, cmd.DELETED]
+    assert sorted(versions(spark, out)) == [1, 2]
+    assert set(names_under(spark, scratch)) == before
+    with pytest.raises(ValueError, match="another checkpoint"):
+        upsert_stream(spark, source, base, out, str(tmp_path / "check2"), cmd.TRIGGERS)

@@ -168,3 +168,5 @@ def test_stream_takes_each_file_once(spark, messages, tmp_path):
     more.coalesce(1).write.mode("append").parquet(source)
     assert run()["manifest_headers"] == 4
     assert spark.read.parquet(f"{out}/processing_log").count() == 2
+    with pytest.raises(ValueError, match="another checkpoint"):
+        shred_stream(spark, source, out, str(tmp_path / "check2"), NOW)
