@@ -3,8 +3,8 @@
 Data and queries are grouped by the nearest of some pivots. A group's summary
 is its size and radius. For a query q, every member of the group around p has
 an inner product within ``q.p - |q| radius`` and ``q.p + |q| radius``; the
-lower bounds of the groups that hold k members give the query a threshold, and
-only groups whose upper bound reaches it are needed. A block of a group's
+lower bounds of the groups that hold k members of other ids give the query a
+threshold, and only groups whose upper bound reaches it are needed. A block of a group's
 vectors meets a block of queries only where one of those needs it, and is then
 solved by one matrix product; the partial results are merged per query.
 
@@ -28,6 +28,9 @@ from cargolens.session import drop_staged, staged
 #: Pivots, and vectors and queries of a block.
 PIVOTS, DATA_BLOCK, QUERY_BLOCK = 64, 2048, 512
 
+#: Shares that the queries of one id are dealt to when they meet its row counts.
+SHARES = 16
+
 #: Sums below this are exact in double precision.
 EXACT = float(1 << 53)
 
@@ -52,21 +55,37 @@ def nearest(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def grouped(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """``id, vec, cell, apart``."""
+    """The columns of ``vectors`` (``id, vec``), ``cell`` and ``apart``."""
+    names = [*vectors.columns, "cell", "apart"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 group, apart = nearest(matrix(batch.column("vec"), pivots.shape[1]), pivots)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(group.astype(np.int32)), pa.array(apart)], ["id", "vec", "cell", "apart"]
-                )
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(group.astype(np.int32)), pa.array(apart)], names)
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
+    return vectors.mapInArrow(run, f"{kinds}, cell int, apart double")
 
-    return vectors.mapInArrow(run, "id long, vec array<long>, cell int, apart double")
+
+def with_own(queries: DataFrame, cells: DataFrame) -> DataFrame:
+    """``queries`` with ``own``: per cell the rows of data that have the query's id.
+
+    Null where there is one such row or none. An id has one entry per cell at
+    most; its queries meet it in several shares, however many they are.
+    """
+    counts = cells.filter("id is not null").groupBy("id", "cell").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.groupBy("id").agg(F.collect_list(F.struct("cell", "n")).alias("own"), F.sum("n").alias("total"))
+    counts = counts.filter("total > 1").select("id", "own", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"))
+    share = F.pmod(F.xxhash64("vec"), F.lit(SHARES)).cast("int").alias("share")
+    return queries.select("id", "vec", share).join(counts, ["id", "share"], "left").select("id", "vec", "own")
 
 
 def blocks(cells: DataFrame, per_block: int, width: int) -> tuple[DataFrame, list]:
-    """``cell, salt, ids, body``: vectors of a cell packed in blocks; and the summaries per cell."""
+    """``cell, salt, ids, body, own``: vectors of a cell packed in blocks; and the summaries per cell.
+
+    ``own`` is empty unless ``cells`` has that column; then it holds ``(row, cell, n)`` of all its entries.
+    """
     summary = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.max("apart").alias("radius")).collect()
     salts = {r.cell: -(-r.members // per_block) for r in summary}
     many = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair]) if salts else F.create_map(F.lit(0), F.lit(1))
@@ -77,13 +96,16 @@ def blocks(cells: DataFrame, per_block: int, width: int) -> tuple[DataFrame, lis
         ids = table.column("id").fill_null(NO_ID).to_numpy()
         vec = table.column("vec")
         vec = pa.concat_arrays(vec.chunks)
-        return pa.table(
-            {"cell": [key[0].as_py()], "salt": [key[1].as_py()], "ids": [ids.tobytes()], "body": [matrix(vec, width).tobytes()]},
-            pa.schema([("cell", pa.int32()), ("salt", pa.int32()), ("ids", pa.binary()), ("body", pa.binary())]),
-        )
+        own = table.column("own").to_pylist() if "own" in table.column_names else []
+        own = np.array([(i, e["cell"], e["n"]) for i, entries in enumerate(own) for e in entries or []], np.int64)
+        values = [key[0].as_py(), key[1].as_py(), ids.tobytes(), matrix(vec, width).tobytes(), own.tobytes()]
+        names = ["cell", "salt", "ids", "body", "own"]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
-    packed = cells.select("cell", salt, "id", "vec").groupBy("cell", "salt")
-    return packed.applyInArrow(run, "cell int, salt int, ids binary, body binary"), summary
+    names = ["id", "vec", *(["own"] if "own" in cells.columns else [])]
+    packed = cells.select("cell", salt, *names).groupBy("cell", "salt")
+    return packed.applyInArrow(run, "cell int, salt int, ids binary, body binary, own binary"), summary
 
 
 def read_block(ids: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -91,15 +113,30 @@ def read_block(ids: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
     return i, np.frombuffer(body, np.int64).reshape(len(i), -1)
 
 
-def needed_cells(queries: np.ndarray, pivots: np.ndarray, members: np.ndarray, radius: np.ndarray, k: int) -> np.ndarray:
-    """True where a cell can hold one of a query's k best others."""
+def read_own(own: bytes, queries: int, cells: int) -> np.ndarray:
+    """Rows of data by query and cell that have the query's id; all zero where there is one or none."""
+    out = np.zeros((queries, cells), np.int64)
+    row, cell, n = np.frombuffer(own, np.int64).reshape(-1, 3).T
+    out[row, cell] = n
+    return out
+
+
+def needed_cells(
+    queries: np.ndarray, pivots: np.ndarray, members: np.ndarray, radius: np.ndarray, k: int, own: np.ndarray | None = None
+) -> np.ndarray:
+    """True where a cell can hold one of a query's k best others.
+
+    ``own`` is how many members of each cell have the query's id. A query
+    without a count there may be among the members once.
+    """
     q = queries.astype(float)
     centre = q @ pivots.T
     reach = np.sqrt((q * q).sum(1))[:, None] * radius * (1 + 1e-9) + 1e-3
     low, high = centre - reach, centre + reach
     order = np.argsort(-low, axis=1)
-    # one more than k, since a query may be among the members
-    enough = np.cumsum(members[order], axis=1) > k
+    others = members - (np.zeros((len(q), 1), np.int64) if own is None else own)
+    once = (others == members).all(1)
+    enough = np.cumsum(np.take_along_axis(others, order, 1), axis=1) >= (k + once)[:, None]
     first = np.where(enough.any(1), enough.argmax(1), len(members) - 1)
     rows = np.arange(len(q))
     threshold = np.where(enough.any(1), low[rows, order[rows, first]], -np.inf)
@@ -158,10 +195,10 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 10, pivots: int = PIVOTS
 
     cells = staged(grouped(data, pivot), "cells")
     packed, summary = blocks(cells, DATA_BLOCK, width)
-    packed = staged(packed, "blocks")
+    packed = staged(packed.drop("own"), "blocks")
     asked = queries.count()
     few = pivot[: max(1, min(len(pivot), asked // QUERY_BLOCK))]
-    query_cells = staged(grouped(queries, few), "query_cells")
+    query_cells = staged(grouped(with_own(queries, cells), few), "query_cells")
     query_blocks, _ = blocks(query_cells, QUERY_BLOCK, width)
     members, radius = np.zeros(len(pivot), np.int64), np.zeros(len(pivot))
     for r in summary:
@@ -171,7 +208,8 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 10, pivots: int = PIVOTS
         for batch in batches:
             for row in batch.to_pylist():
                 _, q = read_block(row["ids"], row["body"])
-                cell = np.flatnonzero(needed_cells(q, pivot, members, radius, k).any(0))
+                own = read_own(row["own"], len(q), len(pivot))
+                cell = np.flatnonzero(needed_cells(q, pivot, members, radius, k, own).any(0))
                 n = len(cell)
                 kinds = [pa.int32(), pa.binary(), pa.binary()]
                 columns = [cell.astype(np.int32), [row["ids"]] * n, [row["body"]] * n]

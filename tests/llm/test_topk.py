@@ -58,6 +58,18 @@ def test_many_equal_vectors(spark):
     assert got(spark, data[:200:100], data, 10) == brute(data[:200:100], data, 10)
 
 
+@pytest.mark.parametrize("copies", [2, 12, 40])
+def test_repeated_query_ids(spark, monkeypatch, copies):
+    """Rows with the query's id are no candidates, however many they are and wherever they lie."""
+    far = [(i, [i % 10, 0]) for i in range(1, 21)]
+    near = [(100, [10, 0])] * copies
+    assert got(spark, near[:1], near + far, 10) == brute(near[:1], near + far, 10)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    spread = [(100, [10 + i % 7, i % 3]) for i in range(copies)] + [(101, [30, 0]), (102, [0, 30])] * 2
+    asked = [*spread, (7, [7, 0])]
+    assert got(spark, asked, spread + far, 2) == brute(asked, spread + far, 2)
+
+
 def test_empty_tables(spark):
     assert got(spark, [], [], 3) == []
     assert got(spark, [(1, [1])], [], 3) == []
