@@ -4,7 +4,9 @@
 record is a gzip member of its own that carries its compressed length in an
 extra header field, so the reader inflates the WARC header, decides by record
 type and header filters pushed down to it, and jumps over the rest of a record
-that nobody wants. Files without that field are inflated through.
+that nobody wants. Members without that field are inflated through: they are
+read by the stretch that holds the last member with the field before them, or
+the file's first one, so a file of another writer is read by one task.
 """
 
 from __future__ import annotations
@@ -112,7 +114,11 @@ def header_of(raw: bytes) -> dict[str, str]:
 
 
 class Members:
-    """Records of one stretch of a gzip file, header first."""
+    """Records of one stretch of a gzip file, header first.
+
+    A stretch goes on behind its end up to the first member that ``_first`` of
+    a later stretch can find; no other one reads what lies before that.
+    """
 
     def __init__(self, file, start: int, end: int, size: int):
         self.file, self.end, self.size = file, min(end, size), size
@@ -142,8 +148,15 @@ class Members:
         except zlib.error:
             return False
 
+    def _ends(self) -> bool:
+        """True where the file ends, or a later stretch begins to read."""
+        if self.at < self.end or self.at >= self.size:
+            return self.at >= self.size
+        self.file.seek(self.at)
+        return self.file.read(len(MEMBER)) == MEMBER and self._is_record(self.at)
+
     def __iter__(self) -> Iterator[tuple[dict[str, str], Members]]:
-        while self.at < self.end:
+        while not self._ends():
             self.file.seek(self.at)
             self.read = self.file.read(HEAD_BYTES)
             if not self.read.startswith(MAGIC):

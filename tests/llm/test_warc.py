@@ -119,6 +119,22 @@ def test_archives_of_others(spark, tmp_path):
     assert [r.payload_bytes for r in got] == [5000] * 4
 
 
+@pytest.mark.parametrize("split", [200, 1000, 7777, 10**6])
+@pytest.mark.parametrize("own", ["", "first", "last", "between", "turns"])
+def test_every_stretch_of_archives_of_others(tmp_path, split, own):
+    """Members without the length field are found behind the first stretch, too, also among members with it."""
+    rng = random.Random(2)
+    members = []
+    for i in range(40):
+        row = {"record_type": "resource", "record_id": f"urn:{i}"}
+        raw = warc.record(row, rng.randbytes(rng.randrange(1, 3000)), 0)
+        ours = {"": False, "first": i < 9, "last": i > 30, "between": 12 < i < 25, "turns": i % 4 == 3}[own]
+        members.append(warc.member(raw) if ours else gzip.compress(raw))
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(members))
+    reader = warc.WarcReader({"path": str(tmp_path), "splitBytes": str(split), "payload": "skip"})
+    assert [r[1] for p in reader.partitions() for r in reader.read(p)] == [f"urn:{i}" for i in range(40)]
+
+
 def test_broken_archives(tmp_path):
     (tmp_path / "x.warc.gz").write_bytes(b"no gzip here")
     reader = warc.WarcReader({"path": str(tmp_path)})
