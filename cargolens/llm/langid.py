@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from cargolens.llm.textbytes import slices, utf8
 
@@ -175,6 +176,19 @@ def learn(
     return train(windows_of(raw, window), labels, languages, seed=seed)
 
 
+def lettered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """True for the texts that have a letter."""
+    texts = (data[a : a + n].tobytes().decode() for a, n in zip(start, length, strict=True))
+    return np.array([LETTER.search(t) is not None for t in texts], bool)
+
+
+@F.arrow_udf(BooleanType())
+def has_letter(text: pa.Array) -> pa.Array:
+    """True for a text with a letter; ``identify`` knows no language of the others, and null has none."""
+    offsets, data = utf8(text)
+    return pa.array(lettered(data, offsets[:-1], np.diff(offsets)))
+
+
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """All columns of ``docs`` (``text``) and a struct ``language`` of ``pred, score``.
 
@@ -192,7 +206,7 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
         pred, score = [], []
         for lo, hi in slices(offsets, 1 << 20):
             start, length = offsets[lo:hi], np.diff(offsets[lo : hi + 1])
-            known = np.array([LETTER.search(data[a : a + n].tobytes().decode()) is not None for a, n in zip(start, length, strict=True)], bool)
+            known = lettered(data, start, length)
             if net is None:
                 known[:] = False
             rows = np.flatnonzero(known)

@@ -17,9 +17,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, and null ones, have no language and go; all others stay as they are."""
-    found = langid.identify(docs.select(*COLUMNS), langid.learn(docs))
-    return found.filter(F.col("language.pred") != langid.UNKNOWN).select(*COLUMNS)
+    """Texts without a letter, and null ones, have no language and go; all others stay as they are.
+
+    They stay whatever language the network finds, and also where no labelled
+    document could be learnt from.
+    """
+    network = langid.learn(docs)
+    if network is None:
+        return docs.select(*COLUMNS).filter(langid.has_letter("text"))
+    found = langid.identify(docs.select(*COLUMNS), network)
+    # a score of 0 is that of no letter, while "und" may be a label that was learnt
+    return found.filter(F.col("language.score") > 0).select(*COLUMNS)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,6 +132,16 @@ def test_pipeline(spark, docs):
     assert whole.count() == len(got) and whole.columns == ["doc_id", "n_tokens", "ids"]
 
 
+@pytest.mark.parametrize("lang", [None, "held out", "und"])
+def test_pipeline_keeps_texts_that_nothing_was_learnt_of(spark, lang):
+    ids = [i for i in range(60) if lang != "held out" or zlib.crc32(str(i).encode()) % 3 == 1]
+    rows = [(i, f"a text of words {i}", lang, "s", 5) for i in ids] + [(99, "漢字", None, "s", 2), (None, "é", None, None, None)]
+    gone = [(98, "12 !", None, "s", 4), (97, None, None, "s", None), (96, "", None, "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    kept = corpus_pipeline.known_language(spark, spark.createDataFrame(rows + gone, schema), SF_DIR)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     rows = [(None, None, None, None, None), (1, "", "en", None, 0), (2, "password=abcdef and more words", None, "é", 9), (2, "password=abcdef and more words", None, "é", 9),
             (3, "the long text " * 90_000, "en", "a", 5), (4, "the long text " * 90_000, "en", "b", 5), (None, "no id here at all", "en", "a", 5)]
