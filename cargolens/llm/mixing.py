@@ -1,8 +1,11 @@
-"""Mixing sources to target weights by Pareto order sampling.
+"""Mixing sources to target weights by order sampling.
 
 A source's target, in words, is split into whole copies that every document
 gets for certain and a rest. The rest goes to a sample of whole documents,
 picked in the order of random odds divided by inclusion odds, until it is met.
+Inclusion odds are equal within a source, so that its order is a plain random
+one; it ends at the first document that does not fit, smaller ones after it are
+not tried.
 
 No task orders a whole source: sizes are summed per source and band of that
 order, the running sum over bands finds the one in which the rest runs out, and
