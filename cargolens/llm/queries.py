@@ -11,7 +11,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm import bpe, chat_format, fingerprint, langid, mixing, reachable, secrets, simhash, substring_dedup, topk, warc
+from cargolens.llm import (
+    bpe,
+    chat_format,
+    collocations,
+    fingerprint,
+    hard_negatives,
+    langid,
+    mixing,
+    neighbours,
+    reachable,
+    secrets,
+    simhash,
+    substring_dedup,
+    topk,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -290,3 +305,83 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         warc.page_of("refers_to").alias("refers_to"),
     )
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    with v as (
+      select vec_id, [floor(256 * x::double) for x in embedding] as v, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+      from embeddings
+      where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+    ),
+    scored as (
+      select q.vec_id as anchor_id, d.vec_id, q.label = d.label as same, list_inner_product(q.v, d.v)::bigint as score
+      from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 100 = 0
+    ),
+    positive as (
+      select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+    ),
+    negative as (
+      select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank
+      from positive join scored using (anchor_id)
+      where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+    )
+    select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negative where rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    vec = topk.scaled(F.col("embedding"), 256).alias("vec")
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), vec, moved)
+    return hard_negatives.mine(rows, rows.filter(F.col("id") % 100 == 0), positives=5, negatives=10, low=30, high=90)
+
+
+@query(
+    "op12_phrase_collocations",
+    r"""
+    with piece as (
+      select coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws
+      from (
+        select lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents)
+    ),
+    run as (
+      select lang, k, array_to_string(ws[i:i + k - 1], ' ') as phrase
+      from (select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from piece, (values (1), (2), (3)) t(k))
+    ),
+    f as (select lang, k, phrase, count(*) as f from run group by all having count(*) >= 10),
+    total as (select lang, count(*) as n from run where k = 1 group by lang),
+    cut as (
+      select lang, size, phrase, a, c as k, array_to_string(w[1:c], ' ') as head, array_to_string(w[c + 1:], ' ') as tail
+      from (select lang, k as size, phrase, f as a, string_split(phrase, ' ') as w, unnest(range(1, k)) as c from f where k > 1)
+    ),
+    scored as (
+      select cut.lang, cut.size, cut.phrase, a, h.f as l, t.f as r, (1000000::hugeint * a * a // (h.f::hugeint * t.f))::bigint as score
+      from cut join f h on h.lang = cut.lang and h.phrase = head join f t on t.lang = cut.lang and t.phrase = tail
+      qualify row_number() over (partition by cut.lang, cut.phrase order by score, cut.k) = 1
+    ),
+    around as (
+      select lang, phrase, max(f) as around from (
+        select lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) as phrase
+        from f where k = 3)
+      group by all
+    ),
+    kept as (
+      select * from scored left join around using (lang, phrase) where around is null or 100 * around < 50 * a
+    )
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+    from kept join total using (lang) qualify rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, longest=3, cover=50, top=2000)
+
+
+@query("op13_nearest_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return neighbours.nearest_neighbours(data.filter(F.col("id") % 50 == 0), data, k=5)
