@@ -1,13 +1,15 @@
 """Phrase collocations by Toivonen's sampling.
 
-A sample of the documents proposes words, pairs and so on up to one word less
-than the longest phrase: those that are frequent in it by a lowered threshold.
-One pass over all documents then counts what the sample proposes and the
-negative border of that, which are the phrases whose parts are all proposed.
-What the border turns out to hold that is frequent after all was missed by the
-sample; it is proposed too, and a further pass counts the phrases that this
-admits, until a pass finds nothing that was missed. So each frequent phrase has
-been counted, exactly.
+A sample of the documents proposes phrases: those that are frequent in it, by a
+lowered threshold, and whose parts one word shorter are proposed too. One pass
+over all documents counts the proposed phrases and their negative border, which
+are the phrases that are not proposed but all of whose parts are. A border
+phrase is counted under its 64-bit hash alone, without its text: such a count is
+never too low, and hardly any border phrase turns out to be frequent. Where one
+does, the sample has missed it; it is proposed, and a further pass counts it by
+its text, and with it the phrases that the new proposals admit, until a pass
+finds nothing new. So every frequent phrase has been counted exactly, and the
+result does not depend on the sample.
 
 The proposals travel as bitmaps of a fixed size, one per length. Two phrases
 of one bit only mean that one is counted in vain. Counts are made per slice of
@@ -18,24 +20,23 @@ one row per slice.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.llm.textbytes import mix, slices, utf8
+from cargolens.llm.textbytes import mix, same_bytes, slices, utf8, word_hashes
 from cargolens.session import drop_staged, staged
 
-#: Bits of a bitmap: 16 MB whatever the number of phrases.
-BITMAP_BITS = 1 << 27
+#: Bits of a bitmap: 8 MB whatever the number of phrases.
+BITMAP_BITS = 1 << 26
 
 #: One of so many documents is in the sample, and the share of the expected count that proposes a phrase.
 SAMPLE_OF, LOWERED = 4, 0.6
 
 #: Bytes of text counted at a time; one longer text is a slice of its own.
-COUNT_BYTES = 3 << 20
+COUNT_BYTES = 1 << 21
 
 #: Groups that a language's best phrases are sought in before they meet.
 SHARES = 32
@@ -50,250 +51,244 @@ IS_OUTSIDE[list(BLANKS)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-STEP, LONGER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
-#: A slice with more different words is cut in two, so that three word numbers fit a long.
-MOST_NUMBERS = 1 << 21
-
-
-@dataclass
-class Level:
-    """Different phrases of one length in a slice."""
-
-    first: np.ndarray  # word that an occurrence starts at
-    counts: np.ndarray
-    hashes: np.ndarray
+LONGER = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Phrases:
-    """The words of a slice of texts, and its phrases of growing length.
+    """The words of a slice of texts and its phrases; equal words of two languages are different.
 
-    ``langs`` are numbers per text; equal words of two languages are different.
+    ``langs`` are numbers per text and ``lang_hashes`` their hashes. ``hashes(n)``
+    is the hash of the ``n`` words from each word on, where ``inside(n)`` says
+    that these lie in one piece of text.
     """
 
     def __init__(self, offsets: np.ndarray, data: np.ndarray, langs: np.ndarray, lang_hashes: np.ndarray):
-        data = LOWER[data]
-        self.data = data
-        inside = ~IS_OUTSIDE[data]
+        self.data = data = LOWER[data]
+        letter = ~IS_OUTSIDE[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
-        opens, closes = inside.copy(), inside.copy()
-        opens[1:] &= ~inside[:-1] | edge[1:-1]
-        closes[:-1] &= ~inside[1:] | edge[1:-1]
+        opens, closes = letter.copy(), letter
+        opens[1:] &= ~letter[:-1] | edge[1:-1]
+        closes[:-1] &= ~letter[1:] | edge[1:-1]
         self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         n = len(self.starts)
         text = np.searchsorted(offsets, self.starts, "right") - 1
         self.lang = langs[text] if n else np.zeros(0, np.int64)
         breaks = np.zeros(len(data) + 1, np.int32)
         np.cumsum(IS_BREAK[data], out=breaks[1:])
-        self.followed = np.zeros(n, bool)
+        followed = np.zeros(n, bool)
         if n > 1:
-            self.followed[:-1] = (text[1:] == text[:-1]) & (breaks[self.starts[1:]] == breaks[self.ends[:-1]])
-        self._number(opens, inside, lang_hashes)
-
-    def _number(self, opens: np.ndarray, inside: np.ndarray, lang_hashes: np.ndarray) -> None:
-        """Number the different words of each language; the words of one number are compared byte by byte."""
-        starts, ends, data = self.starts, self.ends, self.data
-        n = len(starts)
-        lengths = ends - starts
-        at = np.flatnonzero(inside)
-        word = np.repeat(np.arange(n), lengths)
-        # bytes are spread by their place before they are added, so no run of bytes cancels another
-        spread = mix(data[at].astype(np.uint64) + (at - starts[word] + 1).astype(np.uint64) * STEP)
-        sums = np.zeros(len(at) + 1, np.uint64)
-        np.cumsum(spread, out=sums[1:])
-        edges = np.concatenate([[0], np.cumsum(lengths)])
-        self.hashes = mix(sums[edges[1:]] - sums[edges[:-1]] + (lang_hashes[self.lang] if n else np.zeros(0, np.uint64)))
-        order = np.argsort(self.hashes, kind="stable")
-        h = self.hashes[order]
-        new = np.ones(n, bool)
-        new[1:] = h[1:] != h[:-1]
-        number = np.zeros(n, np.int64)
-        number[order] = np.cumsum(new) - 1
-        first = order[new]
-        like = first[number] if n else first
-        same = (lengths == lengths[like]) & (self.lang == self.lang[like])
-        if same.all():
-            model = starts[like][word] + (at - starts[word])
-            same = data[at].tobytes() == data[model].tobytes()
-        if not np.all(same):  # two words of one hash
-            seen: dict = {}
-            raw = data.tobytes()
-            pairs = zip(self.lang.tolist(), starts.tolist(), ends.tolist(), strict=True)
-            number = np.array([seen.setdefault((g, raw[a:b]), len(seen)) for g, a, b in pairs], np.int64)
-            first = np.unique(number, return_index=True)[1]
-        self.number, self.first = number, first
-        self.span = max(1, len(first))
-
-    def words(self) -> Level:
-        return Level(self.first, np.bincount(self.number, minlength=len(self.first)), self.hashes[self.first])
-
-    def longer(self, numbers: np.ndarray, span: int, allowed: np.ndarray, size: int, hashes: np.ndarray) -> tuple[Level, np.ndarray, np.ndarray]:
-        """Phrases of ``size`` words out of those one word shorter.
-
-        ``numbers`` is the number of the shorter phrase that starts at each word
-        (those of ``span`` different ones), ``hashes`` their hashes, and
-        ``allowed`` the words at which the longer one starts. Returns the phrases,
-        the number at each word (-1: none) and the phrases' hashes.
+            followed[:-1] = (text[1:] == text[:-1]) & (breaks[self.starts[1:]] == breaks[self.ends[:-1]])
+        own = word_hashes(data, self.starts, self.ends)
+        if n:
+            own = mix(own * LONGER + lang_hashes[self.lang])
+        self._inside, self._hashes = [np.ones(n, bool), followed], [own]
+        self._numbers = np.full(n, -1, np.int64)
+
+    def inside(self, size: int) -> np.ndarray:
+        while len(self._inside) < size:
+            self._inside.append(self._inside[-1] & shifted(self._inside[1], len(self._inside) - 1))
+        return self._inside[size - 1]
+
+    def hashes(self, size: int) -> np.ndarray:
+        while len(self._hashes) < size:
+            n = len(self._hashes)
+            last = np.zeros_like(self._hashes[0])
+            last[: max(0, len(last) - n)] = self._hashes[0][n:]
+            self._hashes.append(mix(self._hashes[-1] * LONGER + last + np.uint64(n)))
+        return self._hashes[size - 1]
+
+    def numbers(self, where: np.ndarray) -> np.ndarray:
+        """Numbers of the words flagged by ``where``, one for each different word; kept for the next call.
+
+        What has one hash is compared byte by byte.
         """
-        at = np.flatnonzero(allowed)
-        key = numbers[at] * self.span + self.number[at + size - 1]
-        order = np.argsort(key, kind="stable")
-        k = key[order]
-        new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]
-        cuts = np.flatnonzero(new)
-        here = np.full(len(self.starts), -1, np.int64)
-        here[at[order]] = np.cumsum(new) - 1
-        first = at[order[cuts]]
-        longer = mix(hashes[numbers[first]] * LONGER + self.hashes[first + size - 1] + np.uint64(size))
-        return Level(first, np.diff(np.append(cuts, len(k))), longer), here, longer
+        if (self._numbers[where] < 0).any():
+            at = np.flatnonzero(where | (self._numbers >= 0))
+            first, _, number = counted(self._hashes[0][at])
+            like = at[first][number]
+            lengths = self.ends[at] - self.starts[at]
+            same = (lengths == self.ends[like] - self.starts[like]) & (self.lang[at] == self.lang[like])
+            if not (same.all() and same_bytes(self.data, self.starts[at], self.starts[like], lengths)):
+                seen: dict = {}
+                raw = self.data.tobytes()
+                words = zip(self.lang[at].tolist(), self.starts[at].tolist(), self.ends[at].tolist(), strict=True)
+                number = np.array([seen.setdefault((g, raw[a:b]), len(seen)) for g, a, b in words], np.int64)
+            self._numbers[at] = number
+        return self._numbers
 
     def texts(self, first: np.ndarray, size: int) -> pa.Array:
-        """The phrases of ``size`` words from the given words on, joined by a blank."""
-        if not len(first):
-            return pa.array([], pa.large_string())
+        """The ``size`` words from the given words on, joined by a blank."""
         word = (first[:, None] + np.arange(size)).ravel()
         lengths = self.ends[word] - self.starts[word] + 1
         edges = np.concatenate([[0], np.cumsum(lengths)])
-        place = np.arange(edges[-1]) - np.repeat(edges[:-1], lengths)
-        out = self.data[np.minimum(np.repeat(self.starts[word], lengths) + place, len(self.data) - 1)]
+        at = np.arange(edges[-1]) + np.repeat(self.starts[word] - edges[:-1], lengths)
+        out = self.data[np.minimum(at, max(0, len(self.data) - 1))]
         out[edges[1:] - 1] = 32
         ends = edges[::size]
         # the blank behind the last word of each phrase goes
         keep = np.ones(len(out), bool)
         keep[ends[1:] - 1] = False
-        offsets = (ends - np.arange(len(ends))).astype(np.int64)
-        return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(out[keep].tobytes()))
+        offsets = ends - np.arange(len(ends))
+        return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(out[keep])).cast(pa.string())
+
+
+def firsts(sorted_values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(sorted_values), bool)
+    out[1:] = sorted_values[1:] != sorted_values[:-1]
+    return out
+
+
+def shifted(flags: np.ndarray, by: int) -> np.ndarray:
+    """What stands ``by`` places further on."""
+    out = np.zeros(len(flags), bool)
+    out[: max(0, len(flags) - by)] = flags[by:]
+    return out
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(first, count, number)``: place and count of each different key, and the number of each key among them."""
+    order = np.argsort(keys, kind="stable")
+    new = firsts(keys[order])
+    cuts = np.flatnonzero(new)
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[cuts], np.diff(np.append(cuts, len(keys))), number
 
 
 def lang_hash(lang: str) -> int:
-    raw = np.frombuffer(lang.encode(), np.uint8).astype(np.uint64)
-    return int(mix(mix(raw + np.arange(1, len(raw) + 1, dtype=np.uint64) * STEP).sum(dtype=np.uint64, keepdims=True))[0])
+    raw = np.frombuffer(lang.encode(), np.uint8)
+    return int(word_hashes(raw, np.zeros(1, np.int64), np.array([len(raw)]))[0])
 
 
-def read_slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[str], Phrases]]:
+def read_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Phrases]]:
     """``(languages, phrases)`` of slices of the columns ``lang, text``."""
     for batch in batches:
         offsets, data = utf8(batch.column("text"))
         coded = batch.column("lang").dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        hashes = np.array([lang_hash(x) for x in names], np.uint64)
+        hashes = np.array([lang_hash(x) for x in coded.dictionary.to_pylist()], np.uint64)
         langs = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        for lo, hi in slices(offsets, most):
-            part = offsets[lo : hi + 1]
-            yield names, Phrases(part - part[0], data[part[0] : part[-1]], langs[lo:hi], hashes)
-
-
-class Bitmap:
-    """Set of phrase hashes in BITMAP_BITS bits."""
-
-    def __init__(self, parts: list, bits: int = BITMAP_BITS):
-        self.bits = bits
-        self.bytes = np.zeros(bits // 8, np.uint8)
-        for number, body in parts:
-            self.bytes[number * PART_BYTES : number * PART_BYTES + len(body)] = np.frombuffer(body, np.uint8)
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = (hashes % np.uint64(self.bits)).astype(np.int64)
-        return (self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-    def merged(self, other: Bitmap) -> Bitmap:
-        out = Bitmap([], self.bits)
-        out.bytes = self.bytes | other.bytes
-        return out
+        for lo, hi in slices(offsets, COUNT_BYTES):
+            edges = offsets[lo : hi + 1]
+            yield coded.dictionary, Phrases(edges - edges[0], data[edges[0] : edges[-1]], langs[lo:hi], hashes)
 
 
 #: Bytes of a row of Spark's bitmap aggregate.
 PART_BYTES = 4096
 
 
-def bitmaps(hashed: DataFrame, lengths: int) -> list[Bitmap]:
-    """A bitmap per phrase length of the column ``hash``; as large as BITMAP_BITS, however many rows there are."""
-    at = F.pmod(F.col("hash"), F.lit(BITMAP_BITS))
-    places = hashed.select("size", F.floor(at / (8 * PART_BYTES)).cast("int").alias("part"), F.pmod(at, F.lit(8 * PART_BYTES)).alias("bit"))
-    rows = places.groupBy("size", "part").agg(F.bitmap_construct_agg("bit").alias("body")).collect()
-    return [Bitmap([(r.part, r.body) for r in rows if r["size"] == size]) for size in range(1, lengths + 1)]
+class Bitmaps:
+    """Sets of phrase hashes by phrase length, BITMAP_BITS bits each."""
 
+    def __init__(self, lengths: int):
+        self.sets = np.zeros((lengths, BITMAP_BITS // 8), np.uint8)
 
-def sample_counts(docs: DataFrame, longest: int) -> DataFrame:
-    """``size, hash, count`` of the phrases shorter than ``longest``."""
+    @staticmethod
+    def of(hashed: DataFrame, lengths: int) -> Bitmaps:
+        """Of the columns ``size, hash``; what comes to the driver is as large as the bitmaps, however many rows there are."""
+        at = F.pmod(F.col("hash"), F.lit(BITMAP_BITS))
+        part, bit = F.floor(at / (8 * PART_BYTES)).cast("int"), F.pmod(at, F.lit(8 * PART_BYTES))
+        places = hashed.select("size", part.alias("part"), bit.alias("bit"))
+        out = Bitmaps(lengths)
+        for r in places.groupBy("size", "part").agg(F.bitmap_construct_agg("bit").alias("body")).collect():
+            body = np.frombuffer(r.body, np.uint8)
+            out.sets[r["size"] - 1, r.part * PART_BYTES : r.part * PART_BYTES + len(body)] = body
+        return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, p in read_slices(batches, COUNT_BYTES):
-            level, numbers, hashes, span = p.words(), p.number, p.words().hashes, p.span
-            allowed = p.followed
-            for size in range(1, longest):
-                if size > 1:
-                    level, numbers, hashes = p.longer(numbers, span, allowed, size, hashes)
-                    span = len(level.first)
-                    allowed = allowed & shifted(p.followed, size - 1)
-                columns = [pa.array(np.full(len(level.counts), size, np.int32)), pa.array(level.hashes.view(np.int64)), pa.array(level.counts)]
-                yield pa.RecordBatch.from_arrays(columns, ["size", "hash", "n"])
+    def has(self, size: int, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes % np.uint64(BITMAP_BITS)).astype(np.int64)
+        return (self.sets[size - 1][at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+    def admitted(self, p: Phrases, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(size, admitted, member)`` by length: where a phrase starts all of whose parts are in the sets, and whether it is."""
+        admitted = p.inside(1)
+        for size in range(1, longest + 1):
+            member = admitted.copy()
+            member[admitted] = self.has(size, p.hashes(size)[admitted])
+            yield size, admitted, member
+            admitted = member & shifted(member, 1) & p.inside(size + 1)
+
+    def joined(self, other: Bitmaps) -> Bitmaps:
+        out = Bitmaps(0)
+        out.sets = self.sets | other.sets
+        return out
 
-    return docs.mapInArrow(run, "size int, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n"))
 
+def sample_counts(docs: DataFrame, sizes: range, proposed=None) -> DataFrame:
+    """``size, hash, n`` of the phrases of these lengths; with ``proposed`` of those whose parts are proposed."""
 
-def shifted(flags: np.ndarray, by: int) -> np.ndarray:
-    out = np.zeros(len(flags), bool)
-    out[: len(flags) - by] = flags[by:]
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, p in read_slices(batches):
+            where = {s: a for s, a, _ in proposed.value.admitted(p, sizes[-1])} if proposed else {s: p.inside(s) for s in sizes}
+            for size in sizes:
+                yield border_rows(p, size, where[size]).select(["size", "hash", "n"])
 
+    return docs.mapInArrow(run, "size int, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n"))
 
-def phrase_counts(docs: DataFrame, longest: int, proposed: list, before: list | None = None) -> DataFrame:
-    """``lang, size, phrase, hash, n`` of all words and of phrases whose parts one word shorter are all proposed.
 
-    ``proposed`` holds a broadcast bitmap per length. With ``before`` only
-    phrases that those proposals did not admit are counted, and no words. Size 0
-    is the number of words of the language.
+NAMES = ["size", "hash", "lang", "phrase", "n"]
+
+
+def border_rows(p: Phrases, size: int, where: np.ndarray) -> pa.RecordBatch:
+    """Counts by hash of the phrases that start at ``where``."""
+    hashes, counts = np.unique(p.hashes(size)[where], return_counts=True)
+    none = pa.nulls(len(hashes), pa.string())
+    columns = [pa.array(np.full(len(hashes), size, np.int32)), pa.array(hashes.view(np.int64)), none, none, pa.array(counts)]
+    return pa.RecordBatch.from_arrays(columns, NAMES)
+
+
+def exact_rows(p: Phrases, size: int, where: np.ndarray, langs: pa.Array) -> pa.RecordBatch:
+    """Counts by text of the phrases that start at ``where``."""
+    at = np.flatnonzero(where)
+    words = where.copy()
+    for j in range(1, size):
+        words[at + j] = True
+    number = p.numbers(words)
+    many = number.max(initial=0) + 1
+    first, count, key = counted(number[at])
+    for j in range(1, size):
+        first, count, key = counted(key * many + number[at + j])
+    start = at[first]
+    columns = [
+        pa.array(np.full(len(start), size, np.int32)),
+        pa.array(p.hashes(size)[start].view(np.int64)),
+        langs.take(pa.array(p.lang[start])),
+        p.texts(start, size),
+        pa.array(count),
+    ]
+    return pa.RecordBatch.from_arrays(columns, NAMES)
+
+
+def phrase_counts(docs: DataFrame, longest: int, proposed, before=None, missed=None) -> DataFrame:
+    """``size, hash, lang, phrase, n``: proposed phrases by text, their negative border by hash.
+
+    ``proposed`` and the like are broadcast bitmaps. With ``before`` only what
+    those proposals left open is counted, all by text: their border as far as it
+    is in ``missed``, and the phrases that only ``proposed`` admits. Size 0 is
+    the number of words of a language, in a pass without ``before``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = [b.value for b in proposed]
-        old = [b.value for b in before] if before else None
-        for names, p in read_slices(batches, COUNT_BYTES):
-            langs = pa.array(names)
-
-            def rows(level: Level, size: int) -> pa.RecordBatch:
-                columns = [
-                    langs.take(pa.array(p.lang[level.first])),
-                    pa.array(np.full(len(level.first), size, np.int32)),
-                    p.texts(level.first, size).cast(pa.string()),
-                    pa.array(level.hashes.view(np.int64)),
-                    pa.array(level.counts),
-                ]
-                return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "hash", "n"])
-
-            level, numbers, span = p.words(), p.number, p.span
-            hashes = level.hashes
-            if old is None:
-                yield rows(level, 1)
-                total = np.bincount(p.lang, minlength=len(names))
-                none = np.zeros(len(names), np.int64)
-                columns = [langs, pa.array(none.astype(np.int32)), pa.array([""] * len(names)), pa.array(none), pa.array(total)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "hash", "n"])
-            admitted = admitted_old = np.ones(len(p.starts), bool)
-            for size in range(2, longest + 1):
-                # words at which a proposed phrase of one word less starts
-                good = now[size - 2](hashes)
-                starts = (numbers >= 0) & good[numbers] if len(good) else np.zeros(len(numbers), bool)
-                admitted = starts & shifted(starts, 1) & p.followed & admitted
-                if old:
-                    had = old[size - 2](hashes)
-                    starts = (numbers >= 0) & had[numbers] if len(had) else np.zeros(len(numbers), bool)
-                    admitted_old = starts & shifted(starts, 1) & p.followed & admitted_old
-                level, numbers, hashes = p.longer(numbers, span, admitted, size, hashes)
-                span = len(level.first)
-                if old is None:
-                    yield rows(level, size)
-                else:
-                    new = ~admitted_old[level.first]
-                    if new.any():
-                        yield rows(Level(level.first[new], level.counts[new], level.hashes[new]), size)
-
-    shape = "lang string, size int, phrase string, hash long, n long"
-    counted = docs.mapInArrow(run, shape).groupBy("lang", "size", "phrase")
-    return counted.agg(F.sum("n").alias("n"), F.first("hash").alias("hash"))
+        now = proposed.value
+        for langs, p in read_slices(batches):
+            if before is None:
+                total = pa.array(np.bincount(p.lang, minlength=len(langs)))
+                none = pa.array(np.zeros(len(langs), np.int64))
+                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), none, langs, pa.array([""] * len(langs)), total], NAMES)
+                for size, admitted, member in now.admitted(p, longest):
+                    yield exact_rows(p, size, member, langs)
+                    yield border_rows(p, size, admitted & ~member)
+                continue
+            pairs = zip(now.admitted(p, longest), before.value.admitted(p, longest), strict=True)
+            for (size, admitted, _), (_, earlier, had) in pairs:
+                fresh = admitted & ~earlier
+                left = np.flatnonzero(earlier & ~had)
+                fresh[left[missed.value.has(size, p.hashes(size)[left])]] = True
+                if fresh.any():
+                    yield exact_rows(p, size, fresh, langs)
+
+    shape = "size int, hash long, lang string, phrase string, n long"
+    return docs.mapInArrow(run, shape).groupBy("size", "hash", "lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int = SAMPLE_OF) -> tuple[DataFrame, int]:
@@ -302,34 +297,39 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int =
     Rows of size 0 hold the number of words of each language. Staged.
     """
     spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text", "doc_id")
     sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample_of)) == 0).select("lang", "text")
     texts = texts.select("lang", "text")
     enough = max(1, int(np.ceil(LOWERED * least / sample_of)))
-    found = sample_counts(sample, longest).filter(F.col("n") >= enough)
-    proposed = bitmaps(found, longest - 1)
-    shared = [spark.sparkContext.broadcast(b) for b in proposed]
-    kept = (F.col("n") >= least) | (F.col("size") == 0)
-    counted = [staged(phrase_counts(texts, longest, shared).filter(kept), "phrases")]
-    while True:
-        # frequent phrases of the border that the proposals lack
-        fresh = counted[-1].filter((F.col("size") > 0) & (F.col("size") < longest))
-        wider = [old.merged(new) for old, new in zip(proposed, bitmaps(fresh, longest - 1), strict=True)]
-        if all((a.bytes == b.bytes).all() for a, b in zip(wider, proposed, strict=True)):
-            break
-        before, proposed = shared, wider
-        shared = [spark.sparkContext.broadcast(b) for b in proposed]
-        counted.append(staged(phrase_counts(texts, longest, shared, before).filter(kept), "phrases"))
-        for b in before:
-            b.unpersist()
-    for b in shared:
-        b.unpersist()
-    whole = counted[0]
-    for more in counted[1:]:
+    # words and pairs at once, then length by length what shorter proposals admit
+    proposed = Bitmaps.of(sample_counts(sample, range(1, min(2, longest) + 1)).filter(F.col("n") >= enough), longest)
+    for size in range(3, longest + 1):
+        shorter = share(proposed)
+        more = sample_counts(sample, range(size, size + 1), shorter).filter(F.col("n") >= enough)
+        proposed = proposed.joined(Bitmaps.of(more, longest))
+        shorter.unpersist()
+    often = (F.col("n") >= least) | (F.col("size") == 0)
+    now = share(proposed)
+    passes = [staged(phrase_counts(texts, longest, now).filter(often), "phrases")]
+    missed = Bitmaps.of(passes[0].filter("phrase is null"), longest)
+    wider = proposed.joined(missed)
+    # phrases of the longest length admit no others
+    while missed.sets.any() or (wider.sets[:-1] != proposed.sets[:-1]).any():
+        before, now, open_ = now, share(wider), share(missed)
+        passes.append(staged(phrase_counts(texts, longest, now, before, open_).filter(often), "phrases"))
+        before.unpersist()
+        open_.unpersist()
+        # what this pass found of phrases that were not admitted before admits longer ones
+        proposed, missed = wider, Bitmaps(longest)
+        wider = proposed.joined(Bitmaps.of(passes[-1], longest))
+    now.unpersist()
+    whole = passes[0]
+    for more in passes[1:]:
         whole = whole.unionByName(more)
-    out = staged(whole.select("lang", "size", "phrase", "n"), "frequent")
-    drop_staged(spark, *counted)
-    return out, len(counted)
+    out = staged(whole.filter("phrase is not null").select("lang", "size", "phrase", "n"), "frequent")
+    drop_staged(spark, *passes)
+    return out, len(passes)
 
 
 def part(words: str, first: int, count: int) -> Column:

@@ -60,6 +60,51 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(h)
 
 
+#: Bytes up to which words are hashed eight bytes after eight bytes, all words at a time.
+LANE_BYTES = 64
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each word; every step depends on all bytes before it, so no pattern of letters cancels out."""
+    lengths = ends - starts
+    loads = lanes_of(data)
+    h = mix(lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(BASE))
+    todo, k = np.flatnonzero(lengths <= LANE_BYTES), 0
+    while len(todo):
+        left = lengths[todo] - k
+        h[todo] = mix(h[todo] * np.uint64(BASE) + masked(loads[starts[todo] + k], left))
+        todo, k = todo[left > 8], k + 8
+    for i in np.flatnonzero(lengths > LANE_BYTES):
+        at = np.arange(0, lengths[i], 8)
+        lanes = masked(loads[starts[i] + at], lengths[i] - at)
+        h[i] += mix(mix(lanes) + at.astype(np.uint64) * np.uint64(BASE)).sum(dtype=np.uint64)
+    return mix(h)
+
+
+def lanes_of(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on; zeros stand behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def masked(lanes: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Lanes of which only the first ``left`` bytes count."""
+    return lanes & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (8 - np.clip(left, 1, 8)).astype(np.uint64)))
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> bool:
+    """Whether the bytes from ``a`` on equal those from ``b`` on, all of them."""
+    loads = lanes_of(data)
+    todo, k = np.flatnonzero((a != b) & (lengths <= LANE_BYTES)), 0
+    while len(todo):
+        left = lengths[todo] - k
+        if (masked(loads[a[todo] + k], left) != masked(loads[b[todo] + k], left)).any():
+            return False
+        todo, k = todo[left > 8], k + 8
+    long = np.flatnonzero((a != b) & (lengths > LANE_BYTES))
+    return all(np.array_equal(data[a[i] : a[i] + lengths[i]], data[b[i] : b[i] + lengths[i]]) for i in long)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """``(offsets, bytes)`` of a string column without making Python strings; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -3,14 +3,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cargolens.llm import collocations
 from cargolens.llm.collocations import Phrases, lang_hash
 from cargolens.llm.textbytes import utf8
 
-import pyarrow as pa
-
 SCHEMA = "doc_id long, text string, lang string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -105,7 +104,13 @@ def test_extra_columns(spark):
 
 def test_words_of_one_hash_stay_apart(monkeypatch):
     """Where hashes clash the bytes decide."""
-    monkeypatch.setattr(collocations, "mix", lambda h: h * np.uint64(0))
+    monkeypatch.setattr(collocations, "word_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
     offsets, data = utf8(pa.array(["ab cd ab", "cd"]))
-    p = Phrases(offsets, data, np.array([0, 1]), np.array([lang_hash("x"), lang_hash("y")], np.uint64))
-    assert p.number.tolist() == [0, 1, 0, 2]
+    p = Phrases(offsets, data, np.array([0, 1]), np.array([0, 0], np.uint64))
+    assert p.numbers(np.ones(4, bool)).tolist() == [0, 1, 0, 2]
+
+
+def test_languages_are_no_words():
+    offsets, data = utf8(pa.array(["en es", "en es"]))
+    p = Phrases(offsets, data, np.array([0, 1]), np.array([lang_hash("en"), lang_hash("es")], np.uint64))
+    assert len(set(p.hashes(1).tolist())) == 4
