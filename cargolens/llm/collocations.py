@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,13 @@ BITMAP_BITS = 1 << 26
 SAMPLE_OF, LOWERED = 4, 0.6
 
 #: Bytes of text counted at a time; one longer text is a slice of its own.
-COUNT_BYTES = 1 << 21
+COUNT_BYTES = 1 << 20
+
+#: Rows that a task sums up before it passes them on.
+SUMMED_ROWS = 1 << 20
+
+#: Rows of a batch that are looked at together.
+ROWS_AT_ONCE = 512
 
 #: Groups that a language's best phrases are sought in before they meet.
 SHARES = 32
@@ -58,8 +65,8 @@ class Phrases:
     """The words of a slice of texts and its phrases; equal words of two languages are different.
 
     ``langs`` are numbers per text and ``lang_hashes`` their hashes. ``hashes(n)``
-    is the hash of the ``n`` words from each word on, where ``inside(n)`` says
-    that these lie in one piece of text.
+    is the hash of the ``n`` words from each word on, its two lowest bits being
+    ``n``, where ``inside(n)`` says that these lie in one piece of text.
     """
 
     def __init__(self, offsets: np.ndarray, data: np.ndarray, langs: np.ndarray, lang_hashes: np.ndarray):
@@ -82,7 +89,7 @@ class Phrases:
         own = word_hashes(data, self.starts, self.ends)
         if n:
             own = mix(own * LONGER + lang_hashes[self.lang])
-        self._inside, self._hashes = [np.ones(n, bool), followed], [own]
+        self._inside, self._hashes = [np.ones(n, bool), followed], [tagged(own, 1)]
         self._numbers = np.full(n, -1, np.int64)
 
     def inside(self, size: int) -> np.ndarray:
@@ -95,7 +102,7 @@ class Phrases:
             n = len(self._hashes)
             last = np.zeros_like(self._hashes[0])
             last[: max(0, len(last) - n)] = self._hashes[0][n:]
-            self._hashes.append(mix(self._hashes[-1] * LONGER + last + np.uint64(n)))
+            self._hashes.append(tagged(mix(self._hashes[-1] * LONGER + last), n + 1))
         return self._hashes[size - 1]
 
     def numbers(self, where: np.ndarray) -> np.ndarray:
@@ -118,7 +125,7 @@ class Phrases:
         return self._numbers
 
     def texts(self, first: np.ndarray, size: int) -> pa.Array:
-        """The ``size`` words from the given words on, joined by a blank."""
+        """The ``size`` words from the given words on, joined by a blank; as bytes."""
         word = (first[:, None] + np.arange(size)).ravel()
         lengths = self.ends[word] - self.starts[word] + 1
         edges = np.concatenate([[0], np.cumsum(lengths)])
@@ -130,7 +137,11 @@ class Phrases:
         keep = np.ones(len(out), bool)
         keep[ends[1:] - 1] = False
         offsets = ends - np.arange(len(ends))
-        return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(out[keep])).cast(pa.string())
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out[keep])])
+
+
+def tagged(hashes: np.ndarray, size: int) -> np.ndarray:
+    return hashes & ~np.uint64(3) | np.uint64(size)
 
 
 def firsts(sorted_values: np.ndarray) -> np.ndarray:
@@ -163,14 +174,16 @@ def lang_hash(lang: str) -> int:
 
 def read_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Phrases]]:
     """``(languages, phrases)`` of slices of the columns ``lang, text``."""
-    for batch in batches:
-        offsets, data = utf8(batch.column("text"))
-        coded = batch.column("lang").dictionary_encode()
-        hashes = np.array([lang_hash(x) for x in coded.dictionary.to_pylist()], np.uint64)
-        langs = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        for lo, hi in slices(offsets, COUNT_BYTES):
-            edges = offsets[lo : hi + 1]
-            yield coded.dictionary, Phrases(edges - edges[0], data[edges[0] : edges[-1]], langs[lo:hi], hashes)
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+            batch = whole.slice(at, ROWS_AT_ONCE)
+            offsets, data = utf8(batch.column("text"))
+            coded = batch.column("lang").dictionary_encode()
+            hashes = np.array([lang_hash(x) for x in coded.dictionary.to_pylist()], np.uint64)
+            langs = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi in slices(offsets, COUNT_BYTES):
+                edges = offsets[lo : hi + 1]
+                yield coded.dictionary, Phrases(edges - edges[0], data[edges[0] : edges[-1]], langs[lo:hi], hashes)
 
 
 #: Bytes of a row of Spark's bitmap aggregate.
@@ -184,11 +197,12 @@ class Bitmaps:
         self.sets = np.zeros((lengths, BITMAP_BITS // 8), np.uint8)
 
     @staticmethod
-    def of(hashed: DataFrame, lengths: int) -> Bitmaps:
-        """Of the columns ``size, hash``; what comes to the driver is as large as the bitmaps, however many rows there are."""
-        at = F.pmod(F.col("hash"), F.lit(BITMAP_BITS))
+    def of(counts: DataFrame, lengths: int) -> Bitmaps:
+        """Of the column ``key``; what comes to the driver is as large as the bitmaps, however many rows there are."""
+        low = number(F.substring("key", 5, 4))
+        at = F.pmod(low, F.lit(BITMAP_BITS))
         part, bit = F.floor(at / (8 * PART_BYTES)).cast("int"), F.pmod(at, F.lit(8 * PART_BYTES))
-        places = hashed.select("size", part.alias("part"), bit.alias("bit"))
+        places = counts.select(F.pmod(low, F.lit(4)).cast("int").alias("size"), part.alias("part"), bit.alias("bit")).filter("size > 0")
         out = Bitmaps(lengths)
         for r in places.groupBy("size", "part").agg(F.bitmap_construct_agg("bit").alias("body")).collect():
             body = np.frombuffer(r.body, np.uint8)
@@ -214,31 +228,63 @@ class Bitmaps:
         return out
 
 
-def sample_counts(docs: DataFrame, sizes: range, proposed=None) -> DataFrame:
-    """``size, hash, n`` of the phrases of these lengths; with ``proposed`` of those whose parts are proposed."""
+def number(column: Column) -> Column:
+    """Of four bytes, highest first."""
+    return F.conv(F.hex(column), 16, 10).cast("long")
+
+
+def summed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, n`` with the counts of many slices put together, as far as SUMMED_ROWS reach."""
+    held, count = [], 0
+
+    def total() -> Iterator[pa.RecordBatch]:
+        if held:
+            table = pa.Table.from_batches(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
+            yield from table.select(["key", "n_sum"]).rename_columns(["key", "n"]).to_batches(max_chunksize=1 << 17)
+
+    for batch in rows:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= SUMMED_ROWS:
+            yield from total()
+            held, count = [], 0
+    yield from total()
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, p in read_slices(batches):
-            where = {s: a for s, a, _ in proposed.value.admitted(p, sizes[-1])} if proposed else {s: p.inside(s) for s in sizes}
-            for size in sizes:
-                yield border_rows(p, size, where[size]).select(["size", "hash", "n"])
+def counts_by_key(docs: DataFrame, rows_of) -> DataFrame:
+    """``key, n`` over all slices of ``docs``; ``rows_of(langs, phrases)`` gives those of one."""
 
-    return docs.mapInArrow(run, "size int, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n"))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, p in read_slices(batches):
+            yield from rows_of(langs, p)
+
+    counts = docs.mapInArrow(lambda batches: summed(rows(batches)), "key binary, n long")
+    return counts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-NAMES = ["size", "hash", "lang", "phrase", "n"]
+def hash_keys(hashes: np.ndarray) -> pa.Array:
+    """Eight bytes each, highest first."""
+    raw = np.ascontiguousarray(hashes.astype(">u8"))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(raw), [None, pa.py_buffer(raw)]).cast(pa.binary())
 
 
 def border_rows(p: Phrases, size: int, where: np.ndarray) -> pa.RecordBatch:
-    """Counts by hash of the phrases that start at ``where``."""
+    """Counts of the phrases that start at ``where``; the key is the hash alone."""
     hashes, counts = np.unique(p.hashes(size)[where], return_counts=True)
-    none = pa.nulls(len(hashes), pa.string())
-    columns = [pa.array(np.full(len(hashes), size, np.int32)), pa.array(hashes.view(np.int64)), none, none, pa.array(counts)]
-    return pa.RecordBatch.from_arrays(columns, NAMES)
+    return pa.RecordBatch.from_arrays([hash_keys(hashes), pa.array(counts)], ["key", "n"])
+
+
+def named_keys(hashes: np.ndarray, langs: pa.Array, phrases: pa.Array) -> pa.Array:
+    """The hash, the length of the language's name in four bytes, the name and the phrase."""
+    length = pc.binary_length(langs.cast(pa.binary())).to_numpy(zero_copy_only=False).astype(">u4")
+    length = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4), len(length), [None, pa.py_buffer(length)])
+    parts = [hash_keys(hashes), length, langs, phrases]
+    joined = pc.binary_join_element_wise(*[x.cast(pa.large_binary()) for x in parts], pa.scalar(b"", pa.large_binary()))
+    return joined.cast(pa.binary())
 
 
 def exact_rows(p: Phrases, size: int, where: np.ndarray, langs: pa.Array) -> pa.RecordBatch:
-    """Counts by text of the phrases that start at ``where``."""
+    """Counts of the phrases that start at ``where``, by their text."""
     at = np.flatnonzero(where)
     words = where.copy()
     for j in range(1, size):
@@ -249,46 +295,60 @@ def exact_rows(p: Phrases, size: int, where: np.ndarray, langs: pa.Array) -> pa.
     for j in range(1, size):
         first, count, key = counted(key * many + number[at + j])
     start = at[first]
-    columns = [
-        pa.array(np.full(len(start), size, np.int32)),
-        pa.array(p.hashes(size)[start].view(np.int64)),
-        langs.take(pa.array(p.lang[start])),
-        p.texts(start, size),
-        pa.array(count),
-    ]
-    return pa.RecordBatch.from_arrays(columns, NAMES)
+    keys = named_keys(p.hashes(size)[start], langs.take(pa.array(p.lang[start])), p.texts(start, size))
+    return pa.RecordBatch.from_arrays([keys, pa.array(count)], ["key", "n"])
+
+
+def sample_counts(docs: DataFrame, sizes: range, proposed=None) -> DataFrame:
+    """``key, n`` by hash of the phrases of these lengths; with ``proposed`` of those whose parts are proposed."""
+
+    def rows(langs: pa.Array, p: Phrases) -> Iterator[pa.RecordBatch]:
+        where = {s: a for s, a, _ in proposed.value.admitted(p, sizes[-1])} if proposed else {s: p.inside(s) for s in sizes}
+        for size in sizes:
+            yield border_rows(p, size, where[size])
+
+    return counts_by_key(docs, rows)
 
 
 def phrase_counts(docs: DataFrame, longest: int, proposed, before=None, missed=None) -> DataFrame:
-    """``size, hash, lang, phrase, n``: proposed phrases by text, their negative border by hash.
+    """``key, n``: proposed phrases by text, their negative border by hash.
 
     ``proposed`` and the like are broadcast bitmaps. With ``before`` only what
     those proposals left open is counted, all by text: their border as far as it
-    is in ``missed``, and the phrases that only ``proposed`` admits. Size 0 is
-    the number of words of a language, in a pass without ``before``.
+    is in ``missed``, and the phrases that only ``proposed`` admits. Without it
+    a key of hash 0 counts the words of a language.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = proposed.value
-        for langs, p in read_slices(batches):
-            if before is None:
-                total = pa.array(np.bincount(p.lang, minlength=len(langs)))
-                none = pa.array(np.zeros(len(langs), np.int64))
-                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), none, langs, pa.array([""] * len(langs)), total], NAMES)
-                for size, admitted, member in now.admitted(p, longest):
-                    yield exact_rows(p, size, member, langs)
-                    yield border_rows(p, size, admitted & ~member)
-                continue
-            pairs = zip(now.admitted(p, longest), before.value.admitted(p, longest), strict=True)
-            for (size, admitted, _), (_, earlier, had) in pairs:
-                fresh = admitted & ~earlier
-                left = np.flatnonzero(earlier & ~had)
-                fresh[left[missed.value.has(size, p.hashes(size)[left])]] = True
-                if fresh.any():
-                    yield exact_rows(p, size, fresh, langs)
-
-    shape = "size int, hash long, lang string, phrase string, n long"
-    return docs.mapInArrow(run, shape).groupBy("size", "hash", "lang", "phrase").agg(F.sum("n").alias("n"))
+    def rows(langs: pa.Array, p: Phrases) -> Iterator[pa.RecordBatch]:
+        if before is None:
+            none = pa.array([b""] * len(langs), pa.binary())
+            total = pa.array(np.bincount(p.lang, minlength=len(langs)))
+            yield pa.RecordBatch.from_arrays([named_keys(np.zeros(len(langs), np.uint64), langs, none), total], ["key", "n"])
+            for size, admitted, member in proposed.value.admitted(p, longest):
+                yield exact_rows(p, size, member, langs)
+                yield border_rows(p, size, admitted & ~member)
+            return
+        pairs = zip(proposed.value.admitted(p, longest), before.value.admitted(p, longest), strict=True)
+        for (size, admitted, _), (_, earlier, had) in pairs:
+            fresh = admitted & ~earlier
+            left = np.flatnonzero(earlier & ~had)
+            fresh[left[missed.value.has(size, p.hashes(size)[left])]] = True
+            if fresh.any():
+                yield exact_rows(p, size, fresh, langs)
+
+    return counts_by_key(docs, rows)
+
+
+def by_text(counts: DataFrame) -> DataFrame:
+    """``lang, size, phrase, n`` of the keys with a text."""
+    length = number(F.substring("key", 9, 4)).cast("int")
+    named = counts.filter(F.octet_length("key") > 8)
+    return named.select(
+        F.substring("key", F.lit(13), length).cast("string").alias("lang"),
+        F.pmod(number(F.substring("key", 5, 4)), F.lit(4)).cast("int").alias("size"),
+        F.substring("key", 13 + length, F.octet_length("key")).cast("string").alias("phrase"),
+        "n",
+    )
 
 
 def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int = SAMPLE_OF) -> tuple[DataFrame, int]:
@@ -309,10 +369,10 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int =
         more = sample_counts(sample, range(size, size + 1), shorter).filter(F.col("n") >= enough)
         proposed = proposed.joined(Bitmaps.of(more, longest))
         shorter.unpersist()
-    often = (F.col("n") >= least) | (F.col("size") == 0)
+    often = (F.col("n") >= least) | F.startswith("key", F.lit(bytes(8)))
     now = share(proposed)
     passes = [staged(phrase_counts(texts, longest, now).filter(often), "phrases")]
-    missed = Bitmaps.of(passes[0].filter("phrase is null"), longest)
+    missed = Bitmaps.of(passes[0].filter(F.octet_length("key") == 8), longest)
     wider = proposed.joined(missed)
     # phrases of the longest length admit no others
     while missed.sets.any() or (wider.sets[:-1] != proposed.sets[:-1]).any():
@@ -327,7 +387,7 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int =
     whole = passes[0]
     for more in passes[1:]:
         whole = whole.unionByName(more)
-    out = staged(whole.filter("phrase is not null").select("lang", "size", "phrase", "n"), "frequent")
+    out = staged(by_text(whole), "frequent")
     drop_staged(spark, *passes)
     return out, len(passes)
 
