@@ -13,8 +13,9 @@ result does not depend on the sample.
 
 The proposals travel as bitmaps of a fixed size, one per length. Two phrases
 of one bit only mean that one is counted in vain. Counts are made per slice of
-text, then per partition, then per phrase, so a word that all texts repeat is
-one row per slice.
+text and put together per task before they are packed and dealt by ranges of
+the hash, so a word that all texts repeat is one entry per task and slice. The
+ranges grow in number with the text, not in size.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cargolens.llm.substring_dedup import deltas, pack, unpack
 from cargolens.llm.textbytes import mix, same_bytes, slices, utf8, word_hashes
 from cargolens.session import drop_staged, staged
 
@@ -39,8 +41,8 @@ SAMPLE_OF, LOWERED = 4, 0.6
 #: Bytes of text counted at a time; one longer text is a slice of its own.
 COUNT_BYTES = 1 << 20
 
-#: Rows that a task sums up before it passes them on.
-SUMMED_ROWS = 1 << 20
+#: Counts that a task puts together before it passes them on, and bytes of text for each range of hashes.
+GATHERED, RANGE_BYTES = 1 << 20, 32 << 20
 
 #: Rows of a batch that are looked at together.
 ROWS_AT_ONCE = 512
@@ -233,33 +235,110 @@ def number(column: Column) -> Column:
     return F.conv(F.hex(column), 16, 10).cast("long")
 
 
-def summed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, n`` with the counts of many slices put together, as far as SUMMED_ROWS reach."""
-    held, count = [], 0
+class Gathered:
+    """Counts of many slices, by hash and by text; packed by range of the hash in ``rows()``."""
+
+    def __init__(self, ranges: int):
+        self.ranges = ranges
+        self.hashed, self.named, self.size = [], [], 0
+
+    def add(self, counts: tuple | pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if isinstance(counts, tuple):
+            self.hashed.append(counts)
+            self.size += len(counts[0])
+        else:
+            self.named.append(counts)
+            self.size += counts.num_rows
+        if self.size >= GATHERED:
+            yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """``place, named, body``, and nothing is held any more."""
+        out = []
+        if self.hashed:
+            hashes, counts = sums(self.hashed)
+            for place, lo, hi in self._spans(hashes):
+                out.append((place, False, pack(deltas(hashes[lo:hi]), counts[lo:hi])))
+        if self.named:
+            table = named_sums(self.named)
+            table = table.take(pc.sort_indices(table.column("key")))
+            for place, lo, hi in self._spans(leading_hashes(table.column("key"))):
+                out.append((place, True, packed_table(table.slice(lo, hi - lo))))
+        self.hashed, self.named, self.size = [], [], 0
+        for lo in range(0, len(out), 256):
+            columns = zip(*out[lo : lo + 256], strict=True)
+            kinds = (pa.int32(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["place", "named", "body"])
+
+    def _spans(self, sorted_hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        if not len(sorted_hashes):
+            return
+        place = ((sorted_hashes >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)
+        cuts = np.flatnonzero(firsts(place))
+        yield from zip(place[cuts].astype(int).tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(place)], strict=True)
 
-    def total() -> Iterator[pa.RecordBatch]:
-        if held:
-            table = pa.Table.from_batches(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
-            yield from table.select(["key", "n_sum"]).rename_columns(["key", "n"]).to_batches(max_chunksize=1 << 17)
 
-    for batch in rows:
-        held.append(batch)
-        count += batch.num_rows
-        if count >= SUMMED_ROWS:
-            yield from total()
-            held, count = [], 0
-    yield from total()
+def sums(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order and their counts over all parts."""
+    hashes, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    cuts = np.flatnonzero(firsts(hashes))
+    return hashes[cuts], np.add.reduceat(counts[order].astype(np.int64), cuts) if len(cuts) else np.zeros(0, np.int64)
 
 
-def counts_by_key(docs: DataFrame, rows_of) -> DataFrame:
-    """``key, n`` over all slices of ``docs``; ``rows_of(langs, phrases)`` gives those of one."""
+def named_sums(parts: list) -> pa.Table:
+    table = pa.Table.from_batches(parts).group_by("key", use_threads=False).aggregate([("n", "sum")])
+    return table.select(["key", "n_sum"]).rename_columns(["key", "n"])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, p in read_slices(batches):
-            yield from rows_of(langs, p)
 
-    counts = docs.mapInArrow(lambda batches: summed(rows(batches)), "key binary, n long")
-    return counts.groupBy("key").agg(F.sum("n").alias("n"))
+def packed_table(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def leading_hashes(keys: pa.ChunkedArray) -> np.ndarray:
+    first = pa.concat_arrays([c.cast(pa.large_binary()) for c in pc.binary_slice(keys, 0, 8).chunks])
+    raw = np.frombuffer(first.buffers()[2] or b"", np.uint8)[first.offset * 8 : (first.offset + len(first)) * 8]
+    return np.ascontiguousarray(raw).view(">u8").astype(np.uint64)
+
+
+def ranges_of(texts: DataFrame) -> int:
+    """Ranges of hashes, by the bytes of all texts and not fewer than the session's shuffle partitions."""
+    length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-length // RANGE_BYTES))
+
+
+def counts_by_key(docs: DataFrame, rows_of, least: int, ranges: int) -> DataFrame:
+    """``key, n`` of what occurs ``least`` times in all slices of ``docs``; ``rows_of(langs, phrases)`` gives the counts of one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered = Gathered(ranges)
+        for langs, p in read_slices(batches):
+            for counts in rows_of(langs, p):
+                yield from gathered.add(counts)
+        yield from gathered.rows()
+
+    def put_together(table: pa.Table) -> pa.Table:
+        named = table.column("named").to_pylist()
+        bodies = table.column("body").to_pylist()
+        parts = [unpack(b, "uint64", "int64") for b, n in zip(bodies, named, strict=True) if not n]
+        tables = [pa.ipc.open_stream(b).read_all() for b, n in zip(bodies, named, strict=True) if n]
+        out = []
+        if parts:
+            hashes, counts = sums([(np.cumsum(h, dtype=np.uint64), n) for h, n in parts])
+            often = counts >= least
+            out.append(pa.table({"key": hash_keys(hashes[often]), "n": counts[often]}))
+        if tables:
+            found = named_sums([b for t in tables for b in t.to_batches()])
+            total = pc.starts_with(found.column("key"), bytes(8))
+            out.append(found.filter(pc.or_(pc.greater_equal(found.column("n"), least), total)))
+        return pa.concat_tables(out)
+
+    sent = docs.mapInArrow(run, "place int, named boolean, body binary")
+    return sent.groupBy("place").applyInArrow(put_together, "key binary, n long")
 
 
 def hash_keys(hashes: np.ndarray) -> pa.Array:
@@ -268,10 +347,9 @@ def hash_keys(hashes: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(raw), [None, pa.py_buffer(raw)]).cast(pa.binary())
 
 
-def border_rows(p: Phrases, size: int, where: np.ndarray) -> pa.RecordBatch:
-    """Counts of the phrases that start at ``where``; the key is the hash alone."""
-    hashes, counts = np.unique(p.hashes(size)[where], return_counts=True)
-    return pa.RecordBatch.from_arrays([hash_keys(hashes), pa.array(counts)], ["key", "n"])
+def border_counts(p: Phrases, size: int, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the phrases that start at ``where``."""
+    return np.unique(p.hashes(size)[where], return_counts=True)
 
 
 def named_keys(hashes: np.ndarray, langs: pa.Array, phrases: pa.Array) -> pa.Array:
@@ -299,19 +377,19 @@ def exact_rows(p: Phrases, size: int, where: np.ndarray, langs: pa.Array) -> pa.
     return pa.RecordBatch.from_arrays([keys, pa.array(count)], ["key", "n"])
 
 
-def sample_counts(docs: DataFrame, sizes: range, proposed=None) -> DataFrame:
-    """``key, n`` by hash of the phrases of these lengths; with ``proposed`` of those whose parts are proposed."""
+def sample_counts(docs: DataFrame, sizes: range, least: int, ranges: int, proposed=None) -> DataFrame:
+    """``key, n`` by hash of the phrases of these lengths that are frequent; with ``proposed`` of those whose parts are proposed."""
 
-    def rows(langs: pa.Array, p: Phrases) -> Iterator[pa.RecordBatch]:
+    def rows(langs: pa.Array, p: Phrases) -> Iterator[tuple]:
         where = {s: a for s, a, _ in proposed.value.admitted(p, sizes[-1])} if proposed else {s: p.inside(s) for s in sizes}
         for size in sizes:
-            yield border_rows(p, size, where[size])
+            yield border_counts(p, size, where[size])
 
-    return counts_by_key(docs, rows)
+    return counts_by_key(docs, rows, least, ranges)
 
 
-def phrase_counts(docs: DataFrame, longest: int, proposed, before=None, missed=None) -> DataFrame:
-    """``key, n``: proposed phrases by text, their negative border by hash.
+def phrase_counts(docs: DataFrame, longest: int, least: int, ranges: int, proposed, before=None, missed=None) -> DataFrame:
+    """``key, n`` of what is frequent: proposed phrases by text, their negative border by hash.
 
     ``proposed`` and the like are broadcast bitmaps. With ``before`` only what
     those proposals left open is counted, all by text: their border as far as it
@@ -319,14 +397,14 @@ def phrase_counts(docs: DataFrame, longest: int, proposed, before=None, missed=N
     a key of hash 0 counts the words of a language.
     """
 
-    def rows(langs: pa.Array, p: Phrases) -> Iterator[pa.RecordBatch]:
+    def rows(langs: pa.Array, p: Phrases) -> Iterator[tuple | pa.RecordBatch]:
         if before is None:
             none = pa.array([b""] * len(langs), pa.binary())
             total = pa.array(np.bincount(p.lang, minlength=len(langs)))
             yield pa.RecordBatch.from_arrays([named_keys(np.zeros(len(langs), np.uint64), langs, none), total], ["key", "n"])
             for size, admitted, member in proposed.value.admitted(p, longest):
                 yield exact_rows(p, size, member, langs)
-                yield border_rows(p, size, admitted & ~member)
+                yield border_counts(p, size, admitted & ~member)
             return
         pairs = zip(proposed.value.admitted(p, longest), before.value.admitted(p, longest), strict=True)
         for (size, admitted, _), (_, earlier, had) in pairs:
@@ -336,7 +414,7 @@ def phrase_counts(docs: DataFrame, longest: int, proposed, before=None, missed=N
             if fresh.any():
                 yield exact_rows(p, size, fresh, langs)
 
-    return counts_by_key(docs, rows)
+    return counts_by_key(docs, rows, least, ranges)
 
 
 def by_text(counts: DataFrame) -> DataFrame:
@@ -363,21 +441,21 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int =
     texts = texts.select("lang", "text")
     enough = max(1, int(np.ceil(LOWERED * least / sample_of)))
     # words and pairs at once, then length by length what shorter proposals admit
-    proposed = Bitmaps.of(sample_counts(sample, range(1, min(2, longest) + 1)).filter(F.col("n") >= enough), longest)
+    ranges = ranges_of(texts)
+    proposed = Bitmaps.of(sample_counts(sample, range(1, min(2, longest) + 1), enough, ranges), longest)
     for size in range(3, longest + 1):
         shorter = share(proposed)
-        more = sample_counts(sample, range(size, size + 1), shorter).filter(F.col("n") >= enough)
+        more = sample_counts(sample, range(size, size + 1), enough, ranges, shorter)
         proposed = proposed.joined(Bitmaps.of(more, longest))
         shorter.unpersist()
-    often = (F.col("n") >= least) | F.startswith("key", F.lit(bytes(8)))
     now = share(proposed)
-    passes = [staged(phrase_counts(texts, longest, now).filter(often), "phrases")]
+    passes = [staged(phrase_counts(texts, longest, least, ranges, now), "phrases")]
     missed = Bitmaps.of(passes[0].filter(F.octet_length("key") == 8), longest)
     wider = proposed.joined(missed)
     # phrases of the longest length admit no others
     while missed.sets.any() or (wider.sets[:-1] != proposed.sets[:-1]).any():
         before, now, open_ = now, share(wider), share(missed)
-        passes.append(staged(phrase_counts(texts, longest, now, before, open_).filter(often), "phrases"))
+        passes.append(staged(phrase_counts(texts, longest, least, ranges, now, before, open_), "phrases"))
         before.unpersist()
         open_.unpersist()
         # what this pass found of phrases that were not admitted before admits longer ones
