@@ -3,13 +3,13 @@
 A sample of the documents proposes phrases: those that are frequent in it, by a
 lowered threshold, and whose parts one word shorter are proposed too. One pass
 over all documents counts the proposed phrases and their negative border, which
-are the phrases that are not proposed but all of whose parts are. A border
-phrase is counted under its 64-bit hash alone, without its text: such a count is
-never too low, and hardly any border phrase turns out to be frequent. Where one
-does, the sample has missed it; it is proposed, and a further pass counts it by
-its text, and with it the phrases that the new proposals admit, until a pass
-finds nothing new. So every frequent phrase has been counted exactly, and the
-result does not depend on the sample.
+are the phrases that are not proposed but all of whose parts are. It counts
+under 64-bit hashes, without texts: a clash makes a count too high, never too
+low, and next to all border phrases are seldom. The next pass counts what was
+frequent by its text. If there was some of the border among it, the sample has
+missed it; that pass then also counts the phrases that it admits, and further
+passes follow until one finds nothing new. So every frequent phrase has been
+counted exactly, and the result does not depend on the sample.
 
 The proposals travel as bitmaps of a fixed size, one per length. Two phrases
 of one bit only mean that one is counted in vain. Counts are made per slice of
@@ -42,7 +42,7 @@ SAMPLE_OF, LOWERED = 4, 0.6
 COUNT_BYTES = 1 << 20
 
 #: Counts that a task puts together before it passes them on, and bytes of text for each range of hashes.
-GATHERED, RANGE_BYTES = 1 << 20, 32 << 20
+GATHERED, RANGE_BYTES = 2 << 20, 32 << 20
 
 #: Rows of a batch that are looked at together.
 ROWS_AT_ONCE = 512
@@ -388,31 +388,34 @@ def sample_counts(docs: DataFrame, sizes: range, least: int, ranges: int, propos
     return counts_by_key(docs, rows, least, ranges)
 
 
-def phrase_counts(docs: DataFrame, longest: int, least: int, ranges: int, proposed, before=None, missed=None) -> DataFrame:
-    """``key, n`` of what is frequent: proposed phrases by text, their negative border by hash.
+def hash_counts(docs: DataFrame, longest: int, least: int, ranges: int, proposed) -> DataFrame:
+    """``key, n`` by hash of the frequent ones among the proposed phrases and their negative border.
 
-    ``proposed`` and the like are broadcast bitmaps. With ``before`` only what
-    those proposals left open is counted, all by text: their border as far as it
-    is in ``missed``, and the phrases that only ``proposed`` admits. Without it
-    a key of hash 0 counts the words of a language.
+    ``proposed`` is a broadcast bitmap. A key of hash 0 with a language counts that language's words.
     """
 
     def rows(langs: pa.Array, p: Phrases) -> Iterator[tuple | pa.RecordBatch]:
-        if before is None:
-            none = pa.array([b""] * len(langs), pa.binary())
-            total = pa.array(np.bincount(p.lang, minlength=len(langs)))
-            yield pa.RecordBatch.from_arrays([named_keys(np.zeros(len(langs), np.uint64), langs, none), total], ["key", "n"])
-            for size, admitted, member in proposed.value.admitted(p, longest):
-                yield exact_rows(p, size, member, langs)
-                yield border_counts(p, size, admitted & ~member)
-            return
-        pairs = zip(proposed.value.admitted(p, longest), before.value.admitted(p, longest), strict=True)
-        for (size, admitted, _), (_, earlier, had) in pairs:
-            fresh = admitted & ~earlier
-            left = np.flatnonzero(earlier & ~had)
-            fresh[left[missed.value.has(size, p.hashes(size)[left])]] = True
-            if fresh.any():
-                yield exact_rows(p, size, fresh, langs)
+        none = pa.array([b""] * len(langs), pa.binary())
+        total = pa.array(np.bincount(p.lang, minlength=len(langs)))
+        yield pa.RecordBatch.from_arrays([named_keys(np.zeros(len(langs), np.uint64), langs, none), total], ["key", "n"])
+        for size, admitted, _ in proposed.value.admitted(p, longest):
+            yield border_counts(p, size, admitted)
+
+    return counts_by_key(docs, rows, least, ranges)
+
+
+def text_counts(docs: DataFrame, longest: int, least: int, ranges: int, often, before, hashed: bool) -> DataFrame:
+    """``key, n`` by text of the frequent ones among the phrases that ``often`` admits and ``before`` did not.
+
+    With ``hashed`` those that both admit and ``often`` holds are counted as well.
+    """
+
+    def rows(langs: pa.Array, p: Phrases) -> Iterator[pa.RecordBatch]:
+        pairs = zip(often.value.admitted(p, longest), before.value.admitted(p, longest), strict=True)
+        for (size, admitted, member), (_, earlier, _) in pairs:
+            wanted = (admitted & ~earlier) | member if hashed else admitted & ~earlier
+            if wanted.any():
+                yield exact_rows(p, size, wanted, langs)
 
     return counts_by_key(docs, rows, least, ranges)
 
@@ -448,25 +451,25 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, sample_of: int =
         more = sample_counts(sample, range(size, size + 1), enough, ranges, shorter)
         proposed = proposed.joined(Bitmaps.of(more, longest))
         shorter.unpersist()
-    now = share(proposed)
-    passes = [staged(phrase_counts(texts, longest, least, ranges, now), "phrases")]
-    missed = Bitmaps.of(passes[0].filter(F.octet_length("key") == 8), longest)
-    wider = proposed.joined(missed)
-    # phrases of the longest length admit no others
-    while missed.sets.any() or (wider.sets[:-1] != proposed.sets[:-1]).any():
-        before, now, open_ = now, share(wider), share(missed)
-        passes.append(staged(phrase_counts(texts, longest, least, ranges, now, before, open_), "phrases"))
+    before = share(proposed)
+    hashed = staged(hash_counts(texts, longest, least, ranges, before), "hashed")
+    often = Bitmaps.of(hashed, longest)
+    passes = [hashed.filter(F.octet_length("key") > 8)]
+    while True:
+        now = share(often)
+        passes.append(staged(text_counts(texts, longest, least, ranges, now, before, len(passes) == 1), "phrases"))
         before.unpersist()
-        open_.unpersist()
-        # what this pass found of phrases that were not admitted before admits longer ones
-        proposed, missed = wider, Bitmaps(longest)
-        wider = proposed.joined(Bitmaps.of(passes[-1], longest))
-    now.unpersist()
+        before, known = now, often
+        often = known.joined(Bitmaps.of(passes[-1], longest))
+        # phrases of the longest length admit no others
+        if (often.sets[:-1] == known.sets[:-1]).all():
+            break
+    before.unpersist()
     whole = passes[0]
     for more in passes[1:]:
         whole = whole.unionByName(more)
     out = staged(by_text(whole), "frequent")
-    drop_staged(spark, *passes)
+    drop_staged(spark, hashed, *passes[1:])
     return out, len(passes)
 
 

@@ -73,7 +73,7 @@ def test_passes_until_nothing_is_missed(spark):
     rows = [(i, "one two three", "en") for i in range(40)]
     docs = spark.createDataFrame(rows, SCHEMA)
     found, passes = collocations.frequent_phrases(docs, 10, 3, sample_of=1)
-    assert passes == 1 and found.filter("size = 3").count() == 1
+    assert passes == 2 and found.filter("size = 3").count() == 1
     found, passes = collocations.frequent_phrases(docs, 10, 3, sample_of=1 << 40)
     assert passes == 3 and found.filter("size = 3").count() == 1
 
