@@ -42,7 +42,7 @@ SAMPLE_OF, LOWERED = 4, 0.6
 COUNT_BYTES = 1 << 20
 
 #: Counts that a task puts together before it passes them on, and bytes of text for each range of hashes.
-GATHERED, RANGE_BYTES = 2 << 20, 32 << 20
+GATHERED, RANGE_BYTES = 1 << 20, 32 << 20
 
 #: Rows of a batch that are looked at together.
 ROWS_AT_ONCE = 512
@@ -260,10 +260,10 @@ class Gathered:
             for place, lo, hi in self._spans(hashes):
                 out.append((place, False, pack(deltas(hashes[lo:hi]), counts[lo:hi])))
         if self.named:
-            table = named_sums(self.named)
-            table = table.take(pc.sort_indices(table.column("key")))
-            for place, lo, hi in self._spans(leading_hashes(table.column("key"))):
-                out.append((place, True, packed_table(table.slice(lo, hi - lo))))
+            table = named_sums(self.named).sort_by([("hash", "ascending")])
+            for place, lo, hi in self._spans(table.column("hash").to_numpy()):
+                # in order of the text, which packs well; the hash can be had from it again
+                out.append((place, True, packed_table(table.slice(lo, hi - lo).select(["key", "n"]).sort_by("key"))))
         self.hashed, self.named, self.size = [], [], 0
         for lo in range(0, len(out), 256):
             columns = zip(*out[lo : lo + 256], strict=True)
@@ -288,8 +288,8 @@ def sums(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nda
 
 
 def named_sums(parts: list) -> pa.Table:
-    table = pa.Table.from_batches(parts).group_by("key", use_threads=False).aggregate([("n", "sum")])
-    return table.select(["key", "n_sum"]).rename_columns(["key", "n"])
+    by = [c for c in parts[0].schema.names if c != "n"]
+    return pa.Table.from_batches(parts).group_by(by, use_threads=False).aggregate([("n", "sum")]).rename_columns([*by, "n"])
 
 
 def packed_table(table: pa.Table) -> bytes:
@@ -299,10 +299,18 @@ def packed_table(table: pa.Table) -> bytes:
     return out.getvalue().to_pybytes()
 
 
-def leading_hashes(keys: pa.ChunkedArray) -> np.ndarray:
-    first = pa.concat_arrays([c.cast(pa.large_binary()) for c in pc.binary_slice(keys, 0, 8).chunks])
-    raw = np.frombuffer(first.buffers()[2] or b"", np.uint8)[first.offset * 8 : (first.offset + len(first)) * 8]
-    return np.ascontiguousarray(raw).view(">u8").astype(np.uint64)
+def hashes_of(langs: list[str], phrases: list[str]) -> np.ndarray:
+    """Hash of each phrase, 0 of an empty one."""
+    coded = pa.array(langs).dictionary_encode()
+    offsets, data = utf8(pa.array(phrases, pa.string()))
+    hashes = np.array([lang_hash(x) for x in coded.dictionary.to_pylist()], np.uint64)
+    p = Phrases(offsets, data, coded.indices.to_numpy().astype(np.int64), hashes)
+    first = np.searchsorted(p.starts, offsets)
+    size = np.diff(first)
+    out = np.zeros(len(phrases), np.uint64)
+    for n in range(1, size.max(initial=0) + 1):
+        out[size == n] = p.hashes(n)[first[:-1][size == n]]
+    return out
 
 
 def ranges_of(texts: DataFrame) -> int:
@@ -333,8 +341,14 @@ def counts_by_key(docs: DataFrame, rows_of, least: int, ranges: int) -> DataFram
             out.append(pa.table({"key": hash_keys(hashes[often]), "n": counts[often]}))
         if tables:
             found = named_sums([b for t in tables for b in t.to_batches()])
-            total = pc.starts_with(found.column("key"), bytes(8))
-            out.append(found.filter(pc.or_(pc.greater_equal(found.column("n"), least), total)))
+            lengths = [int.from_bytes(k[:4], "big") + 4 for k in found.column("key").to_pylist()]
+            total = pc.equal(pc.binary_length(found.column("key")), pa.array(lengths, pa.int32()))
+            found = found.filter(pc.or_(pc.greater_equal(found.column("n"), least), total))
+            keys = found.column("key").to_pylist()
+            cuts = [int.from_bytes(k[:4], "big") + 4 for k in keys]
+            hashes = hashes_of([k[4:c].decode() for k, c in zip(keys, cuts, strict=True)], [k[c:].decode() for k, c in zip(keys, cuts, strict=True)])
+            keys = [h + k for h, k in zip(hash_keys(hashes).to_pylist(), keys, strict=True)]
+            out.append(pa.table({"key": pa.array(keys, pa.binary()), "n": found.column("n")}))
         return pa.concat_tables(out)
 
     sent = docs.mapInArrow(run, "place int, named boolean, body binary")
@@ -352,13 +366,13 @@ def border_counts(p: Phrases, size: int, where: np.ndarray) -> tuple[np.ndarray,
     return np.unique(p.hashes(size)[where], return_counts=True)
 
 
-def named_keys(hashes: np.ndarray, langs: pa.Array, phrases: pa.Array) -> pa.Array:
-    """The hash, the length of the language's name in four bytes, the name and the phrase."""
+def named_rows(hashes: np.ndarray, langs: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    """``key, hash, n``; a key is the length of the language's name in four bytes, the name and the phrase."""
     length = pc.binary_length(langs.cast(pa.binary())).to_numpy(zero_copy_only=False).astype(">u4")
     length = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4), len(length), [None, pa.py_buffer(length)])
-    parts = [hash_keys(hashes), length, langs, phrases]
-    joined = pc.binary_join_element_wise(*[x.cast(pa.large_binary()) for x in parts], pa.scalar(b"", pa.large_binary()))
-    return joined.cast(pa.binary())
+    parts = [x.cast(pa.large_binary()) for x in (length, langs, phrases)]
+    joined = pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary()))
+    return pa.RecordBatch.from_arrays([joined.cast(pa.binary()), pa.array(hashes), pa.array(counts)], ["key", "hash", "n"])
 
 
 def exact_rows(p: Phrases, size: int, where: np.ndarray, langs: pa.Array) -> pa.RecordBatch:
@@ -373,8 +387,7 @@ def exact_rows(p: Phrases, size: int, where: np.ndarray, langs: pa.Array) -> pa.
     for j in range(1, size):
         first, count, key = counted(key * many + number[at + j])
     start = at[first]
-    keys = named_keys(p.hashes(size)[start], langs.take(pa.array(p.lang[start])), p.texts(start, size))
-    return pa.RecordBatch.from_arrays([keys, pa.array(count)], ["key", "n"])
+    return named_rows(p.hashes(size)[start], langs.take(pa.array(p.lang[start])), p.texts(start, size), count)
 
 
 def sample_counts(docs: DataFrame, sizes: range, least: int, ranges: int, proposed=None) -> DataFrame:
@@ -396,8 +409,7 @@ def hash_counts(docs: DataFrame, longest: int, least: int, ranges: int, proposed
 
     def rows(langs: pa.Array, p: Phrases) -> Iterator[tuple | pa.RecordBatch]:
         none = pa.array([b""] * len(langs), pa.binary())
-        total = pa.array(np.bincount(p.lang, minlength=len(langs)))
-        yield pa.RecordBatch.from_arrays([named_keys(np.zeros(len(langs), np.uint64), langs, none), total], ["key", "n"])
+        yield named_rows(np.zeros(len(langs), np.uint64), langs, none, np.bincount(p.lang, minlength=len(langs)))
         for size, admitted, _ in proposed.value.admitted(p, longest):
             yield border_counts(p, size, admitted)
 
