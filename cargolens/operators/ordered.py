@@ -1,42 +1,92 @@
 """Ordered operators: serial numbers, carry-forward, first row per key.
 
-Rows are range-partitioned by key and order, so a large group spreads over many
-tasks. Each task works on its own stretch, and a small table with at most one
-row per partition and key that crosses its border links the stretches. The plan
-is the same at every size.
+A large group spreads over many tasks: rows are dealt to ranges of (key, order)
+whose bounds come from a sketch of these columns, each range is worked on by
+itself, and a table with one row per range whose key began before it links the
+ranges. A row's range depends on its values alone, so nothing is staged, no job
+runs while the query is built, and a lost executor repeats only its own work.
+The input has to give the same rows whenever it is read.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.session import staged
+_PID = "_range_pid"
 
-_POS, _PID = "_range_pos", "_range_pid"
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row in the low 33 bits
-
-
-def _range_staged(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
-    order = [F.col(k) for k in keys] + [_as_col(o) for o in order_by]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ids = ranged.withColumn(_POS, F.monotonically_increasing_id())
-    return staged(ids.withColumn(_PID, F.shiftright(_POS, _ROW_BITS)), "ranged")
+#: Ranges at least, and rows of the sketch for each range.
+LEAST_RANGES, SKETCH_ROWS = 16, 16
 
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _direction(c) -> tuple[Column, str]:
+    """The column that is sorted by, and the direction: ``asc``, ``desc`` or ``other``."""
+    sorted_by = None if isinstance(c, str) else re.fullmatch(r"Column<'(.*) (ASC|DESC) NULLS (FIRST|LAST)'>", repr(c))
+    if not sorted_by:
+        return _as_col(c), "asc"
+    name, way, nulls = sorted_by.groups()
+    return F.expr(name), {("ASC", "FIRST"): "asc", ("DESC", "LAST"): "desc"}.get((way, nulls), "other")
+
+
+def _place(keys: Sequence[str], order_by: Sequence) -> tuple[Column, int]:
+    """A struct that sorts like the rows of one key do, or backwards (-1).
+
+    Order columns count as far as their direction is that of the first, nulls
+    standing where it puts them by default.
+    """
+    columns, way = [], None
+    for c in order_by:
+        column, this = _direction(c)
+        way = way or this
+        if this != way or this == "other":
+            break
+        columns.append(column)
+    named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)] + [c.alias(f"o{i}") for i, c in enumerate(columns)]
+    return F.struct(*(named or [F.lit(0).alias("all")])), -1 if way == "desc" else 1
+
+
+def _bounds(df: DataFrame, place: Column, ranges: int) -> DataFrame:
+    """One row: the sorted lower bounds of all ranges but the first.
+
+    The sketch is the rows whose hashes are smallest. Those of two tables
+    merge to those of both, and a task keeps no more than are wanted in all.
+    """
+    wanted = ranges * SKETCH_ROWS
+    seen = df.select(place.alias("p"))
+    sketch = seen.orderBy(F.xxhash64("p")).limit(wanted).agg(F.array_sort(F.collect_list("p")).alias("s"))
+    step = F.greatest(F.floor(F.size("s") / ranges).cast("int"), F.lit(1))
+    numbers = F.sequence(F.lit(1), F.lit(ranges - 1))
+    bounds = F.filter(F.transform(numbers, lambda i: F.get("s", i * step)), lambda b: b.isNotNull())
+    return sketch.select(bounds.alias("_range_bounds"))
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
+    """``df`` with the number of each row's range; within a key the numbers grow with the order."""
+    ranges = max(LEAST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place, way = _place(keys, order_by)
+    # one value, of as many bounds as there are ranges
+    with_bounds = df.withColumn("_range_bounds", _bounds(df, place, ranges).scalar())
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(ranges.bit_length()))])
+
+    def halve(at: Column, step: Column) -> Column:
+        return F.when(F.get("_range_bounds", at + step - 1) <= place, at + step).otherwise(at)
+
+    return with_bounds.withColumn(_PID, F.aggregate(steps, F.lit(0), halve) * way).drop("_range_bounds")
+
+
 def _link(df: DataFrame, links: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the per-partition link rows; at most one row per partition."""
-    renamed = links
+    """Attach the rows that link ranges; at most one row per range."""
     cond = df[_PID] == links["_link_pid"]
     for i, k in enumerate(keys):
-        cond = cond & df[k].eqNullSafe(renamed[f"_link_key{i}"])
-    joined = df.join(F.broadcast(renamed), cond, "left")
+        cond = cond & df[k].eqNullSafe(links[f"_link_key{i}"])
+    joined = df.join(F.broadcast(links), cond, "left")
     return joined.drop("_link_pid", *[f"_link_key{i}" for i in range(len(keys))])
 
 
@@ -52,52 +102,44 @@ def serial(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, name:
     """Number rows 1, 2, 3 … within ``partition_by`` in ``order_by`` order.
 
     End ``order_by`` with a unique column: it makes the numbers repeatable and
-    lets the range split any group.
+    lets the ranges split any group.
     """
     keys = list(partition_by)
-    rows = _range_staged(df, keys, order_by)
+    rows = _ranged(df, keys, order_by)
     counts = rows.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_n"))
-    if not keys:
-        # One row per range partition, so this single-task window is small.
-        before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-        base = counts.withColumn("_range_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        in_part = F.col(_POS).bitwiseAND((1 << _ROW_BITS) - 1)
-        out = _link(rows, _link_keys(base, [], "_range_base"), [])
-        return out.withColumn(name, in_part + F.col("_range_base") + 1).drop(_POS, _PID, "_range_base")
-
+    # a key has as many rows here as ranges, and only those that are not its first are kept
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     base = counts.withColumn("_range_base", F.sum("_n").over(before)).filter("_range_base is not null")
-    own = Window.partitionBy(_PID, *keys).orderBy(_POS)
+    own = Window.partitionBy(_PID, *keys).orderBy(*[_as_col(o) for o in order_by])
     out = _link(rows.withColumn("_range_own", F.row_number().over(own)), _link_keys(base, keys, "_range_base"), keys)
     number = F.col("_range_own").cast("long") + F.coalesce("_range_base", F.lit(0))
-    return out.withColumn(name, number).drop(_POS, _PID, "_range_own", "_range_base")
+    return out.withColumn(name, number).drop(_PID, "_range_own", "_range_base")
 
 
 def carry_forward(
     df: DataFrame,
     partition_by: Sequence[str],
-    order_by: Sequence,
+    order_by: Sequence[str],
     value: Column,
     name: str,
     include_current: bool = True,
 ) -> DataFrame:
-    """Last non-null ``value`` up to (or strictly before) each row.
+    """Last non-null ``value`` up to (or strictly before) each row, in ascending order of the columns ``order_by``.
 
     A struct whose fields are all NULL counts as a value.
     """
     keys = list(partition_by)
     last_row = 0 if include_current else -1
-    with_value = df.withColumn("_val", value)
-    rows = _range_staged(with_value, keys, order_by)
-    set_at = F.when(F.col("_val").isNotNull(), F.col(_POS))
+    rows = _ranged(df.withColumn("_val", value), keys, order_by)
+    set_at = F.when(F.col("_val").isNotNull(), F.struct(*order_by))
     ends = rows.groupBy(_PID, *keys).agg(F.max_by("_val", set_at).alias("_end"))
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.withColumn("_range_carried", F.last("_end", ignorenulls=True).over(before))
     carried = carried.filter("_range_carried is not null")
-    own = Window.partitionBy(_PID, *keys).orderBy(_POS).rowsBetween(Window.unboundedPreceding, last_row)
+    own = Window.partitionBy(_PID, *keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, last_row)
     out = rows.withColumn("_range_own", F.last("_val", ignorenulls=True).over(own))
     out = _link(out, _link_keys(carried, keys, "_range_carried"), keys)
-    return out.withColumn(name, F.coalesce("_range_own", "_range_carried")).drop(_POS, _PID, "_range_own", "_range_carried", "_val")
+    return out.withColumn(name, F.coalesce("_range_own", "_range_carried")).drop(_PID, "_range_own", "_range_carried", "_val")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

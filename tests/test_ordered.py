@@ -4,10 +4,12 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cargolens.operators import lists, ordered
 from cargolens.operators.numbering import assign_sequence, instalments
+from cargolens.session import names_under, scratch_root
 
 
 def skewed(spark, n=600, seed=1):
@@ -38,9 +40,51 @@ def test_serial_per_key(spark):
 
 def test_serial_spreads_the_hot_key(spark):
     _, df = skewed(spark)
-    staged = ordered._range_staged(df, ["k"], [F.col("seq")])
-    parts = staged.filter("k = 'hot'").select(ordered._PID).distinct().count()
-    assert parts > 1
+    ranged = ordered._ranged(df, ["k"], [F.col("seq")])
+    parts = ranged.filter("k = 'hot'").groupBy(ordered._PID).count().collect()
+    assert len(parts) > 3
+    assert max(r["count"] for r in parts) < 100
+
+
+ORDERS = {
+    "up": lambda: ["seq"],
+    "down, then up": lambda: [F.col("v").desc(), "seq"],
+    "nulls elsewhere": lambda: [F.col("v").asc_nulls_last(), F.col("seq").desc()],
+    "all alike first": lambda: [F.lit("x"), F.col("seq")],
+}
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_serial_in_any_order(spark, order):
+    """Against one window per key, also where the direction changes from column to column."""
+    order = ORDERS[order]()
+    _, df = skewed(spark, seed=5)
+    df = df.withColumn("v", F.when(F.col("seq") % 4 > 0, F.concat(F.lit("v"), F.col("seq") % 3)))
+    out = ordered.serial(df, ["k"], order, "n").withColumn("m", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    assert out.filter("n <> m").count() == 0
+    assert ordered.serial(df, [], order, "n").select("n").distinct().count() == 600
+
+
+def test_nothing_runs_or_is_written_while_the_query_is_built(spark):
+    _, df = skewed(spark)
+    before = set(names_under(spark, scratch_root(spark)))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("built", "numbering")
+    value = F.when(F.col("v").isNotNull(), F.struct("v"))
+    ordered.serial(df, ["k"], ["seq"], "n")
+    ordered.carry_forward(df, ["k"], ["seq"], value, "c")
+    assert not tracker.getJobIdsForGroup("built")
+    spark.sparkContext.setJobGroup(None, None)
+    assert set(names_under(spark, scratch_root(spark))) == before
+
+
+def test_serial_of_odd_tables(spark):
+    none = spark.createDataFrame([], "k string, seq long")
+    assert ordered.serial(none, ["k"], ["seq"], "n").collect() == []
+    assert ordered.serial(none, [], ["seq"], "n").collect() == []
+    alike = spark.createDataFrame([("a", None)] * 7 + [(None, 1)], "k string, seq long")
+    got = ordered.serial(alike, ["k"], ["seq"], "n").collect()
+    assert sorted(r.n for r in got if r.k) == list(range(1, 8)) and [r.n for r in got if r.k is None] == [1]
 
 
 def test_serial_whole_table(spark):
