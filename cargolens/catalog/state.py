@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cargolens.catalog.registry import query
 from cargolens.catalog.reports import plain
 from cargolens.operators import commands as cmd
-from cargolens.operators import numbering
+from cargolens.operators import numbering, state_store
 from cargolens.session import scratch_path
 from cargolens.streaming.commands import latest_state, upsert_stream
 
@@ -163,11 +163,18 @@ def _trigger_rows(state):
 
 query("state_upsert_arrays", _TRIGGER_STATE, FEEDS)(lambda t: _trigger_rows(_trigger_state(t)))
 
+# what a store keeps of deletes: the last one of each key, and whether the key has come back since
 query(
     "state_delete",
-    f"""select * from ({_TRIGGER_STATE})""",
+    f"""select k as web_user_master_id, max(seq) filter (op = 'D') as deleted_seq, arg_max(op, seq) = 'D' as gone
+        from ({_CHANGES}) group by k having max(seq) filter (op = 'D') is not null""",
     FEEDS,
-)(lambda t: _trigger_rows(_trigger_state(t)))
+)(
+    lambda t: state_store.still_matters(_ok(t, "trigger", cmd.TRIGGERS), cmd.TRIGGERS)
+    .groupBy("web_user_master_id")
+    .agg(F.max(F.when(F.col("method") == "D", F.col("seq"))).alias("deleted_seq"), (~F.bool_or(F.col("method") == "U")).alias("gone"))
+    .filter("deleted_seq is not null")
+)
 
 query(
     "state_command_status",

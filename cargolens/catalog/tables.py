@@ -14,6 +14,7 @@ from cargolens.operators.lists import nest
 from cargolens.session import scratch_path
 from cargolens.sources import inbox
 from cargolens.standins import AS_OF, StandIns
+from cargolens.sources.commits import committed
 from cargolens.streaming.shred import shred_stream
 
 NOW = datetime(2001, 8, 1, 6, 0, 0)
@@ -66,6 +67,21 @@ query(
        from orders, (select max(p_partkey) as m from part) u""",
 )(lambda t: plain(_rendered(t, "N").withColumn("file_content", F.base64("file_content"))))
 
+@query(
+    "outbox_reserved",
+    """select batch, doc_key, 999 + row_number() over (order by batch, doc_key) as file_uid
+       from (select o_orderkey % 2 as batch, o_orderkey as doc_key from orders)""",
+)
+def _(t):
+    """Two batches whose writers take their ids from one counter."""
+    out = scratch_path(t.spark, "outbox")
+    docs = _order_documents(t)
+    for batch in (0, 1):
+        inbox.queue_batch(docs.filter(F.col("doc_key") % 2 == batch), batch, out, NOW, "EDI_", first=1000)
+    key = F.regexp_extract("file_name", r"(\d+)", 1).cast("long").alias("doc_key")
+    return committed(t.spark, out, "outbox").select(F.col("batch_id").cast("long").alias("batch"), key, "file_uid")
+
+
 query(
     "outbox_preview",
     "select o_orderkey as doc_key, 'ORDER ' || o_orderkey as content, 'C' || o_custkey as company_code, 'B' as branch_code from orders",
@@ -338,7 +354,7 @@ def _(t):
     shred_stream(t.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", NOW).awaitTermination()
     out = None
     for name in [*xs.TABLES, "quarantine", "cast_rejects", "processing_log"]:
-        rows = t.spark.read.parquet(f"{base}/out/{name}").drop("batch_id")
+        rows = committed(t.spark, f"{base}/out", name).drop("batch_id")
         decimals = {f.name: F.col(f.name).cast("string") for f in rows.schema.fields if f.dataType.typeName() == "decimal"}
         rows = plain(rows.withColumns(decimals))
         key = F.col("message_id") if "message_id" in rows.columns else F.lit(None).cast("string")

@@ -11,7 +11,9 @@ The input has to give the same rows whenever it is read.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,18 +130,27 @@ def carry_forward(
 
     A struct whose fields are all NULL counts as a value.
     """
+    return carry_all_forward(df, partition_by, order_by, {name: value}, include_current)
+
+
+def carry_all_forward(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], values: Mapping[str, Column], include_current: bool = True
+) -> DataFrame:
+    """The same for several values, each under its name, in one go; the names may be those of columns."""
     keys = list(partition_by)
     last_row = 0 if include_current else -1
-    rows = _ranged(df.withColumn("_val", value), keys, order_by)
-    set_at = F.when(F.col("_val").isNotNull(), F.struct(*order_by))
-    ends = rows.groupBy(_PID, *keys).agg(F.max_by("_val", set_at).alias("_end"))
+    held = {n: f"_range_value{i}" for i, n in enumerate(values)}
+    rows = _ranged(df.withColumns({h: values[n] for n, h in held.items()}), keys, order_by)
+    place = F.struct(*order_by)
+    ends = rows.groupBy(_PID, *keys).agg(*[F.max_by(h, F.when(F.col(h).isNotNull(), place)).alias(h) for h in held.values()])
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_range_carried", F.last("_end", ignorenulls=True).over(before))
-    carried = carried.filter("_range_carried is not null")
+    carried = ends.select(_PID, *keys, F.struct(*[F.last(h, ignorenulls=True).over(before).alias(h) for h in held.values()]).alias("_range_carried"))
+    carried = carried.filter(reduce(or_, [F.col(f"_range_carried.{h}").isNotNull() for h in held.values()]))
     own = Window.partitionBy(_PID, *keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, last_row)
-    out = rows.withColumn("_range_own", F.last("_val", ignorenulls=True).over(own))
+    out = rows.withColumns({f"{h}_own": F.last(h, ignorenulls=True).over(own) for h in held.values()})
     out = _link(out, _link_keys(carried, keys, "_range_carried"), keys)
-    return out.withColumn(name, F.coalesce("_range_own", "_range_carried")).drop(_PID, "_range_own", "_range_carried", "_val")
+    kept = [c for c in df.columns if c not in held]
+    return out.select(*kept, *[F.coalesce(f"{h}_own", f"_range_carried.{h}").alias(n) for n, h in held.items()])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -222,12 +222,16 @@ def _elements(name: str) -> Column:
     return F.concat(*found) if len(found) > 1 else found[0]
 
 
+#: Comments, CDATA and processing instructions: tags in there open nothing.
+NO_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+
+
 def parse_messages(df: DataFrame, xml_col: str = "xml_data", tables: Iterable[str] = TABLES) -> DataFrame:
     """Add ``msg``: the message as one nested struct, and ``_lost``: whether it has sections that are not in there.
 
     Only what ``tables`` need is parsed. ``_lost`` compares the opening tags
-    of their elements in the text with the elements parsed, so it also holds
-    where such tags stand in a comment. The parse sits inside a generator:
+    of their elements in the text, outside comments, CDATA and processing
+    instructions, with the elements parsed. The parse sits inside a generator:
     filters on its result cannot be pushed below it, which would parse every
     message a second time.
     """
@@ -240,7 +244,9 @@ def parse_messages(df: DataFrame, xml_col: str = "xml_data", tables: Iterable[st
     wanted = [t for t in TABLES if t in set(tables) | {"manifest_headers"}]
     parsed = df.withColumn("msg", F.explode(F.array(F.from_xml(xml_col, message_schema(tables), options))))
     tags = "|".join(ELEMENTS[t][0].rpartition("/")[2] for t in wanted)
-    opened = F.regexp_count(xml_col, F.lit(rf"<([\w.-]+:)?({tags})[\s/>]"))
+    # most texts have nothing to take out but the first line
+    text = F.when(F.contains(xml_col, F.lit("<!")) | F.contains(xml_col, F.lit("<?")), F.regexp_replace(xml_col, NO_MARKUP, ""))
+    opened = F.regexp_count(F.coalesce(text, F.col(xml_col)), F.lit(rf"<([\w.-]+:)?({tags})[\s/>]"))
     kept = sum((F.size(_elements(t)) for t in wanted), F.lit(0))
     return parsed.withColumn("_lost", opened != kept)
 

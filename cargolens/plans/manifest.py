@@ -29,7 +29,7 @@ from cargolens.functions.text import (
 from cargolens.operators.joins import config_value, role_join, role_lookup
 from cargolens.operators.lists import gather_lines
 from cargolens.operators.numbering import assign_sequence, instalments
-from cargolens.operators.ordered import carry_forward, first_per_key, serial
+from cargolens.operators.ordered import carry_all_forward, first_per_key, serial
 from cargolens.operators.predicates import code_map, default_consignee, trade_code
 from cargolens.session import staged
 
@@ -275,12 +275,10 @@ def shipment_details(t: Tables, carry: str = "clean") -> DataFrame:
         "_fcl": F.when(~consolidated, F.struct(c("box_count").alias("boxes"), "teu", "tare")),
         "_dg": F.when(c("hazardous") == "Y", c("dangerous")),
     }
-    for name, block in blocks.items():
-        if carry == "clean":
-            rows = rows.withColumn(name, block)
-        else:
-            rows = carry_forward(rows.withColumn("_set", block), ["master_id"], ["shipment_id"], c("_set"), "_carried")
-            rows = rows.drop("_set", name).withColumnRenamed("_carried", name)
+    if carry == "clean":
+        rows = rows.withColumns(blocks)
+    else:
+        rows = carry_all_forward(rows, ["master_id"], ["shipment_id"], blocks)
     return rows.withColumn("consolidated", F.when(consolidated, "Y").otherwise("N"))
 
 

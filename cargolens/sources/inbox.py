@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from cargolens.operators.aggregates import next_id
 from cargolens.operators.ordered import serial
+from cargolens.session import drop_staged, staged
+from cargolens.sources.commits import commit_batch, is_committed, reserve_ids
 
 INBOX = T.StructType(
     [
@@ -51,16 +53,23 @@ def processing_log(df: DataFrame, as_of: date, kind: str, extra: dict | None = N
 
 
 def to_outbox(
-    docs: DataFrame, prior: DataFrame, as_of: datetime, prefix: str, user: str = "system", key: str = "doc_key"
+    docs: DataFrame,
+    prior: DataFrame | None,
+    as_of: datetime,
+    prefix: str,
+    user: str = "system",
+    key: str = "doc_key",
+    first: int | None = None,
 ) -> DataFrame:
-    """Queue rows for rendered documents, numbered after the largest prior id.
+    """Queue rows for rendered documents, numbered in the order of their keys.
 
-    One writer per batch: two batches numbered from the same prior table would
-    clash. Only the keys are numbered. The columns are the same for every kind
-    of document; codes that one does not have are NULL.
+    Numbers start at ``first``, or after the largest of ``prior``. The latter is
+    for one writer at a time; several use ``queue_batch``. Only the keys are
+    numbered. The columns are the same for every kind of document; codes that
+    one does not have are NULL.
     """
     numbered = docs.join(serial(docs.select(key), [], [key], "_n"), key)
-    first = next_id(prior, "file_uid")
+    first = next_id(prior, "file_uid") if first is None else F.lit(first)
     codes = ("company_code", "branch_code", "location_code")
     return numbered.select(
         F.lit(user).alias("create_user"),
@@ -76,6 +85,28 @@ def to_outbox(
     )
 
 
+def queue_batch(
+    docs: DataFrame, batch_id: int, out_dir: str, as_of: datetime, prefix: str, user: str = "system", key: str = "doc_key", first: int = 1
+) -> DataFrame:
+    """Queue a batch of documents beside other writers; its rows.
+
+    The ids are a range that no other writer has, taken from the counter in
+    ``out_dir``, whose first one is ``first``. The rows are seen (``committed``)
+    once all are written. A batch that was committed is read, not queued again,
+    and one that was stopped takes a new range when it is repeated.
+    """
+    spark = docs.sparkSession
+    folder = f"{out_dir}/outbox/batch_id={batch_id}"
+    if not is_committed(spark, out_dir, batch_id):
+        kept = staged(docs, "documents")
+        count = kept.count()
+        start = reserve_ids(spark, f"{out_dir}/_ids", count, first) if count else first
+        to_outbox(kept, None, as_of, prefix, user, key, start).write.mode("overwrite").parquet(folder)
+        commit_batch(spark, out_dir, batch_id, ["outbox"])
+        drop_staged(spark, kept)
+    return spark.read.parquet(folder)
+
+
 def render(docs: DataFrame, preview: str | None, prior: DataFrame, as_of: datetime, prefix: str, out: str | None = None):
     """Preview (``None`` or ``Y``) returns the documents and queues nothing;
     otherwise the queue rows are appended to ``out`` and returned."""

@@ -5,40 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cargolens.operators.commands import Feed, apply_commands, parse_commands
-from cargolens.session import delete_path, names_under, refuse_occupied, scratch
+from cargolens.operators import state_store
+from cargolens.operators.commands import Feed, parse_commands
+from cargolens.session import refuse_occupied, scratch
+from cargolens.sources.commits import published
 
 COMMAND_SCHEMA = "seq long, method string, payload string"
 
 
-def state_path(out_dir: str, version: int) -> str:
-    return f"{out_dir}/state/version={version}"
-
-
 def apply_batch(batch: DataFrame, batch_id: int, base: DataFrame, out_dir: str, feed: Feed) -> None:
-    """Batch n reads snapshot n and writes snapshot n+1; a retry repeats exactly that.
-
-    Snapshots before n are needed by no retry and go.
-    """
+    """Batch n goes from manifest n to n+1; a retry repeats exactly that, or nothing where n+1 is there."""
     spark = batch.sparkSession
-    if batch_id > 0:
-        path = state_path(out_dir, batch_id)
-        base = spark.read.schema(base.schema).parquet(path)
     with scratch(spark):
+        if batch_id == 0:
+            state_store.start_store(spark, out_dir, base, feed)
         ok, rejects = parse_commands(batch, feed)
-        state, statuses = apply_commands(base, ok, feed)
-        replies = statuses.select("seq", "method", "status").unionByName(rejects.select("seq", "method", "status"))
-        replies.write.mode("overwrite").parquet(f"{out_dir}/replies/batch_id={batch_id}")
-        state.write.mode("overwrite").parquet(state_path(out_dir, batch_id + 1))
-    for version in versions(spark, out_dir):
-        if version < batch_id:
-            delete_path(spark, state_path(out_dir, version))
+
+        def write_replies(statuses: DataFrame) -> None:
+            replies = statuses.unionByName(rejects.select("seq", "method", "status"))
+            replies.write.mode("overwrite").parquet(f"{out_dir}/replies/batch_id={batch_id}")
+
+        state_store.apply_batch(ok, batch_id, out_dir, feed, write_replies)
+    state_store.tidy(spark, out_dir)
 
 
 def versions(spark: SparkSession, out_dir: str) -> list[int]:
-    """Numbers of the snapshots that were written to their end."""
-    found = [name for name in names_under(spark, f"{out_dir}/state") if name.startswith("version=")]
-    return [int(n.partition("=")[2]) for n in found if "_SUCCESS" in names_under(spark, f"{out_dir}/state/{n}")]
+    """Numbers of the states that can be read: as many batches are in them."""
+    return published(spark, state_store.manifests(out_dir))
 
 
 def upsert_stream(
@@ -46,8 +39,8 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Apply all command files not seen before, then stop.
 
-    Each batch writes the whole state as a new snapshot, so give it many files
-    when the state is large. A new checkpoint needs a new output folder.
+    A batch rewrites the buckets of its keys. The order in which files arrive
+    does not matter to the state. A new checkpoint needs a new output folder.
     """
     refuse_occupied(spark, out_dir, checkpoint)
     source = (
@@ -62,5 +55,5 @@ def upsert_stream(
 
 
 def latest_state(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Newest snapshot written by the stream."""
-    return spark.read.parquet(state_path(out_dir, max(versions(spark, out_dir))))
+    """The state after the newest committed batch."""
+    return state_store.read_state(spark, out_dir)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cargolens.operators.xml_shred import cast_rejects, parse_messages, shred, split_malformed
 from cargolens.session import refuse_occupied, scratch, staged
+from cargolens.sources.commits import commit_batch, is_committed
 from cargolens.sources.inbox import processing_log
 
 # Fixed value: process type written to the log.
@@ -17,20 +18,28 @@ PROCESS_TYPE = "ETI_MANIFEST"
 
 
 def write_tables(tables: dict[str, DataFrame], base: str, batch_id: int) -> None:
-    """Write each table into its own folder, one sub-folder per batch.
-
-    A repeated batch replaces its sub-folder, so a retry adds nothing twice.
-    """
+    """Write each table into its own folder, one sub-folder per batch; a repeated batch replaces its sub-folder."""
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}/batch_id={batch_id}")
 
 
 def shred_batch(batch: DataFrame, batch_id: int, out_dir: str, as_of: datetime) -> None:
-    with scratch(batch.sparkSession):
-        _shred_batch(batch, batch_id, out_dir, as_of)
+    """Write a batch to all tables, then commit it; a batch that was committed is not written again.
+
+    ``sources.commits.committed`` reads the committed batches of a table, so
+    the tables change together, and the messages count as processed with them.
+    """
+    spark = batch.sparkSession
+    if is_committed(spark, out_dir, batch_id):
+        return
+    with scratch(spark):
+        tables = shredded(batch, as_of)
+        write_tables(tables, out_dir, batch_id)
+        commit_batch(spark, out_dir, batch_id, list(tables))
 
 
-def _shred_batch(batch: DataFrame, batch_id: int, out_dir: str, as_of: datetime) -> None:
+def shredded(batch: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
+    """All tables that come of a batch of messages."""
     parsed = staged(parse_messages(batch.select("id", "xml_data")), "messages")
     good, bad = split_malformed(parsed)
     stamp = F.lit(as_of).cast("timestamp_ntz").alias("processed_at")
@@ -39,7 +48,7 @@ def _shred_batch(batch: DataFrame, batch_id: int, out_dir: str, as_of: datetime)
     tables["cast_rejects"] = cast_rejects(good)
     tables["processed"] = parsed.select("id", F.lit(True).alias("processed"), stamp)
     tables["processing_log"] = processing_log(parsed, as_of.date(), PROCESS_TYPE)
-    write_tables(tables, out_dir, batch_id)
+    return tables
 
 
 def shred_stream(

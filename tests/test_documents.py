@@ -3,6 +3,7 @@
 import csv
 import io
 import xml.etree.ElementTree as ET
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from cargolens.plans import documents as docs
 from cargolens.plans import manifest as man
+from cargolens.sources import inbox
+from cargolens.sources.commits import committed, content_of, publish, reserve_ids
 from cargolens.sources.inbox import render, to_outbox
 
 NOW = datetime(2025, 3, 27, 7, 3, 0)
@@ -361,3 +364,36 @@ def test_outbox_and_preview(spark, tmp_path):
     assert [(r.company_code, r.branch_code, r.location_code) for r in rows] == [(None, "B", None), (None, None, None)]
     empty = to_outbox(rendered, prior.filter("false"), NOW, "X")
     assert sorted(r.file_uid for r in empty.collect()) == [1, 2]
+
+
+def test_writers_take_disjoint_ids(spark, tmp_path):
+    """Eight writers at once from one counter."""
+    folder = str(tmp_path / "ids")
+    with ThreadPoolExecutor(8) as pool:
+        starts = list(pool.map(lambda n: (reserve_ids(spark, folder, n, 100), n), [3, 1, 4, 1, 5, 9, 2, 6]))
+    taken = sorted(i for start, n in starts for i in range(start, start + n))
+    assert taken == list(range(100, 131))
+    assert not publish(spark, folder, 100, {"next": 0}) and content_of(spark, folder, 100)["next"] > 100
+
+
+def test_batches_of_the_outbox(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+
+    def docs(*keys):
+        return spark.createDataFrame([(k, f"text {k}") for k in keys], "doc_key long, content string")
+
+    first = inbox.queue_batch(docs(3, 1, 2), 0, out, NOW, "EDI_", first=10)
+    assert [(r.file_uid, r.file_name) for r in first.orderBy("file_uid").collect()] == [(10, "EDI_1.txt"), (11, "EDI_2.txt"), (12, "EDI_3.txt")]
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(inbox, "commit_batch", stop)
+        with pytest.raises(RuntimeError):
+            inbox.queue_batch(docs(4), 1, out, NOW, "EDI_")
+    assert committed(spark, out, "outbox").count() == 3
+    assert [r.file_uid for r in inbox.queue_batch(docs(4), 1, out, NOW, "EDI_").collect()] == [14]
+    assert [r.file_uid for r in inbox.queue_batch(docs(5), 1, out, NOW, "EDI_").collect()] == [14]
+    assert inbox.queue_batch(docs(), 2, out, NOW, "EDI_").collect() == []
+    assert committed(spark, out, "outbox").count() == 4

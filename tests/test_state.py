@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cargolens.operators import commands as cmd
+from cargolens.operators import state_store
 from cargolens.session import names_under, scratch_root
+from cargolens.sources.commits import content_of
 from cargolens.streaming.commands import latest_state, upsert_stream, versions
 
 TRIGGER_DDL = (
@@ -132,3 +134,84 @@ def test_stream_applies_each_file_once(spark, tmp_path):
     assert set(names_under(spark, scratch)) == before
     with pytest.raises(ValueError, match="another checkpoint"):
         upsert_stream(spark, source, base, out, str(tmp_path / "check2"), cmd.TRIGGERS)
+
+
+def typed(spark, rows, make):
+    feed = spark.createDataFrame([(s, m, make(k, u)) for s, m, k, u in rows], "seq long, method string, payload string")
+    return feed
+
+
+def fill(spark, out, batches, base, feed, make=trigger, buckets=4):
+    state_store.start_store(spark, out, base, feed, buckets)
+    for n, rows in enumerate(batches):
+        ok, _ = cmd.parse_commands(typed(spark, rows, make), feed)
+        assert state_store.apply_batch(ok, n, out, feed)
+    return state_store.read_state(spark, out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_split_and_order_gives_one_state(spark, tmp_path, seed):
+    """Late files find their place: state and created fields are those of all commands in order."""
+    rnd = random.Random(seed)
+    rows = [(seq, rnd.choice("UUUDDX"), 1 if seq % 3 == 0 else rnd.randrange(9), f"u{seq}") for seq in range(70)]
+    want, _ = replay([1, 2, 50], rows)
+    base = spark.createDataFrame([base_row(k) for k in (1, 2, 50)], TRIGGER_DDL)
+    rnd.shuffle(rows)
+    cuts = sorted(rnd.sample(range(1, 70), 2))
+    batches = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, 70], strict=True)]
+    batches.append(batches[0][:5])  # sent again
+    state = fill(spark, str(tmp_path), batches, base, cmd.TRIGGERS)
+    assert {r.web_user_master_id: (r.created_user, r.mail_id[0]) for r in state.collect()} == want
+
+
+def test_feed_without_deletes_in_any_order(spark, tmp_path):
+    def make(key, user):
+        return json.dumps({"webUserMasterId": key, "columnPreferences": [user], "createUser": user})
+
+    base = spark.createDataFrame([(7, '["old"]', "c", None, None, None, None, 1, None), (None, '["x"]', "n", None, None, None, None, 1, None)], PREFERENCE_DDL)
+    rows = [(5, "U", 1, "e"), (9, "U", 7, "i"), (2, "U", 1, "b"), (8, "U", 1, "h"), (3, "U", None, "n3"), (3, "U", None, "n3"), (4, "U", 7, "d"), (6, "S", 1, "-")]
+    state = fill(spark, str(tmp_path), [rows[:2], rows[2:5], rows[5:]], base, cmd.PREFERENCES, make)
+    assert sorted((r.web_user_master_id or 0, r.column_preferences, r.create_user) for r in state.collect()) == [
+        (0, '["n3"]', "n3"), (0, '["x"]', "n"), (1, '["h"]', "b"), (7, '["i"]', "c"),
+    ]
+
+
+def test_a_batch_of_one_key_changes_one_bucket(spark, tmp_path):
+    out = str(tmp_path)
+    base = spark.createDataFrame([base_row(k) for k in range(40)], TRIGGER_DDL)
+    fill(spark, out, [[(1, "U", 3, "a"), (2, "D", 3, "b"), (3, "U", 3, "c")]], base, cmd.TRIGGERS, buckets=8)
+    first, second = (content_of(spark, state_store.manifests(out), n)["live"] for n in (0, 1))
+    assert len(first) == 8 and [b for b in first if first[b] != second[b]] != []
+    assert sum(first[b] != second[b] for b in first) == 1
+    assert [n for n in names_under(spark, f"{out}/state/batch=0") if n.startswith("bucket=")] == [
+        f"bucket={b}" for b in first if first[b] != second[b]
+    ]
+    assert state_store.read_state(spark, out).count() == 40
+
+
+def test_a_stopped_batch_leaves_the_state_and_its_retry_counts_once(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    base = spark.createDataFrame([base_row(k) for k in (1, 2)], TRIGGER_DDL)
+    fill(spark, out, [], base, cmd.TRIGGERS)
+    ok, _ = cmd.parse_commands(typed(spark, [(1, "U", 1, "a"), (2, "D", 2, "b"), (3, "U", None, "c")], trigger), cmd.TRIGGERS)
+
+    def users():
+        return sorted((r.web_user_master_id or 0, r.updated_user) for r in state_store.read_state(spark, out).collect())
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(state_store, "publish", stop)
+        with pytest.raises(RuntimeError):
+            state_store.apply_batch(ok, 0, out, cmd.TRIGGERS)
+    assert users() == [(1, "base"), (2, "base")]
+    assert state_store.apply_batch(ok, 0, out, cmd.TRIGGERS)
+    assert not state_store.apply_batch(ok, 0, out, cmd.TRIGGERS)
+    assert users() == [(0, "c"), (1, "a")]
+
+
+def test_all_keys_deleted(spark, tmp_path):
+    base = spark.createDataFrame([base_row(1)], TRIGGER_DDL)
+    state = fill(spark, str(tmp_path), [[(1, "D", 1, "a")]], base, cmd.TRIGGERS)
+    assert state.collect() == [] and set(state.columns) == set(cmd.TRIGGERS.fields)

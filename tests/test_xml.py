@@ -6,7 +6,9 @@ from decimal import Decimal
 import pytest
 
 from cargolens.operators import xml_shred as xs
-from cargolens.streaming.shred import shred_stream
+from cargolens.sources.commits import committed
+from cargolens.streaming import shred as shred_module
+from cargolens.streaming.shred import shred_batch, shred_stream
 
 NOW = datetime(2025, 1, 2, 3, 4, 5)
 
@@ -170,3 +172,46 @@ def test_stream_takes_each_file_once(spark, messages, tmp_path):
     assert spark.read.parquet(f"{out}/processing_log").count() == 2
     with pytest.raises(ValueError, match="another checkpoint"):
         shred_stream(spark, source, out, str(tmp_path / "check2"), NOW)
+
+
+def test_a_stopped_batch_shows_in_no_table(spark, tmp_path, monkeypatch):
+    """Stopped after the third table, then repeated."""
+    out = str(tmp_path)
+    batch = spark.createDataFrame([(1, FULL), (2, EMPTY)], "id long, xml_data string")
+    shred_batch(batch, 0, out, NOW)
+    more = spark.createDataFrame([(3, FULL), (4, BROKEN)], "id long, xml_data string")
+    write = shred_module.write_tables
+
+    def stopped(tables, base, batch_id):
+        write(dict(list(tables.items())[:3]), base, batch_id)
+        raise RuntimeError("lost")
+
+    def counts():
+        return {t: committed(spark, out, t).count() for t in (*xs.TABLES, "quarantine", "processed")}
+
+    first = counts()
+    with monkeypatch.context() as m:
+        m.setattr(shred_module, "write_tables", stopped)
+        with pytest.raises(RuntimeError):
+            shred_batch(more, 1, out, NOW)
+    assert counts() == first
+    shred_batch(more, 1, out, NOW)
+    assert counts()["manifest_headers"] == first["manifest_headers"] + 1
+    assert counts()["quarantine"] == 1 and counts()["processed"] == 4
+    done = counts()
+    shred_batch(batch, 1, out, NOW)  # committed before: stays
+    assert counts() == done
+    assert committed(spark, out, "unknown", "a int").collect() == []
+
+
+def test_tags_in_comments_and_cdata_open_nothing(spark):
+    comment = FULL.replace("<Houses>", "<!-- <House> <Container/> --><Houses>")
+    cdata = FULL.replace("<PartyName>P<", "<PartyName><![CDATA[<House> & <!-- <Container> ]]><")
+    instruction = "<?xml version='1.0'?><?note <House> ?>" + FULL
+    # a house outside the list is still found missing, also beside a comment that holds its end
+    misplaced = comment.replace("</Houses>", "</Houses><House><HBLNumber>H9</HBLNumber></House><!-- </House> -->")
+    rows = [(1, comment), (2, cdata), (3, instruction), (4, misplaced)]
+    good, bad = xs.split_malformed(xs.parse_messages(spark.createDataFrame(rows, "id long, xml_data string")))
+    assert sorted(r.id for r in good.collect()) == [1, 2, 3]
+    assert [r.id for r in bad.collect()] == [4]
+    assert xs.shred_table(good, "house_bills", NOW).count() == 6
