@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 #: Characters after which a conversation goes on in a further row, at the next turn.
 PART_CHARS = 4_000_000
 
+#: Runs of white space, as the pattern of the tokenizer has it, that are cut out before the library sees the text.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
+
 
 @dataclass(frozen=True)
 class ChatTemplate:
@@ -89,6 +92,7 @@ class Tokens:
     def __init__(self, ranks: dict[bytes, int], pattern: str, template: ChatTemplate):
         top = max(ranks.values()) + 1
         special = {c: top + i for i, c in enumerate(template.controls)}
+        self._control = re.compile("|".join(map(re.escape, special)))
         self.encoding = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         self.lengths = np.zeros(top + len(special), np.int64)
         for token, i in ranks.items():
@@ -97,8 +101,21 @@ class Tokens:
             self.lengths[i] = len(token.encode())
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, edges)``: token k covers bytes ``edges[k]:edges[k + 1]``."""
-        ids = np.array(self.encoding.encode(text, allowed_special="all"), np.int64)
+        """``(ids, edges)``: token k covers bytes ``edges[k]:edges[k + 1]``.
+
+        The library's pattern cannot match a very long run of white space. All
+        of such a run but the character before a word is one pre-token, which is
+        merged by itself; what stands around it is encoded as ever.
+        """
+        ids, at = [], 0
+        for run in LONG_BLANK.finditer(text) if LONG_BLANK.search(text) else ():
+            # at the end of the text, or before a control string, the whole run is one pre-token
+            ends = run.end() == len(text) or self._control.match(text, run.end())
+            end = run.end() if ends else run.end() - 1
+            ids += self.encoding.encode(text[at : run.start()], allowed_special="all")
+            ids += self.encoding._encode_single_piece(text[run.start() : end].encode())
+            at = end
+        ids = np.array(ids + self.encoding.encode(text[at:], allowed_special="all"), np.int64)
         return ids, np.concatenate([[0], np.cumsum(self.lengths[ids])])
 
 
@@ -147,6 +164,7 @@ def format_conversations(
     task in order, as a stream: ``part`` 0 is the whole of it, and one longer
     than ``part_chars`` goes on, between two turns, in further rows. Control
     strings are tokens of their own, so the parts' ids are those of the whole.
+    Runs of white space may be of any length.
     """
     template = template or ChatTemplate()
     shared = turns.sparkSession.sparkContext.broadcast((ranks, pattern))

@@ -159,7 +159,7 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return rolling(self.data, self.starts, self.ends)
+        return word_hashes(self.data, self.starts, self.ends)
 
     def joined(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """``(offsets, bytes)`` of each text's kept words joined by one blank."""

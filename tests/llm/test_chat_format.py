@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from cargolens.llm.chat_format import ChatTemplate, format_conversations, loss_mask
+from cargolens.llm.chat_format import ChatTemplate, Tokens, format_conversations, loss_mask
 
 T = ChatTemplate()
 
@@ -90,3 +90,19 @@ def test_mask_against_every_pair():
         marks = np.sort(rng.integers(0, edges[-1] + 1, 2 * rng.integers(0, 4))).reshape(-1, 2)
         want = [any(s < e and a < e and s < b for s, e in marks) for a, b in zip(edges, edges[1:], strict=False)]
         assert loss_mask(edges, marks).tolist() == want
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", " \n", "\u3000"])
+@pytest.mark.parametrize("around", ["{}", "{}word", "word{}", "a{}b{}[INST]c", "{}\x1c."])
+def test_runs_of_white_space(ranks, blank, around):
+    """As the library would, where it can; the pattern's own limit is far above these."""
+    tokens = Tokens(ranks, public_tokenizers.PATTERN, T)
+    for n in (255, 256, 257, 5000):
+        text = around.replace("{}", blank * n)
+        assert tokens.encode(text)[0].tolist() == tokens.encoding.encode(text, allowed_special="all")
+
+
+def test_very_long_runs_of_white_space(spark, ranks):
+    texts = [" " * 3_000_000, "\n" * 3_000_000 + "word", "\t" * 3_000_000, "a" + " \n" * 1_500_000 + "b"]
+    rows = [(i, 0, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)]
+    check(chat(spark, rows, ranks), rows, ranks)

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,32 @@ def test_redacted_texts(spark):
     df = secrets.redact(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")))
     assert [r.text for r in df.orderBy("doc_id").collect()] == ["a [SECRET] b [SECRET]!", None, "clean", "[SECRET]", "é [SECRET] é"]
     assert df.columns == ["doc_id", "text"]
+
+
+def test_very_many_secrets_in_one_text(spark):
+    """200,000 matches: positions and marks in about linear time."""
+    text = "é password=abcdef " * 200_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.monotonic()
+    [row] = secrets.redact(secrets.scan(df)).collect()
+    assert row.text == "é [SECRET] " * 200_000
+    assert time.monotonic() - started < 60
+
+
+def test_redacted_like_brute_force(spark):
+    texts = [t + " " + u for t in ODD for u in ODD[::5]] + ["x" * 4090 + " password=abcdef y" * 700, "token=" + "a" * 9000 + " z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.redact(secrets.scan(df)).collect():
+        clean, at = "", 0
+        for a, _, b, _ in brute(texts[r.doc_id]):
+            if a >= at:
+                clean += texts[r.doc_id][at:a] + "[SECRET]"
+            at = max(at, b)
+        assert r.text == clean + texts[r.doc_id][at:]
+
+
+def test_extra_columns(spark):
+    names = ["_id", "_hash", "low", "trigram", "bits0", "start", "may", "d"]
+    df = spark.createDataFrame([(1, "token=abcdef", *names)], "doc_id long, text string" + "".join(f", `{c}` string" for c in names))
+    [row] = secrets.scan(df).collect()
+    assert row[2:-1] == tuple(names) and [tuple(s) for s in row.secrets] == brute("token=abcdef")
