@@ -1,11 +1,12 @@
-"""Mixing sources to target weights by order sampling.
+"""Mixing sources to target weights by Pareto order sampling.
 
 A source's target, in words, is split into whole copies that every document
-gets for certain and a rest. The rest goes to a sample of whole documents,
-picked in the order of random odds divided by inclusion odds, until it is met.
-Inclusion odds are equal within a source, so that its order is a plain random
-one; it ends at the first document that does not fit, smaller ones after it are
-not tried.
+gets for certain and a rest. The rest goes to a sample of fixed size, in words,
+of whole documents with unequal probabilities: a document longer than the rest
+is included less likely, by as much as it is longer, and the odds of all are
+scaled so that the expected words are the rest. Documents are ranked by random
+odds divided by inclusion odds and taken in that order. The order goes on
+behind a document that does not fit, with those that do, for PASSES passes.
 
 No task orders a whole source: sizes are summed per source and band of that
 order, the running sum over bands finds the one in which the rest runs out, and
@@ -27,6 +28,12 @@ from cargolens.session import drop_staged, staged
 #: Bits of a random number, those that number its band, and how often a band is cut again.
 DRAW_BITS, BAND_BITS, CUTS = 48, 8, 2
 
+#: How often the order is gone through, each time with the documents that still fit.
+PASSES = 3
+
+#: Copies of a repeated row that are numbered together, and rows of one repeated row that a task numbers.
+STRETCH, NUMBERED = 4096, 1_000_000
+
 
 @F.arrow_udf(LongType())
 def word_count(text: pa.Array) -> pa.Array:
@@ -34,13 +41,6 @@ def word_count(text: pa.Array) -> pa.Array:
     return pa.array(Words(*utf8(text)).counts)
 
 
-def random_step(seed: int, *columns: str) -> Column:
-    """A number of DRAW_BITS bits that depends on the seed and the columns' values alone."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
-    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
-
-
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """``source, source_size, target`` from ``source, source_size``.
 
@@ -68,18 +68,28 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     return marked.select("source", "source_size", target.alias("target"))
 
 
+def included(size: Column, rest: Column, reach: Column) -> Column:
+    """Probability of a document; ``reach`` is the sum over its source of its sizes, none counting for more than the rest."""
+    return rest / reach * F.when(size > rest, rest / size).otherwise(F.lit(1.0))
+
+
 def odds_ratio(draw: Column, inclusion: Column) -> Column:
     """Random odds divided by inclusion odds; the smallest are sampled."""
     u = (draw + F.lit(0.5)) / F.lit(float(1 << DRAW_BITS))
-    return (u / (1 - u)) / (inclusion / (1 - inclusion))
+    return F.when(inclusion < 1, (u / (1 - u)) / (inclusion / (1 - inclusion))).otherwise(F.lit(0.0))
+
+
+def rank_number(ratio: Column) -> Column:
+    """A number of DRAW_BITS bits that grows with the ratio."""
+    share = F.floor(ratio / (1 + ratio) * F.lit(float(1 << DRAW_BITS))).cast("long")
+    return F.least(share, F.lit((1 << DRAW_BITS) - 1))
 
 
 def cut(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Where each source's rest runs out: ``plan`` with ``below`` and ``last``.
+    """Where each source's rest runs out: ``source, below, last``.
 
-    Documents that draw less than ``below``, or stand at or before ``last`` in
-    the order (ratio, doc_id, size), are sampled. Within a source the ratio
-    grows with the draw, so bands of draws are bands of the order.
+    Rows whose number is less than ``below``, or that stand at or before
+    ``last`` in the order of ``place``, are sampled.
     """
     found = plan.select(
         "source", "rest", F.when(F.col("rest") > 0, F.lit(0)).cast("long").alias("below"), F.lit(0).cast("long").alias("before")
@@ -90,7 +100,7 @@ def cut(rows: DataFrame, plan: DataFrame) -> DataFrame:
         band = F.shiftright("draw", left)
         here = rows.alias("r").join(found.alias("p"), same_source)
         here = here.filter(F.shiftright("draw", left + BAND_BITS) == F.shiftright("below", left + BAND_BITS))
-        sums = here.groupBy("r.source", "rest", "before", band.alias("band")).agg(F.sum("size").alias("words"))
+        sums = here.groupBy("r.source", "p.rest", "before", band.alias("band")).agg(F.sum("size").alias("words"))
         running = F.sum("words").over(Window.partitionBy("source").orderBy("band"))
         sums = sums.withColumn("until", F.col("before") + running).filter("until >= rest")
         first = F.min_by(F.struct("band", "words", "until", "rest"), "band").alias("x")
@@ -103,7 +113,7 @@ def cut(rows: DataFrame, plan: DataFrame) -> DataFrame:
     here = rows.alias("r").join(found.alias("p"), same_source)
     left = DRAW_BITS - CUTS * BAND_BITS
     here = here.filter(F.shiftright("draw", left) == F.shiftright("below", left))
-    here = here.select("r.source", "doc_id", "size", "draw", "rest", "below", "before", place("draw"))
+    here = here.selectExpr("r.source", "size", "rest", "below", "before", PLACE)
     running = F.sum("size").over(Window.partitionBy("source").orderBy("place")) - F.col("size")
     here = here.withColumn("fits", F.col("before") + running + F.col("size") / 2 <= F.col("rest"))
     return here.groupBy("source").agg(
@@ -111,8 +121,60 @@ def cut(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def place(draw: str) -> Column:
-    return F.struct(draw, "doc_id", "size").alias("place")
+#: Order of rows of one source.
+PLACE = "struct(draw, doc_id, size, copy) as place"
+
+
+def copies_of(rows: DataFrame) -> DataFrame:
+    """``source, doc_id, size, rows, copy``: a row per input row, those alike numbered from 0."""
+    alike = rows.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"))
+    single = alike.filter("rows = 1").withColumn("copy", F.lit(0).cast("long"))
+    stretches = alike.filter("rows > 1").withColumn("stretch", F.explode(F.sequence(F.lit(0), F.expr("(rows - 1) div 4096"))))
+    # a row that is much of the table is many stretches, on as many tasks
+    dealt = stretches.repartition("source", "doc_id", "size", "stretch")
+    first = F.col("stretch") * STRETCH
+    many = dealt.withColumn("copy", F.explode(F.sequence(first, F.least(first + (STRETCH - 1), F.col("rows") - 1)))).drop("stretch")
+    return single.unionByName(many)
+
+
+def joined(rows: DataFrame, by_source: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their source's row."""
+    other = by_source.withColumnRenamed("source", "_source")
+    return rows.join(other, rows["source"].eqNullSafe(other["_source"]), how).drop("_source")
+
+
+def is_sampled(number: int) -> Column:
+    """Whether a row with ``place`` is taken up to the cut of pass ``number``."""
+    fits = (F.col(f"rest{number}") > 0) & (F.col("place.size") <= 2 * F.col(f"rest{number}"))
+    here = (F.col("place.draw") < F.col(f"below{number}")) | (F.col("place") <= F.col(f"last{number}"))
+    return F.coalesce(fits & F.coalesce(here, F.col("place.draw") < F.col(f"below{number}")), F.lit(False))
+
+
+def sampled_in(passes: int) -> Column:
+    out = F.lit(False)
+    for number in range(1, passes + 1):
+        out = out | is_sampled(number)
+    return out
+
+
+def cuts_of(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` with ``rest, below, last`` of every pass; the rest of a pass is what those before it left."""
+    done = plan.withColumn("rest1", F.col("rest"))
+    for number in range(1, PASSES + 1):
+        rest = f"rest{number}"
+        if number > 1:
+            left = joined(rows.selectExpr("source", "size", PLACE), done).groupBy("source").agg(
+                F.sum(F.when(sampled_in(number - 1), F.col("size")).otherwise(0)).alias("_taken")
+            )
+            # a source without a rest has no rows to draw from
+            done = joined(done, left, "left").withColumn(rest, F.col("rest") - F.coalesce("_taken", F.lit(0))).drop("_taken")
+        open_rows = joined(rows.selectExpr("*", PLACE), done.drop("rest"))
+        open_rows = open_rows.filter((F.col("size") <= 2 * F.col(rest)) & ~sampled_in(number - 1)).select(rows.columns)
+        ends = cut(open_rows, done.select("source", F.col(rest).alias("rest"))).withColumnsRenamed(
+            {"below": f"below{number}", "last": f"last{number}", "source": "_at"}
+        )
+        done = staged(done.join(ends, done["source"].eqNullSafe(ends["_at"]), "left").drop("_at"), "cuts")
+    return done
 
 
 def mix(
@@ -128,40 +190,63 @@ def mix(
     ``docs`` has ``doc_id, text, source``; ``size`` is the words of the text
     unless given. ``mix`` holds ``size, source_size, target, copies, ratio``:
     ``copies`` is how often the document is taken, ``ceil(most)`` at most, and
-    ``ratio`` what its source is sampled by (null where no sample is drawn).
-    Taken words miss the target by half of one document at most. Null sources
-    are a source of their own; empty and null texts have size 0. Rows alike in
-    id, source and size draw one number and are taken alike. An empty table
-    gives an empty one. Reruns agree: a draw depends on the row and ``seed``.
+    ``ratio`` what it is ranked by (null where no sample is drawn, or where the
+    row is one of several alike). Taken words miss a source's target by half of
+    the shortest document that is left out, if PASSES passes are enough, else
+    by half of one document that did not fit. Null sources are a source of
+    their own; empty and null texts have size 0. Rows alike in id, source and
+    size have a draw each; as many of them are taken as draws fit (beyond
+    NUMBERED such rows, up to one row more or less for each NUMBERED). An empty
+    table gives an empty one. Reruns agree: a draw depends on the row's values
+    and ``seed``.
     """
     if "mix" in docs.columns:
         raise ValueError("there is a column mix already")
-    sized = docs.withColumn("mix", F.struct((word_count("text") if size is None else size).cast("long").alias("size")))
-    draw = random_step(seed, "doc_id", "source", "size")
-    rows = sized.select("source", "doc_id", F.col("mix.size").alias("size"))
-    rows = staged(rows.select("source", "doc_id", "size", draw.alias("draw")), "draws")
+    spark = docs.sparkSession
+    words = (word_count("text") if size is None else size).cast("long")
+    sizes = docs.select("source", "doc_id", words.alias("size"))
+    rows = staged(copies_of(sizes), "copies")
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    plan = plan.withColumn("certain", F.floor(copies)).withColumn("inclusion", copies - F.col("certain"))
+    plan = plan.withColumn("certain", F.floor(copies))
     plan = staged(plan.withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size")), "plan")
-    cuts = staged(cut(rows, plan), "cuts")
-    by_source = staged(
-        plan.join(cuts, plan["source"].eqNullSafe(cuts["source"]), "left").select(plan["*"], "below", "last"), "targets"
-    )
-    drop_staged(docs.sparkSession, rows, plan, cuts)
-    names = [c for c in docs.columns]
-    d, p = sized.withColumn("draw", random_step(seed, "doc_id", "source", "mix.size")).alias("d"), by_source.alias("p")
-    joined = d.join(p, F.col("d.source").eqNullSafe(F.col("p.source")))
-    sampled = F.coalesce(
-        (F.col("draw") < F.col("below")) | (F.struct(F.col("draw"), F.col("d.doc_id"), F.col("mix.size")) <= F.col("last")),
-        F.col("draw") < F.col("below"),
-        F.lit(False),
+    reach = joined(rows, plan.select("source", "rest")).groupBy("source").agg(F.sum(F.least(F.col("size").cast("double"), "rest")).alias("reach"))
+    plan = staged(joined(plan, reach), "targets")
+
+    def ratio(copy: Column) -> Column:
+        parts = [F.coalesce(c.cast("string"), F.lit("null")) for c in (F.col("doc_id"), F.col("source"), F.col("size"), copy)]
+        draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)), 1, 12), 16, 10).cast("long")
+        return odds_ratio(draw, included(F.col("size"), F.col("rest"), F.col("reach")))
+
+    ranked = joined(rows, plan.select("source", "rest", "reach").filter("rest > 0 and reach > 0"))
+    ranked = staged(ranked.select("source", "doc_id", "size", "rows", "copy", rank_number(ratio(F.col("copy"))).alias("draw")), "draws")
+    by_source = cuts_of(ranked, plan)
+    flagged = joined(ranked.filter("rows > 1").selectExpr("*", PLACE), by_source)
+    many = flagged.groupBy("source", "doc_id", "size").agg(
+        F.max("rows").alias("rows"), F.sum(sampled_in(PASSES).cast("long")).alias("picked")
     )
+    many = staged(many, "alike")
+
+    # the user's row stays whole in one column, so none of its names clashes
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", words.alias("size"))
+    met = joined(row, by_source)
+    keys = [met[c].eqNullSafe(many[c]) for c in ("source", "doc_id", "size")]
+    met = met.join(many, keys[0] & keys[1] & keys[2], "left").select(met["*"], many["rows"], many["picked"])
+    own = F.when((F.col("rest") > 0) & (F.col("reach") > 0), ratio(F.lit(0)))
+    met = met.withColumn("ratio", F.when(F.col("rows").isNull(), own))
+    met = met.withColumn("place", F.struct(rank_number(F.col("ratio")).alias("draw"), "doc_id", "size", F.lit(0).cast("long").alias("copy")))
+    some = (F.col("picked") > 0) & (F.col("picked") < F.col("rows"))
+    alone = F.col("rows").isNull() & F.col("ratio").isNotNull() & sampled_in(PASSES)
+    chosen = met.filter(~F.coalesce(some, F.lit(False))).withColumn("taken", alone | F.coalesce(F.col("picked") == F.col("rows"), F.lit(False)))
+    if not many.filter(some).isEmpty():
+        shares = F.ceil(F.col("rows") / NUMBERED)
+        part = met.filter(some).withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), shares))
+        group = Window.partitionBy("source", "doc_id", "size", "part")
+        numbered = part.withColumns({"no": F.row_number().over(group.orderBy("size")), "here": F.count(F.lit(1)).over(group)})
+        numbered = numbered.withColumn("taken", F.col("no") <= F.round(F.col("picked") * F.col("here") / F.col("rows")))
+        chosen = chosen.unionByName(numbered.drop("part", "no", "here"))
+    drop_staged(spark, rows, ranked)
     taken = F.struct(
-        F.col("mix.size").alias("size"),
-        F.col("p.source_size").alias("source_size"),
-        F.col("p.target").alias("target"),
-        (F.col("p.certain") + sampled.cast("long")).alias("copies"),
-        F.when(F.col("p.rest") > 0, odds_ratio(F.col("draw"), F.col("p.inclusion"))).alias("ratio"),
+        "size", "source_size", "target", (F.col("certain") + F.col("taken").cast("long")).alias("copies"), "ratio"
     )
-    return joined.select(*[F.col(f"d.`{c}`") for c in names], taken.alias("mix"))
+    return chosen.select("row", taken.alias("mix")).select("row.*", "mix")

@@ -233,8 +233,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     with d as (select doc_id, source, len({WORDS})::bigint as size from documents),
     drawn as (
-      select *, ('0x' || substr(md5('1:' || coalesce(doc_id::varchar, 'null') || ':' || coalesce(source, 'null') || ':' || size), 1, 12))::bigint as draw
-      from d
+      select *, ('0x' || substr(md5('1:' || coalesce(doc_id::varchar, 'null') || ':' || coalesce(source, 'null') || ':' || size || ':' || copy), 1, 12))::bigint as draw
+      from (select *, row_number() over (partition by doc_id, source, size) - 1 as copy from d)
     ),
     s as (select source, sum(size)::bigint as source_size from d group by source),
     weighed as (
@@ -260,14 +260,38 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         target - case when source_size > 0 then floor(target / source_size) else 0 end * source_size as rest
       from t
     ),
-    ordered as (
-      select doc_id, size, p.source_size, p.target, p.certain, p.rest,
-        sum(size) over (partition by drawn.source order by draw, doc_id, size) - size as before
-      from drawn join p on drawn.source is not distinct from p.source
+    reached as (
+      select p.source, sum(least(size::double, rest)) as reach from drawn join p on drawn.source is not distinct from p.source group by 1
+    ),
+    odds as (
+      select drawn.*, p.source_size, p.target, p.certain, p.rest, (draw + 0.5::double) / 281474976710656::double as u,
+        case when rest > 0 and reach > 0 then rest / reach * case when size > rest then rest / size else 1 end end as i
+      from drawn join p on drawn.source is not distinct from p.source join reached r on drawn.source is not distinct from r.source
+    ),
+    ranked as (
+      select *, case when i < 1 then (u / (1 - u)) / (i / (1 - i)) when i >= 1 then 0 end as ratio from odds
+    ),
+    numbered as (
+      select *, least(floor(ratio / (1 + ratio) * 281474976710656::double)::bigint, 281474976710655) as place from ranked
+    ),
+    first as (
+      select *, coalesce(size <= 2 * rest and sum(case when size <= 2 * rest then size end) over o - size / 2.0 <= rest, false) as in1
+      from numbered window o as (partition by source order by place, doc_id, size, copy)
+    ),
+    left1 as (select *, rest - sum(case when in1 then size else 0 end) over (partition by source) as rest2 from first),
+    second as (
+      select *, coalesce(not in1 and rest2 > 0 and size <= 2 * rest2 and i is not null
+        and sum(case when not in1 and size <= 2 * rest2 then size end) over o - size / 2.0 <= rest2, false) as in2
+      from left1 window o as (partition by source order by place, doc_id, size, copy)
+    ),
+    left2 as (select *, rest2 - sum(case when in2 then size else 0 end) over (partition by source) as rest3 from second),
+    third as (
+      select *, coalesce(not in1 and not in2 and rest3 > 0 and size <= 2 * rest3 and i is not null
+        and sum(case when not in1 and not in2 and size <= 2 * rest3 then size end) over o - size / 2.0 <= rest3, false) as in3
+      from left2 window o as (partition by source order by place, doc_id, size, copy)
     )
-    select doc_id, size, source_size, target,
-      (size * (certain + case when rest > 0 and before + size / 2.0 <= rest then 1 else 0 end))::bigint as taken
-    from ordered
+    select doc_id, size, source_size, target, (size * (certain + case when in1 or in2 or in3 then 1 else 0 end))::bigint as taken
+    from third
     """,
 )
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

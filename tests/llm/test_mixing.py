@@ -39,12 +39,14 @@ def check(df, rows, **settings):
         assert r.mix.target == pytest.approx(want[r.source])
     for s, t in want.items():
         assert abs(taken[s] - t) <= largest[s] / 2 + 1e-6
-    for s in sizes:  # what is sampled has the smallest ratios
+    for s in sizes:  # of documents of one size, those with the smallest ratios are sampled
         least = min(r.mix.copies for r in got if r.source == s)
-        more = [r.mix.ratio for r in got if r.source == s and r.mix.copies > least]
-        rest = [r.mix.ratio for r in got if r.source == s and r.mix.copies == least]
-        if more and rest:
-            assert max(more) <= min(rest)
+        for n in {r.mix.size for r in got if r.source == s}:
+            same = [r for r in got if r.source == s and r.mix.size == n and r.mix.ratio is not None]
+            more = [r.mix.ratio for r in same if r.mix.copies > least]
+            rest = [r.mix.ratio for r in same if r.mix.copies == least]
+            if n and more and rest:
+                assert max(more) <= min(rest)
     return got
 
 
@@ -88,3 +90,34 @@ def test_empty_table(spark):
 def test_name_clash(spark, documents):
     with pytest.raises(ValueError):
         mixing.mix(documents.withColumn("mix", F.lit(1)))
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_repeated_rows_are_drawn_one_by_one(spark, key):
+    """1000 rows alike: as many are taken as meet the target."""
+    df = spark.createDataFrame([(key, "one two three four", "a")] * 1000 + [(8, "x y", "b")], "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    for source in "ab":
+        mine = [r.mix for r in got if r.source == source]
+        assert abs(sum(m.size * m.copies for m in mine) - mine[0].target) <= mine[0].size / 2
+    assert len(got) == 1001
+
+
+def test_long_documents_do_not_end_the_sample(spark):
+    """One document is longer than the rest by far; the short ones meet the target."""
+    rows = [(0, "w " * 50_000, "a")] + [(i, "w " * 100, "a") for i in range(1, 501)] + [(900 + i, "w " * 50, "b") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in range(3):
+        got = [r.mix for r in mixing.mix(df, weights=(1, 1), share=0.3, seed=seed).collect()]
+        target = got[0].target
+        mine = [m for m in got if m.target == target]
+        assert abs(sum(m.size * m.copies for m in mine) - target) <= 25_000 + 50
+        if not any(m.size == 50_000 and m.copies for m in mine):
+            assert abs(sum(m.size * m.copies for m in mine) - target) <= 50
+
+
+def test_extra_columns(spark):
+    names = ["row", "draw", "below1", "last", "rest", "place", "taken", "copy", "rows", "size", "target", "_source"]
+    df = spark.createDataFrame([(i, "a b c", "s", *names) for i in range(4)], "doc_id long, text string, source string" + "".join(f", `{c}` string" for c in names))
+    got = mixing.mix(df).collect()
+    assert [r[3:-1] for r in got] == [tuple(names)] * 4 and {r.mix.size for r in got} == {3}
