@@ -32,8 +32,9 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Letters that a leading apostrophe takes with it; fixed by the pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-#: Merged pre-tokens that a Python worker remembers between slices.
-REMEMBERED = 1 << 19
+#: Bytes of merged pre-tokens, and of a single one, that a Python worker remembers between slices;
+#: EACH is what an entry takes besides its bytes.
+REMEMBERED, REMEMBERED_PIECE, EACH = 96 << 20, 1 << 10, 200
 
 
 def character_classes() -> np.ndarray:
@@ -146,6 +147,18 @@ class Vocabulary:
         self.byte_pairs = [ranks.get(bytes([a, b]), self.no_rank) for a in range(256) for b in range(256)]
         #: pre-tokens merged before, with their ids
         self.merged: dict[bytes, bytes] = {}
+        self.remembered = 0
+
+    def remember(self, piece: bytes, ids: bytes) -> None:
+        """Keep what was merged; all is dropped when it takes REMEMBERED bytes, and long ones are not kept."""
+        if len(piece) > REMEMBERED_PIECE:
+            return
+        taken = len(piece) + len(ids) + EACH
+        if self.remembered + taken > REMEMBERED:
+            self.merged.clear()
+            self.remembered = 0
+        self.merged[piece] = ids
+        self.remembered += taken
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -234,9 +247,7 @@ def encode_texts(
             if got is None:
                 whole = vocabulary.ranks.get(piece)
                 got = merge(piece, vocabulary) if whole is None else whole.to_bytes(4, "little")
-                if len(cache) >= REMEMBERED:
-                    cache.clear()
-                cache[piece] = got
+                vocabulary.remember(piece, got)
             merged.append(got)
         sizes = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
         pool = np.frombuffer(b"".join(merged), "<u4").astype(np.int64)

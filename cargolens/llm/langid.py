@@ -28,6 +28,9 @@ LETTER = regex.compile(r"\p{L}")
 #: Windows that are convolved at a time.
 BATCH = 256
 
+#: Labels that are learnt at most.
+LANGUAGES = 512
+
 
 @dataclass
 class Network:
@@ -138,15 +141,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def labelled_windows(docs: DataFrame, per_language: int, windows: int, window: int) -> DataFrame:
+def labelled_windows(docs: DataFrame, per_language: int, windows: int, window: int, languages: int = LANGUAGES) -> DataFrame:
     """``lang, bytes``: some windows from all over the texts of a bounded, fixed sample of documents.
 
     A document is in the sample of its language if its hash is the smallest of
-    those with the same remainder, so at most ``per_language`` of each are.
+    those with the same remainder, so at most ``per_language`` of each are. Of
+    more than ``languages`` labels the most frequent are learnt, ties by name.
     """
     h = F.xxhash64("doc_id")
     allowed = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    common = allowed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    allowed = allowed.join(F.broadcast(common), "lang")
     ids = allowed.groupBy("lang", F.pmod(h, F.lit(per_language)).alias("slot")).agg(F.min(F.struct(h, "doc_id")).alias("x"))
+    # at most per_language * languages rows
     ids = F.broadcast(ids.select("lang", F.col("x.doc_id").alias("doc_id")))
     chosen = allowed.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"]).filter(F.col("text").rlike(r"\p{L}"))
     last = F.greatest(F.length("text") - window, F.lit(0)) + 1

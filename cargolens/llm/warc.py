@@ -171,7 +171,7 @@ class Members:
             yield header_of(self.raw[:gap]), self
             if self.length is None:
                 while self._more():
-                    pass
+                    self.raw = b""  # nobody wants it
                 self.length = self.fed - len(self.inflate.unused_data)
             self.at += self.length
 

@@ -88,3 +88,18 @@ def test_hash_clash_is_looked_at(monkeypatch, vocabulary, library):
     monkeypatch.setattr(bpe, "rolling", lambda d, s, e: np.where(e - s > 7, np.uint64(1), real(d, s, e)))
     texts = ["wholly different xylophonically andersonville qqqqqqqqqqqq"]
     assert encoded(texts, vocabulary)[0] == library.encode_ordinary(texts[0])
+
+
+def test_what_is_remembered_is_bounded_by_bytes(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 2000)
+    monkeypatch.setattr(bpe, "REMEMBERED_PIECE", 64)
+    vocabulary.merged.clear()
+    vocabulary.remembered = 0
+    texts = [f"qzx{i}vvkq" * 3 + " " for i in range(50)] + ["zq" * 500, "zqé" * 12]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    first, ids = bpe.encode_texts(offsets, np.frombuffer(b"".join(raw), np.uint8), vocabulary)
+    again = bpe.encode_texts(offsets, np.frombuffer(b"".join(raw), np.uint8), vocabulary)
+    assert (ids == again[1]).all() and (first == again[0]).all()
+    assert sum(len(k) + len(v) + bpe.EACH for k, v in vocabulary.merged.items()) == vocabulary.remembered <= 2000
+    assert max(map(len, vocabulary.merged)) <= 64

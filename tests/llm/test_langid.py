@@ -78,3 +78,11 @@ def test_nothing_to_learn(spark):
     empty = spark.createDataFrame([], schema)
     assert langid.learn(empty) is None
     assert langid.identify(empty, None).collect() == []
+
+
+def test_the_most_frequent_labels_are_learnt(spark):
+    rows = [(i, "words of a text", f"l{i % 7}" if i % 2 else "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.labelled_windows(docs, 10, 1, 8, languages=3)
+    counts = docs.filter(~langid.held_out()).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(3)
+    assert {r.lang for r in got.collect()} == {r.lang for r in counts.collect()}

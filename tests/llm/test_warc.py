@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import base64
 import random
+import tracemalloc
 import uuid
 
 import pytest
@@ -152,3 +153,18 @@ def test_broken_archives(tmp_path):
 def test_unknown_option():
     with pytest.raises(ValueError):
         warc.WarcReader({"path": "x", "payload": "some"})
+
+
+def test_skipping_keeps_nothing_of_a_long_record(tmp_path):
+    """A record of another writer that nobody wants is inflated through without being held."""
+    row = {"record_type": "resource", "record_id": "urn:long"}
+    long = gzip.compress(warc.record(row, random.Random(3).randbytes(24_000_000), 0), 1)
+    short = gzip.compress(warc.record(row | {"record_id": "urn:short"}, b"x", 0))
+    (tmp_path / "x.warc.gz").write_bytes(long + short)
+    reader = warc.WarcReader({"path": str(tmp_path), "payload": "skip"})
+    reader.wanted = [("record_id", "in", {"urn:short"})]
+    tracemalloc.start()
+    assert [r[1] for p in reader.partitions() for r in reader.read(p)] == ["urn:short"]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4_000_000
