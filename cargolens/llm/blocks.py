@@ -51,13 +51,13 @@ def gathered(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
-def block_rows(key: np.ndarray, ids: np.ndarray, more: np.ndarray, body: np.ndarray) -> pa.RecordBatch:
+def block_rows(key: np.ndarray, ids: np.ndarray, more: np.ndarray, body: np.ndarray, most: int) -> pa.RecordBatch:
     """Blocks of the given rows."""
     order = np.argsort(key, kind="stable")
     key = key[order]
     cuts = np.flatnonzero(np.diff(key, prepend=-1))
     ends = np.append(cuts[1:], len(key))
-    spans = [(at, min(at + MOST_ROWS, b)) for a, b in zip(cuts, ends, strict=True) for at in range(a, b, MOST_ROWS)]
+    spans = [(at, min(at + most, b)) for a, b in zip(cuts, ends, strict=True) for at in range(a, b, most)]
     parts = [order[a:b] for a, b in spans]
     columns = [
         pa.array([int(key[a]) for a, _ in spans], pa.int32()),
@@ -67,8 +67,8 @@ def block_rows(key: np.ndarray, ids: np.ndarray, more: np.ndarray, body: np.ndar
     return pa.RecordBatch.from_arrays(columns, ["key", "n", "ids", "more", "body"])
 
 
-def packed(rows: DataFrame, more: list[str], width: int, kind, keys_of: Callable) -> DataFrame:
-    """Blocks of ``rows`` (``id, vec`` and the longs ``more``).
+def packed(rows: DataFrame, more: list[str], width: int, kind, keys_of: Callable, most: int = MOST_ROWS) -> DataFrame:
+    """Blocks of ``rows`` (``id, vec`` and the longs ``more``) of at most ``most`` rows.
 
     ``keys_of(body, more)`` gives ``(row, key)``: which rows go to which keys.
     """
@@ -85,15 +85,15 @@ def packed(rows: DataFrame, more: list[str], width: int, kind, keys_of: Callable
             for lo in range(0, len(order), step):
                 part = order[lo : lo + step]
                 r = row[part]
-                yield block_rows(key[part], ids[r], extra[r], body[r])
+                yield block_rows(key[part], ids[r], extra[r], body[r], most)
 
     return rows.select("id", "vec", *more).mapInArrow(run, BLOCK)
 
 
-def evened(blocks: DataFrame) -> DataFrame:
-    """``key, salt`` and about MOST_ROWS rows per block; ``blocks`` is staged, so that its rows can be numbered."""
+def evened(blocks: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """``key, salt`` and about ``most`` rows per block; ``blocks`` is staged, so that its rows can be numbered."""
     sizes = blocks.groupBy("key").agg(F.sum("n").alias("rows"))
-    salts = F.ceil(F.col("rows") / MOST_ROWS)
+    salts = F.ceil(F.col("rows") / most)
     dealt = blocks.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("ids", "more"), salts).cast("int"))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:

@@ -1,32 +1,33 @@
 """Exact top-k search by inner product as a Voronoi kNN join.
 
-Data and queries are grouped by the nearest of some pivots. A group's summary
-is its size and radius. For a query q, every member of the group around p has
-an inner product within ``q.p - |q| radius`` and ``q.p + |q| radius``; the
-lower bounds of the groups that hold k members of other ids give the query a
-threshold, and only groups whose upper bound reaches it are needed. A block of a group's
-vectors meets a block of queries only where one of those needs it, and is then
-solved by one matrix product; the partial results are merged per query.
-
-Groups are cut into blocks by a hash of the id, so a crowded group is many
-blocks of bounded size.
+Data are grouped by the nearest of some pivots. A group's summary is its size,
+its radius and its longest vector. A query solves the groups whose pivots have
+the highest products with it first, enough to hold k others. No member of a
+group around p has an inner product above ``q.p + |q| radius``, or above
+``|q| longest``; of the other groups only those are needed whose bound reaches
+the k-th score found so far, or what the lower bounds ``q.p - |q| radius`` of
+the groups promise. A query is sent to the groups it needs and to no others;
+there a block of data and a block of queries are solved by one matrix product.
+
+A crowded group is many blocks of bounded size, dealt by the number of the row,
+so repeated vectors spread, too.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.llm.substring_dedup import NO_ID
+from cargolens.llm.blocks import Best, arrays, evened, met, packed
 from cargolens.session import drop_staged, staged
 
-#: Pivots, and vectors and queries of a block.
-PIVOTS, DATA_BLOCK, QUERY_BLOCK = 64, 2048, 512
+#: Fewest and most pivots, and vectors and queries of a block.
+PIVOTS, MOST_PIVOTS, DATA_BLOCK, QUERY_BLOCK = 64, 256, 2048, 512
 
 #: Shares that the queries of one id are dealt to when they meet its row counts.
 SHARES = 16
@@ -34,15 +35,10 @@ SHARES = 16
 #: Sums below this are exact in double precision.
 EXACT = float(1 << 53)
 
+#: What scores are cut to.
+ENDS = -(2.0**63), 2.0**63
 
-def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Vectors as rows; components that a shorter one lacks are zero."""
-    edges = column.offsets.to_numpy()
-    values = column.values.to_numpy(zero_copy_only=False)[edges[0] : edges[-1]]
-    lengths = np.diff(edges)
-    out = np.zeros((len(lengths), width), np.int64)
-    out[np.arange(width) < lengths[:, None]] = values
-    return out
+SUMMARY = pa.schema([("key", pa.int32()), ("n", pa.int64()), ("radius", pa.float64()), ("longest", pa.float64())])
 
 
 def nearest(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,93 +50,92 @@ def nearest(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.nda
     return group, apart * (1 + 1e-9) + 1e-6
 
 
-def grouped(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """The columns of ``vectors`` (``id, vec``), ``cell`` and ``apart``."""
-    names = [*vectors.columns, "cell", "apart"]
+def with_own(queries: DataFrame, data: DataFrame) -> DataFrame:
+    """``queries`` with ``own``: how many rows of data have the query's id.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                group, apart = nearest(matrix(batch.column("vec"), pivots.shape[1]), pivots)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(group.astype(np.int32)), pa.array(apart)], names)
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
-    return vectors.mapInArrow(run, f"{kinds}, cell int, apart double")
-
-
-def with_own(queries: DataFrame, cells: DataFrame) -> DataFrame:
-    """``queries`` with ``own``: per cell the rows of data that have the query's id.
-
-    Null where there is one such row or none. An id has one entry per cell at
-    most; its queries meet it in several shares, however many they are.
+    The queries of one id meet its count in several shares, however many they are.
     """
-    counts = cells.filter("id is not null").groupBy("id", "cell").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.groupBy("id").agg(F.collect_list(F.struct("cell", "n")).alias("own"), F.sum("n").alias("total"))
-    counts = counts.filter("total > 1").select("id", "own", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"))
+    counts = data.filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("own")).filter("own > 1")
+    counts = counts.select("id", "own", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"))
     share = F.pmod(F.xxhash64("vec"), F.lit(SHARES)).cast("int").alias("share")
-    return queries.select("id", "vec", share).join(counts, ["id", "share"], "left").select("id", "vec", "own")
-
-
-def blocks(cells: DataFrame, per_block: int, width: int) -> tuple[DataFrame, list]:
-    """``cell, salt, ids, body, own``: vectors of a cell packed in blocks; and the summaries per cell.
-
-    ``own`` is empty unless ``cells`` has that column; then it holds ``(row, cell, n)`` of all its entries.
-    """
-    summary = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.max("apart").alias("radius")).collect()
-    salts = {r.cell: -(-r.members // per_block) for r in summary}
-    many = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair]) if salts else F.create_map(F.lit(0), F.lit(1))
-    salt = F.pmod(F.xxhash64("id", "vec"), F.element_at(many, F.col("cell"))).cast("int").alias("salt")
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        ids = table.column("id").fill_null(NO_ID).to_numpy()
-        vec = table.column("vec")
-        vec = pa.concat_arrays(vec.chunks)
-        own = table.column("own").to_pylist() if "own" in table.column_names else []
-        own = np.array([(i, e["cell"], e["n"]) for i, entries in enumerate(own) for e in entries or []], np.int64)
-        values = [key[0].as_py(), key[1].as_py(), ids.tobytes(), matrix(vec, width).tobytes(), own.tobytes()]
-        names = ["cell", "salt", "ids", "body", "own"]
-        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
-
-    names = ["id", "vec", *(["own"] if "own" in cells.columns else [])]
-    packed = cells.select("cell", salt, *names).groupBy("cell", "salt")
-    return packed.applyInArrow(run, "cell int, salt int, ids binary, body binary, own binary"), summary
-
-
-def read_block(ids: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
-    i = np.frombuffer(ids, np.int64)
-    return i, np.frombuffer(body, np.int64).reshape(len(i), -1)
-
-
-def read_own(own: bytes, queries: int, cells: int) -> np.ndarray:
-    """Rows of data by query and cell that have the query's id; all zero where there is one or none."""
-    out = np.zeros((queries, cells), np.int64)
-    row, cell, n = np.frombuffer(own, np.int64).reshape(-1, 3).T
-    out[row, cell] = n
-    return out
+    met = queries.select("*", share).join(counts, ["id", "share"], "left")
+    return met.select(*queries.columns, F.coalesce("own", F.lit(1)).alias("own"))
 
 
 def needed_cells(
-    queries: np.ndarray, pivots: np.ndarray, members: np.ndarray, radius: np.ndarray, k: int, own: np.ndarray | None = None
-) -> np.ndarray:
+    queries: np.ndarray, pivots: np.ndarray, members: np.ndarray, radius: np.ndarray, k: int,
+    own: np.ndarray | None = None, longest: np.ndarray | None = None, least: np.ndarray | None = None,
+) -> np.ndarray:
     """True where a cell can hold one of a query's k best others.
 
-    ``own`` is how many members of each cell have the query's id. A query
-    without a count there may be among the members once.
+    ``own`` is how many members have the query's id (1 unless given, as a query
+    may be a member), ``longest`` the length of each cell's longest vector and
+    ``least`` a score that k others are known to reach.
     """
     q = queries.astype(float)
+    size = np.sqrt((q * q).sum(1))[:, None]
     centre = q @ pivots.T
-    reach = np.sqrt((q * q).sum(1))[:, None] * radius * (1 + 1e-9) + 1e-3
+    # what rounding may have taken from the products
+    slack = 1e-12 * size * (np.sqrt((pivots * pivots).sum(1)) + radius) + 1e-3
+    reach = size * radius * (1 + 1e-9) + slack
     low, high = centre - reach, centre + reach
+    if longest is not None:
+        high = np.minimum(high, size * longest * (1 + 1e-9) + slack)
     order = np.argsort(-low, axis=1)
-    others = members - (np.zeros((len(q), 1), np.int64) if own is None else own)
-    once = (others == members).all(1)
-    enough = np.cumsum(np.take_along_axis(others, order, 1), axis=1) >= (k + once)[:, None]
+    others = np.ones(len(q), np.int64) if own is None else np.maximum(own, 1)
+    enough = np.cumsum(members[order], axis=1) >= (k + others)[:, None]
     first = np.where(enough.any(1), enough.argmax(1), len(members) - 1)
     rows = np.arange(len(q))
     threshold = np.where(enough.any(1), low[rows, order[rows, first]], -np.inf)
-    return (high >= threshold[:, None]) & (members > 0)
+    if least is not None:
+        floor = least.astype(float)
+        # scores are cut at the ends of a long, so the lowest one says nothing
+        threshold = np.maximum(threshold, np.where(floor <= ENDS[0], -np.inf, floor - np.abs(floor) * 1e-15))
+    return (high >= np.minimum(threshold, ENDS[1])[:, None]) & (members > 0)
+
+
+@dataclass
+class Cells:
+    """The pivots and the summaries of their cells."""
+
+    pivots: np.ndarray
+    members: np.ndarray
+    radius: np.ndarray
+    longest: np.ndarray
+    k: int
+
+    def first(self, q: np.ndarray) -> np.ndarray:
+        """True for the cells of the highest products that hold k others, were the query a member itself."""
+        centre = np.where(self.members > 0, q.astype(float) @ self.pivots.T, -np.inf)
+        order = np.argsort(-centre, axis=1, kind="stable")
+        held = np.cumsum(self.members[order], axis=1)
+        before = np.concatenate([np.zeros((len(q), 1), np.int64), held[:, :-1]], axis=1)
+        out = np.zeros(centre.shape, bool)
+        np.put_along_axis(out, order, before <= self.k, axis=1)
+        return out & (self.members > 0)
+
+    def later(self, q: np.ndarray, own: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """True for the other cells that can hold a score of ``least`` or more."""
+        needed = needed_cells(q, self.pivots, self.members, self.radius, self.k, own, self.longest, least)
+        return needed & ~self.first(q)
+
+
+def summaries(parts: DataFrame, pivots: np.ndarray, width: int, k: int) -> Cells:
+    """Size, radius and longest vector of every cell, from the blocks of data."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                x = arrays(batch, row, width, np.int64)[2].astype(float)
+                key = batch.column("key")[row].as_py()
+                far = [float(np.sqrt((y * y).sum(1)).max()) * (1 + 1e-9) + 1e-6 for y in (x - pivots[key], x)]
+                yield pa.RecordBatch.from_pylist([{"key": key, "n": len(x), "radius": far[0], "longest": far[1]}], SUMMARY)
+
+    found = parts.mapInArrow(run, "key int, n long, radius double, longest double").groupBy("key")
+    cells = Cells(pivots, *(np.zeros(len(pivots), t) for t in (np.int64, float, float)), k)
+    for r in found.agg(F.sum("n").alias("n"), F.max("radius").alias("radius"), F.max("longest").alias("longest")).collect():
+        cells.members[r.key], cells.radius[r.key], cells.longest[r.key] = r.n, r.radius, r.longest
+    return cells
 
 
 def products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -170,7 +165,29 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[
     return np.concatenate(out_q), np.concatenate(out_m)
 
 
-def top_k(queries: DataFrame, data: DataFrame, k: int = 10, pivots: int = PIVOTS) -> DataFrame:
+def solved(queries: DataFrame, data: DataFrame, width: int, k: int) -> DataFrame:
+    """``grp, score, id, rid``: the k best that each task finds for a query ``grp``, its own id left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Best(k, pa.int64())
+        for batch in batches:
+            for row in range(batch.num_rows):
+                q_ids, asked, q = arrays(batch, row, width, np.int64, "q_")
+                ids, numbers, x = arrays(batch, row, width, np.int64)
+                scores = products(q, x)
+                i, j = best(scores, ids, q_ids, k)
+                yield from found.add(asked[i, 0], scores[i, j], ids[j], numbers[j, 0])
+        yield from found.rest()
+
+    return met(queries, data).drop("key", "salt", "n").mapInArrow(run, "grp long, score long, id long, rid long")
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("grp").orderBy(F.desc("score"), F.asc_nulls_last("id"), "rid")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def top_k(queries: DataFrame, data: DataFrame, k: int = 10, pivots: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's k highest inner products.
 
     Both tables have ``id`` (long) and ``vec`` (array of longs); others are not
@@ -180,70 +197,46 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 10, pivots: int = PIVOTS
     rows that repeat a query's id and vector ask once, and one id with two
     vectors asks for each. Candidates without an id come last among ties.
     Ties go to smaller ids; equal rows each count. Scores are exact.
+
+    ``pivots`` is by default the root of the number of rows, PIVOTS at least and MOST_PIVOTS at most.
     """
     spark = data.sparkSession
     whole = F.col("vec").isNotNull() & ~F.exists("vec", lambda x: x.isNull())
     names = ["id", "vec"]
-    data = staged(data.select(*names).filter(whole), "vectors")
-    queries = staged(queries.select(*names).filter(whole & F.col("id").isNotNull()).distinct(), "queries")
-    width = max(1, *(t.agg(F.max(F.size("vec"))).first()[0] or 1 for t in (data, queries)))
-    near = data.orderBy(F.xxhash64("id", "vec"), "id").limit(pivots).select("vec").collect()
+    rows = staged(data.select(*names).filter(whole).withColumn("rid", F.monotonically_increasing_id()), "vectors")
+    asked = queries.select(*names).filter(whole & F.col("id").isNotNull()).distinct()
+    asked = staged(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
+    width = max(1, *(t.agg(F.max(F.size("vec"))).first()[0] or 1 for t in (rows, asked)))
+    many = pivots or int(min(max(PIVOTS, rows.count() ** 0.5), MOST_PIVOTS))
+    near = rows.orderBy(F.xxhash64("id", "vec"), "rid").limit(many).select("vec").collect()
     pivot = np.zeros((max(1, len(near)), width))
     for i, r in enumerate(near):
         pivot[i, : len(r.vec)] = r.vec
     pivot = np.unique(pivot, axis=0)
 
-    cells = staged(grouped(data, pivot), "cells")
-    packed, summary = blocks(cells, DATA_BLOCK, width)
-    packed = staged(packed.drop("own"), "blocks")
-    asked = queries.count()
-    few = pivot[: max(1, min(len(pivot), asked // QUERY_BLOCK))]
-    query_cells = staged(grouped(with_own(queries, cells), few), "query_cells")
-    query_blocks, _ = blocks(query_cells, QUERY_BLOCK, width)
-    members, radius = np.zeros(len(pivot), np.int64), np.zeros(len(pivot))
-    for r in summary:
-        members[r.cell], radius[r.cell] = r.members, r.radius
-
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, q = read_block(row["ids"], row["body"])
-                own = read_own(row["own"], len(q), len(pivot))
-                cell = np.flatnonzero(needed_cells(q, pivot, members, radius, k, own).any(0))
-                n = len(cell)
-                kinds = [pa.int32(), pa.binary(), pa.binary()]
-                columns = [cell.astype(np.int32), [row["ids"]] * n, [row["body"]] * n]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["cell", "query_ids", "query_body"]
-                )
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                qi, q = read_block(*(batch.column(c)[row].as_py() for c in ("query_ids", "query_body")))
-                xi, x = read_block(*(batch.column(c)[row].as_py() for c in ("ids", "body")))
-                scores = products(q, x)
-                a, b = best(scores, xi, qi, k)
-                marks = [hash_of(v) for v in q]
-                columns = [qi[a], np.array(marks, np.int64)[a], pa.array(xi[b], mask=xi[b] == NO_ID), scores[a, b]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "mark", "vec_id", "score"])
-
-    wanted = staged(query_blocks.mapInArrow(plan, "cell int, query_ids binary, query_body binary"), "wanted")
-    # files of repeated blocks are small on disk but not in memory, so neither side is broadcast
-    met = wanted.hint("merge").join(packed.select("cell", "salt"), "cell").join(packed.hint("merge"), ["cell", "salt"])
-    partial = met.select("query_ids", "query_body", "ids", "body").mapInArrow(
-        solve, "query_id long, mark long, vec_id long, score long"
-    )
-    partial = staged(partial, "partial")
-    drop_staged(spark, data, queries, cells, packed, query_cells, wanted)
-    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    ranked = partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
-
-
-def hash_of(vector: np.ndarray) -> int:
-    """Tells the vectors of one query id apart."""
-    return int.from_bytes(hashlib.blake2b(vector.tobytes(), digest_size=8).digest(), "little", signed=True)
+    parts = staged(packed(rows, ["rid"], width, np.int64, lambda x, _: (np.arange(len(x)), nearest(x, pivot)[0])), "parts")
+    cells = summaries(parts, pivot, width, k)
+    stored = staged(evened(parts, DATA_BLOCK), "cells")
+    asked_blocks = -(-asked.count() // QUERY_BLOCK) or 1
+    counted = staged(with_own(asked, rows).repartition(asked_blocks), "counted")
+    drop_staged(spark, rows, parts)
+
+    def home(q: np.ndarray, _: np.ndarray):
+        return np.nonzero(cells.first(q))
+
+    def others(q: np.ndarray, more: np.ndarray):
+        return np.nonzero(cells.later(q, more[:, 1], more[:, 2]))
+
+    first = packed(counted, ["query"], width, np.int64, home, QUERY_BLOCK)
+    found = staged(ranked(solved(first, stored, width, k), k), "near")
+    least = found.filter(F.col("rank") == k).select(F.col("grp").alias("query"), F.col("score").alias("least"))
+    known = counted.join(least, "query", "left").fillna(-(2**63), ["least"]).repartition(asked_blocks)
+    second = packed(known, ["query", "own", "least"], width, np.int64, others, QUERY_BLOCK)
+    more = staged(solved(second, stored, width, k), "far")
+    drop_staged(spark, counted, stored)
+    both = ranked(found.drop("rank").unionByName(more), k).withColumnRenamed("grp", "query")
+    both = both.join(asked.select("query", F.col("id").alias("query_id")), "query")
+    return both.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 def scaled(vector, factor: int = 1024):

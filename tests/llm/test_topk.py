@@ -94,3 +94,29 @@ def test_scaled(spark):
     df = spark.sql("select array(0.5d, -0.0001d) a, array(1d, null) b, array(double('nan')) c, array(double('inf')) d, cast(null as array<double>) e")
     row = df.select(*[topk.scaled(F.col(c)).alias(c) for c in df.columns]).first()
     assert tuple(row) == ([512, -1], None, None, None, None)
+
+
+def test_most_pairs_of_clustered_vectors_are_left_out(spark, monkeypatch):
+    """The share of pairs that meet, both phases together; the result is that of all pairs."""
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-1000, 1000, (40, 16))
+    vectors = centres[rng.integers(0, 40, 4000)] + rng.integers(-30, 30, (4000, 16))
+    data = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    pairs = spark.sparkContext.accumulator(0)
+    real = topk.products
+
+    def counting(q, x):
+        pairs.add(len(q) * len(x))
+        return real(q, x)
+
+    monkeypatch.setattr(topk, "products", counting)
+    queries = data[::50]
+    assert got(spark, queries, data, 5) == brute(queries, data, 5)
+    assert 0 < pairs.value < 0.3 * len(queries) * len(data)
+
+
+def test_scores_at_the_ends_of_a_long(spark):
+    big = 2**62
+    data = [(i, [big if i % 2 else -big, big, i]) for i in range(40)]
+    queries = [(0, [big, big, 1]), (7, [-big, -big, 0]), (9, [0, -big, 2])]
+    assert got(spark, queries, data, 6, pivots=5) == brute(queries, data, 6)
