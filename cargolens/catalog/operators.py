@@ -11,6 +11,9 @@ from cargolens.functions import text as fx
 from cargolens.operators import aggregates as agg
 from cargolens.operators import joins, lists, ordered
 from cargolens.operators import predicates as p
+from cargolens.session import scratch_path
+from cargolens.sources.clustered import write_clustered
+from cargolens.sources.search_index import index_files, search
 from cargolens.standins import AS_OF
 
 
@@ -44,6 +47,38 @@ for _no, _search in enumerate(("eti_1", "i%3.x", r"i\_2", r"i\%", r"i\\", "")):
         LIKE_NAMES,
     )(lambda t, s=_search: p.search_contains(t["named"], "file_name", s))
 
+
+def _indexed_names(t, table: str, files: int) -> str:
+    """Path of the table in files that are near in ``file_name``, with its grams beside them."""
+    path = scratch_path(t.spark, "searched")
+    write_clustered(t[table], path, ["file_name"], files)
+    index_files(t.spark, path, "file_name")
+    return path
+
+
+query("flt_contains_indexed", "select id, file_name from inbound_files where file_name like '%' || upper('rr') || '%'")(
+    lambda t: search(t.spark, _indexed_names(t, "inbound_files", 12), "file_name", "rr").select("id", "file_name")
+)
+
+query(
+    "flt_like_indexed",
+    "select id, file_name from named where file_name like '%TI\\_%3.X%' escape '\\'",
+    LIKE_NAMES,
+)(lambda t: search(t.spark, _indexed_names(t, "named", 12), "file_name", r"ti\_%3.x").select("id", "file_name"))
+
+
+@query(
+    "flt_window_clustered",
+    """select id, source from inbound_files
+       where cast(received_at as date) between date '2024-01-10' - interval '30' day and date '2024-01-10' and source >= 'm'""",
+)
+def _(t):
+    path = scratch_path(t.spark, "clustered")
+    write_clustered(t["inbound_files"], path, ["received_at", "source"], 12)
+    near = p.date_window(t.spark.read.parquet(path), "received_at", date(2024, 1, 10))
+    return near.filter(F.col("source") >= "m").select("id", "source")
+
+
 query("flt_contains_exact", "select schedule_id, service from schedules where service like '%LCL%'")(
     lambda t: p.search_contains(t["schedules"], "service", "LCL", upper=False).select("schedule_id", "service")
 )

@@ -10,6 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def like_pattern(query: str, upper: bool = True) -> str:
+    """The LIKE pattern of a search: the query with ``%`` around it."""
+    pattern = f"%{query.upper() if upper else query}%"
+    return re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], pattern, flags=re.DOTALL)
+
+
 def search_contains(df: DataFrame, column: str, query: str | None, upper: bool = True) -> DataFrame:
     """Rows whose column is LIKE the query with ``%`` around it; the column keeps its case.
 
@@ -19,9 +25,7 @@ def search_contains(df: DataFrame, column: str, query: str | None, upper: bool =
     """
     if query is None:
         return df.filter(F.lit(False))
-    pattern = f"%{query.upper() if upper else query}%"
-    plain = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], pattern, flags=re.DOTALL)
-    return df.filter(F.col(column).like(plain))
+    return df.filter(F.col(column).like(like_pattern(query, upper)))
 
 
 def date_window(

@@ -43,11 +43,16 @@ def tune(spark: SparkSession, path: str | None = None) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for staged tables that driver and executors share.
 
-    The session's checkpoint folder, or the warehouse where none is named;
-    never a folder that only one machine sees.
+    The session's checkpoint folder, or the warehouse where none is named. A
+    warehouse on the local disk counts only where all tasks run on one machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

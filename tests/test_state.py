@@ -215,3 +215,21 @@ def test_all_keys_deleted(spark, tmp_path):
     base = spark.createDataFrame([base_row(1)], TRIGGER_DDL)
     state = fill(spark, str(tmp_path), [[(1, "D", 1, "a")]], base, cmd.TRIGGERS)
     assert state.collect() == [] and set(state.columns) == set(cmd.TRIGGERS.fields)
+
+
+def test_scratch_folder_is_shared():
+    """A named folder is taken as it is; a warehouse on the local disk only in local mode."""
+
+    class Session:
+        def __init__(self, master, named=None, warehouse="file:/w", checkpoint=None):
+            self.conf = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": warehouse}
+            self.sparkContext = self
+            self.master, self.getCheckpointDir = master, lambda: checkpoint
+
+    assert scratch_root(Session("local[4]")) == "file:/w/_scratch"
+    assert scratch_root(Session("local-cluster[2,1,1024]")) == "file:/w/_scratch"
+    assert scratch_root(Session("yarn", named="file:/shared/")) == "file:/shared"
+    assert scratch_root(Session("yarn", checkpoint="hdfs:/c")) == "hdfs:/c"
+    assert scratch_root(Session("yarn", warehouse="hdfs:/w")) == "hdfs:/w/_scratch"
+    with pytest.raises(ValueError):
+        scratch_root(Session("yarn"))
