@@ -5,7 +5,7 @@ repeats when that text is cut into blocks of ``(window + 1) // 2`` words from
 its start. So only those non-overlapping blocks are indexed, and every rolling
 run of that many words probes the index:
 
-1. probe: documents are dealt into chunks; each chunk sends one entry per
+1. probe: documents are dealt into chunks of a bounded size; each chunk sends one entry per
    distinct rolling hash to the hash's bucket, flagged if it is a block there
    and if two documents of the chunk have it. A bucket sends back the hashes
    that are a block of one document and occur in another one: the anchors.
@@ -32,10 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.llm.textbytes import Words, rolling, slices, utf8
+from cargolens.session import staged
 
 #: Ids of documents without one sort behind all others.
 NO_ID = np.iinfo(np.int64).max
 
+#: Bytes of text that a chunk holds on average, at most.
+CHUNK_BYTES = 16 << 20
+
 PACKED = "bucket int, chunk int, body binary"
 RESULT = (
     "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, "
@@ -299,6 +303,18 @@ def spans_of(words: Words, gone: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(lo, words.first), pa.int32()), item)
 
 
+def in_one_order(docs: DataFrame) -> DataFrame:
+    """``docs``, staged if its plan has a shuffle, whose rows come in another order each time."""
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    return staged(docs, "ordered") if "Exchange" in plan else docs
+
+
+def chunks_for(docs: DataFrame) -> int:
+    """The session's shuffle partitions, or as many as leave each chunk CHUNK_BYTES of text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // CHUNK_BYTES))
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, chunks: int | None = None, with_text: bool = True) -> DataFrame:
     """Each document without the words that ``window`` words of an earlier document cover.
 
@@ -310,18 +326,23 @@ def remove_repeats(docs: DataFrame, window: int = 50, chunks: int | None = None,
     ``with_text`` is false, ``kept_text`` (kept words joined by one blank) and
     ``spans`` (removed repeats as word ranges).
 
-    ``chunks`` (default: the session's shuffle partitions) is the number of
-    chunks and of buckets; a task holds one of either at a time. Equality of
-    windows is equality of 64-bit hashes.
+    ``chunks`` is the number of chunks and of buckets, a task each. By default
+    it is the session's shuffle partitions, or more where a chunk would then hold
+    over CHUNK_BYTES of text, for which the lengths of the texts are summed
+    first. Rows are dealt by their place in the input, so that a row that is
+    repeated goes to all chunks; for that the rows have to come in one order each
+    time they are read. Those of files do, and an input with a shuffle in it is
+    staged first. Equality of windows is equality of 64-bit hashes.
     """
     if window < 2:
         raise ValueError("window must be 2 or more words")
-    spark = docs.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"))
-    by_chunk = dealt.groupBy("chunk")
-    found = by_chunk.applyInArrow(probes(window, n), PACKED).groupBy("bucket").applyInArrow(anchors, PACKED)
+    docs = in_one_order(docs.select("doc_id", "text"))
+    n = chunks or chunks_for(docs)
+    place = F.xxhash64(F.monotonically_increasing_id())
+    dealt = docs.withColumn("chunk", F.pmod(place, F.lit(n)).cast("int"))
+    by_chunk = dealt.repartition(n, "chunk").groupBy("chunk")
+    found = by_chunk.applyInArrow(probes(window, n), PACKED).repartition(n, "bucket").groupBy("bucket").applyInArrow(anchors, PACKED)
     grown = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(extensions(window, n), PACKED)
-    first = grown.groupBy("bucket").applyInArrow(earliest, PACKED)
+    first = grown.repartition(n, "bucket").groupBy("bucket").applyInArrow(earliest, PACKED)
     schema = RESULT if with_text else RESULT.partition(", kept_text")[0]
     return by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(cutting(window, with_text), schema)

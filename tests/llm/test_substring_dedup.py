@@ -4,7 +4,8 @@ from collections import defaultdict
 
 import pytest
 
-from cargolens.llm.substring_dedup import remove_repeats
+from cargolens.llm import substring_dedup
+from cargolens.llm.substring_dedup import chunks_for, remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string"
@@ -81,3 +82,28 @@ def test_words_that_a_polynomial_cannot_tell_apart(spark):
     df = spark.createDataFrame([(1, f"{common} {first}"), (2, f"{common} {second}"), (3, f"{common} {first}")], "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in remove_repeats(df, window=50).collect()}
     assert got == {1: 0, 2: 0, 3: 50}
+
+
+def test_repeated_rows_and_shuffled_input(spark):
+    """One row makes up most of the table; the rest comes out of a shuffle."""
+    passage = " ".join(f"w{i}" for i in range(9))
+    rows = [(5, f"{passage} tail")] * 40 + [(2, f"head {passage}"), (9, passage), (None, None)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    assert got(remove_repeats(df, 5, 6)) == brute(rows, 5)
+
+
+def test_chunks_follow_the_bytes(spark, documents, monkeypatch):
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert chunks_for(documents.limit(0)) == few
+    size = sum(len((r.text or "").encode()) for r in documents.select("text").collect())
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", size // (3 * few))
+    assert 3 * few <= chunks_for(documents) <= 3 * few + 2
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert got(remove_repeats(documents, 50)) == brute(rows, 50)
+
+
+def test_rows_of_one_text_are_spread(spark):
+    """Repeats of one row do not meet in one chunk, and the texts are shuffled once."""
+    df = spark.createDataFrame([(1, "a b c")] * 64, DOCS)
+    plan = remove_repeats(df, 2, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "monotonically_increasing_id" in plan and "xxhash64(doc_id" not in plan
