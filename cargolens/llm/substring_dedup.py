@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from cargolens.llm.textbytes import Words, rolling, slices, utf8
@@ -315,6 +315,11 @@ def chunks_for(docs: DataFrame) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // CHUNK_BYTES))
 
 
+def one_a_task(rows: DataFrame, key: str, n: int) -> GroupedData:
+    """Groups of ``key``, the numbers below ``n``, each in the partition of its number."""
+    return rows.repartitionById(n, F.col(key)).groupBy(key)
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, chunks: int | None = None, with_text: bool = True) -> DataFrame:
     """Each document without the words that ``window`` words of an earlier document cover.
 
@@ -340,9 +345,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, chunks: int | None = None,
     n = chunks or chunks_for(docs)
     place = F.xxhash64(F.monotonically_increasing_id())
     dealt = docs.withColumn("chunk", F.pmod(place, F.lit(n)).cast("int"))
-    by_chunk = dealt.repartition(n, "chunk").groupBy("chunk")
-    found = by_chunk.applyInArrow(probes(window, n), PACKED).repartition(n, "bucket").groupBy("bucket").applyInArrow(anchors, PACKED)
-    grown = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(extensions(window, n), PACKED)
-    first = grown.repartition(n, "bucket").groupBy("bucket").applyInArrow(earliest, PACKED)
+    by_chunk = one_a_task(dealt, "chunk", n)
+    found = one_a_task(by_chunk.applyInArrow(probes(window, n), PACKED), "bucket", n).applyInArrow(anchors, PACKED)
+    grown = by_chunk.cogroup(one_a_task(found, "chunk", n)).applyInArrow(extensions(window, n), PACKED)
+    first = one_a_task(grown, "bucket", n).applyInArrow(earliest, PACKED)
     schema = RESULT if with_text else RESULT.partition(", kept_text")[0]
-    return by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(cutting(window, with_text), schema)
+    return by_chunk.cogroup(one_a_task(first, "chunk", n)).applyInArrow(cutting(window, with_text), schema)

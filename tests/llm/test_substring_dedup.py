@@ -103,7 +103,8 @@ def test_chunks_follow_the_bytes(spark, documents, monkeypatch):
 
 
 def test_rows_of_one_text_are_spread(spark):
-    """Repeats of one row do not meet in one chunk, and the texts are shuffled once."""
+    """Repeats of one row do not meet in one chunk, and each chunk is a task that keeps its texts."""
     df = spark.createDataFrame([(1, "a b c")] * 64, DOCS)
     plan = remove_repeats(df, 2, 8)._jdf.queryExecution().executedPlan().toString()
     assert "monotonically_increasing_id" in plan and "xxhash64(doc_id" not in plan
+    assert "hashpartitioning" not in plan and plan.count("Exchange shufflepartitionidpassthrough") == 7
