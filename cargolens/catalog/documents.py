@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from cargolens.catalog.registry import query
 from cargolens.plans import documents as docs
 from cargolens.plans import manifest as man
+from cargolens.session import scratch_path
+from cargolens.sources.bucketed import store
 
 NOW = datetime(2001, 8, 1, 7, 5, 9)
 
@@ -486,6 +488,17 @@ query("doc_manifest_voy", _manifest_sql("select master_id, master_uid, line from
 query("doc_manifest_bol", _manifest_sql("select master_id, shipment_id, line from bol"), MANIFEST)(
     lambda t: man.bol_lines(t, man.shipment_details(t))
 )
+
+
+@query("doc_manifest_bol_bucketed", _manifest_sql("select master_id, shipment_id, line from bol"), MANIFEST)
+def _(t):
+    """The same from child tables kept in buckets of their shipment."""
+    folder = scratch_path(t.spark, "shipments")
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = store(t, man.CHILDREN, f"{folder.rpartition('/')[2].replace('-', '_')}_", buckets, folder)
+    return man.bol_lines(kept, man.shipment_details(kept))
+
+
 query("doc_manifest_con_ctr", _manifest_sql("select master_id, shipment_id, sr_no, line from con"), MANIFEST)(
     lambda t: man.container_lines(t, man.container_details(t))
 )

@@ -1,4 +1,4 @@
-"""Search index and clustered files: equal rows, and fewer files and row groups."""
+"""Search index, clustered files and buckets: equal rows, and fewer files, row groups and shuffles."""
 
 import glob
 import random
@@ -8,9 +8,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from cargolens.catalog.documents import MANIFEST
 from cargolens.operators.predicates import like_pattern, search_contains
+from cargolens.plans import manifest as man
 from cargolens.sources import search_index as si
+from cargolens.sources.bucketed import store, stored, write_bucketed
 from cargolens.sources.clustered import bounds, write_clustered
+from cargolens.standins import StandIns
 
 QUERIES = ["rr", "eti_1", "m%3.x", r"a\_b", r"50\%", "", "%", "_", "é漢字x", "😀😀b", "zzz", "mnr1", "abc%xyz", "\\", r"q\z9", "name 1"]
 
@@ -141,3 +145,48 @@ def test_clustered_odd_rows(spark, tmp_path):
     assert bounds(df.limit(0), ["n0"]) == {"n0": []}
     with pytest.raises(ValueError):
         write_clustered(df, path, [])
+
+
+# ---- buckets -------------------------------------------------------------
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def shuffles(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_children_of_a_shipment_are_not_shuffled(spark, tmp_path, no_broadcast):
+    t = StandIns(spark, "/root/testdata/sf0.001", MANIFEST)
+    kept = store(t, man.CHILDREN, "kept_", 4, str(tmp_path))
+    plain, bucketed = (man.shipment_details(x) for x in (t, kept))
+    before, after = shuffles(plain), shuffles(bucketed)
+    # what is left: the pairs of master and shipment, and two lookups of addresses and names
+    assert sum("(shipment_id#" in x for x in after) <= 4 < 10 <= sum("(shipment_id#" in x for x in before)
+    again = man.shipment_details(stored(spark, t, man.CHILDREN, "kept_"))
+    want = sorted(map(str, plain.collect()))
+    assert want and sorted(map(str, bucketed.collect())) == want == sorted(map(str, again.collect()))
+    for name in man.CHILDREN:
+        assert kept[name].count() == t[name].count()
+        assert len(glob.glob(f"{tmp_path}/{name}/*.parquet")) <= 4
+        spark.sql(f"drop table kept_{name}")
+
+
+def test_odd_keys_in_buckets(spark, tmp_path):
+    rows = [(None, "a"), (None, "b"), (5, "c"), (5, None), (-7, "d")] + [(1, "hot")] * 50
+    df = spark.createDataFrame(rows, "k long, v string")
+    got = write_bucketed(df, "odd_keys", "k", 4, f"{tmp_path}/odd")
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(Exception, match="already exists"):
+        write_bucketed(df, "odd_keys", "k", 4, f"{tmp_path}/other")
+    with pytest.raises(ValueError):
+        write_bucketed(df, "no_buckets", "k", 0, f"{tmp_path}/none")
+    nothing = write_bucketed(df.limit(0), "no_rows", "k", 2, f"{tmp_path}/no_rows")
+    assert nothing.join(got, "k").count() == 0 and got.join(got, "k").count() == 2505
+    for name in ("odd_keys", "no_rows"):
+        spark.sql(f"drop table {name}")
