@@ -163,9 +163,15 @@ def _trigger_rows(state):
 
 query("state_upsert_arrays", _TRIGGER_STATE, FEEDS)(lambda t: _trigger_rows(_trigger_state(t)))
 
-# what a store keeps of deletes: the last one of each key, and whether the key has come back since
 query(
     "state_delete",
+    f"""select * from ({_TRIGGER_STATE})""",
+    FEEDS,
+)(lambda t: _trigger_rows(_trigger_state(t)))
+
+# what a store keeps of deletes: the last one of each key, and whether the key has come back since
+query(
+    "state_kept_deletes",
     f"""select k as web_user_master_id, max(seq) filter (op = 'D') as deleted_seq, arg_max(op, seq) = 'D' as gone
         from ({_CHANGES}) group by k having max(seq) filter (op = 'D') is not null""",
     FEEDS,

@@ -233,3 +233,18 @@ def test_scratch_folder_is_shared():
     assert scratch_root(Session("yarn", warehouse="hdfs:/w")) == "hdfs:/w/_scratch"
     with pytest.raises(ValueError):
         scratch_root(Session("yarn"))
+
+
+def test_state_delete_returns_the_whole_state(spark, tmp_path):
+    from cargolens.catalog import QUERIES
+
+    spark.createDataFrame([(3,), (6,), (9,), (10,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    events = [(1, 3, "error"), (2, 6, "error"), (4, 6, "signup"), (5, 11, "purchase"), (7, 12, "signup"), (8, 12, "error")]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    rows = QUERIES["state_delete"](spark, str(tmp_path)).collect()
+    got = {r.web_user_master_id: (r.created_user, r.updated_user, r.mail_id) for r in rows}
+    assert got == {
+        6: ("u4", "w4", "m4@x.org|n@x.org"),
+        9: ("creator", "updater", "base@x.org"),
+        11: ("u5", "w5", "m5@x.org|n@x.org"),
+    }
