@@ -215,3 +215,28 @@ def test_tags_in_comments_and_cdata_open_nothing(spark):
     assert sorted(r.id for r in good.collect()) == [1, 2, 3]
     assert [r.id for r in bad.collect()] == [4]
     assert xs.shred_table(good, "house_bills", NOW).count() == 6
+
+
+def _tables(spark, path):
+    spark.sql("""select id as o_orderkey, id * 3 as o_custkey, 'F' as o_orderstatus, 10.5d as o_totalprice,
+        timestamp_ntz'2001-01-01 00:00:00' as o_orderdate from range(1, 41)""").write.parquet(f"{path}/orders.parquet")
+    spark.sql("""select id % 40 + 1 as l_orderkey, id % 9 as l_partkey, id % 7 as l_suppkey, cast(id div 40 + 1 as int) as l_linenumber,
+        12.25d as l_extendedprice, if(id % 3 = 0, 'A', 'N') as l_returnflag from range(120)""").write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_messages_are_neither_written_nor_shuffled(spark, tmp_path):
+    from cargolens.catalog import tables as cat
+    from cargolens.session import names_under, scratch_root
+    from cargolens.standins import StandIns
+
+    folder = f"{scratch_root(spark)}/cargolens"
+    before = set(names_under(spark, folder))
+    messages = cat.manifest_messages(StandIns(spark, _tables(spark, tmp_path)))
+    assert set(names_under(spark, folder)) == before
+    # texts are made above the last exchange
+    plan = messages._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("<Manifest>") == 1 and "<HBLNumber>" in plan.split("Join")[0]
+    good, bad = xs.split_malformed(xs.parse_messages(messages))
+    assert (good.count(), bad.count()) == (40, 0)
+    assert xs.shred_table(good, "containers", NOW).count() == 120
