@@ -240,3 +240,24 @@ def test_messages_are_neither_written_nor_shuffled(spark, tmp_path):
     good, bad = xs.split_malformed(xs.parse_messages(messages))
     assert (good.count(), bad.count()) == (40, 0)
     assert xs.shred_table(good, "containers", NOW).count() == 120
+
+
+@pytest.mark.parametrize("name", ["xml_quarantine"])
+def test_both_sides_come_of_one_parse(spark, tmp_path, name):
+    from cargolens.catalog import QUERIES
+
+    df = QUERIES[name](spark, _tables(spark, tmp_path))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 0
+    assert df.count() == 40
+
+
+def test_staged_messages_keep_the_text_of_malformed_ones_only(spark, monkeypatch):
+    from cargolens.streaming import shred as stream
+
+    seen = []
+    monkeypatch.setattr(stream, "staged", lambda df, label: seen.append(df) or df)
+    text = "<Manifest><Header><MessageID>M1</MessageID></Header></Manifest>"
+    batch = spark.createDataFrame([(1, text), (2, text[:-4]), (3, None)], "id long, xml_data string")
+    tables = stream.shredded(batch, NOW)
+    assert {r.id: r.xml_data for r in seen[0].collect()} == {1: None, 2: text[:-4], 3: None}
+    assert [(r.id, r.xml_data) for r in tables["quarantine"].collect()] == [(2, text[:-4])]
