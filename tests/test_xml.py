@@ -242,7 +242,7 @@ def test_messages_are_neither_written_nor_shuffled(spark, tmp_path):
     assert xs.shred_table(good, "containers", NOW).count() == 120
 
 
-@pytest.mark.parametrize("name", ["xml_quarantine"])
+@pytest.mark.parametrize("name", ["xml_quarantine", "xml_nested_aligned"])
 def test_both_sides_come_of_one_parse(spark, tmp_path, name):
     from cargolens.catalog import QUERIES
 
