@@ -486,7 +486,7 @@ def _whole(carried: bool) -> str:
 
 query("doc_manifest_voy", _manifest_sql("select master_id, master_uid, line from voy"), MANIFEST)(lambda t: man.voy_lines(t))
 query("doc_manifest_bol", _manifest_sql("select master_id, shipment_id, line from bol"), MANIFEST)(
-    lambda t: man.bol_lines(t, man.shipment_details(t))
+    lambda t: man.bol_lines(t, man.shipment_details(t, dangerous=False))
 )
 
 
@@ -496,7 +496,7 @@ def _(t):
     folder = scratch_path(t.spark, "shipments")
     buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     kept = store(t, man.CHILDREN, f"{folder.rpartition('/')[2].replace('-', '_')}_", buckets, folder)
-    return man.bol_lines(kept, man.shipment_details(kept))
+    return man.bol_lines(kept, man.shipment_details(kept, dangerous=False))
 
 
 query("doc_manifest_con_ctr", _manifest_sql("select master_id, shipment_id, sr_no, line from con"), MANIFEST)(

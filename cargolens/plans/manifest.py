@@ -13,7 +13,7 @@ from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolens.functions.text import (
@@ -29,7 +29,7 @@ from cargolens.functions.text import (
 from cargolens.operators.joins import config_value, role_join, role_lookup
 from cargolens.operators.lists import gather_lines
 from cargolens.operators.numbering import assign_sequence, instalments
-from cargolens.operators.ordered import carry_all_forward, first_per_key, serial
+from cargolens.operators.ordered import first_per_key
 from cargolens.operators.predicates import code_map, default_consignee, trade_code
 from cargolens.session import staged
 
@@ -155,11 +155,15 @@ def of_shipment(t: Tables, shipment_id: int | None) -> Tables:
 
 
 def _first(df: DataFrame, fk: str, order: list[str], columns: Mapping[str, Column | str]) -> DataFrame:
-    """First child row per shipment, columns renamed."""
+    """First child row per shipment, columns renamed; of rows that stand alike, the one with the smallest values."""
     cols = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()]
-    side = df.select(F.col(fk).alias("shipment_id"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *cols)
-    ordered = first_per_key(side, ["shipment_id"], [f"_o{i}" for i in range(len(order))])
-    return ordered.drop(*[f"_o{i}" for i in range(len(order))])
+    # a column that is ordered by and shown goes along once
+    ahead = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)]
+    shown = {n: f"_o{order.index(c)}" if isinstance(c, str) and c in order else n for n, c in columns.items()}
+    rest = [c for c, n in zip(cols, columns, strict=True) if shown[n] == n]
+    side = df.select(F.col(fk).alias("shipment_id"), F.struct(*ahead, *rest).alias("_row"))
+    firsts = side.groupBy("shipment_id").agg(F.min("_row").alias("_first"))
+    return firsts.select("shipment_id", *[F.col(f"_first.{c}").alias(n) for n, c in shown.items()])
 
 
 def _dangerous(c=F.col) -> Column:
@@ -177,8 +181,8 @@ def _dangerous(c=F.col) -> Column:
     )
 
 
-def _cargo(t: Tables) -> DataFrame:
-    """First cargo row of each shipment."""
+def _cargo(t: Tables, *names: str) -> DataFrame:
+    """First cargo row of each shipment, cut to these columns."""
     c = F.col
     cargo = {
         "marks": squeeze(c("marks_and_numbers")),
@@ -190,7 +194,7 @@ def _cargo(t: Tables) -> DataFrame:
         "hazardous": F.when(c("hazardous") == "Yes", "Y").otherwise("N"),
         "dangerous": _dangerous(),
     }
-    return _first(t["shipment_cargo"], "shipment_header_id", ["id"], cargo)
+    return _first(t["shipment_cargo"], "shipment_header_id", ["id"], {n: cargo[n] for n in names or cargo})
 
 
 def _packed(rows: DataFrame, t: Tables) -> DataFrame:
@@ -199,7 +203,7 @@ def _packed(rows: DataFrame, t: Tables) -> DataFrame:
 
 def container_details(t: Tables) -> DataFrame:
     """What the container lines show of each master and shipment, without the rest of ``shipment_details``."""
-    rows = master_shipments(t).join(_cargo(t).select("shipment_id", "pack_id", "hazardous", "dangerous"), "shipment_id", "left")
+    rows = master_shipments(t).join(_cargo(t, "pack_id", "hazardous", "dangerous"), "shipment_id", "left")
     rows = rows.withColumn("hazardous", F.coalesce("hazardous", F.lit("N")))
     return _packed(rows.withColumn("_dg", F.when(F.col("hazardous") == "Y", F.col("dangerous"))), t)
 
@@ -210,20 +214,27 @@ def box_counts(t: Tables) -> DataFrame:
     return master_shipments(t).join(boxes, "shipment_id", "left").withColumn("box_count", F.coalesce("box_count", F.lit(0)))
 
 
-def shipment_details(t: Tables, carry: str = "clean") -> DataFrame:
-    """One row per master and shipment with everything its lines show."""
+def shipment_details(t: Tables, carry: str = "clean", boxes: DataFrame | None = None, dangerous: bool = True) -> DataFrame:
+    """One row per master and shipment with everything its lines show.
+
+    ``boxes`` are those of ``grouped_boxes`` where they are at hand. Without
+    ``dangerous`` the block that only container lines show is left out.
+    Wide rows are dealt by their shipment and stay there; what is known of a
+    pair of master and shipment is brought to them.
+    """
     if carry not in ("clean", "reference"):
         raise ValueError(f"unknown carry {carry!r}")
     c = F.col
     pairs = master_shipments(t)
     ships = t["shipments"].select(c("id").alias("shipment_id"), "origin_id", "destination_id", c("service_type").alias("container_service"))
-    rows = ships.join(pairs.select("shipment_id").distinct(), "shipment_id", "left_semi")
+    rows = ships
 
     other = F.when(c("other_trade") == "ReExport", "Import").otherwise(c("other_trade"))
     rows = rows.join(
         _first(t["shipment_services"], "shipment_header_id", ["id"], {"trade": trade_code(other, c("service_trade"))}), "shipment_id", "left"
     )
-    rows = rows.join(_cargo(t), "shipment_id", "left")
+    shown = ["marks", "commodity", "pieces", "pack_id", "volume", "gross", "hazardous"]
+    rows = rows.join(_cargo(t, *shown, *(["dangerous"] if dangerous else [])), "shipment_id", "left")
     rows = rows.withColumn("hazardous", F.coalesce("hazardous", F.lit("N")))
     for name, table, fk, number in (
         ("_air", "air_documents", "source_id", "document_no"),
@@ -250,11 +261,13 @@ def shipment_details(t: Tables, carry: str = "clean") -> DataFrame:
     notified = {"notify1": "notify_customer_1_id", "notify2": "notify_customer_2_id"}
     parties = role_lookup(parties, "shipment_id", notified, t["customers"].select("id", "name"), ["name"])
     rows = rows.join(parties, "shipment_id", "left")
-    boxes = t["shipment_containers"].groupBy("shipment_id").agg(
+    counted = t["shipment_containers"].groupBy("shipment_id").agg(
         F.count(F.lit(1)).alias("box_count"), F.min_by("container_sl_no", "id").alias("_box")
     )
-    rows = rows.join(boxes, "shipment_id", "left").withColumn("box_count", F.coalesce("box_count", F.lit(0)))
-    rows = pairs.join(rows, "shipment_id").join(_totals(t), ["master_id", "shipment_id"], "left")
+    rows = rows.join(counted, "shipment_id", "left").withColumn("box_count", F.coalesce("box_count", F.lit(0)))
+    voyage = voyages(t).groupBy(c("id").alias("master_id")).agg(F.collect_list(F.struct("service", "cargo_code")).alias("_voyages"))
+    pairs = pairs.join(_totals(t, boxes), ["master_id", "shipment_id"], "left").join(voyage, "master_id", "left")
+    rows = pairs.join(rows, "shipment_id")
 
     # Joins on the shipment came first and share one partitioning; code lookups follow.
     rows = role_join(rows, t["ports"], {"origin": "origin_id", "discharge": "destination_id"}, ["code", "country_code"], how="left")
@@ -273,13 +286,16 @@ def shipment_details(t: Tables, carry: str = "clean") -> DataFrame:
             consolidated, F.struct(c("_box").alias("box"), F.right("_box", F.lit(1)).alias("digit"), tonnes(c("gross")).alias("tonnes"))
         ),
         "_fcl": F.when(~consolidated, F.struct(c("box_count").alias("boxes"), "teu", "tare")),
-        "_dg": F.when(c("hazardous") == "Y", c("dangerous")),
     }
-    if carry == "clean":
-        rows = rows.withColumns(blocks)
-    else:
-        rows = carry_all_forward(rows, ["master_id"], ["shipment_id"], blocks)
-    return rows.withColumn("consolidated", F.when(consolidated, "Y").otherwise("N"))
+    if dangerous:
+        blocks["_dg"] = F.when(c("hazardous") == "Y", c("dangerous"))
+    if carry == "reference":
+        # the shipments of a master, whose lines are one document
+        so_far = Window.partitionBy("master_id").orderBy("shipment_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        blocks = {n: F.last(b, ignorenulls=True).over(so_far) for n, b in blocks.items()}
+    rows = rows.withColumns(blocks).withColumn("consolidated", F.when(consolidated, "Y").otherwise("N"))
+    used_up = ["_box", "teu", "tare", "dangerous", "pack_id", "origin_id", "destination_id", "container_service"]
+    return rows.drop(*used_up, *address_ids.values(), *notified.values())
 
 
 def _boxes(t: Tables) -> DataFrame:
@@ -302,17 +318,28 @@ def _boxes(t: Tables) -> DataFrame:
     return packed.join(held, "_mc").join(types, "_type")
 
 
-def _totals(t: Tables) -> DataFrame:
-    return _boxes(t).groupBy("master_id", "shipment_id").agg(
-        F.sum("teu").cast("decimal(18,0)").alias("teu"), (F.sum("tare") / 1000).cast("decimal(18,1)").alias("tare")
+BOX = ["ctr_no", "digit", "external_no_of_piece", "gross_weight_kgs", "volume_in_cbm", "actual_seal_number"]
+
+
+def grouped_boxes(t: Tables) -> DataFrame:
+    """Containers of each master and shipment as their lines show them, alike ones as one row."""
+    c = F.col
+    named = {"ctr_no": without_last(c("container_sl_no")), "digit": F.right("container_sl_no", F.lit(1))}
+    grouped = _boxes(t).withColumns(named).groupBy("master_id", "shipment_id", *BOX)
+    return grouped.agg(F.sum("teu").alias("_teu"), F.sum("tare").alias("_tare"))
+
+
+def _totals(t: Tables, boxes: DataFrame | None = None) -> DataFrame:
+    source, teu, tare = (_boxes(t), "teu", "tare") if boxes is None else (boxes, "_teu", "_tare")
+    return source.groupBy("master_id", "shipment_id").agg(
+        F.sum(teu).cast("decimal(18,0)").alias("teu"),
+        (F.sum(tare).cast("decimal(28,3)") / 1000).cast("decimal(18,1)").alias("tare"),
     )
 
 
 def bol_lines(t: Tables, details: DataFrame) -> DataFrame:
     """``(master_id, shipment_id, line)``."""
     c = F.col
-    voyage = voyages(t).select(c("id").alias("master_id"), "service", "cargo_code")
-    rows = details.join(voyage, "master_id", "left")
     empty = ""
     fields = [
         c("bill_no"), _line_code(t), _agent_code(t), c("origin_code"), c("origin_code"), c("discharge_code"),
@@ -329,20 +356,18 @@ def bol_lines(t: Tables, details: DataFrame) -> DataFrame:
         nz(c("gross")), nz(c("gross")), nz(c("volume")), nz(c("pieces")), nz(c("_lcl.tonnes")), nz(c("pieces")),
         empty, empty, empty,
     ]
+    rows = details.select("*", F.explode_outer("_voyages").alias("_voyage")).select("*", "_voyage.*")
     return rows.select("master_id", "shipment_id", _line("BOL", *fields).alias("line"))
 
 
-def container_lines(t: Tables, details: DataFrame) -> DataFrame:
-    """``(master_id, shipment_id, sr_no, line)`` with the CON and CTR text."""
+def container_lines(t: Tables, details: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
+    """``(master_id, shipment_id, sr_no, line)`` with the CON and CTR text; ``boxes`` as in ``shipment_details``.
+
+    The containers of one shipment are numbered where they meet it.
+    """
     c = F.col
     keys = ["master_id", "shipment_id"]
-    by = ["ctr_no", "digit", "external_no_of_piece", "gross_weight_kgs", "volume_in_cbm", "actual_seal_number"]
-    boxes = (
-        _boxes(t)
-        .withColumns({"ctr_no": without_last(c("container_sl_no")), "digit": F.right("container_sl_no", F.lit(1))})
-        .groupBy(*keys, *by)
-        .agg(F.sum("tare").alias("_tare"))
-    )
+    boxes = (grouped_boxes(t) if boxes is None else boxes).drop("_teu")
     # Cargo rows with equal texts only raise the tare, so they are counted first.
     cargo = t["shipment_cargo"].groupBy(
         c("shipment_header_id").alias("shipment_id"),
@@ -351,7 +376,8 @@ def container_lines(t: Tables, details: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("_times"))
     wanted = ["hazardous", "_dg", "pack_name", "pack_code"]
     rows = boxes.join(details.select(*keys, *wanted), keys).join(cargo, "shipment_id", "left")
-    rows = serial(rows, keys, ["digit", *by, "_marks", "_commodity"], "sr_no")
+    place = Window.partitionBy(*keys).orderBy("digit", *BOX, "_marks", "_commodity")
+    rows = rows.withColumn("sr_no", F.row_number().over(place).cast("long"))
     pieces, tare = nz(c("external_no_of_piece")), (c("_tare") * F.coalesce("_times", F.lit(1))).cast("decimal(18,1)")
     con = _line(
         "CON",
@@ -383,29 +409,28 @@ class ManifestLines:
     end: DataFrame
 
     def all(self) -> DataFrame:
-        """``(master_id, doc_key, sec, shipment_id, no, line)`` in document order."""
+        """``(master_id, sec, shipment_id, no, line)`` in document order."""
         c = F.col
-        key = self.voy.select("master_id", c("master_uid").alias("doc_key"))
         none, zero = F.lit(0).cast("long"), F.lit(0).cast("long")
 
         def shaped(df: DataFrame, section: int, shipment: Column, number: Column) -> DataFrame:
             return df.select("master_id", F.lit(section).alias("sec"), shipment.alias("shipment_id"), number.alias("no"), "line")
 
-        rows = (
+        return (
             shaped(self.voy, 0, none, zero)
             .unionByName(shaped(self.bol, 1, c("shipment_id"), zero))
             .unionByName(shaped(self.containers, 1, c("shipment_id"), c("sr_no")))
             .unionByName(shaped(self.end, 2, none, zero))
         )
-        return rows.join(key, "master_id")
 
 
 def manifest_lines(t: Tables, shipment_id: int | None = None, carry: str = "clean", first_number: int = 1) -> ManifestLines:
-    """All lines; the shipment details are written once and read by each kind."""
+    """All lines; containers and shipment details are written once and read by each kind."""
     t = of_shipment(t, shipment_id)
-    details = staged(shipment_details(t, carry), "manifest-details")
+    boxes = staged(grouped_boxes(t), "manifest-boxes")
+    details = staged(shipment_details(t, carry, boxes), "manifest-details")
     return ManifestLines(
-        voy_lines(t, first_number), bol_lines(t, details), container_lines(t, details), end_lines(t, details)
+        voy_lines(t, first_number), bol_lines(t, details), container_lines(t, details, boxes), end_lines(t, details)
     )
 
 
@@ -421,9 +446,10 @@ def manifest(
     ``null_mode="reference"`` makes a document NULL when one of its mandatory
     fields is missing; ``"blank"`` leaves that line empty.
     """
-    lines = manifest_lines(t, shipment_id, carry, first_number).all()
-    docs = gather_lines(lines, ["master_id", "doc_key"], ["sec", "shipment_id", "no"], null_blanks_all=null_mode == "reference")
-    return docs.drop("master_id")
+    lines = manifest_lines(t, shipment_id, carry, first_number)
+    keys = lines.voy.groupBy("master_id", F.col("master_uid").alias("doc_key")).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    order = ["sec", "shipment_id", "no"]
+    return gather_lines(lines.all(), "master_id", order, null_blanks_all=null_mode == "reference", names=keys).drop("master_id")
 
 
 def manifest_counters(t: Tables, as_of_order: str = "id") -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from cargolens.catalog import QUERIES
 from cargolens.catalog.tables import NOW
 from cargolens.operators import xml_shred as xs
+from cargolens.operators.lists import gather_lines
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -45,3 +46,23 @@ def test_messages_are_parsed_once(spark, name):
     rows = spark.createDataFrame([("<M><Header><MessageID>1</MessageID></Header></M>",)], "xml_data string")
     good, _ = xs.split_malformed(xs.parse_messages(rows))
     assert plan(xs.shred_table(good, name, NOW)).count("from_xml(") == 1
+
+
+@pytest.mark.parametrize("name", ["doc_manifest_con_ctr", "doc_customs_xml"])
+def test_lines_are_numbered_in_one_reading(spark, name):
+    assert "_range_bounds" not in plan(QUERIES[name](spark, SF_DIR))
+
+
+def test_what_a_reply_shows_is_worked_out_once(spark):
+    text = plan(QUERIES["rpt_wip_reply"](spark, SF_DIR))
+    assert "l_extendedprice" not in text and "o_orderkey" not in text
+
+
+def test_lines_are_dealt_once_and_gathered_there(spark):
+    lines = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 1, "a"), (2, 1, None), (4, 1, "x")], "k long, no long, line string")
+    names = spark.createDataFrame([(1, "A", 1), (1, "B", 2), (2, "C", 1), (3, "D", 1)], "k long, name string, times int")
+    out = gather_lines(lines, "k", ["no"], names=names)
+    assert sorted((r.name, r.content) for r in out.collect()) == [("A", "a\na\nb"), ("B", "a\na\na\na\nb\nb"), ("C", None)]
+    alone = plan(gather_lines(lines, "k", ["no"]))
+    # both halves of the aggregate stand above the only exchange
+    assert alone.count("Exchange hashpartitioning") == 1 and alone.index("partial_collect_list") < alone.index("Exchange hashpartitioning")
