@@ -7,11 +7,11 @@ gathered last.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolens.functions.text import (
@@ -26,9 +26,9 @@ from cargolens.functions.text import (
     xml_escape,
 )
 from cargolens.operators.joins import lookup, partner_lookup, role_join, role_lookup, translate_code
-from cargolens.operators.lists import gather_lines
 from cargolens.operators.numbering import assign_sequence
 from cargolens.operators.ordered import first_per_key, serial
+from cargolens.session import staged
 
 Tables = Mapping[str, DataFrame]
 
@@ -210,6 +210,10 @@ PACKED_STATUS = "B"
 SUPPLIER_TYPE = "2"
 
 
+#: Column of a name: that of a row, or the field of a struct in a list.
+Of = Callable[[str], Column]
+
+
 def _el(tag: str, *content: Column | str) -> Column:
     """``<tag>text</tag>``; text is escaped, NULL is empty."""
     inner = [F.lit(c) if isinstance(c, str) else xml_escape(c) for c in content]
@@ -220,27 +224,27 @@ def _group(tag: str, *children: Column) -> Column:
     return F.concat(F.lit(f"<{tag}>\n"), *children, F.lit(f"</{tag}>\n"))
 
 
-def _address(role: str, extra_line: bool = False) -> Column:
+def _address(c: Of, role: str, extra_line: bool = False) -> Column:
     parts = [
-        _el("city", F.col(f"{role}_city")),
-        _el("country", F.col(f"{role}_country_code")),
-        _el("street", F.col(f"{role}_address")),
-        _el("postCode", F.col(f"{role}_zip_code")),
+        _el("city", c(f"{role}_city")),
+        _el("country", c(f"{role}_country_code")),
+        _el("street", c(f"{role}_address")),
+        _el("postCode", c(f"{role}_zip_code")),
     ]
     if extra_line:
         parts.append(_el("streetAdditionalLine", ""))
-    return _group("Address", *parts, _el("number", F.col(f"{role}_mobile_no")))
+    return _group("Address", *parts, _el("number", c(f"{role}_mobile_no")))
 
 
-def _party(tag: str, name: str, role: str, id_column: str | None = None, extra_line: bool = False) -> Column:
-    number = [_el("identificationNumber", F.col(id_column))] if id_column else []
+def _party(c: Of, tag: str, name: str, role: str, id_column: str | None = None, extra_line: bool = False) -> Column:
+    number = [_el("identificationNumber", c(id_column))] if id_column else []
     return _group(
-        tag, _el("name", F.col(name)), *number, _el("typeOfPerson", PERSON_TYPE), _address(role, extra_line)
+        tag, _el("name", c(name)), *number, _el("typeOfPerson", PERSON_TYPE), _address(c, role, extra_line)
     )
 
 
-def _routing(number: str, country: str) -> Column:
-    return _group("CountriesOfRoutingOfConsignment", _el("sequenceNumber", number), _el("country", F.col(country)))
+def _routing(c: Of, number: str, country: str) -> Column:
+    return _group("CountriesOfRoutingOfConsignment", _el("sequenceNumber", number), _el("country", c(country)))
 
 
 def goods_items(t: Tables) -> DataFrame:
@@ -250,30 +254,12 @@ def goods_items(t: Tables) -> DataFrame:
         t["job_containers"].select(*keys, "container_code", "container_no", "actual_seal"), keys
     )
     order = ["container_code", "container_no", "actual_seal", "external_no_of_pack", "gross_weight", "volume", *keys]
-    return serial(packed, ["subjob_uid"], order, "item_no")
-
+    of_house = Window.partitionBy("subjob_uid").orderBy(*order)
+    return packed.withColumn("item_no", F.row_number().over(of_house).cast("long"))
 
-def customs_xml(t: Tables, as_of: datetime, namespace: str, action: str) -> tuple[DataFrame, DataFrame]:
-    """``(doc_key, content)`` and the queue's three codes per house, and the houses without a partner.
 
-    ``namespace`` and ``action`` are those of the receiving network's envelope.
-    """
-    c = F.col
-    houses = t["subjobs"].join(t["subjob_tree"], "subjob_uid").join(
-        t["jobs"].select("job_uid", "master_no", "carrier_booking_no"), "job_uid"
-    )
-    found, rejects = partner_lookup(houses, t["partners_customs"].drop("branch_code", "location_code"), ["company_code"])
-    weight = t["subjob_containers"].groupBy("subjob_uid").agg(F.sum(F.coalesce("gross_weight", F.lit(0))).alias("_mass"))
-    columns = ["city", "country_code", "address", "zip_code", "mobile_no"]
-    primary = t["customer_addresses"].filter("address_type = 'PRIMARY'")
-    primary = first_per_key(primary.select("customer_code", *columns), ["customer_code"], ["city", "address"])
-    rows = found.join(weight, "subjob_uid", "left")
-    roles = {"consignee": "consignee_code", "shipper": "shipper_code"}
-    rows = role_lookup(rows, "subjob_uid", roles, primary, columns, dim_key="customer_code")
-    ports = t["ports"].select("code", "country_code")
-    rows = role_join(rows, ports, {"from": "pol", "to": "pod"}, ["country_code"], key="code", how="left")
-    now = _now(as_of)
-    head = F.concat(
+def _customs_head(c: Of, now: Column, namespace: str, action: str) -> Column:
+    return F.concat(
         F.lit(ENVELOPE.format(namespace) + "<S:Header>\n<wsa:From><wsa:Address>urn:scac:"),
         xml_escape(c("sender_code")),
         F.lit("</wsa:Address></wsa:From>\n"),
@@ -295,19 +281,22 @@ def customs_xml(t: Tables, as_of: datetime, namespace: str, action: str) -> tupl
         _group("PlaceOfAcceptance", _el("unlocode", c("pol"))),
         _group("TransportDocumentMasterLevel", _el("documentNumber", c("master_no")), _el("type", MASTER_DOCUMENT)),
         _group("Carrier", _el("identificationNumber", c("carrier_booking_no"))),
-        _party("Consignee", "consignee_manifest_name", "consignee"),
+        _party(c, "Consignee", "consignee_manifest_name", "consignee"),
     )
-    tail = F.concat(
-        _party("Consignor", "shipper_manifest_name", "shipper", extra_line=True),
+
+
+def _customs_tail(c: Of) -> Column:
+    return F.concat(
+        _party(c, "Consignor", "shipper_manifest_name", "shipper", extra_line=True),
         _group("TransportCharges", _el("methodOfPayment", PREPAID)),
         _group("PlaceOfDelivery", _el("unlocode", c("pod"))),
         _group(
             "GoodsShipment",
-            _party("Buyer", "consignee_manifest_name", "consignee", id_column="consignee_code"),
-            _party("Seller", "shipper_manifest_name", "shipper"),
+            _party(c, "Buyer", "consignee_manifest_name", "consignee", id_column="consignee_code"),
+            _party(c, "Seller", "shipper_manifest_name", "shipper"),
         ),
-        _routing("1", "from_country_code"),
-        _routing("2", "to_country_code"),
+        _routing(c, "1", "from_country_code"),
+        _routing(c, "2", "to_country_code"),
         _group("TransportDocumentHouseLevel", _el("documentNumber", c("house_no")), _el("type", HOUSE_DOCUMENT)),
         F.lit("</ConsignmentHouseLevel>\n</ConsignmentMasterLevel>\n"),
         _group(
@@ -326,9 +315,10 @@ def customs_xml(t: Tables, as_of: datetime, namespace: str, action: str) -> tupl
         ),
         F.lit("</SMFENS2FilingBody>\n</SMFENS2>\n</S:Body>\n</S:Envelope>"),
     )
-    items = translate_code(goods_items(t), t["codes"], "EDI_ICS2", "CONTAINER_MASTER", "container_code", "_size_type")
-    items = items.join(found.select("subjob_uid", "commodity_description", "mark_no", "external_pack_code"), "subjob_uid")
-    item = _group(
+
+
+def _goods_item(c: Of) -> Column:
+    return _group(
         "GoodsItem",
         _el("goodsItemNumber", c("item_no")),
         _group(
@@ -355,13 +345,52 @@ def customs_xml(t: Tables, as_of: datetime, namespace: str, action: str) -> tupl
         ),
     )
 
-    def block(df: DataFrame, section: int, number: Column, text: Column) -> DataFrame:
-        # Blocks end in a line break, which gathering puts between them again.
-        trimmed = F.rtrim(text, F.lit("\n"))
-        return df.select(c("subjob_uid").alias("doc_key"), F.lit(section).alias("sec"), number.alias("no"), trimmed.alias("line"))
 
-    zero = F.lit(0).cast("long")
-    lines = block(rows, 0, zero, head).unionByName(block(items, 1, c("item_no"), item)).unionByName(block(rows, 2, zero, tail))
-    docs = gather_lines(lines, "doc_key", ["sec", "no"], null_blanks_all=False)
-    codes = found.select(c("subjob_uid").alias("doc_key"), *PARTNER_KEYS)
-    return docs.join(codes, "doc_key"), rejects
+def customs_xml(t: Tables, as_of: datetime, namespace: str, action: str) -> tuple[DataFrame, DataFrame]:
+    """``(doc_key, content)`` and the queue's three codes per house, and the houses without a partner.
+
+    ``namespace`` and ``action`` are those of the receiving network's envelope.
+    """
+    c = F.col
+    houses = t["subjobs"].join(t["subjob_tree"], "subjob_uid").join(
+        t["jobs"].select("job_uid", "master_no", "carrier_booking_no"), "job_uid"
+    )
+    found, rejects = partner_lookup(houses, t["partners_customs"].drop("branch_code", "location_code"), ["company_code"])
+    # read for the parties, the texts and the items
+    found = staged(found, "houses")
+    weight = t["subjob_containers"].groupBy("subjob_uid").agg(F.sum(F.coalesce("gross_weight", F.lit(0))).alias("_mass"))
+    columns = ["city", "country_code", "address", "zip_code", "mobile_no"]
+    primary = t["customer_addresses"].filter("address_type = 'PRIMARY'")
+    primary = first_per_key(primary.select("customer_code", *columns), ["customer_code"], ["city", "address"])
+    roles = {"consignee": "consignee_code", "shipper": "shipper_code"}
+    rows = role_lookup(found, "subjob_uid", roles, primary, columns, dim_key="customer_code")
+    rows = rows.join(weight, "subjob_uid", "left")
+    ports = t["ports"].select("code", "country_code")
+    rows = role_join(rows, ports, {"from": "pol", "to": "pod"}, ["country_code"], key="code", how="left")
+    found_items = found.select("subjob_uid", "commodity_description", "mark_no", "external_pack_code")
+    items = translate_code(goods_items(t), t["codes"], "EDI_ICS2", "CONTAINER_MASTER", "container_code", "_size_type")
+    items = items.join(found_items, "subjob_uid")
+
+    def listed(df: DataFrame, fields: list[str], name: str) -> DataFrame:
+        return df.groupBy("subjob_uid").agg(F.collect_list(F.struct(*fields)).alias(name))
+
+    def texts(rows: str, text: Callable[[Of], Column], *order: str) -> Column:
+        # Texts end in a line break, which stands between them again.
+        one = F.transform(rows, lambda x: F.struct(*[x[o] for o in order], F.rtrim(text(lambda n: x[n]), F.lit("\n")).alias("v")))
+        return F.transform(F.sort_array(one), lambda x: x["v"])
+
+    def of_houses(text: Callable[[Of], Column]) -> Column:
+        # a key with a single row, as nearly all have, needs no list of texts
+        single = F.rtrim(text(lambda n: F.get("houses", F.lit(0))[n]), F.lit("\n"))
+        return F.when(F.size("houses") == 1, F.array(single)).otherwise(texts("houses", text))
+
+    # Columns are gathered, not texts: a text is made when its document is.
+    shown = [x for x in rows.columns if x not in ("subjob_uid", *PARTNER_KEYS)]
+    boxed = ["item_no", "gross_weight", "external_no_of_pack", "_size_type", "container_no", "actual_seal"]
+    whole = listed(rows, shown, "houses").join(listed(items, [*boxed, *found_items.columns[1:]], "items"), "subjob_uid", "left")
+    whole = whole.join(found.select("subjob_uid", *PARTNER_KEYS), "subjob_uid")
+    head = of_houses(lambda of: _customs_head(of, _now(as_of), namespace, action))
+    between = F.coalesce(texts("items", _goods_item, "item_no"), F.array().cast("array<string>"))
+    parts = F.concat(head, between, of_houses(_customs_tail))
+    docs = whole.select(c("subjob_uid").alias("doc_key"), F.array_join(parts, "\n").alias("content"), *PARTNER_KEYS)
+    return docs, rejects
