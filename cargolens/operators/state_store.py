@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.operators.commands import Feed, apply_commands
+from cargolens.operators.commands import Feed, command_statuses
 from cargolens.session import delete_path, names_under, staged
 from cargolens.sources.commits import content_of, publish, published, withdraw
 
@@ -75,18 +75,34 @@ def still_matters(log: DataFrame, feed: Feed) -> DataFrame:
     return own.unionByName(changes.filter(F.col(key).isNull() & (method == "U")).select(*own.columns).dropDuplicates(["seq"]))
 
 
+def state_of(kept: DataFrame, feed: Feed) -> DataFrame:
+    """The rows that ``still_matters`` comes to, by bucket: a key without an upsert there is deleted."""
+    seq, upsert = F.col("seq"), F.col("method") == "U"
+    rest = [c for c in feed.fields if c != feed.key and c not in feed.created]
+    keyed = kept.filter(F.col(feed.key).isNotNull()).groupBy("bucket", feed.key)
+    ends = keyed.agg(
+        F.max_by(F.struct(*rest), F.when(upsert, seq)).alias("_last"),
+        F.min_by(F.struct(*feed.created), F.when(upsert, seq)).alias("_made"),
+    ).filter(F.col("_last").isNotNull())
+    rows = ends.select(feed.key, "bucket", "_made.*", "_last.*").select(*feed.fields, "bucket")
+    # rows without a key are state where they are log
+    return rows.unionByName(kept.filter(F.col(feed.key).isNull()).select(*feed.fields, "bucket"))
+
+
 def put_buckets(spark: SparkSession, out_dir: str, batch: str, log: DataFrame, feed: Feed, buckets: int) -> DataFrame:
-    """Write what ``log`` comes to, as log and as state; returns the replies to its commands."""
+    """Write what ``log`` comes to, as log and as state; returns the replies to its commands.
+
+    What still matters is a small part of the log and all that the state is made
+    of, so the state is worked out from the files just written.
+    """
     bucket, spread = bucket_of(feed, buckets), F.pmod(F.xxhash64("seq"), F.lit(FILES_PER_BUCKET))
-    state, statuses = apply_commands(spark.createDataFrame([], log.select(*feed.fields).schema), log, feed)
-    has_key = F.col(feed.key).isNotNull()
-    # rows without a key are state where they are log
-    loose = log.filter(~has_key & (F.col("method") == "U")).select(*feed.fields, bucket)
-    rows = state.filter(has_key).withColumn("seq", F.lit(0)).select(*feed.fields, bucket).unionByName(loose)
     kept = still_matters(log, feed).withColumn("bucket", bucket)
-    for kind, table in (("log", kept.repartition("bucket", spread)), ("state", rows.repartition("bucket"))):
-        table.write.mode("overwrite").partitionBy("bucket").parquet(f"{out_dir}/{kind}/{batch}")
-    return statuses
+    written = f"{out_dir}/log/{batch}"
+    kept.repartition("bucket", spread).write.mode("overwrite").partitionBy("bucket").parquet(written)
+    rows = state_of(read_folders(spark, [written], kept.schema), feed)
+    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out_dir}/state/{batch}")
+    none = spark.createDataFrame([], log.select(*feed.fields).schema)
+    return command_statuses(none, log, feed)
 
 
 def publish_live(spark: SparkSession, out_dir: str, number: int, live: dict, batch: str, touched, buckets: int) -> None:
@@ -113,7 +129,8 @@ def apply_batch(
 ) -> bool:
     """Bring the commands of a batch into the store; False where it is there already.
 
-    ``commands`` are typed ones. ``write_replies`` gets ``seq, method, status``
+    ``commands`` are typed ones, read three times: ``parse_commands`` gives them
+    from the scratch folder. ``write_replies`` gets ``seq, method, status``
     of each and has written them before the batch counts. A reply is what is
     known when the batch runs: to a late command, those upserts and deletes that
     the store still has from before it. Commands that were sent twice count once.
@@ -124,7 +141,7 @@ def apply_batch(
     before = content_of(spark, manifests(out_dir), batch_id)
     buckets = before["buckets"]
     names = ["seq", "method", *feed.fields]
-    new = staged(commands.select(*names), "sent")
+    new = commands.select(*names)
     touched = {r.bucket for r in new.select(bucket_of(feed, buckets)).distinct().collect()}
     known = read_folders(spark, live_folders(spark, out_dir, "log", batch_id - 1, touched), new.schema)
     log = staged(known.unionByName(new).dropDuplicates(["seq", "method", feed.key]), "log")

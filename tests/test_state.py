@@ -248,3 +248,19 @@ def test_state_delete_returns_the_whole_state(spark, tmp_path):
         9: ("creator", "updater", "base@x.org"),
         11: ("u5", "w5", "m5@x.org|n@x.org"),
     }
+
+
+@pytest.mark.parametrize("feed", [cmd.TRIGGERS, cmd.PREFERENCES])
+def test_state_of_what_matters_is_that_of_all_commands(spark, feed):
+    """Worked out from the commands kept, without looking up what stood before each command."""
+    rnd = random.Random(7)
+    payload = {"webUserMasterId": None, "columnPreferences": [1], "mailId": ["a"]}
+    rows = []
+    for seq in range(120):
+        who = {"webUserMasterId": rnd.choice([*range(12), None]), "createUser": rnd.choice([f"c{seq}", None]), "updateUser": f"u{seq}"}
+        rows.append((seq, rnd.choice("UUUDS"), json.dumps(payload | who)))
+    ok, _ = cmd.parse_commands(spark.createDataFrame(rows, "seq long, method string, payload string"), feed)
+    want, _ = cmd.apply_commands(spark.createDataFrame([], ok.select(*feed.fields).schema), ok, feed)
+    state = state_store.state_of(state_store.still_matters(ok, feed).withColumn("bucket", F.lit(0)), feed)
+    assert "_range_" not in state._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, state.select(*feed.fields).collect())) == sorted(map(str, want.select(*feed.fields).collect()))
