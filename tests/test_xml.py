@@ -261,3 +261,24 @@ def test_staged_messages_keep_the_text_of_malformed_ones_only(spark, monkeypatch
     tables = stream.shredded(batch, NOW)
     assert {r.id: r.xml_data for r in seen[0].collect()} == {1: None, 2: text[:-4], 3: None}
     assert [(r.id, r.xml_data) for r in tables["quarantine"].collect()] == [(2, text[:-4])]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["xml_house_bills", "xml_containers_lockstep", "xml_house_containers", "xml_master", "xml_routing", "xml_parties_lockstep",
+     "xml_parties", "xml_header"],
+)
+def test_nothing_is_shuffled_after_the_parse(spark, tmp_path, name):
+    """What moves is the columns of orders and lines, with bytes in proportion to them."""
+    from cargolens.catalog import QUERIES
+    from cargolens.catalog import tables as cat
+    from cargolens.standins import StandIns
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    folder = _tables(spark, tmp_path)
+    shown = plan(QUERIES[name](spark, folder))
+    assert "from_xml" in shown.split("Exchange")[0]
+    assert shown.count("Exchange") == plan(cat.manifest_messages(StandIns(spark, folder))).count("Exchange") > 0
+    assert "<Manifest>" not in shown.partition("Exchange")[2]
