@@ -173,7 +173,9 @@ def cuts_of(rows: DataFrame, plan: DataFrame) -> DataFrame:
         ends = cut(open_rows, done.select("source", F.col(rest).alias("rest"))).withColumnsRenamed(
             {"below": f"below{number}", "last": f"last{number}", "source": "_at"}
         )
-        done = staged(done.join(ends, done["source"].eqNullSafe(ends["_at"]), "left").drop("_at"), "cuts")
+        done = done.join(ends, done["source"].eqNullSafe(ends["_at"]), "left").drop("_at")
+        # where the open rows do not reach the rest, nothing is cut and all of them are taken
+        done = staged(done.withColumn(f"below{number}", F.coalesce(f"below{number}", F.lit(1 << DRAW_BITS))), "cuts")
     return done
 
 

@@ -64,6 +64,13 @@ def test_odd_rows(spark):
     assert got[0].asDict().keys() == {"doc_id", "text", "source", "draw", "size", "mix"}
 
 
+def test_all_are_taken_that_do_not_reach_the_rest(spark):
+    """The long text does not fit, and the short ones together are less than the 10.4 words wanted."""
+    rows = [(1, "x " * 100, "a"), (2, "a b c", "a"), (3, "d", "a")]
+    got = check(mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=0.1), rows, share=0.1)
+    assert {r.doc_id: r.mix.copies for r in got} == {1: 0, 2: 1, 3: 1}
+
+
 def test_reruns_agree_however_the_rows_are_dealt(spark, documents):
     def copies(df):
         return sorted((r.doc_id, r.mix.copies) for r in mixing.mix(df).collect())
