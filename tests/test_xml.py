@@ -282,3 +282,64 @@ def test_nothing_is_shuffled_after_the_parse(spark, tmp_path, name):
     assert "from_xml" in shown.split("Exchange")[0]
     assert shown.count("Exchange") == plan(cat.manifest_messages(StandIns(spark, folder))).count("Exchange") > 0
     assert "<Manifest>" not in shown.partition("Exchange")[2]
+
+
+def test_tags_that_show_one_value_are_one_list(spark):
+    """The texts of an element, whose tags were put together one by one."""
+    from pyspark.sql import functions as F
+
+    from cargolens.catalog import tables as cat
+
+    text = cat._element(xs.HOUSE, cat.VALUES["house_bills"])
+    assert text.count("coalesce(") < len(xs.HOUSE) / 3
+    spec = {"a": ("A", xs.TEXT), "b": ("B", xs.TEXT), "n": ("N", xs.INT), "c": ("G/C", xs.TEXT), "d": ("G/D", xs.TEXT)}
+    values = {"a": "'a-' || k", "b": "'b<' || k", "n": "k % 3", "c": "'c-' || k", "d": "case when k > 1 then 'd' end"}
+    rows = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    shown = [r.x for r in rows.select(F.expr(cat._element(spec, values)).alias("x")).collect()]
+    assert shown == [
+        "<A>a-1</A><B>b<1</B><N>1</N><G><C>c-1</C></G>",
+        "<A>a-2</A><B>b<2</B><N>2</N><G><C>c-2</C><D>d</D></G>",
+        "<G></G>",
+    ]
+
+
+def test_tags_are_searched_by_their_characters_first(spark):
+    from pyspark.sql import functions as F
+
+    texts = {
+        "<House><House/></House>": 2,
+        "<Houses><House a='1'></House><HouseContainer/><MyHouse></MyHouse></Houses>": 1,
+        "<p:House></p:House><House>": 2,
+        "<p:House></p:House><p:house></p:house>": 1,
+        "<!-- <House> --><House\n>": 1,
+        "<![CDATA[<House>]]>": 0,
+        "<Header><house></house></Header>": 1,
+    }
+    rows = spark.createDataFrame([(t, n + more, more != 0) for t, n in texts.items() for more in (-1, 0)], "x string, kept int, lost boolean")
+    found = rows.withColumn("got", xs._lost(F.col("x"), ["Header", "House"], F.col("kept")))
+    assert found.filter("got is distinct from lost").collect() == []
+    # only texts whose tags do not come to those parsed are searched at all places
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("House(?<=[<:]House)") < plan.index("THEN false") < plan.index("(?:Header|House)")
+    assert rows.select(xs._lost(F.lit(None).cast("string"), ["House"], F.lit(0)).alias("v")).first().v is None
+
+
+def test_staged_values_give_the_tables_of_the_messages(spark, messages, good):
+    """Of a batch the values shown are staged, not lists of all values."""
+    inner = PARTIES.replace(">P<", ">Q<")
+    boxes = "<HouseContainers><HouseContainer><Package>x</Package></HouseContainer><HouseContainer/></HouseContainers>"
+    house = f"<House><HBLNumber/>{boxes}{boxes}{inner}</House>"
+    odd = f"<M>{HEADER}<Master/><Master><Houses>{house}</Houses><Houses/><Containers><Container/></Containers>{PARTIES}</Master>{PARTIES}</M>"
+    rows = messages.unionByName(spark.createDataFrame([(6, odd), (7, "<M/>"), (8, "")], "id long, xml_data string"))
+    parsed = xs.parse_messages(rows)
+    sides = xs.split_malformed(parsed)
+    shown = xs.values_shown(parsed, "id", "xml_data")
+    assert "msg" not in shown.columns and shown.schema["master_shipments"].dataType["mbl_number"].dataType.typeName() == "string"
+    for flag, side in zip(("good", "bad"), sides, strict=True):
+        assert sorted(r.id for r in shown.filter(flag).collect()) == sorted(r.id for r in side.collect())
+    want, got = xs.shred(sides[0], NOW), xs.shred(shown.filter("good"), NOW)
+    want["rejects"], got["rejects"] = xs.cast_rejects(sides[0]), xs.cast_rejects(shown.filter("good"))
+    for name, df in want.items():
+        assert got[name].schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(repr, got[name].collect())) == sorted(map(repr, df.collect())), name
+    assert want["house_containers"].count() == 6 and want["shipping_parties"].count() == 4
