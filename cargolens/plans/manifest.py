@@ -315,7 +315,8 @@ def _boxes(t: Tables) -> DataFrame:
         c("teu").try_cast("decimal(18,3)").alias("teu"),
         F.coalesce(blank_to_null(c("empty_tare_weight")).try_cast("decimal(18,3)"), F.lit(0)).alias("tare"),
     )
-    return packed.join(held, "_mc").join(types, "_type")
+    # types are brought to the held containers, whose rows are shorter
+    return packed.join(held.join(types, "_type"), "_mc")
 
 
 BOX = ["ctr_no", "digit", "external_no_of_piece", "gross_weight_kgs", "volume_in_cbm", "actual_seal_number"]
@@ -325,7 +326,8 @@ def grouped_boxes(t: Tables) -> DataFrame:
     """Containers of each master and shipment as their lines show them, alike ones as one row."""
     c = F.col
     named = {"ctr_no": without_last(c("container_sl_no")), "digit": F.right("container_sl_no", F.lit(1))}
-    grouped = _boxes(t).withColumns(named).groupBy("master_id", "shipment_id", *BOX)
+    # dealt by their shipment, where its lines meet them
+    grouped = _boxes(t).withColumns(named).repartition("shipment_id").groupBy("master_id", "shipment_id", *BOX)
     return grouped.agg(F.sum("teu").alias("_teu"), F.sum("tare").alias("_tare"))
 
 
@@ -375,7 +377,10 @@ def container_lines(t: Tables, details: DataFrame, boxes: DataFrame | None = Non
         squeeze(c("commodity_description")).alias("_commodity"),
     ).agg(F.count(F.lit(1)).alias("_times"))
     wanted = ["hazardous", "_dg", "pack_name", "pack_code"]
-    rows = boxes.join(details.select(*keys, *wanted), keys).join(cargo, "shipment_id", "left")
+    # joined by the shipment alone, by which the containers are dealt: an equality of masters would deal them once more
+    shown = details.select("shipment_id", c("master_id").alias("_master"), *wanted)
+    rows = boxes.join(shown, "shipment_id").filter((c("master_id") <= c("_master")) & (c("master_id") >= c("_master"))).drop("_master")
+    rows = rows.join(cargo, "shipment_id", "left")
     place = Window.partitionBy(*keys).orderBy("digit", *BOX, "_marks", "_commodity")
     rows = rows.withColumn("sr_no", F.row_number().over(place).cast("long"))
     pieces, tare = nz(c("external_no_of_piece")), (c("_tare") * F.coalesce("_times", F.lit(1))).cast("decimal(18,1)")

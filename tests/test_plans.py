@@ -66,3 +66,18 @@ def test_lines_are_dealt_once_and_gathered_there(spark):
     alone = plan(gather_lines(lines, "k", ["no"]))
     # both halves of the aggregate stand above the only exchange
     assert alone.count("Exchange hashpartitioning") == 1 and alone.index("partial_collect_list") < alone.index("Exchange hashpartitioning")
+
+
+def test_containers_are_dealt_by_their_shipment_once(spark):
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        text = plan(QUERIES["doc_manifest_con_ctr"](spark, SF_DIR))
+    finally:
+        spark.conf.set(conf, before)
+    # neither to be grouped, nor to meet their types
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert not any("ctr_no" in keys for keys in dealt)
+    assert text.count("container_sl_no") > 0 and text.index("hashpartitioning(shipment_id") < text.index("hashpartitioning(_mc")
+    assert not any("_type" in keys and "container_sl_no" in rest for keys, rest in re.findall(r"Exchange hashpartitioning\(([^)]*)\)[^\n]*\n([^\n]*)", text))
