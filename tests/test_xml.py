@@ -314,8 +314,9 @@ def test_tags_are_searched_by_their_characters_first(spark):
         "<!-- <House> --><House\n>": 1,
         "<![CDATA[<House>]]>": 0,
         "<Header><house></house></Header>": 1,
+        "<!-- <House> --><house></house>": 0,
     }
-    rows = spark.createDataFrame([(t, n + more, more != 0) for t, n in texts.items() for more in (-1, 0)], "x string, kept int, lost boolean")
+    rows = spark.createDataFrame([(t, n + more, more != 0) for t, n in texts.items() for more in (-1, 0, 1) if more < 1 or '<!' in t], "x string, kept int, lost boolean")
     found = rows.withColumn("got", xs._lost(F.col("x"), ["Header", "House"], F.col("kept")))
     assert found.filter("got is distinct from lost").collect() == []
     # only texts whose tags do not come to those parsed are searched at all places
